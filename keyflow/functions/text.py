@@ -31,6 +31,22 @@ def jvm_split(text: Column | str, pattern: str = WORD_SEPARATOR) -> Column:
     return F.when(only_separators, F.array().cast("array<string>")).otherwise(kept)
 
 
+def jvm_tokens(df, text: Column, keep: list[str] | None = None, name: str = "tok"):
+    """Explode ``text`` into its JVM ``split(\\W+)`` tokens, one row each.
+
+    Same rule as :func:`jvm_split`, without lambda functions: ``posexplode``
+    and one row filter. Whether a leading empty token survives is decided per
+    text *before* the explode (empty text, or text with a word character), so
+    exploded rows carry a boolean rather than a copy of the whole text.
+    """
+    lead_ok = (text == F.lit("")) | text.rlike(r"\w")
+    cols = [F.col(c) for c in (keep or [])]
+    x = df.select(*cols, lead_ok.alias("_lead_ok"),
+                  F.posexplode(F.split(text, WORD_SEPARATOR)).alias("_pos", name))
+    cond = (F.col(name) != F.lit("")) | ((F.col("_pos") == 0) & F.col("_lead_ok"))
+    return x.filter(cond).drop("_lead_ok", "_pos")
+
+
 def key_chars_upper(key: Column | str) -> Column:
     """One upper-cased single-character string per character of the key."""
     return F.split(F.upper(_c(key)), "")

@@ -34,6 +34,13 @@ def event_time(ms: Column | str) -> Column:
     return F.timestamp_millis(c)
 
 
+def floor_div(col: Column | str, n: int) -> Column:
+    """Exact integer floor division of a BIGINT by a positive constant."""
+    c = F.col(col) if isinstance(col, str) else col
+    d = F.lit(int(n)).cast("bigint")
+    return ((c - F.pmod(c, d)) / d).cast("bigint")
+
+
 def ms_literal(duration_ms: int) -> Column:
     return F.lit(int(duration_ms)).cast("bigint")
 

@@ -10,7 +10,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.functions.text import jvm_split
+from keyflow.functions.text import jvm_tokens
+from keyflow.functions.time import floor_div
 
 # Fixed values of the cogroup fold: initial aggregate and per-stream prefixes.
 COGROUP_INITIAL = " "
@@ -65,7 +66,7 @@ def cogroup_fold(first: DataFrame, second: DataFrame, first_piece: Column,
                                                      F.col(text_col).alias("t"))))
         return F.array_join(F.transform(items, lambda x: x["t"]), "")
 
-    chunks = (pieces.withColumn("chunk", F.floor(F.col("seq") / F.lit(chunk_rows)))
+    chunks = (pieces.withColumn("chunk", floor_div("seq", chunk_rows))
               .groupBy("key", "chunk").agg(ordered_concat("seq", "piece").alias("part")))
     folded = chunks.groupBy("key").agg(ordered_concat("chunk", "part").alias("folded"))
     return folded.select("key", F.concat(F.lit(initial), F.col("folded")).alias("value"))
@@ -78,11 +79,11 @@ def word_count(docs: DataFrame, text_col: str = "text", lower: bool = True) -> D
     aggregated map-side, so frequent words do not skew the shuffle.
     """
     text = F.lower(F.col(text_col)) if lower else F.col(text_col)
-    words = docs.select(F.explode(jvm_split(text)).alias("word"))
+    words = jvm_tokens(docs, text, name="word")
     return words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt"))
 
 
 def tokens(docs: DataFrame, key_col: str, text_col: str = "text") -> DataFrame:
     """(key, token) records of every text, JVM split rule, no case change."""
-    return docs.select(F.col(key_col).alias("key"),
-                       F.explode(jvm_split(F.col(text_col))).alias("value"))
+    keyed = docs.withColumnRenamed(key_col, "key")
+    return jvm_tokens(keyed, F.col(text_col), keep=["key"], name="value")

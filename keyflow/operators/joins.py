@@ -1,13 +1,18 @@
 """Stream–stream interval joins (inner, left, full outer), batch form.
 
 ``|left.ms - right.ms| <= bound`` on equal keys, both ends inclusive; null
-keys never join (and are not emitted as unmatched either). The equi-join is
-on ``(key, time bucket)``: the right side is placed in the bucket of its
-time, each left record in the (at most three) buckets its interval touches.
-A hot key is thereby split across its buckets and only near pairs are ever
-compared. Every matching pair is emitted (duplicates kept). Unmatched rows
-of the outer forms are anti-joins on the record ids (``seq``), which must be
-unique within each side.
+keys never join (and are not emitted as unmatched either). Every matching
+pair is emitted (duplicates kept).
+
+Plan: an equi-join on ``(key, time bucket)`` of width ``bound``. Each left
+record sits once, in the bucket of its own time; each right record is copied
+into every bucket whose left records it can match (two or three). A hot key
+is thereby split across its buckets and only near pairs are ever compared.
+Because a left record appears once together with all its candidates, a
+LEFT OUTER join on that layout is exactly the left interval join (pairs plus
+left-only rows) in one pass. Right-only rows of the full outer join are the
+mirror image: right records in their own bucket, anti-joined with the left
+records copied to neighbouring buckets, under the same time condition.
 """
 
 from __future__ import annotations
@@ -16,6 +21,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.functions.text import joiner_text
+from keyflow.functions.time import floor_div
 
 INNER, LEFT, FULL = "inner", "left", "full"
 
@@ -26,40 +32,40 @@ def _side(df: DataFrame, p: str) -> DataFrame:
         F.col("ms").alias(f"{p}ms"), F.col("value").alias(f"{p}value"))
 
 
+def _own_bucket(df: DataFrame, ms: str, width: int) -> DataFrame:
+    return df.withColumn("bucket", floor_div(ms, width))
+
+
+def _near_buckets(df: DataFrame, ms: str, bound: int, width: int) -> DataFrame:
+    return df.withColumn("bucket", F.explode(F.sequence(
+        floor_div(F.col(ms) - F.lit(bound), width), floor_div(F.col(ms) + F.lit(bound), width))))
+
+
 def interval_join(left: DataFrame, right: DataFrame, bound_ms: int, how: str = INNER,
                   joiner=joiner_text, bucket_ms: int | None = None) -> DataFrame:
     bound = int(bound_ms)
     width = int(bucket_ms) if bucket_ms else max(bound, 1)
     l = _side(left, "l_")
     r = _side(right, "r_")
-    lb = l.withColumn("bucket", F.explode(F.sequence(
-        F.floor((F.col("l_ms") - F.lit(bound)) / F.lit(width)),
-        F.floor((F.col("l_ms") + F.lit(bound)) / F.lit(width)))))
-    rb = r.withColumn("bucket", F.floor(F.col("r_ms") / F.lit(width)))
-    cond = ((lb["l_key"] == rb["r_key"]) & (lb["bucket"] == rb["bucket"])
-            & (F.abs(lb["l_ms"] - rb["r_ms"]) <= F.lit(bound)))
-    pairs = lb.join(rb, cond, "inner").select(
-        F.col("l_key").alias("key"), "l_seq", "r_seq", "l_ms", "r_ms", "l_value", "r_value")
-
-    parts = [pairs]
-    if how in (LEFT, FULL):
-        left_only = l.join(pairs.select(F.col("l_seq").alias("m_seq")),
-                           F.col("l_seq") == F.col("m_seq"), "left_anti")
-        parts.append(left_only.select(F.col("l_key").alias("key"), "l_seq",
-                                      F.lit(None).cast("bigint").alias("r_seq"), "l_ms",
-                                      F.lit(None).cast("bigint").alias("r_ms"), "l_value",
-                                      F.lit(None).cast(r.schema["r_value"].dataType).alias("r_value")))
+
+    lo = _own_bucket(l, "l_ms", width)
+    rn = _near_buckets(r, "r_ms", bound, width)
+    cond = ((lo["l_key"] == rn["r_key"]) & (lo["bucket"] == rn["bucket"])
+            & (F.abs(lo["l_ms"] - rn["r_ms"]) <= F.lit(bound)))
+    main = lo.join(rn, cond, "inner" if how == INNER else "left").select(
+        "l_key", "l_seq", "r_seq", "l_ms", "r_ms", "l_value", "r_value")
+    out = main.select(F.col("l_key").alias("key"), "l_seq", "r_seq", "l_ms", "r_ms", "l_value", "r_value")
+
     if how == FULL:
-        right_only = r.join(pairs.select(F.col("r_seq").alias("m_seq")),
-                            F.col("r_seq") == F.col("m_seq"), "left_anti")
-        parts.append(right_only.select(F.col("r_key").alias("key"),
-                                       F.lit(None).cast("bigint").alias("l_seq"), "r_seq",
-                                       F.lit(None).cast("bigint").alias("l_ms"), "r_ms",
-                                       F.lit(None).cast(l.schema["l_value"].dataType).alias("l_value"),
-                                       "r_value"))
-    out = parts[0]
-    for p in parts[1:]:
-        out = out.unionByName(p)
+        ro = _own_bucket(r, "r_ms", width)
+        ln = _near_buckets(l.select("l_key", "l_ms"), "l_ms", bound, width)
+        rcond = ((ro["r_key"] == ln["l_key"]) & (ro["bucket"] == ln["bucket"])
+                 & (F.abs(ro["r_ms"] - ln["l_ms"]) <= F.lit(bound)))
+        right_only = ro.join(ln, rcond, "left_anti").select(
+            F.col("r_key").alias("key"), F.lit(None).cast("bigint").alias("l_seq"), "r_seq",
+            F.lit(None).cast("bigint").alias("l_ms"), "r_ms",
+            F.lit(None).cast(l.schema["l_value"].dataType).alias("l_value"), "r_value")
+        out = out.unionByName(right_only)
     return out.select("key", F.col("l_seq").alias("left_seq"), F.col("r_seq").alias("right_seq"),
                       F.col("l_ms").alias("left_ms"), F.col("r_ms").alias("right_ms"),
                       joiner(F.col("l_value"), F.col("r_value")).alias("value"))

@@ -14,6 +14,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from keyflow.functions.time import floor_div
+
 COUNT = "count"
 SUM = "sum"
 
@@ -101,7 +103,7 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
     if width < d + 1:
         raise ValueError("bucket width must be at least diff + 1 ms")
     pts = _keyed(df, kind, skip_null_values=True).select("key", "ms", "value", "seq")
-    b = F.floor(F.col("ms") / F.lit(width))
+    b = floor_div("ms", width)
     lo = b * F.lit(width)
     copy = lambda bucket, own: F.struct(bucket.alias("bucket"), F.lit(own).alias("own"))
     copies = F.concat(
@@ -156,7 +158,7 @@ def running_stream_time(df: DataFrame, arrival: Column, tiebreak: Column,
     """
     src = F.lit(0) if source_partition is None else source_partition
     x = (df.withColumn("_arr", arrival).withColumn("_tb", tiebreak).withColumn("_src", src)
-         .withColumn("_chunk", F.floor(F.col("_arr") / F.lit(chunk_rows))))
+         .withColumn("_chunk", floor_div(F.col("_arr"), chunk_rows)))
     local = Window.partitionBy("_src", "_chunk").orderBy("_arr", "_tb").rowsBetween(
         Window.unboundedPreceding, Window.currentRow)
     x = x.withColumn("_local", F.max("ms").over(local))
@@ -175,7 +177,7 @@ def late_drop_exact(df: DataFrame, size_ms: int, grace_ms: int, arrival: Column,
     dropped when ``window_end + grace <= stream_time`` (stream time advanced
     per record, per source partition, in arrival order)."""
     x = running_stream_time(_keyed(df, COUNT, False), arrival, tiebreak, source_partition, chunk_rows)
-    start = F.floor(F.col("ms") / F.lit(size_ms)) * F.lit(size_ms)
+    start = floor_div("ms", size_ms) * F.lit(size_ms)
     kept = x.withColumn("window_start", start.cast("bigint")).filter(
         F.col("window_start") + F.lit(size_ms + grace_ms) > F.col("stream_time"))
     return (kept.groupBy("key", "window_start").agg(F.count(F.lit(1)).alias("cnt"))

@@ -17,7 +17,7 @@ from keyflow.functions.time import iso_instant
 from keyflow.operators import aggregates as agg
 from keyflow.operators import joins, stateless, tables, windows
 from keyflow.plans import params as P
-from keyflow.sources.records import event_records, load_table, to_records
+from keyflow.sources.records import event_records, load_table, spread
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +49,7 @@ def select_key_length(spark, sf_dir):
 
 
 def filter_map_upper(spark, sf_dir):
-    docs = load_table(spark, sf_dir, "documents")
+    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
     toks = agg.tokens(docs, "doc_id")
     kept = stateless.filter_records(toks, F.length("value") > F.lit(P.MIN_VALUE_LENGTH))
     return stateless.map_values(kept, F.upper("value")).select("key", "value")
@@ -156,7 +156,7 @@ def cogroup_fold(spark, sf_dir):
 
 
 def word_count(spark, sf_dir):
-    return agg.word_count(load_table(spark, sf_dir, "documents"))
+    return agg.word_count(spread(load_table(spark, sf_dir, "documents").select("text")))
 
 
 # ---------------------------------------------------------------- windows

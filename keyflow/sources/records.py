@@ -24,6 +24,24 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
+def spread(df: DataFrame) -> DataFrame:
+    """Round-robin a scan that yields fewer splits than the cluster has cores.
+
+    A parquet row group is the smallest scan split, so a one-row-group file is
+    one task however large its texts are. For CPU-heavy per-row work (regex
+    tokenising of whole documents) we pay one shuffle of the raw rows to use
+    every core. A large input already has many splits and is left alone (the
+    split count is known at planning time; nothing is executed here).
+    """
+    spark = df.sparkSession
+    cores = spark.sparkContext.defaultParallelism
+    try:
+        n = df.rdd.getNumPartitions()
+    except Exception:  # noqa: BLE001 - e.g. no RDD access on a remote session
+        return df
+    return df.repartition(cores) if n < cores else df
+
+
 def to_records(df: DataFrame, key: Column | str, value: Column | str,
                time_col: str = "ts", seq: Column | str | None = None,
                extra: dict[str, Column] | None = None) -> DataFrame:
