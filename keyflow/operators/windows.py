@@ -71,15 +71,17 @@ def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None
     """Session windows: records of a key within ``gap`` (inclusive) merge.
 
     Bounds are the first and the last record of the session (Spark reports
-    ``last + gap`` as the end; we subtract the gap). In batch Spark merges
+    ``last + gap`` as the end). In batch Spark merges
     sessions inside each map partition before the shuffle, so a hot key ships
     sessions, not records.
     """
     df = with_grace(_keyed(df, kind, skip_null_values=False), grace_ms)
-    out = df.groupBy("key", F.session_window("ts", _ms_interval(gap_ms)).alias("w")).agg(*_aggs(kind))
-    return out.select("key", F.unix_millis(F.col("w.start")).alias("window_start"),
-                      (F.unix_millis(F.col("w.end")) - F.lit(gap_ms)).alias("window_end"),
-                      *[c for c in out.columns if c not in ("key", "w")])
+    # Bounds come from aggregates, not from the grouping column: a filter on a
+    # grouping column is pushed below the aggregate by Catalyst, where it
+    # would cut per-record session windows before they merge.
+    out = df.groupBy("key", F.session_window("ts", _ms_interval(gap_ms)).alias("w")).agg(
+        F.min("ms").alias("window_start"), F.max("ms").alias("window_end"), *_aggs(kind))
+    return out.drop("w")
 
 
 def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | None = None) -> DataFrame:

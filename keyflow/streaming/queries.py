@@ -1 +1,226 @@
-"""Streaming runs registered as queries (filled in below)."""
+"""Streaming forms registered as queries.
+
+Each query runs a Structured Streaming job over the driver tables to
+completion (``availableNow``), writes to the shared folder, and returns the
+batch read of what it produced (or of its checkpointed state). The oracles in
+``STREAMING_ORACLE`` describe exactly what a bounded run emits: in append mode
+a window is emitted only once the watermark (max event time − grace) has
+passed it.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from keyflow.functions.text import jvm_tokens
+from keyflow.operators import aggregates as agg
+from keyflow.operators import windows
+from keyflow.plans import params as P
+from keyflow.plans.catalog import STREAMING_QUERIES
+from keyflow.plans.oracle import ORACLE_SQL, R
+from keyflow.sources import codec
+from keyflow.sources.records import event_records
+from keyflow.sources.stream import read_table_stream
+from keyflow.streaming.joins import interval_join_stream
+from keyflow.streaming.processors import (
+    WORD_COUNT_OUTPUT,
+    MaxProcessor,
+    WordCountProcessor,
+    max_output_schema,
+)
+from keyflow.streaming.runner import complete_result, newest_per_key, read_changelog, run_stream
+from keyflow.streaming.sources import event_record_stream
+from keyflow.streaming.state import key_partition, read_state, state_lookup
+
+
+# ---------------------------------------------------------------- windows, final (append)
+def tumbling_count_final(spark, sf_dir):
+    s = event_record_stream(spark, sf_dir)
+    run = run_stream(windows.tumbling(s, P.TUMBLING_COUNT_SIZE, windows.COUNT, P.TUMBLING_COUNT_GRACE),
+                     "tumbling_count_final")
+    return run.read(spark)
+
+
+def hopping_count_final(spark, sf_dir):
+    s = event_record_stream(spark, sf_dir)
+    run = run_stream(windows.hopping(s, P.HOPPING_SIZE, P.HOPPING_ADVANCE, windows.COUNT, P.HOPPING_GRACE),
+                     "hopping_count_final")
+    return run.read(spark)
+
+
+def session_count_final(spark, sf_dir):
+    s = event_record_stream(spark, sf_dir, key="user_id")
+    run = run_stream(windows.session(s, P.SESSION_COUNT_GAP, windows.COUNT, P.SESSION_COUNT_GRACE),
+                     "session_count_final")
+    return run.read(spark)
+
+
+# ---------------------------------------------------------------- early results / changelogs
+def session_intermediate(spark, sf_dir):
+    """Every update of every session (complete mode: session windows reject
+    update mode); the newest batch is the current result."""
+    s = event_record_stream(spark, sf_dir, key="user_id")
+    run = run_stream(windows.session(s, P.SESSION_COUNT_GAP, windows.COUNT, P.SESSION_COUNT_GRACE),
+                     "session_intermediate", mode="complete")
+    return complete_result(read_changelog(spark, run))
+
+
+def changelog_of_counts(spark, sf_dir):
+    """``count().toStream()``: update mode emits the changed counts per batch."""
+    s = event_record_stream(spark, sf_dir)
+    run = run_stream(agg.count_by_key(s), "changelog_of_counts", mode="update")
+    return newest_per_key(read_changelog(spark, run), ["key"])
+
+
+# ---------------------------------------------------------------- sinks
+def stream_sink_roundtrip(spark, sf_dir):
+    """Typed topic sink and source: records are written in the Kafka wire form
+    (String key, 8-byte big-endian Long value) to a topic folder by one
+    streaming query and decoded by a second one."""
+    s = event_record_stream(spark, sf_dir)
+    wire = s.select(codec.encode_string("key").alias("key"), codec.encode_long("value").alias("value"),
+                    F.col("ts").alias("timestamp"), F.col("seq").alias("offset"))
+    topic = run_stream(wire, "topic_write")
+    back = spark.readStream.schema(spark.read.parquet(topic.output).schema).parquet(topic.output)
+    decoded = back.select(codec.decode_string("key").alias("key"), codec.decode_long("value").alias("value"),
+                          F.unix_millis("timestamp").alias("ms"), F.col("offset").alias("seq"))
+    return run_stream(decoded, "topic_read").read(spark)
+
+
+# ---------------------------------------------------------------- stateful processors and state
+def _max_run(spark, sf_dir, name, seeded: bool):
+    recs = event_record_stream(spark, sf_dir).select("key", "value", "ms", "seq")
+    proc = MaxProcessor(P.MAX_STREAM_TICK)
+    if not seeded:
+        out = recs.groupBy("key").transformWithStateInPandas(proc, max_output_schema(), "Append", "None")
+        return run_stream(out, name)
+    # Seed state from the first half of the time range (a batch aggregate);
+    # stream the second half.
+    b = event_records(spark, sf_dir)
+    lo, hi = b.agg(F.min("ms"), F.max("ms")).first()
+    mid = lo + (hi - lo) // 2
+    seed = b.filter(F.col("ms") < mid).groupBy("key").agg(F.max("value").alias("value"))
+    out = recs.filter(F.col("ms") >= mid).groupBy("key").transformWithStateInPandas(
+        proc, max_output_schema(), "Append", "None", initialState=seed.groupBy("key"))
+    return run_stream(out, name)
+
+
+def stateful_max(spark, sf_dir):
+    run = _max_run(spark, sf_dir, "stateful_max", seeded=False)
+    st = read_state(spark, run.checkpoint, state_var="max")
+    return st.select("key", F.col("max").alias("max_value"))
+
+
+def stateful_max_seeded(spark, sf_dir):
+    run = _max_run(spark, sf_dir, "stateful_max_seeded", seeded=True)
+    st = read_state(spark, run.checkpoint, state_var="max")
+    return st.select("key", F.col("max").alias("max_value"))
+
+
+def stateful_max_emitted(spark, sf_dir):
+    """What the punctuator emitted (first record of each key fires)."""
+    return _max_run(spark, sf_dir, "stateful_max_emitted", seeded=False).read(spark)
+
+
+def word_count_timer(spark, sf_dir):
+    """Stateful word count with stream-time punctuation; record time is the
+    ingestion time (the producer assigns it in the reference). Returns the
+    newest emission per word."""
+    docs = read_table_stream(spark, sf_dir, "documents").select("text")
+    docs = docs.withColumn("ms", F.unix_millis(F.current_timestamp()))
+    words = jvm_tokens(docs, F.lower(F.col("text")), keep=["ms"], name="word")
+    out = words.groupBy("word").transformWithStateInPandas(
+        WordCountProcessor(P.WORD_COUNT_TICK), WORD_COUNT_OUTPUT, "Append", "None")
+    run = run_stream(out, "word_count_timer")
+    st = read_state(spark, run.checkpoint, state_var="count")
+    return st.select("word", F.col("count").alias("cnt"))
+
+
+def _count_store(spark, sf_dir):
+    s = event_record_stream(spark, sf_dir)
+    run = run_stream(s.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")), "clicks_count_store", mode="update")
+    return read_state(spark, run.checkpoint)
+
+
+def state_scan(spark, sf_dir):
+    st = _count_store(spark, sf_dir)
+    return st.select("key", F.col(st.columns[1]).alias("cnt"))
+
+
+def state_lookup_query(spark, sf_dir):
+    st = _count_store(spark, sf_dir)
+    return state_lookup(st, F.col("key") == F.lit(P.FILTER_KEY)).select("key", F.col(st.columns[1]).alias("cnt"))
+
+
+def state_partition(spark, sf_dir):
+    return key_partition(_count_store(spark, sf_dir))
+
+
+# ---------------------------------------------------------------- stream-stream joins
+def _ss_join(how):
+    def q(spark, sf_dir):
+        def side(t):
+            s = event_record_stream(spark, sf_dir, key="user_id", extra={"event_type": F.col("event_type")})
+            return s.filter(F.col("event_type") == t).drop("event_type")
+        j = interval_join_stream(side("click"), side("purchase"), P.JOIN_BOUND, how)
+        return run_stream(j, f"ss_join_{how}_stream").read(spark)
+    return q
+
+
+STREAMING_QUERIES.update({
+    "tumbling_count_final": tumbling_count_final,
+    "hopping_count_final": hopping_count_final,
+    "session_count_final": session_count_final,
+    "session_intermediate": session_intermediate,
+    "changelog_of_counts": changelog_of_counts,
+    "stream_sink_roundtrip": stream_sink_roundtrip,
+    "stateful_max": stateful_max,
+    "stateful_max_seeded": stateful_max_seeded,
+    "stateful_max_emitted": stateful_max_emitted,
+    "word_count_timer": word_count_timer,
+    "state_scan": state_scan,
+    "state_lookup": state_lookup_query,
+    "state_partition": state_partition,
+    "ss_join_inner_stream": _ss_join("inner"),
+    "ss_join_left_stream": _ss_join("left"),
+    "ss_join_full_stream": _ss_join("full"),
+})
+
+
+# ---------------------------------------------------------------- oracles
+def _final(sql: str, end_expr: str, grace: int) -> str:
+    return f"""SELECT q.* FROM ({sql}) q
+WHERE {end_expr} <= (SELECT max(epoch_us(ts) // 1000) FROM events) - {grace}"""
+
+
+def _ss_join_final(kind: str) -> str:
+    b = P.JOIN_BOUND
+    wm = """(SELECT least(max(CASE WHEN event_type = 'click' THEN epoch_us(ts) // 1000 END),
+                      max(CASE WHEN event_type = 'purchase' THEN epoch_us(ts) // 1000 END)) FROM events)"""
+    base = ORACLE_SQL[f"ss_join_{kind}"]
+    return f"""SELECT q.* FROM ({base}) q
+WHERE (q.left_seq IS NOT NULL AND q.right_seq IS NOT NULL)
+   OR (q.right_seq IS NULL AND q.left_ms + {b} < {wm})
+   OR (q.left_seq IS NULL AND q.right_ms + {b} < {wm})"""
+
+
+STREAMING_ORACLE: dict[str, str] = {
+    "tumbling_count_final": _final(ORACLE_SQL["tumbling_count"], "q.window_end", P.TUMBLING_COUNT_GRACE),
+    "hopping_count_final": _final(ORACLE_SQL["hopping_count"], "q.window_end", P.HOPPING_GRACE),
+    "session_count_final": _final(ORACLE_SQL["session_count"], f"q.window_end + {P.SESSION_COUNT_GAP}",
+                                  P.SESSION_COUNT_GRACE),
+    "session_intermediate": ORACLE_SQL["session_count"],
+    "changelog_of_counts": ORACLE_SQL["count_by_key"],
+    "stream_sink_roundtrip": ORACLE_SQL["stream_scan"],
+    "stateful_max": R + "SELECT event_type AS key, max(cents) AS max_value FROM r GROUP BY ALL",
+    "stateful_max_seeded": R + "SELECT event_type AS key, max(cents) AS max_value FROM r GROUP BY ALL",
+    "stateful_max_emitted": R + """SELECT event_type AS key, max(cents) AS value, max(ms) AS stream_time,
+       'stream-time' AS kind FROM r GROUP BY ALL""",
+    "word_count_timer": ORACLE_SQL["word_count"],
+    "state_scan": ORACLE_SQL["count_by_key"],
+    "state_lookup": ORACLE_SQL["table_filter_counts"],
+    "ss_join_inner_stream": ORACLE_SQL["ss_join_inner"],
+    "ss_join_left_stream": _ss_join_final("left"),
+    "ss_join_full_stream": _ss_join_final("full"),
+}
