@@ -224,3 +224,27 @@ STREAMING_ORACLE: dict[str, str] = {
     "ss_join_left_stream": _ss_join_final("left"),
     "ss_join_full_stream": _ss_join_final("full"),
 }
+
+
+# ---------------------------------------------------------------- foreign-key join changelog
+def fk_join_changelog(spark, sf_dir):
+    """Purchases (user → nation key ``user_id % 25``) joined to ``nation`` as a
+    streaming changelog; returns the current join (newest row per user)."""
+    from keyflow.streaming.fk_changelog import current_join, fk_join_changelog as fk_stream
+    ev = event_record_stream(spark, sf_dir, key="user_id", extra={"event_type": F.col("event_type")})
+    left = ev.filter(F.col("event_type") == "purchase").select(
+        F.lit("L").alias("side"), F.col("key").cast("string").alias("key"),
+        (F.col("key") % F.lit(P.FK_MODULUS)).cast("string").alias("value"),
+        (F.col("key") % F.lit(P.FK_MODULUS)).cast("string").alias("fk"), F.col("seq"))
+    nation = read_table_stream(spark, sf_dir, "nation")
+    # The nation topic was loaded before any event arrived: offsets below 0.
+    right = nation.select(F.lit("R").alias("side"), F.col("n_nationkey").cast("string").alias("key"),
+                          F.col("n_name").alias("value"), F.col("n_nationkey").cast("string").alias("fk"),
+                          (F.lit(-1000) + F.col("n_nationkey")).cast("bigint").alias("seq"))
+    run = run_stream(fk_stream(left.unionByName(right)), "fk_join_changelog")
+    cur = current_join(run.read(spark))
+    return cur.select(F.col("pk").cast("bigint").alias("key"), "value")
+
+
+STREAMING_QUERIES["fk_join_changelog"] = fk_join_changelog
+STREAMING_ORACLE["fk_join_changelog"] = ORACLE_SQL["fk_join"]

@@ -159,3 +159,36 @@ def test_restart_from_checkpoint_resumes(spark):
     got = {r.key: r.cnt for r in newest_per_key(read_changelog(spark, second), ["key"]).collect()}
     want = {r.key: r.cnt for r in agg.count_by_key(event_records(spark, SF_SMALL)).collect()}
     assert got == want
+
+
+def test_fk_join_changelog_fixture(spark):
+    from keyflow.streaming.fk_changelog import current_join, fk_join_changelog
+    files = [
+        [("L", "john", "1", 1), ("L", "alex", "2", 2)],
+        [("R", "1", "xx", 3)],
+        [("R", "2", "yy", 4), ("L", "john", "2", 5)],
+        [("R", "2", "zz", 6), ("L", "alex", None, 7)],
+    ]
+    d = tempfile.mkdtemp(prefix="kf-fk-", dir="/tmp")
+    t0 = time.time() - 1000
+    for i, rows in enumerate(files):
+        df = pd.DataFrame(rows, columns=["side", "key", "value", "seq"])
+        df["fk"] = [v if s == "L" else k for s, k, v, _ in rows]
+        p = os.path.join(d, f"part-{i:04d}.parquet")
+        pq.write_table(pa.Table.from_pandas(df, schema=pa.schema(
+            [("side", pa.string()), ("key", pa.string()), ("value", pa.string()), ("seq", pa.int64()),
+             ("fk", pa.string())]), preserve_index=False), p)
+        os.utime(p, (t0 + i, t0 + i))
+    s = (spark.readStream.schema("side string, key string, value string, seq bigint, fk string")
+         .option("maxFilesPerTrigger", "1").parquet(d))
+    run = run_stream(fk_join_changelog(s, salts=3), "fk_fixture")
+    log = run.read(spark)
+    assert len([p for p in run.progress if p["numInputRows"]]) == 4
+
+    def state_after(max_seq):
+        return {r.pk: r.value for r in current_join(log.filter(F.col("seq") <= max_seq)).collect()}
+
+    assert state_after(2) == {}
+    assert state_after(3) == {"john": "user: 1 details: xx"}
+    assert state_after(5) == {"john": "user: 2 details: yy", "alex": "user: 2 details: yy"}
+    assert state_after(7) == {"john": "user: 2 details: zz"}
