@@ -67,21 +67,48 @@ def hopping(df: DataFrame, size_ms: int, advance_ms: int, kind: str = COUNT,
                       *[c for c in out.columns if c not in ("key", "w")])
 
 
-def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None = None) -> DataFrame:
+def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None = None,
+            bucket_ms: int | None = None) -> DataFrame:
     """Session windows: records of a key within ``gap`` (inclusive) merge.
 
-    Bounds are the first and the last record of the session (Spark reports
-    ``last + gap`` as the end). In batch Spark merges
-    sessions inside each map partition before the shuffle, so a hot key ships
-    sessions, not records.
+    Bounds are the first and the last record of the session (Spark's
+    ``session_window`` reports ``last + gap`` as the end).
+
+    Streams use ``session_window`` (state holds the open sessions per key).
+    Batch uses a two-level plan, because the built-in batch plan ships every
+    record of a key to one task: (1) hash-partition by ``(key, time bucket)``
+    and cut each bucket into partial sessions where ``ms - previous > gap``;
+    (2) merge the partial sessions of a key in start order with the same rule
+    (they are disjoint and sorted, so the previous end is the running end).
+    Only partial sessions — at most sessions + buckets per key — reach the
+    per-key step.
     """
-    df = with_grace(_keyed(df, kind, skip_null_values=False), grace_ms)
-    # Bounds come from aggregates, not from the grouping column: a filter on a
-    # grouping column is pushed below the aggregate by Catalyst, where it
-    # would cut per-record session windows before they merge.
-    out = df.groupBy("key", F.session_window("ts", _ms_interval(gap_ms)).alias("w")).agg(
-        F.min("ms").alias("window_start"), F.max("ms").alias("window_end"), *_aggs(kind))
-    return out.drop("w")
+    df = _keyed(df, kind, skip_null_values=False)
+    if df.isStreaming:
+        df = with_grace(df, grace_ms)
+        # Bounds come from aggregates, not from the grouping column: a filter on
+        # a grouping column would be pushed below the aggregate by Catalyst,
+        # where it cuts per-record session windows before they merge.
+        out = df.groupBy("key", F.session_window("ts", _ms_interval(gap_ms)).alias("w")).agg(
+            F.min("ms").alias("window_start"), F.max("ms").alias("window_end"), *_aggs(kind))
+        return out.drop("w")
+    gap = int(gap_ms)
+    width = int(bucket_ms) if bucket_ms else max(8 * gap, 86_400_000)
+    agg_col = F.count(F.lit(1)) if kind == COUNT else F.sum("value")
+    x = df.select("key", "ms", "value").withColumn("bucket", floor_div("ms", width))
+    in_bucket = Window.partitionBy("key", "bucket").orderBy("ms")
+    x = x.withColumn("_brk", F.when(F.col("ms") - F.lag("ms").over(in_bucket) <= F.lit(gap), 0).otherwise(1))
+    x = x.withColumn("_local", F.sum("_brk").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
+    partial = x.groupBy("key", "bucket", "_local").agg(
+        F.min("ms").alias("p_start"), F.max("ms").alias("p_end"), agg_col.alias("p_agg"))
+    per_key = Window.partitionBy("key").orderBy("p_start")
+    merged = partial.withColumn(
+        "_brk", F.when(F.col("p_start") - F.lag("p_end").over(per_key) <= F.lit(gap), 0).otherwise(1))
+    merged = merged.withColumn("_sid", F.sum("_brk").over(per_key.rowsBetween(Window.unboundedPreceding, 0)))
+    name = "cnt" if kind == COUNT else "total"
+    return merged.groupBy("key", "_sid").agg(
+        F.min("p_start").alias("window_start"), F.max("p_end").alias("window_end"),
+        F.sum("p_agg").cast("bigint").alias(name)).drop("_sid")
 
 
 def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | None = None) -> DataFrame:

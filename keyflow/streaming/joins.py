@@ -12,22 +12,40 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.functions.text import joiner_text
+from keyflow.functions.time import floor_div
 
 HOW = {"inner": "inner", "left": "leftOuter", "full": "fullOuter"}
 
 
 def interval_join_stream(left: DataFrame, right: DataFrame, bound_ms: int, how: str = "inner",
-                         grace_ms: int = 0, joiner=joiner_text) -> DataFrame:
+                         grace_ms: int = 0, joiner=joiner_text, bucketed: bool = True) -> DataFrame:
+    """Inner and left joins are keyed by ``(key, time bucket)`` as in the batch
+    form (left rows in their own bucket, right rows copied to the buckets they
+    can match), so join state of a hot key is spread over its buckets and a
+    left row still meets all its candidates exactly once. The full outer join
+    stays keyed by ``key``: its right-only rows would need a streaming
+    anti-join, which Spark does not offer."""
     wm = f"{int(grace_ms)} milliseconds"
+    bound_i = int(bound_ms)
     l = left.filter(F.col("key").isNotNull()).select(
         F.col("key").alias("l_key"), F.col("seq").alias("l_seq"), F.col("ms").alias("l_ms"),
-        F.col("ts").alias("l_ts"), F.col("value").alias("l_value")).withWatermark("l_ts", wm)
+        F.col("ts").alias("l_ts"), F.col("value").alias("l_value"))
     r = right.filter(F.col("key").isNotNull()).select(
         F.col("key").alias("r_key"), F.col("seq").alias("r_seq"), F.col("ms").alias("r_ms"),
-        F.col("ts").alias("r_ts"), F.col("value").alias("r_value")).withWatermark("r_ts", wm)
-    bound = F.expr(f"INTERVAL {int(bound_ms)} MILLISECONDS")
+        F.col("ts").alias("r_ts"), F.col("value").alias("r_value"))
+    use_buckets = bucketed and how in ("inner", "left")
+    if use_buckets:
+        width = max(bound_i, 1)
+        l = l.withColumn("l_bucket", floor_div("l_ms", width))
+        r = r.withColumn("r_bucket", F.explode(F.sequence(
+            floor_div(F.col("r_ms") - F.lit(bound_i), width), floor_div(F.col("r_ms") + F.lit(bound_i), width))))
+    l = l.withWatermark("l_ts", wm)
+    r = r.withWatermark("r_ts", wm)
+    bound = F.expr(f"INTERVAL {bound_i} MILLISECONDS")
     cond = ((F.col("l_key") == F.col("r_key"))
             & (F.col("r_ts") >= F.col("l_ts") - bound) & (F.col("r_ts") <= F.col("l_ts") + bound))
+    if use_buckets:
+        cond = cond & (F.col("l_bucket") == F.col("r_bucket"))
     j = l.join(r, cond, HOW[how])
     return j.select(F.coalesce("l_key", "r_key").alias("key"), F.col("l_seq").alias("left_seq"),
                     F.col("r_seq").alias("right_seq"), F.col("l_ms").alias("left_ms"),

@@ -107,3 +107,26 @@ def test_interval_join_bucket_width_is_invisible(spark, bucket):
     want = sorted(pairs + [(a[2], None) for a in lp if a[2] not in lm]
                   + [(None, b[2]) for b in rp if b[2] not in rm], key=_none_first)
     assert got == want
+
+
+@pytest.mark.parametrize("bucket", [None, 1, 301, 5000])
+def test_session_bucket_width_is_invisible(spark, bucket):
+    import random
+    rnd = random.Random(3)
+    pts = [(rnd.choice("abc"), rnd.randrange(0, 20_000), rnd.randrange(1, 9)) for _ in range(300)]
+    df = records(spark, pts)
+    got = rows(windows.session(df, 300, windows.SUM, bucket_ms=bucket), "key", "window_start", "window_end", "total")
+    want = []
+    for k in "abc":
+        ev = sorted((ms, v) for kk, ms, v in pts if kk == k)
+        cur = None
+        for ms, v in ev:
+            if cur and ms - cur[1] <= 300:
+                cur = [cur[0], ms, cur[2] + v]
+            else:
+                if cur:
+                    want.append((k, *cur))
+                cur = [ms, ms, v]
+        if cur:
+            want.append((k, *cur))
+    assert got == sorted(want, key=_none_first)
