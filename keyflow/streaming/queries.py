@@ -248,3 +248,49 @@ def fk_join_changelog(spark, sf_dir):
 
 STREAMING_QUERIES["fk_join_changelog"] = fk_join_changelog
 STREAMING_ORACLE["fk_join_changelog"] = ORACLE_SQL["fk_join"]
+
+
+# ---------------------------------------------------------------- branches and taps on streams
+def branch_fanout_stream(spark, sf_dir):
+    """``split().branch()...`` on a stream: one micro-batch, three sinks."""
+    from keyflow.operators import stateless
+    from keyflow.session import shared_dir
+    from keyflow.sources.sinks import fan_out
+
+    s = event_record_stream(spark, sf_dir).select("key", "value", "ms", "seq")
+    names = [n for n, _ in stateless.BRANCHES] + [stateless.DEFAULT_BRANCH]
+
+    def branch(name):
+        return lambda b: stateless.branch_label(b).filter(F.col("branch") == name).select(
+            "key", "value", "seq", "branch")
+
+    base = shared_dir(spark, "branches")
+    q = (s.writeStream.option("checkpointLocation", f"{base}/checkpoint")
+         .foreachBatch(fan_out({n: branch(n) for n in names}, base)).trigger(availableNow=True).start())
+    q.awaitTermination()
+    parts = [spark.read.parquet(f"{base}/{n}").drop("batch_id") for n in names]
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def observe_metrics_stream(spark, sf_dir):
+    """Pass-through tap on a stream; metrics land in the query progress."""
+    from keyflow.operators.stateless import observe_stream
+    s = event_record_stream(spark, sf_dir).select("key", "value", "ms", "seq")
+    run = run_stream(observe_stream(s, "events_tap"), "observe_metrics_stream")
+    seen = 0
+    for p in run.progress:
+        m = (p.observedMetrics or {}).get("events_tap")
+        seen += int(m["records"]) if m is not None else 0
+    out = run.read(spark)
+    if seen and seen != out.count():
+        raise RuntimeError(f"tap counted {seen} records, sink has {out.count()}")
+    return out
+
+
+STREAMING_QUERIES["branch_fanout_stream"] = branch_fanout_stream
+STREAMING_QUERIES["observe_metrics_stream"] = observe_metrics_stream
+STREAMING_ORACLE["branch_fanout_stream"] = ORACLE_SQL["branch_label"]
+STREAMING_ORACLE["observe_metrics_stream"] = ORACLE_SQL["stream_scan"]
