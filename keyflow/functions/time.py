@@ -24,7 +24,7 @@ def epoch_ms(col: Column | str, dtype: T.DataType | None = None) -> Column:
     c = F.col(col) if isinstance(col, str) else col
     if isinstance(dtype, T.TimestampType):
         return F.unix_millis(c)
-    interval = (c - F.expr(_NTZ_EPOCH)).cast("interval second").cast("decimal(20,6)")
+    interval = (c - F.expr(_NTZ_EPOCH)).cast("interval second").cast("decimal(18,6)")
     return F.floor(interval * F.lit(1000)).cast("bigint")
 
 

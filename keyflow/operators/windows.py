@@ -149,17 +149,19 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
     left = part.rangeBetween(-d, 0)
     right = part.rangeBetween(1, d + 1)
     at_end = part.rangeBetween(d + 1, d + 1)
-    first_of_ms = Window.partitionBy("key", "bucket", "ms").orderBy("seq")
+    peers = part.rangeBetween(0, 0)  # records of the same key and ms
     if kind == COUNT:
         lv, rv = F.count(F.lit(1)).over(left), F.count(F.lit(1)).over(right)
     else:
         lv, rv = F.sum("value").over(left), F.sum("value").over(right)
+    r_cnt = F.count(F.lit(1)).over(right)
     y = (x.withColumn("l_agg", lv)
-         .withColumn("r_cnt", F.count(F.lit(1)).over(right))
-         .withColumn("r_agg", rv)
+         .withColumn("r_cnt", r_cnt)
+         .withColumn("r_agg", r_cnt if kind == COUNT else rv)
          .withColumn("end_cnt", F.count(F.lit(1)).over(at_end))
-         .withColumn("rn", F.row_number().over(first_of_ms))
-         .filter(F.col("own") & (F.col("rn") == 1)))
+         .withColumn("first_seq", F.min("seq").over(peers))
+         # one owner per distinct ms: the same sort serves every frame
+         .filter(F.col("own") & (F.col("seq") == F.col("first_seq"))))
     wtype = "array<struct<window_start:bigint,window_end:bigint,agg:bigint>>"
     win = lambda s, a: F.struct(s.alias("window_start"), (s + F.lit(d)).alias("window_end"),
                                 a.cast("bigint").alias("agg"))
