@@ -10,7 +10,6 @@ passed it.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.functions.text import jvm_tokens

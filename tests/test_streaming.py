@@ -7,7 +7,6 @@ import time
 import pandas as pd
 import pyarrow as pa
 import pyarrow.parquet as pq
-import pytest
 from pyspark.sql import functions as F
 
 from conftest import SF_SMALL
