@@ -11,6 +11,7 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
 
 from pyspark.sql import SparkSession
 
@@ -67,3 +68,38 @@ def ensure_streaming_state(spark: SparkSession) -> None:
     current = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)
     if current != ROCKSDB_PROVIDER:
         spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make ``keyflow`` importable in Python workers (``--py-files``).
+
+    Operators that run Python on executors (``transformWithStateInPandas``
+    processors) unpickle classes from this package there. The package is
+    zipped once per application and added with ``addPyFile``, which ships it
+    to every executor, now and for executors added later; driver-side Python
+    runners find it through ``PYTHONPATH``.
+    """
+    sc = spark.sparkContext
+    app = sc.applicationId
+    if app in _SHIPPED:
+        return
+    pkg_dir = os.path.dirname(os.path.abspath(__file__))
+    root = os.path.dirname(pkg_dir)
+    fd, path = tempfile.mkstemp(prefix="keyflow-", suffix=".zip")
+    os.close(fd)
+    with zipfile.ZipFile(path, "w", zipfile.ZIP_DEFLATED) as z:
+        for dirpath, _dirs, files in os.walk(pkg_dir):
+            for f in files:
+                if f.endswith(".py"):
+                    full = os.path.join(dirpath, f)
+                    z.write(full, os.path.relpath(full, root))
+    sc.addPyFile(path)
+    # Driver-side Python runners (the transformWithState pre-init worker)
+    # do not read addPyFile includes but do take PYTHONPATH from the
+    # environment passed with each Python function.
+    env = sc.environment
+    env["PYTHONPATH"] = os.pathsep.join(p for p in (path, env.get("PYTHONPATH")) if p)
+    _SHIPPED.add(app)

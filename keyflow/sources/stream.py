@@ -8,6 +8,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
+from keyflow.session import ship_package
 from keyflow.sources.codec import KAFKA_DECODERS
 
 
@@ -18,6 +19,7 @@ def read_table_stream(spark: SparkSession, sf_dir: str, name: str,
     A file stream needs a directory, so the table is selected with a glob
     filter on its folder; the schema comes from the batch reader.
     """
+    ship_package(spark)  # stateful operators downstream run Python on executors
     path = f"{sf_dir.rstrip('/')}/{name}.parquet"
     schema = spark.read.parquet(path).schema
     reader = (spark.readStream.schema(schema)
@@ -36,6 +38,7 @@ def read_record_stream(spark: SparkSession, fmt: str, options: dict[str, str],
     ``value_type`` (8-byte big-endian long, 4-byte int, UTF-8 string) and the
     record timestamp and offset become ``ts`` and ``seq``.
     """
+    ship_package(spark)
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         raw = reader.load()

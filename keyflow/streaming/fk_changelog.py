@@ -31,6 +31,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from keyflow.functions.text import JOINER_FORMAT
+from keyflow.session import ship_package
 
 UPSERT, REMOVE, RIGHT = "U", "D", "R"
 STAGE1_OUT = "route string, pk string, op string, lvalue string, rvalue string, seq long"
@@ -127,6 +128,7 @@ class ForeignKeyJoiner(StatefulProcessor):
 
 def fk_join_changelog(updates: DataFrame, salts: int = 8) -> DataFrame:
     """``updates``: ``side, key, value, fk, seq`` (strings except seq)."""
+    ship_package(updates.sparkSession)
     stage1 = (updates.withColumn("_k", F.concat_ws(":", "side", "key"))
               .groupBy("_k").transformWithStateInPandas(ForeignKeyRouter(), STAGE1_OUT, "Append", "None"))
     routed = stage1.withColumn(

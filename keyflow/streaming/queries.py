@@ -293,3 +293,32 @@ STREAMING_QUERIES["branch_fanout_stream"] = branch_fanout_stream
 STREAMING_QUERIES["observe_metrics_stream"] = observe_metrics_stream
 STREAMING_ORACLE["branch_fanout_stream"] = ORACLE_SQL["branch_label"]
 STREAMING_ORACLE["observe_metrics_stream"] = ORACLE_SQL["stream_scan"]
+
+
+# ---------------------------------------------------------------- sliding windows on a stream
+def _sliding_final(kind, grace):
+    def q(spark, sf_dir):
+        from keyflow.streaming.sliding import sliding_stream
+        s = event_record_stream(spark, sf_dir, key="user_id")
+        run = run_stream(sliding_stream(s, P.SLIDING_DIFF, grace, key_type="bigint"), f"sliding_{kind}_final")
+        col = "cnt" if kind == "count" else "total"
+        return run.read(spark).select("key", "window_start", "window_end", col)
+    return q
+
+
+def _sliding_final_sql(name: str, grace: int) -> str:
+    d = P.SLIDING_DIFF
+    # A window is emitted when the watermark passes owner + d + 1; the owner is
+    # the record at the window's end if there is one (left window), else the
+    # record just before its start (right window).
+    return f"""WITH pts AS (SELECT DISTINCT user_id AS k, epoch_us(ts) // 1000 AS ms FROM events)
+SELECT q.* FROM ({ORACLE_SQL[name]}) q
+LEFT JOIN pts ON pts.k = q.key AND pts.ms = q.window_end
+WHERE (CASE WHEN pts.ms IS NOT NULL THEN q.window_end ELSE q.window_start - 1 END) + {d + 1}
+      < (SELECT max(epoch_us(ts) // 1000) FROM events) - {grace}"""
+
+
+STREAMING_QUERIES["sliding_count_final"] = _sliding_final("count", 0)
+STREAMING_QUERIES["sliding_sum_final"] = _sliding_final("sum", P.SLIDING_SUM_GRACE)
+STREAMING_ORACLE["sliding_count_final"] = _sliding_final_sql("sliding_count", 0)
+STREAMING_ORACLE["sliding_sum_final"] = _sliding_final_sql("sliding_sum", P.SLIDING_SUM_GRACE)

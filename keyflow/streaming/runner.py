@@ -22,7 +22,7 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from keyflow.session import ensure_streaming_state, shared_dir
+from keyflow.session import ensure_streaming_state, ship_package, shared_dir
 
 
 @dataclass
@@ -48,6 +48,7 @@ def run_stream(df: DataFrame, name: str, mode: str = "append",
                timeout_s: float | None = None) -> StreamRun:
     spark = df.sparkSession
     ensure_streaming_state(spark)
+    ship_package(spark)
     base = shared_dir(spark, name)
     output = output or f"{base}/out"
     checkpoint = checkpoint or f"{base}/checkpoint"

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from keyflow.functions.values import cents
+from keyflow.session import ship_package
 from keyflow.sources.records import to_records
 from keyflow.sources.stream import read_table_stream
 
@@ -18,6 +19,7 @@ def event_record_stream(spark: SparkSession, sf_dir: str, key: str = "event_type
 
     ``path`` reads a folder of event files instead (e.g. a landing zone).
     """
+    ship_package(spark)
     if path is None:
         raw = read_table_stream(spark, sf_dir, "events", max_files_per_trigger)
     else:

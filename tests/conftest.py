@@ -5,7 +5,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
 
-from keyflow.session import build_session  # noqa: E402
+from keyflow.session import build_session, ship_package  # noqa: E402
 
 SF_SMALL = "/root/testdata/sf0.001"
 
@@ -13,6 +13,7 @@ SF_SMALL = "/root/testdata/sf0.001"
 @pytest.fixture(scope="session")
 def spark():
     s = build_session(master="local[4]", shuffle_partitions=4, app_name="keyflow-tests")
+    ship_package(s)
     yield s
     s.stop()
 

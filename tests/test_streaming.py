@@ -191,3 +191,16 @@ def test_fk_join_changelog_fixture(spark):
     assert state_after(3) == {"john": "user: 1 details: xx"}
     assert state_after(5) == {"john": "user: 2 details: yy", "alex": "user: 2 details: yy"}
     assert state_after(7) == {"john": "user: 2 details: zz"}
+
+
+def test_sliding_windows_on_a_stream(spark):
+    from keyflow.streaming.sliding import sliding_stream
+    want = sorted([(700, 1000, 1, 1), (800, 1100, 2, 3), (1001, 1301, 2, 6), (1101, 1401, 1, 4),
+                   (1700, 2000, 1, 8)])
+    for bucket in (None, 301):
+        batches = [[("a", 1, 1000, 0), ("a", 2, 1100, 1)], [("a", 4, 1301, 2), ("a", 8, 2000, 3)],
+                   [("a", 0, 1_000_000, 4)]]  # far-future record: advances the watermark
+        s = stream_of(spark, landing_zone(batches))
+        run = run_stream(sliding_stream(s, 300, 0, bucket_ms=bucket), "sliding_stream")
+        got = sorted((r.window_start, r.window_end, r.cnt, r.total) for r in run.read(spark).collect())
+        assert got == want, bucket
