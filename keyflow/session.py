@@ -38,6 +38,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
         .config("spark.driver.memory", os.environ.get("KEYFLOW_DRIVER_MEMORY", "16g"))
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+        # commit state changes as a changelog instead of a snapshot per batch
+        .config("spark.sql.streaming.stateStore.rocksdb.changelogCheckpointing.enabled", "true")
     )
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")

@@ -322,3 +322,17 @@ STREAMING_QUERIES["sliding_count_final"] = _sliding_final("count", 0)
 STREAMING_QUERIES["sliding_sum_final"] = _sliding_final("sum", P.SLIDING_SUM_GRACE)
 STREAMING_ORACLE["sliding_count_final"] = _sliding_final_sql("sliding_count", 0)
 STREAMING_ORACLE["sliding_sum_final"] = _sliding_final_sql("sliding_sum", P.SLIDING_SUM_GRACE)
+
+
+# ---------------------------------------------------------------- early results of time windows
+def tumbling_count_updates(spark, sf_dir):
+    """Every change of every tumbling window (update mode); the newest row per
+    window is its count."""
+    s = event_record_stream(spark, sf_dir)
+    run = run_stream(windows.tumbling(s, P.TUMBLING_COUNT_SIZE, windows.COUNT, P.TUMBLING_COUNT_GRACE),
+                     "tumbling_count_updates", mode="update")
+    return newest_per_key(read_changelog(spark, run), ["key", "window_start"])
+
+
+STREAMING_QUERIES["tumbling_count_updates"] = tumbling_count_updates
+STREAMING_ORACLE["tumbling_count_updates"] = ORACLE_SQL["tumbling_count"]
