@@ -3,18 +3,19 @@
 Same layout as the batch form: records are hash-partitioned by
 ``(key, time bucket)`` with halo copies of the points near a bucket border,
 so a hot key is spread over its buckets. Each group keeps its points
-(``MapState`` ms → count, sum). A point the group owns registers an
-event-time timer at ``t + d + 1``: once the watermark passes it, every record
-of the point's left window ``[t-d, t]`` and right window ``[t+1, t+1+d]`` has
-arrived, and both are emitted (the right one only if non-empty and no point
-sits exactly at its end — then it is that point's left window). Points older
-than any window still to be emitted are evicted as timers fire.
+(distinct ms → count, sum). A point the group owns is ready at ``t + d + 1``:
+once the watermark passes it, every record of the point's left window
+``[t-d, t]`` and right window ``[t+1, t+1+d]`` has arrived, and both are
+emitted (the right one only if non-empty and no point sits exactly at its
+end — then it is that point's left window). Points older than any window
+still to be emitted are evicted.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -24,54 +25,108 @@ from keyflow.functions.time import floor_div
 from keyflow.session import ship_package
 
 OUTPUT = "key {key_type}, window_start long, window_end long, cnt long, total long"
+POINTS_STATE = "ms array<long>, cnt array<long>, total array<long>, own array<boolean>"
+PROGRESS_STATE = "emitted long, armed long"
 
 
 class SlidingWindowProcessor(StatefulProcessor):
+    """Per ``(key, bucket)`` group: the points (distinct ms with count and sum,
+    and whether this group owns them) as one sorted array state, how far
+    owners have been emitted, and a single pending event-time timer at the
+    earliest unemitted owner's ``t + d + 1``. A firing emits every owner the
+    watermark has passed, with vectorised range sums (``searchsorted`` over
+    prefix sums), so state access is O(1) calls per group per batch."""
+
     def __init__(self, diff_ms: int):
         self.d = int(diff_ms)
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
-        self.points = handle.getMapState("points", "ms long", "cnt long, total long, own boolean")
+        self.points = handle.getValueState("points", POINTS_STATE)
+        self.progress = handle.getValueState("progress", PROGRESS_STATE)
+
+    def _load(self):
+        row = self.points.get()
+        if row is None:
+            return (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
+        return (np.asarray(row[0], np.int64), np.asarray(row[1], np.int64), np.asarray(row[2], np.int64),
+                np.asarray(row[3], bool))
+
+    def _save(self, ms, cnt, tot, own):
+        if len(ms) == 0:
+            self.points.clear()
+        else:
+            self.points.update((ms.tolist(), cnt.tolist(), tot.tolist(), own.tolist()))
+
+    def _progress(self):
+        row = self.progress.get()
+        return (None, None) if row is None else (row[0], row[1])
+
+    def _arm(self, ms, own, emitted, armed):
+        pending = ms[own & (ms > emitted)] if emitted is not None else ms[own]
+        nxt = int(pending.min()) + self.d + 1 if len(pending) else None
+        if nxt != armed:
+            if armed is not None:
+                self.handle.deleteTimer(armed)
+            if nxt is not None:
+                self.handle.registerTimer(nxt)
+        self.progress.update((emitted, nxt))
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        for pdf in rows:
-            g = pdf.groupby(["ms", "own"], sort=False).agg(cnt=("value", "size"), total=("value", "sum"))
-            for (ms, own), r in g.iterrows():
-                ms = int(ms)
-                cur = self.points.getValue((ms,)) if self.points.containsKey((ms,)) else None
-                if cur is None:
-                    self.points.updateValue((ms,), (int(r["cnt"]), int(r["total"]), bool(own)))
-                    if own:
-                        self.handle.registerTimer(ms + self.d + 1)
-                else:
-                    self.points.updateValue((ms,), (int(cur[0]) + int(r["cnt"]), int(cur[1]) + int(r["total"]),
-                                                    bool(cur[2])))
+        wm = timerValues.getCurrentWatermarkInMs()
+        batch = pd.concat(list(rows), ignore_index=True)
+        batch = batch[batch["ms"] > wm] if wm and wm > 0 else batch  # late records are dropped
+        if batch.empty:
+            return iter([])
+        new = batch.groupby("ms").agg(cnt=("value", "size"), total=("value", "sum"), own=("own", "max"))
+        ms, cnt, tot, own = self._load()
+        all_ms = np.concatenate([ms, new.index.to_numpy(np.int64)])
+        uniq, inv = np.unique(all_ms, return_inverse=True)
+        m_cnt = np.bincount(inv, weights=np.concatenate([cnt, new["cnt"].to_numpy(np.int64)]),
+                            minlength=len(uniq)).astype(np.int64)
+        m_tot = np.bincount(inv, weights=np.concatenate([tot, new["total"].to_numpy(np.int64)]),
+                            minlength=len(uniq)).astype(np.int64)
+        m_own = np.zeros(len(uniq), bool)
+        np.logical_or.at(m_own, inv, np.concatenate([own, new["own"].to_numpy(bool)]))
+        self._save(uniq, m_cnt, m_tot, m_own)
+        emitted, armed = self._progress()
+        self._arm(uniq, m_own, emitted, armed)
         return iter([])
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         d = self.d
-        t = expiredTimerInfo.getExpiryTimeInMs() - d - 1
-        l_cnt = l_sum = r_cnt = r_sum = 0
-        end_hit = False
-        stale = []
-        for (ms,), (cnt, total, _own) in self.points.iterator():
-            if t - d <= ms <= t:
-                l_cnt += cnt
-                l_sum += total
-            if t + 1 <= ms <= t + 1 + d:
-                r_cnt += cnt
-                r_sum += total
-                end_hit = end_hit or ms == t + 1 + d
-            if ms < t + 1 - d:  # no window of a later owner (> t) reaches it
-                stale.append(ms)
-        for ms in stale:
-            self.points.removeKey((ms,))
-        k = key[0]
-        rows = [(k, t - d, t, l_cnt, l_sum)]
-        if r_cnt > 0 and not end_hit:
-            rows.append((k, t + 1, t + 1 + d, r_cnt, r_sum))
-        yield pd.DataFrame(rows, columns=["key", "window_start", "window_end", "cnt", "total"])
+        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
+        ms, cnt, tot, own = self._load()
+        emitted, _armed = self._progress()
+        ready = own & (ms + d + 1 <= wm)
+        if emitted is not None:
+            ready &= ms > emitted
+        t = ms[ready]
+        out = None
+        if len(t):
+            c = np.concatenate([[0], np.cumsum(cnt)])
+            s = np.concatenate([[0], np.cumsum(tot)])
+            lo = np.searchsorted(ms, t - d, "left")
+            hi = np.searchsorted(ms, t, "right")
+            rlo = np.searchsorted(ms, t + 1, "left")
+            rhi = np.searchsorted(ms, t + 1 + d, "right")
+            end_hit = (rhi > 0) & (ms[np.maximum(rhi - 1, 0)] == t + 1 + d)
+            r_cnt = c[rhi] - c[rlo]
+            right = (r_cnt > 0) & ~end_hit
+            k = key[0]
+            left_df = pd.DataFrame({"window_start": t - d, "window_end": t,
+                                    "cnt": c[hi] - c[lo], "total": s[hi] - s[lo]})
+            right_df = pd.DataFrame({"window_start": t[right] + 1, "window_end": t[right] + 1 + d,
+                                     "cnt": r_cnt[right], "total": (s[rhi] - s[rlo])[right]})
+            out = pd.concat([left_df, right_df], ignore_index=True)
+            out.insert(0, "key", k)
+            emitted = int(t.max())
+            keep = ms >= emitted + 1 - d  # points a later owner (> emitted) can still need
+            ms, cnt, tot, own = ms[keep], cnt[keep], tot[keep], own[keep]
+            self._save(ms, cnt, tot, own)
+        self._arm(ms, own, emitted, None)
+        if out is not None:
+            yield out
 
     def close(self) -> None:
         pass
@@ -83,7 +138,9 @@ def sliding_stream(df: DataFrame, diff_ms: int, grace_ms: int = 0, bucket_ms: in
     window_end, cnt, total``); records later than ``grace`` are dropped."""
     ship_package(df.sparkSession)
     d = int(diff_ms)
-    width = int(bucket_ms) if bucket_ms else max(8 * (d + 1), 3_600_000)
+    # Wider than in batch: live state per group is bounded by eviction (d +
+    # grace + the batch's time span), so the width only sets the group count.
+    width = int(bucket_ms) if bucket_ms else max(64 * (d + 1), 7 * 86_400_000)
     pts = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select("key", "ms", "ts", "value")
     b = floor_div("ms", width)
     lo = b * F.lit(width)
