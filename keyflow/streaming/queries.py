@@ -57,11 +57,23 @@ def session_count_final(spark, sf_dir):
 
 # ---------------------------------------------------------------- early results / changelogs
 def session_intermediate(spark, sf_dir):
-    """Every update of every session (complete mode: session windows reject
-    update mode); the newest batch is the current result."""
+    """Every change of every session (``toStream().foreach`` of the session
+    count): upserts and retractions from the session processor — only what
+    changed in a batch, not the whole state as complete mode would. The
+    current result is the newest non-retracted row per session."""
+    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+    s = event_record_stream(spark, sf_dir, key="user_id")
+    run = run_stream(session_updates_stream(s, P.SESSION_COUNT_GAP, P.SESSION_COUNT_GRACE, key_type="bigint"),
+                     "session_intermediate")
+    return current_sessions(run.read(spark)).drop("total")
+
+
+def session_complete(spark, sf_dir):
+    """Session counts in complete mode (small state only: the whole result is
+    re-emitted every trigger); the newest batch is the current result."""
     s = event_record_stream(spark, sf_dir, key="user_id")
     run = run_stream(windows.session(s, P.SESSION_COUNT_GAP, windows.COUNT, P.SESSION_COUNT_GRACE),
-                     "session_intermediate", mode="complete")
+                     "session_complete", mode="complete")
     return complete_result(read_changelog(spark, run))
 
 
@@ -172,6 +184,7 @@ STREAMING_QUERIES.update({
     "hopping_count_final": hopping_count_final,
     "session_count_final": session_count_final,
     "session_intermediate": session_intermediate,
+    "session_complete": session_complete,
     "changelog_of_counts": changelog_of_counts,
     "stream_sink_roundtrip": stream_sink_roundtrip,
     "stateful_max": stateful_max,
@@ -210,6 +223,7 @@ STREAMING_ORACLE: dict[str, str] = {
     "session_count_final": _final(ORACLE_SQL["session_count"], f"q.window_end + {P.SESSION_COUNT_GAP}",
                                   P.SESSION_COUNT_GRACE),
     "session_intermediate": ORACLE_SQL["session_count"],
+    "session_complete": ORACLE_SQL["session_count"],
     "changelog_of_counts": ORACLE_SQL["count_by_key"],
     "stream_sink_roundtrip": ORACLE_SQL["stream_scan"],
     "stateful_max": R + "SELECT event_type AS key, max(cents) AS max_value FROM r GROUP BY ALL",

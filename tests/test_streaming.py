@@ -204,3 +204,16 @@ def test_sliding_windows_on_a_stream(spark):
         run = run_stream(sliding_stream(s, 300, 0, bucket_ms=bucket), "sliding_stream")
         got = sorted((r.window_start, r.window_end, r.cnt, r.total) for r in run.read(spark).collect())
         assert got == want, bucket
+
+
+def test_session_updates_merge_and_retract(spark):
+    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+    batches = [[("a", 1, 1000, 0)], [("a", 2, 1500, 1)], [("a", 4, 1250, 2)]]  # 1250 bridges both
+    s = stream_of(spark, landing_zone(batches))
+    run = run_stream(session_updates_stream(s, 300, grace_ms=10_000), "session_updates")
+    log = run.read(spark)
+    rows = sorted((r.version, r.window_start, r.window_end, r.cnt, r.deleted) for r in log.collect())
+    assert rows == [(1, 1000, 1000, 1, False), (2, 1500, 1500, 1, False),
+                    (3, 1000, 1500, 3, False), (3, 1500, 1500, None, True)]
+    cur = [(r.window_start, r.window_end, r.cnt, r.total) for r in current_sessions(log).collect()]
+    assert cur == [(1000, 1500, 3, 7)]
