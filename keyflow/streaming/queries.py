@@ -350,3 +350,38 @@ def tumbling_count_updates(spark, sf_dir):
 
 STREAMING_QUERIES["tumbling_count_updates"] = tumbling_count_updates
 STREAMING_ORACLE["tumbling_count_updates"] = ORACLE_SQL["tumbling_count"]
+
+
+# ---------------------------------------------------------------- changelog tables on a stream
+def _user_changelog_stream(spark, sf_dir):
+    from keyflow.operators.tables import tombstone
+    s = event_record_stream(spark, sf_dir, key="user_id", extra={"event_type": F.col("event_type")})
+    return tombstone(s, F.col("event_type") == "error")
+
+
+def _table_state_stream(spark, sf_dir, name):
+    """Streaming aggregation keeping, per key, the newest value (a null value
+    is a delete) and how many non-null values it ever had; update mode emits
+    the keys that changed in each batch."""
+    s = _user_changelog_stream(spark, sf_dir)
+    agg_df = s.groupBy("key").agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"),
+                                  F.count("value").alias("n_values"))
+    run = run_stream(agg_df, name, mode="update")
+    return newest_per_key(read_changelog(spark, run), ["key"])
+
+
+def table_latest_stream(spark, sf_dir):
+    cur = _table_state_stream(spark, sf_dir, "table_latest_stream")
+    return cur.filter(F.col("value").isNotNull()).select("key", "value")
+
+
+def table_agg_add_subtract_stream(spark, sf_dir):
+    cur = _table_state_stream(spark, sf_dir, "table_agg_stream")
+    return cur.filter(F.col("n_values") > 0).select(
+        "key", F.coalesce(F.col("value"), F.lit(0)).cast("bigint").alias("total"))
+
+
+STREAMING_QUERIES["table_latest_stream"] = table_latest_stream
+STREAMING_QUERIES["table_agg_add_subtract_stream"] = table_agg_add_subtract_stream
+STREAMING_ORACLE["table_latest_stream"] = ORACLE_SQL["table_latest"]
+STREAMING_ORACLE["table_agg_add_subtract_stream"] = ORACLE_SQL["table_agg_add_subtract"]

@@ -244,3 +244,12 @@ def test_stream_equals_batch_hopping_and_sessions(spark):
     got_n = sorted(map(tuple, complete_result(read_changelog(spark, native))
                        .select("key", "window_start", "window_end", "total").collect()))
     assert got_n == want_s
+
+
+def test_table_state_stream_with_delete(spark):
+    batches = [[("a", 5, 1, 0)], [("a", None, 2, 1)], [("b", 7, 3, 2)]]
+    s = stream_of(spark, landing_zone(batches))
+    agg_df = s.groupBy("key").agg(F.max_by("value", "seq").alias("value"), F.count("value").alias("n_values"))
+    run = run_stream(agg_df, "table_state", mode="update")
+    cur = {r.key: (r.value, r.n_values) for r in newest_per_key(read_changelog(spark, run), ["key"]).collect()}
+    assert cur == {"a": (None, 1), "b": (7, 1)}  # latest {b: 7}; add/subtract {a: 0, b: 7}
