@@ -46,16 +46,26 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     return spark
 
 
+def _spark_context(spark: SparkSession):
+    """The SparkContext of a classic session; None on Spark Connect."""
+    try:
+        return spark.sparkContext
+    except Exception:  # noqa: BLE001 - Spark Connect has no SparkContext
+        return None
+
+
 def _checkpoint_root(spark: SparkSession) -> str:
     root = spark.conf.get("spark.checkpoint.dir", None)
-    if not root:
-        root = spark.sparkContext.getCheckpointDir()
+    sc = _spark_context(spark)
+    if not root and sc is not None:
+        root = sc.getCheckpointDir()
     if not root:
         # Unset: local runs and tests only. A cluster sets spark.checkpoint.dir
         # to a shared folder and we never get here.
         root = tempfile.mkdtemp(prefix="keyflow-ckpt-")
-        spark.sparkContext.setCheckpointDir(root)
-        root = spark.sparkContext.getCheckpointDir() or root
+        if sc is not None:
+            sc.setCheckpointDir(root)
+            root = sc.getCheckpointDir() or root
     return root
 
 
@@ -84,8 +94,8 @@ def ship_package(spark: SparkSession) -> None:
     to every executor, now and for executors added later; driver-side Python
     runners find it through ``PYTHONPATH``.
     """
-    sc = spark.sparkContext
-    app = sc.applicationId
+    sc = _spark_context(spark)
+    app = sc.applicationId if sc is not None else f"connect-{spark.session_id}"
     if app in _SHIPPED:
         return
     pkg_dir = os.path.dirname(os.path.abspath(__file__))
@@ -98,6 +108,10 @@ def ship_package(spark: SparkSession) -> None:
                 if f.endswith(".py"):
                     full = os.path.join(dirpath, f)
                     z.write(full, os.path.relpath(full, root))
+    if sc is None:  # Spark Connect: ship as a Python artifact of the session
+        spark.addArtifacts(path, pyfile=True)
+        _SHIPPED.add(app)
+        return
     sc.addPyFile(path)
     # Driver-side Python runners (the transformWithState pre-init worker)
     # do not read addPyFile includes but do take PYTHONPATH from the

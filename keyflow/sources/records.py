@@ -33,11 +33,10 @@ def spread(df: DataFrame) -> DataFrame:
     every core. A large input already has many splits and is left alone (the
     split count is known at planning time; nothing is executed here).
     """
-    spark = df.sparkSession
-    cores = spark.sparkContext.defaultParallelism
     try:
+        cores = df.sparkSession.sparkContext.defaultParallelism
         n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - e.g. no RDD access on a remote session
+    except Exception:  # noqa: BLE001 - no RDD access on a Spark Connect session
         return df
     return df.repartition(cores) if n < cores else df
 
