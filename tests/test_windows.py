@@ -130,3 +130,34 @@ def test_session_bucket_width_is_invisible(spark, bucket):
         if cur:
             want.append((k, *cur))
     assert got == sorted(want, key=_none_first)
+
+
+def test_null_rules(spark):
+    from keyflow.operators import aggregates as agg
+    df = records(spark, [("a", 1000, 5), ("a", 1100, None), (None, 1200, 7), ("b", 1300, None)])
+    assert {r.key: r.cnt for r in agg.count_by_key(df).collect()} == {"a": 1, "b": 0}
+    assert {r.key: r.total for r in agg.sum_by_key(df).collect()} == {"a": 5}
+    # windowed count skips only null keys; the sliding count also skips null values
+    assert rows(windows.tumbling(df, 600), "key", "cnt") == [("a", 2), ("b", 1)]
+    assert rows(windows.sliding(df, 300), "key", "window_start", "cnt") == [("a", 700, 1)]
+    assert rows(windows.session(df, 300), "key", "cnt") == [("a", 2), ("b", 1)]
+
+
+def test_late_drop_per_source_partition(spark):
+    import random
+    rnd = random.Random(11)
+    rows_in = [(rnd.choice("xy"), rnd.randrange(0, 5000), 1, i) for i in range(200)]
+    df = records(spark, rows_in).withColumn("src", F.when(F.col("key") == "x", 0).otherwise(1))
+    out = windows.late_drop_exact(df, 600, 100, F.col("seq"), F.col("seq"), F.col("src"), chunk_rows=16)
+    got = rows(out, "key", "window_start", "cnt")
+    want = {}
+    for src_key in "xy":  # stream time advances per source partition, in arrival order
+        st = None
+        for k, ms, _v, _seq in rows_in:
+            if k != src_key:
+                continue
+            st = ms if st is None else max(st, ms)
+            start = ms // 600 * 600
+            if start + 600 + 100 > st:
+                want[(k, start)] = want.get((k, start), 0) + 1
+    assert got == sorted(((k, s, c) for (k, s), c in want.items()), key=_none_first)
