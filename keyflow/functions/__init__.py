@@ -4,6 +4,7 @@ from keyflow.functions.time import epoch_ms, event_time, floor_div, iso_instant,
 from keyflow.functions.text import (
     joiner_text,
     jvm_split,
+    jvm_tokens,
     key_chars_upper,
     window_text,
 )
@@ -11,5 +12,5 @@ from keyflow.functions.values import cents
 
 __all__ = [
     "epoch_ms", "event_time", "floor_div", "iso_instant", "ms_literal",
-    "joiner_text", "jvm_split", "key_chars_upper", "window_text", "cents",
+    "joiner_text", "jvm_split", "jvm_tokens", "key_chars_upper", "window_text", "cents",
 ]

@@ -253,3 +253,21 @@ def test_table_state_stream_with_delete(spark):
     run = run_stream(agg_df, "table_state", mode="update")
     cur = {r.key: (r.value, r.n_values) for r in newest_per_key(read_changelog(spark, run), ["key"]).collect()}
     assert cur == {"a": (None, 1), "b": (7, 1)}  # latest {b: 7}; add/subtract {a: 0, b: 7}
+
+
+def test_interval_join_stream_fixture(spark):
+    from keyflow.streaming.joins import interval_join_stream
+    left = [[("a", 1, 1000, 0)], [], [("z", 0, 100_000, 10)]]
+    right = [[], [("a", 2, 2500, 1), ("a", 3, 2501, 2)], [("z", 0, 100_000, 11)]]
+
+    l = stream_of(spark, landing_zone([b for b in left if b])).withColumn("value", F.col("value").cast("string"))
+    r = stream_of(spark, landing_zone([b for b in right if b])).withColumn("value", F.col("value").cast("string"))
+    inner = run_stream(interval_join_stream(l, r, 1500, "inner"), "ij_inner").read(spark)
+    assert sorted((x.left_ms, x.right_ms) for x in inner.collect()) == [(1000, 2500), (100_000, 100_000)]
+    l = stream_of(spark, landing_zone([b for b in left if b])).withColumn("value", F.col("value").cast("string"))
+    r = stream_of(spark, landing_zone([b for b in right if b])).withColumn("value", F.col("value").cast("string"))
+    full = run_stream(interval_join_stream(l, r, 1500, "full"), "ij_full").read(spark)
+    got = sorted(((x.left_ms, x.right_ms, x.value) for x in full.collect()), key=repr)
+    assert (None, 2501, "user: null details: 3") in got
+    assert (1000, 2500, "user: 1 details: 2") in got
+    assert len(got) == 3
