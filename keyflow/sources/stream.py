@@ -7,6 +7,7 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from keyflow.session import ship_package
 from keyflow.sources.codec import KAFKA_DECODERS
@@ -36,7 +37,8 @@ def read_record_stream(spark: SparkSession, fmt: str, options: dict[str, str],
 
     For ``kafka`` the binary key and value are decoded to ``key_type`` /
     ``value_type`` (8-byte big-endian long, 4-byte int, UTF-8 string) and the
-    record timestamp and offset become ``ts`` and ``seq``.
+    result is a record frame: the record timestamp becomes ``ms``/``ts``, the
+    offset ``seq``, and the topic partition is kept as ``partition``.
     """
     ship_package(spark)
     reader = spark.readStream.format(fmt).options(**options)
@@ -45,9 +47,11 @@ def read_record_stream(spark: SparkSession, fmt: str, options: dict[str, str],
         return raw.select(
             KAFKA_DECODERS[key_type]("key").alias("key"),
             KAFKA_DECODERS[value_type]("value").alias("value"),
+            F.unix_millis(raw["timestamp"]).alias("ms"),
             raw["timestamp"].alias("ts"),
-            raw["partition"].alias("partition"),
             raw["offset"].alias("seq"),
+            # stream time of the exact late-drop rule is per source partition
+            raw["partition"].alias("partition"),
         )
     if schema is not None:
         reader = reader.schema(schema)
