@@ -17,36 +17,61 @@ from keyflow.functions.time import floor_div
 HOW = {"inner": "inner", "left": "leftOuter", "full": "fullOuter"}
 
 
+def _prepare(df: DataFrame, p: str) -> DataFrame:
+    return df.filter(F.col("key").isNotNull()).select(
+        F.col("key").alias(f"{p}key"), F.col("seq").alias(f"{p}seq"), F.col("ms").alias(f"{p}ms"),
+        F.col("ts").alias(f"{p}ts"), F.col("value").alias(f"{p}value"))
+
+
+def _bucketed_left_outer(own: DataFrame, near: DataFrame, o: str, n: str, bound_i: int, wm: str,
+                         how: str) -> DataFrame:
+    """``own`` rows in the bucket of their time, ``near`` rows copied to every
+    bucket they can match; equi-join on (key, bucket) plus the time range."""
+    width = max(bound_i, 1)
+    own = own.withColumn(f"{o}bucket", floor_div(f"{o}ms", width)).withWatermark(f"{o}ts", wm)
+    near = near.withColumn(f"{n}bucket", F.explode(F.sequence(
+        floor_div(F.col(f"{n}ms") - F.lit(bound_i), width), floor_div(F.col(f"{n}ms") + F.lit(bound_i), width)))
+    ).withWatermark(f"{n}ts", wm)
+    bound = F.expr(f"INTERVAL {bound_i} MILLISECONDS")
+    cond = ((F.col(f"{o}key") == F.col(f"{n}key")) & (F.col(f"{o}bucket") == F.col(f"{n}bucket"))
+            & (F.col(f"{n}ts") >= F.col(f"{o}ts") - bound) & (F.col(f"{n}ts") <= F.col(f"{o}ts") + bound))
+    return own.join(near, cond, how)
+
+
 def interval_join_stream(left: DataFrame, right: DataFrame, bound_ms: int, how: str = "inner",
                          grace_ms: int = 0, joiner=joiner_text, bucketed: bool = True) -> DataFrame:
-    """Inner and left joins are keyed by ``(key, time bucket)`` as in the batch
-    form (left rows in their own bucket, right rows copied to the buckets they
-    can match), so join state of a hot key is spread over its buckets and a
-    left row still meets all its candidates exactly once. The full outer join
-    stays keyed by ``key``: its right-only rows would need a streaming
-    anti-join, which Spark does not offer."""
+    """Keyed by ``(key, time bucket)`` as in the batch form, so the join state
+    of a hot key is spread over its buckets:
+
+    * inner / left: left rows in their own bucket, right rows copied to the
+      buckets they can match — a left row meets all its candidates exactly
+      once, so the left outer join is exact in one operator;
+    * full: that left outer join (pairs and left-only rows) united with the
+      mirror-image left outer join (right rows in their own bucket, left rows
+      copied), of which only the unmatched right rows are kept. Spark has no
+      streaming anti-join; this costs a second copy of the join state.
+
+    ``bucketed=False`` gives the plain join keyed by ``key``.
+    """
     wm = f"{int(grace_ms)} milliseconds"
     bound_i = int(bound_ms)
-    l = left.filter(F.col("key").isNotNull()).select(
-        F.col("key").alias("l_key"), F.col("seq").alias("l_seq"), F.col("ms").alias("l_ms"),
-        F.col("ts").alias("l_ts"), F.col("value").alias("l_value"))
-    r = right.filter(F.col("key").isNotNull()).select(
-        F.col("key").alias("r_key"), F.col("seq").alias("r_seq"), F.col("ms").alias("r_ms"),
-        F.col("ts").alias("r_ts"), F.col("value").alias("r_value"))
-    use_buckets = bucketed and how in ("inner", "left")
-    if use_buckets:
-        width = max(bound_i, 1)
-        l = l.withColumn("l_bucket", floor_div("l_ms", width))
-        r = r.withColumn("r_bucket", F.explode(F.sequence(
-            floor_div(F.col("r_ms") - F.lit(bound_i), width), floor_div(F.col("r_ms") + F.lit(bound_i), width))))
-    l = l.withWatermark("l_ts", wm)
-    r = r.withWatermark("r_ts", wm)
-    bound = F.expr(f"INTERVAL {bound_i} MILLISECONDS")
-    cond = ((F.col("l_key") == F.col("r_key"))
-            & (F.col("r_ts") >= F.col("l_ts") - bound) & (F.col("r_ts") <= F.col("l_ts") + bound))
-    if use_buckets:
-        cond = cond & (F.col("l_bucket") == F.col("r_bucket"))
-    j = l.join(r, cond, HOW[how])
+    l = _prepare(left, "l_")
+    r = _prepare(right, "r_")
+    if bucketed:
+        main = _bucketed_left_outer(l, r, "l_", "r_", bound_i, wm, "inner" if how == "inner" else "leftOuter")
+        j = main.select("l_key", "l_seq", "l_ms", "l_value", "r_key", "r_seq", "r_ms", "r_value")
+        if how == "full":
+            mirror = _bucketed_left_outer(r, l, "r_", "l_", bound_i, wm, "leftOuter")
+            right_only = mirror.filter(F.col("l_seq").isNull()).select(
+                "l_key", "l_seq", "l_ms", "l_value", "r_key", "r_seq", "r_ms", "r_value")
+            j = j.unionByName(right_only)
+    else:
+        l = l.withWatermark("l_ts", wm)
+        r = r.withWatermark("r_ts", wm)
+        bound = F.expr(f"INTERVAL {bound_i} MILLISECONDS")
+        cond = ((F.col("l_key") == F.col("r_key"))
+                & (F.col("r_ts") >= F.col("l_ts") - bound) & (F.col("r_ts") <= F.col("l_ts") + bound))
+        j = l.join(r, cond, HOW[how])
     return j.select(F.coalesce("l_key", "r_key").alias("key"), F.col("l_seq").alias("left_seq"),
                     F.col("r_seq").alias("right_seq"), F.col("l_ms").alias("left_ms"),
                     F.col("r_ms").alias("right_ms"), joiner(F.col("l_value"), F.col("r_value")).alias("value"))
