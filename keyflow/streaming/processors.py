@@ -130,7 +130,8 @@ class WordCountProcessor(StatefulProcessor):
         else:
             n, st, nxt = (None if v is None or pd.isna(v) else int(v) for v in row)
         for pdf in rows:
-            n += len(pdf)
+            # rows are single words, or map-side partial counts in column ``n``
+            n += int(pdf["n"].sum()) if "n" in pdf.columns else len(pdf)
             tmax = pdf["ms"].max()
             if pd.notna(tmax) and (st is None or tmax > st):
                 st = int(tmax)
@@ -150,3 +151,32 @@ def max_output_schema(key_type: str = "string") -> str:
 
 
 WORD_COUNT_OUTPUT = "word string, count string, stream_time long"
+
+
+def pre_aggregate_max(df):
+    """Map-side combine before the per-key max processor (stateless, per
+    partition and Arrow batch): one row per key with the max value and the max
+    event time. A hot key is thereby reduced in every map task instead of
+    reaching its stateful group row by row."""
+    schema = df.schema
+
+    def combine(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            g = pdf.groupby("key", sort=False, dropna=False).agg(
+                value=("value", "max"), ms=("ms", "max"), seq=("seq", "max")).reset_index()
+            yield g[[f.name for f in schema.fields]]
+
+    return df.mapInPandas(combine, schema)
+
+
+def pre_aggregate_words(words):
+    """Map-side word counts per partition and Arrow batch: ``word, n, ms``."""
+    def combine(batches):
+        for pdf in batches:
+            if pdf.empty:
+                continue
+            yield pdf.groupby("word", sort=False).agg(n=("ms", "size"), ms=("ms", "max")).reset_index()
+
+    return words.mapInPandas(combine, "word string, n long, ms long")

@@ -27,6 +27,8 @@ from keyflow.streaming.processors import (
     MaxProcessor,
     WordCountProcessor,
     max_output_schema,
+    pre_aggregate_max,
+    pre_aggregate_words,
 )
 from keyflow.streaming.runner import complete_result, newest_per_key, read_changelog, run_stream
 from keyflow.streaming.sources import event_record_stream
@@ -101,7 +103,7 @@ def stream_sink_roundtrip(spark, sf_dir):
 
 # ---------------------------------------------------------------- stateful processors and state
 def _max_run(spark, sf_dir, name, seeded: bool):
-    recs = event_record_stream(spark, sf_dir).select("key", "value", "ms", "seq")
+    recs = pre_aggregate_max(event_record_stream(spark, sf_dir).select("key", "value", "ms", "seq"))
     proc = MaxProcessor(P.MAX_STREAM_TICK)
     if not seeded:
         out = recs.groupBy("key").transformWithStateInPandas(proc, max_output_schema(), "Append", "None")
@@ -140,7 +142,7 @@ def word_count_timer(spark, sf_dir):
     newest emission per word."""
     docs = read_table_stream(spark, sf_dir, "documents").select("text")
     docs = docs.withColumn("ms", F.unix_millis(F.current_timestamp()))
-    words = jvm_tokens(docs, F.lower(F.col("text")), keep=["ms"], name="word")
+    words = pre_aggregate_words(jvm_tokens(docs, F.lower(F.col("text")), keep=["ms"], name="word"))
     out = words.groupBy("word").transformWithStateInPandas(
         WordCountProcessor(P.WORD_COUNT_TICK), WORD_COUNT_OUTPUT, "Append", "None")
     run = run_stream(out, "word_count_timer")
