@@ -141,8 +141,9 @@ def session_updates_stream(df: DataFrame, gap_ms: int, grace_ms: int = 0,
                            key_type: str = "string") -> DataFrame:
     """Changelog of session windows (upserts and retractions) of a record stream."""
     ship_package(df.sparkSession)
+    # ``ts`` only carries the watermark; the processor works on ``ms``
     x = (df.filter(F.col("key").isNotNull())
-         .withWatermark("ts", f"{int(grace_ms)} milliseconds").select("key", "ms", "ts", "value"))
+         .withWatermark("ts", f"{int(grace_ms)} milliseconds").select("key", "ms", "value"))
     return x.groupBy("key").transformWithStateInPandas(
         SessionProcessor(gap_ms), OUTPUT.format(key_type=key_type), "Append", "EventTime")
 

@@ -151,9 +151,11 @@ def sliding_stream(df: DataFrame, diff_ms: int, grace_ms: int = 0, bucket_ms: in
         F.when(F.col("ms") >= lo + F.lit(width - d), F.array(copy(b + 1, False))).otherwise(F.array().cast(typ)),
         F.when(F.col("ms") <= lo + F.lit(d), F.array(copy(b - 1, False))).otherwise(F.array().cast(typ)),
     )
+    # the processor works on ``ms``; ``ts`` only carries the watermark and is
+    # not shipped to Python
     x = (pts.withWatermark("ts", f"{int(grace_ms)} milliseconds")
-         .select("key", "ms", "ts", "value", F.explode(copies).alias("c"))
-         .select("key", F.col("c.bucket").alias("bucket"), "ms", "ts", "value", F.col("c.own").alias("own")))
+         .select("key", "ms", "value", F.explode(copies).alias("c"))
+         .select("key", F.col("c.bucket").alias("bucket"), "ms", "value", F.col("c.own").alias("own")))
     return (x.groupBy("key", "bucket")
             .transformWithStateInPandas(SlidingWindowProcessor(d), OUTPUT.format(key_type=key_type),
                                         "Append", "EventTime"))

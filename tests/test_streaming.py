@@ -5,6 +5,7 @@ import tempfile
 import time
 
 import pandas as pd
+import pytest
 import pyarrow as pa
 import pyarrow.parquet as pq
 from pyspark.sql import functions as F
@@ -271,3 +272,22 @@ def test_interval_join_stream_fixture(spark):
     assert (None, 2501, "user: null details: 3") in got
     assert (1000, 2500, "user: 1 details: 2") in got
     assert len(got) == 3
+
+
+@pytest.mark.parametrize("bucket", [None, 3 * 3_600_000 + 1])
+def test_stream_equals_batch_sliding(spark, bucket):
+    from keyflow.streaming.sliding import sliding_stream
+    d = 3 * 3_600_000
+    batches = _event_batches(spark, 4)
+    far = 4_102_444_800_000  # 2100-01-01: advances the watermark past every window
+    flush = [(k, 0, far, 10**9 + i) for i, k in enumerate(sorted({r[0] for b in batches for r in b}))]
+    s = stream_of(spark, landing_zone(batches + [flush]))
+    run = run_stream(sliding_stream(s, d, 0, bucket_ms=bucket), "sliding_multi")
+    got = sorted(map(tuple, run.read(spark).select("key", "window_start", "window_end", "cnt", "total").collect()))
+    recs = event_records(spark, SF_SMALL)
+    c = windows.sliding(recs, d, windows.COUNT)
+    t = windows.sliding(recs, d, windows.SUM)
+    want = sorted(map(tuple, c.join(t, ["key", "window_start", "window_end"])
+                      .select("key", "window_start", "window_end", "cnt", "total").collect()))
+    assert len([p for p in run.progress if p.numInputRows]) == 5
+    assert got == want
