@@ -180,3 +180,32 @@ def pre_aggregate_words(words):
             yield pdf.groupby("word", sort=False).agg(n=("ms", "size"), ms=("ms", "max")).reset_index()
 
     return words.mapInPandas(combine, "word string, n long, ms long")
+
+
+class CogroupFoldProcessor(StatefulProcessor):
+    """Co-grouped string fold on a stream: per key, the aggregate starts at
+    ``initial`` and each record's piece is appended in arrival (``seq``)
+    order; every batch emits the key's new aggregate. The fold is
+    order-sensitive, so it cannot be combined map-side; within a batch a key's
+    pieces are ordered by ``seq``."""
+
+    def __init__(self, initial: str = " "):
+        self.initial = initial
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.agg = handle.getValueState("agg", "value string")
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
+        row = self.agg.get()
+        cur = self.initial if row is None else row[0]
+        cur = cur + "".join(batch["piece"].astype(str).tolist())
+        self.agg.update((cur,))
+        yield pd.DataFrame({"key": [key[0]], "value": [cur], "seq": [int(batch["seq"].max())]})
+
+    def close(self) -> None:
+        pass
+
+
+def cogroup_output_schema(key_type: str = "string") -> str:
+    return f"key {key_type}, value string, seq long"

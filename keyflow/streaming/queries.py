@@ -387,3 +387,27 @@ STREAMING_QUERIES["table_latest_stream"] = table_latest_stream
 STREAMING_QUERIES["table_agg_add_subtract_stream"] = table_agg_add_subtract_stream
 STREAMING_ORACLE["table_latest_stream"] = ORACLE_SQL["table_latest"]
 STREAMING_ORACLE["table_agg_add_subtract_stream"] = ORACLE_SQL["table_agg_add_subtract"]
+
+
+# ---------------------------------------------------------------- cogroup fold on a stream
+def cogroup_fold_stream(spark, sf_dir):
+    """Clicks (" first " + cents) and views (" second " + props) folded per
+    user in arrival order; returns the newest aggregate per user."""
+    from keyflow.operators.aggregates import COGROUP_FIRST, COGROUP_INITIAL, COGROUP_SECOND
+    from keyflow.streaming.processors import CogroupFoldProcessor, cogroup_output_schema
+    s = event_record_stream(spark, sf_dir, key="user_id",
+                            extra={"event_type": F.col("event_type"), "props": F.col("props")})
+    piece = (F.when(F.col("event_type") == "click", F.concat(F.lit(COGROUP_FIRST), F.col("value").cast("string")))
+             .when(F.col("event_type") == "view", F.concat(F.lit(COGROUP_SECOND), F.col("props"))))
+    pieces = s.select("key", "seq", piece.alias("piece")).filter(F.col("piece").isNotNull())
+    out = pieces.groupBy("key").transformWithStateInPandas(
+        CogroupFoldProcessor(COGROUP_INITIAL), cogroup_output_schema("bigint"), "Append", "None")
+    run = run_stream(out, "cogroup_fold_stream")
+    from pyspark.sql import Window
+    w = Window.partitionBy("key").orderBy(F.col("seq").desc())
+    return (run.read(spark).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
+            .select("key", "value"))
+
+
+STREAMING_QUERIES["cogroup_fold_stream"] = cogroup_fold_stream
+STREAMING_ORACLE["cogroup_fold_stream"] = ORACLE_SQL["cogroup_fold"]

@@ -291,3 +291,15 @@ def test_stream_equals_batch_sliding(spark, bucket):
                       .select("key", "window_start", "window_end", "cnt", "total").collect()))
     assert len([p for p in run.progress if p.numInputRows]) == 5
     assert got == want
+
+
+def test_cogroup_fold_across_batches(spark):
+    from keyflow.streaming.processors import CogroupFoldProcessor, cogroup_output_schema
+    batches = [[("a", 5, 1, 0)], [("a", None, 2, 1)]]
+    s = stream_of(spark, landing_zone(batches))
+    piece = F.when(F.col("seq") == 0, F.concat(F.lit(" first "), F.col("value").cast("string"))) \
+        .otherwise(F.lit(" second x"))
+    out = s.select("key", "seq", piece.alias("piece")).groupBy("key").transformWithStateInPandas(
+        CogroupFoldProcessor(" "), cogroup_output_schema(), "Append", "None")
+    rows = sorted((r.seq, r.value) for r in run_stream(out, "cogroup").read(spark).collect())
+    assert rows == [(0, "  first 5"), (1, "  first 5 second x")]
