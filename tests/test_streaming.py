@@ -303,3 +303,44 @@ def test_cogroup_fold_across_batches(spark):
         CogroupFoldProcessor(" "), cogroup_output_schema(), "Append", "None")
     rows = sorted((r.seq, r.value) for r in run_stream(out, "cogroup").read(spark).collect())
     assert rows == [(0, "  first 5"), (1, "  first 5 second x")]
+
+
+def test_fk_join_changelog_random_against_replay(spark):
+    import random
+    from keyflow.streaming.fk_changelog import current_join, fk_join_changelog
+    rnd = random.Random(5)
+    seq = 0
+    files = []
+    for _ in range(4):
+        rows = []
+        for _ in range(40):
+            seq += 1
+            if rnd.random() < 0.6:
+                pk = f"u{rnd.randrange(12)}"
+                fk = rnd.choice(["1", "1", "1", "2", "3"]) if rnd.random() > 0.15 else None  # "1" is hot
+                rows.append(("L", pk, fk, seq, fk))
+            else:
+                rk = rnd.choice(["1", "2", "3"])
+                val = None if rnd.random() < 0.15 else f"r{seq}"
+                rows.append(("R", rk, val, seq, rk))
+        files.append(rows)
+    d = tempfile.mkdtemp(prefix="kf-fkr-", dir="/tmp")
+    t0 = time.time() - 1000
+    schema = pa.schema([("side", pa.string()), ("key", pa.string()), ("value", pa.string()),
+                        ("seq", pa.int64()), ("fk", pa.string())])
+    for i, rows in enumerate(files):
+        df = pd.DataFrame(rows, columns=["side", "key", "value", "seq", "fk"])
+        p = os.path.join(d, f"part-{i:04d}.parquet")
+        pq.write_table(pa.Table.from_pandas(df, schema=schema, preserve_index=False), p)
+        os.utime(p, (t0 + i, t0 + i))
+    s = (spark.readStream.schema("side string, key string, value string, seq bigint, fk string")
+         .option("maxFilesPerTrigger", "1").parquet(d))
+    run = run_stream(fk_join_changelog(s, salts=4), "fk_random")
+    got = {r.pk: r.value for r in current_join(run.read(spark)).collect()}
+    left, right = {}, {}
+    for rows in files:
+        for side, k, v, _s, _fk in rows:
+            (left if side == "L" else right)[k] = v
+    want = {pk: f"user: {fk} details: {right[fk]}" for pk, fk in left.items()
+            if fk is not None and right.get(fk) is not None}
+    assert got == want
