@@ -344,3 +344,45 @@ def test_fk_join_changelog_random_against_replay(spark):
     want = {pk: f"user: {fk} details: {right[fk]}" for pk, fk in left.items()
             if fk is not None and right.get(fk) is not None}
     assert got == want
+
+
+def _shuffled_batches(seed, n, keys, span, disorder, per_batch):
+    """Records in time order, then locally shuffled (by at most ``disorder`` ms)."""
+    import random
+    rnd = random.Random(seed)
+    pts = sorted((rnd.randrange(0, span), rnd.choice(keys), rnd.randrange(1, 9)) for _ in range(n))
+    arrival = sorted(range(n), key=lambda i: pts[i][0] + rnd.randrange(0, disorder))
+    rows = [(pts[i][1], pts[i][2], pts[i][0], j) for j, i in enumerate(arrival)]
+    return [rows[i:i + per_batch] for i in range(0, n, per_batch)], rows
+
+
+def test_session_updates_out_of_order_within_grace(spark):
+    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+    batches, rows = _shuffled_batches(1, 300, "ab", 60_000, 2_000, 37)
+    far = [("a", 0, 4_102_444_800_000, 10**6), ("b", 0, 4_102_444_800_000, 10**6 + 1)]
+    s = stream_of(spark, landing_zone(batches + [far]))
+    run = run_stream(session_updates_stream(s, 500, grace_ms=5_000), "sess_ooo")
+    got = sorted(map(tuple, current_sessions(run.read(spark)).filter(F.col("window_start") < 10**12)
+                     .select("key", "window_start", "window_end", "cnt", "total").collect()))
+    ref = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_millis("ms"))
+    c = windows.session(ref, 500, windows.COUNT)
+    t = windows.session(ref, 500, windows.SUM)
+    want = sorted(map(tuple, c.join(t, ["key", "window_start", "window_end"])
+                      .select("key", "window_start", "window_end", "cnt", "total").collect()))
+    assert got == want
+
+
+def test_sliding_stream_out_of_order_within_grace(spark):
+    from keyflow.streaming.sliding import sliding_stream
+    batches, rows = _shuffled_batches(2, 300, "ab", 60_000, 2_000, 41)
+    far = [("a", 0, 4_102_444_800_000, 10**6), ("b", 0, 4_102_444_800_000, 10**6 + 1)]
+    s = stream_of(spark, landing_zone(batches + [far]))
+    run = run_stream(sliding_stream(s, 700, grace_ms=5_000, bucket_ms=5_000), "slide_ooo")
+    got = sorted(map(tuple, run.read(spark).select("key", "window_start", "window_end", "cnt", "total")
+                     .filter(F.col("window_end") < 10**12).collect()))
+    ref = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_millis("ms"))
+    c = windows.sliding(ref, 700, windows.COUNT)
+    t = windows.sliding(ref, 700, windows.SUM)
+    want = sorted(map(tuple, c.join(t, ["key", "window_start", "window_end"])
+                      .select("key", "window_start", "window_end", "cnt", "total").collect()))
+    assert got == want
