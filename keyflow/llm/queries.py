@@ -2,11 +2,15 @@
 
 from __future__ import annotations
 
+from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
+from keyflow.llm.secrets import op10_secret_scan
 from keyflow.llm.simhash import op3_simhash_neardup
 
 QUERIES = {
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_quality_rules": op4_quality_rules,
+    "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {}
