@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
 from keyflow.llm.secrets import op10_secret_scan
@@ -11,6 +12,7 @@ QUERIES = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_quality_rules": op4_quality_rules,
+    "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLE_SQL: dict[str, str] = {}
