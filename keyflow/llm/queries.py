@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import corpus_pipeline
 from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
@@ -14,5 +15,6 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "pipeline": corpus_pipeline.run,
 }
 ORACLE_SQL: dict[str, str] = {}
