@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from keyflow.llm.licenses import op1_license_scan
 from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
@@ -10,6 +11,7 @@ from keyflow.llm.secrets import op10_secret_scan
 from keyflow.llm.simhash import op3_simhash_neardup
 
 QUERIES = {
+    "op1_license_scan": op1_license_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_quality_rules": op4_quality_rules,
