@@ -157,7 +157,7 @@ def remove_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
             .join(findings, ["__k1", "__k2"], "left"))
     new = text
     for k in KINDS:
-        def put(x, group=k.group):
+        def put(x):
             cut = F.concat(F.substring(x["hit"], F.lit(1), F.length(x["hit"]) - F.length(x["value"])), F.lit(MASK))
             return F.concat(x["gap"], F.when(F.array_contains(F.col("__live"), x["value"]), cut)
                             .otherwise(F.coalesce(x["hit"], F.lit(""))))
@@ -179,7 +179,10 @@ def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
 
     def many(test):
         return F.size(F.filter("spans", test)).cast("bigint")
+
+    def of_kind(n):
+        return lambda s: s["kind"] == n
     return found.select(
-        "doc_id", *[many(lambda s, n=n: s["kind"] == n).alias(f"n_{k.name}") for n, k in enumerate(BASE_KINDS)],
+        "doc_id", *[many(of_kind(n)).alias(f"n_{k.name}") for n, k in enumerate(BASE_KINDS)],
         F.sha2(_listed(base), 256).alias("base_sha256"), _listed(kept).alias("spans"),
         many(lambda s: s["live"]).alias("n_live"), many(lambda s: ~s["live"]).alias("n_example"))
