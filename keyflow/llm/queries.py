@@ -10,12 +10,14 @@ from keyflow.llm.quality import op4_quality_rules
 from keyflow.llm.secrets import op10_secret_scan
 from keyflow.llm.simhash import op3_simhash_neardup
 from keyflow.llm.urlfilter import op8_url_filter
+from keyflow.llm.warc import op5_warc_bundles
 
 QUERIES = {
     "op1_license_scan": op1_license_scan,
     "op2_sentencepiece": op2_sentencepiece,
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_quality_rules": op4_quality_rules,
+    "op5_warc_bundles": op5_warc_bundles,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
