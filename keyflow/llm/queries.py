@@ -7,6 +7,7 @@ from keyflow.llm.licenses import op1_license_scan
 from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
+from keyflow.llm.rans import op6_rans_tokens
 from keyflow.llm.secrets import op10_secret_scan
 from keyflow.llm.simhash import op3_simhash_neardup
 from keyflow.llm.urlfilter import op8_url_filter
@@ -18,6 +19,7 @@ QUERIES = {
     "op3_simhash_neardup": op3_simhash_neardup,
     "op4_quality_rules": op4_quality_rules,
     "op5_warc_bundles": op5_warc_bundles,
+    "op6_rans_tokens": op6_rans_tokens,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
