@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from keyflow.llm.imi import op7_imi_search
 from keyflow.llm.licenses import op1_license_scan
 from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.pieces import op2_sentencepiece
@@ -20,6 +21,7 @@ QUERIES = {
     "op4_quality_rules": op4_quality_rules,
     "op5_warc_bundles": op5_warc_bundles,
     "op6_rans_tokens": op6_rans_tokens,
+    "op7_imi_search": op7_imi_search,
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
