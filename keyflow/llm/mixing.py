@@ -188,17 +188,17 @@ def mixed_documents(docs: DataFrame, seed: int = 0, text_col: str = "text", id_c
     _, mix = mixture(rows, seed)
     full = F.ceil(F.col("size") / BLOCK)
     plan = (mix.groupBy("rid", "round").agg(F.array_sort(F.collect_list("block")).alias("blocks"))
-            .join(rows, "rid").select("rid", "__k1", "__k2", "round",
-                                      F.when(F.size("blocks") < full, F.col("blocks")).alias("blocks")))
+            .join(rows, "rid")
+            .select("__k1", "__k2", F.when(F.size("blocks") < full, F.col("blocks")).alias("__blocks")))
     text = text_of(text_col)
     keyed = docs.select("*", *content_key(*[text if c == text_col else F.col(f"`{c}`") for c in names]))
     out = keyed.dropDuplicates(["__k1", "__k2"]).join(plan, ["__k1", "__k2"])
     cut = F.regexp_extract_all(text, F.lit(rf"(?s)(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{1,{BLOCK}}}+"), F.lit(0))
-    partial = F.array_join(F.transform("blocks", lambda i: F.element_at(cut, (i + 1).cast("int"))), "")
-    out = out.withColumn("__text", F.when(F.col("blocks").isNull(), F.col(text_col)).otherwise(partial))
+    partial = F.array_join(F.transform("__blocks", lambda i: F.element_at(cut, (i + 1).cast("int"))), "")
+    out = out.withColumn("__text", F.when(F.col("__blocks").isNull(), F.col(text_col)).otherwise(partial))
     changed = {text_col: F.col("__text")}
     if "n_chars" in names:
-        changed["n_chars"] = F.when(F.col("blocks").isNull(), F.col("n_chars")).otherwise(
+        changed["n_chars"] = F.when(F.col("__blocks").isNull(), F.col("n_chars")).otherwise(
             F.length("__text").cast(docs.schema["n_chars"].dataType))
     return out.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in names])
 

@@ -155,14 +155,16 @@ def remove_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = [F.col(f"`{c}`") for c in docs.columns]
     some = (docs.where(suspect).select(*names, *content_key(F.col(id_col), text))
             .join(findings, ["__k1", "__k2"], "left"))
-    new = text
+    def put(x):
+        cut = F.concat(F.substring(x["hit"], F.lit(1), F.length(x["hit"]) - F.length(x["value"])), F.lit(MASK))
+        return F.concat(x["gap"], F.when(F.array_contains(F.col("__live"), x["value"]), cut)
+                        .otherwise(F.coalesce(x["hit"], F.lit(""))))
+    # one column after the other: an expression that holds the last one thrice would grow as 3 to the kinds
+    some = some.withColumn("__new", F.col(text_col))
     for k in KINDS:
-        def put(x):
-            cut = F.concat(F.substring(x["hit"], F.lit(1), F.length(x["hit"]) - F.length(x["value"])), F.lit(MASK))
-            return F.concat(x["gap"], F.when(F.array_contains(F.col("__live"), x["value"]), cut)
-                            .otherwise(F.coalesce(x["hit"], F.lit(""))))
-        new = F.array_join(F.transform(_pieces(new, k), put), "")
-    some = some.withColumn("__new", F.when(F.col("__live").isNotNull(), new).otherwise(F.col(text_col)))
+        some = some.withColumn("__new", F.when(
+            F.col("__live").isNotNull(), F.array_join(F.transform(_pieces(F.col("__new"), k), put), ""))
+            .otherwise(F.col("__new")))
     changed = {text_col: F.col("__new")}
     if "n_chars" in docs.columns:
         changed["n_chars"] = F.when(F.col("__live").isNotNull(), F.length("__new").cast(docs.schema["n_chars"].dataType)
