@@ -1,0 +1,74 @@
+import hashlib
+import re
+
+from llm_cases import SF, no_docs, odd_docs, on_tables
+from pyspark.sql import functions as F
+
+from keyflow.llm.secrets import MASK, op10_secret_scan, remove_live, scan
+
+ASSIGN = re.compile(r"""((?i:password|passwd|secret|token|api_?key))["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""")
+
+
+def base(text):
+    out = [(m.start(), 0, m.end(), "assign") for m in ASSIGN.finditer(text) if len(m[2]) >= 8]
+    out += [(m.start(), 1, m.end(), "access") for m in re.finditer("AKIA[A-Z0-9]+", text) if len(m[0]) >= 16]
+    out += [(m.start(), 2, m.end(), "hex") for m in re.finditer("[0-9a-f]+", text) if len(m[0]) >= 32]
+    return sorted(out)
+
+
+def check(spark, folder):
+    texts = [(r.doc_id, r.text) for r in spark.read.parquet(f"{folder}/documents.parquet").collect()]
+    rows = op10_secret_scan(spark, folder).collect()
+    want = []
+    for i, t in texts:
+        b = base(t or "")
+        listed = ",".join(f"{k}:{s}:{e}" for s, _, e, k in b)
+        want.append((i, *[sum(x[1] == n for x in b) for n in range(3)], hashlib.sha256(listed.encode()).hexdigest()))
+    assert sorted(((r.doc_id, r.n_assign, r.n_access, r.n_hex, r.base_sha256) for r in rows), key=repr) == sorted(want, key=repr)
+    return rows
+
+
+def test_base_against_brute_force(spark):
+    check(spark, SF)
+
+
+def test_odd_rows(spark, tmp_path):
+    check(spark, on_tables(spark, tmp_path / "a", documents=odd_docs(spark)))
+    assert check(spark, on_tables(spark, tmp_path / "b", documents=no_docs(spark))) == []
+
+
+HEX = "".join(f"{(i * 7) % 16:x}" for i in range(40))
+TEXTS = [
+    "token=secret: abcdefghijkl", "é𝄞 PassWord : 'aB3$' passwd=aB3xYz90Q api-key=no API_KEY=zzzzYYYY1", "token==abcdefgh",
+    f"x{HEX} y", "AKIAABCDEFGHIJKL AKIA1 AKIAAKIAABCDEFGH", "token: a token: bcdefghi" * 50, "secret" * 30 + "=" * 9,
+    "gh ghp_" + "a1B2" * 9 + " end", "postgres://user:s3cr3tPassw0rd@host/db", "token = example_token_value",
+]
+
+
+def test_hard_texts_and_live_or_copied(spark, tmp_path):
+    rows = [(i, t, f"s{i % 4}") for i, t in enumerate(TEXTS)]
+    rows += [(100 + i, "token = Qw3rTy77zZ00aa", f"o{i % 9}") for i in range(30)]   # a copied example
+    rows += [(200, "password=uN1que9Value88", "p"), (200, "password=uN1que9Value88", "p"), (201, "nothing", None)]
+    df = spark.createDataFrame(rows, "doc_id bigint, text string, source string")
+    got = {r.doc_id: r for r in check(spark, on_tables(spark, tmp_path, documents=df))}
+    assert (got[100].n_live, got[100].n_example) == (0, 1) and (got[200].n_live, got[200].n_example) == (1, 0)
+    assert "forge:3:43" in got[7].spans and "url:0:30" in got[8].spans and got[9].n_live == 0
+    clean = {r.doc_id: r.text for r in remove_live(df).collect()}
+    assert clean[200] == f"password={MASK}" and clean[100] == "token = Qw3rTy77zZ00aa" and clean[201] == "nothing"
+    assert clean[8] == f"postgres://user:{MASK}@host/db"
+
+
+def test_removal_keeps_rows_and_columns(spark):
+    df = odd_docs(spark)
+    out = remove_live(df)
+    assert out.columns == df.columns and out.count() == df.count()
+    changed = out.join(df.select("doc_id", F.col("text").alias("old")).distinct(), "doc_id").where("text <> old").collect()
+    assert [r.doc_id for r in changed] == [7] and changed[0].n_chars == len(changed[0].text)
+    assert remove_live(no_docs(spark)).count() == 0
+
+
+def test_hot_value_is_counted_by_owner(spark):
+    df = spark.range(3000).select(F.col("id").alias("doc_id"), F.lit("token = hotVALUE12345x").alias("text"),
+                                  (F.col("id") % 5).cast("string").alias("source"))
+    spans = scan(df).select(F.explode("spans").alias("s")).select("s.*").distinct().collect()
+    assert len(spans) == 1 and (spans[0].n_repos, spans[0].n_owners, spans[0].live) == (3000, 5, False)
