@@ -38,7 +38,9 @@ def floor_div(col: Column | str, n: int) -> Column:
     """Exact integer floor division of a BIGINT by a positive constant."""
     c = F.col(col) if isinstance(col, str) else col
     d = F.lit(int(n)).cast("bigint")
-    return ((c - F.pmod(c, d)) / d).cast("bigint")
+    c = c.cast("bigint")
+    # integral division (a double would round above 2^53) truncates towards zero
+    return F.call_function("div", c, d) - F.when(c % d < 0, F.lit(1)).otherwise(F.lit(0)).cast("bigint")
 
 
 def ms_literal(duration_ms: int) -> Column:

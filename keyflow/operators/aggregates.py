@@ -46,29 +46,42 @@ def filter_counts(counts: DataFrame, predicate: Column) -> DataFrame:
     return counts.filter(predicate)
 
 
+def ordered_concat(order_col: str, text_col: str) -> Column:
+    items = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"), F.col(text_col).alias("t"))))
+    return F.array_join(F.transform(items, lambda x: x["t"]), "")
+
+
+def cogroup_fold_parts(first: DataFrame, second: DataFrame, first_piece: Column, second_piece: Column,
+                       chunk_rows: int = 1 << 16) -> DataFrame:
+    """The co-grouped fold as ordered parts ``(key, chunk, part)``.
+
+    A part folds the pieces of ``chunk_rows`` arrival positions, so a hot key is
+    split over tasks that sort at most so many pieces each; the fold of a key is
+    its initial value and its parts in chunk order. The form for keys whose
+    whole fold would not fit a row.
+    """
+    return fold_parts(first.select("key", "seq", first_piece.alias("piece"))
+                      .unionByName(second.select("key", "seq", second_piece.alias("piece"))), chunk_rows)
+
+
+def fold_parts(pieces: DataFrame, chunk_rows: int = 1 << 16) -> DataFrame:
+    """Pieces (key, seq, piece) folded per key and chunk of arrival positions."""
+    pieces = _no_null_keys(pieces).filter(F.col("piece").isNotNull())
+    return (pieces.withColumn("chunk", floor_div("seq", chunk_rows))
+            .groupBy("key", "chunk").agg(ordered_concat("seq", "piece").alias("part")))
+
+
 def cogroup_fold(first: DataFrame, second: DataFrame, first_piece: Column,
                  second_piece: Column, initial: str = COGROUP_INITIAL,
                  chunk_rows: int = 1 << 16) -> DataFrame:
     """Co-grouped string fold of two streams, applied in arrival (``seq``) order.
 
     ``agg = initial; for each record of either stream in seq order:
-    agg = agg + piece``. The fold is order-sensitive, so it is an ordered
-    concatenation: first per ``(key, seq // chunk_rows)`` (a hot key is split
-    across many tasks, each sorting at most ``chunk_rows`` pieces), then per
-    key over the already-concatenated chunks in chunk order.
+    agg = agg + piece``: the parts of ``cogroup_fold_parts``, joined per key. A
+    key's result is one string by definition.
     """
-    pieces = (first.select("key", "seq", first_piece.alias("piece"))
-              .unionByName(second.select("key", "seq", second_piece.alias("piece"))))
-    pieces = _no_null_keys(pieces).filter(F.col("piece").isNotNull())
-
-    def ordered_concat(order_col: str, text_col: str) -> Column:
-        items = F.array_sort(F.collect_list(F.struct(F.col(order_col).alias("o"),
-                                                     F.col(text_col).alias("t"))))
-        return F.array_join(F.transform(items, lambda x: x["t"]), "")
-
-    chunks = (pieces.withColumn("chunk", floor_div("seq", chunk_rows))
-              .groupBy("key", "chunk").agg(ordered_concat("seq", "piece").alias("part")))
-    folded = chunks.groupBy("key").agg(ordered_concat("chunk", "part").alias("folded"))
+    parts = cogroup_fold_parts(first, second, first_piece, second_piece, chunk_rows)
+    folded = parts.groupBy("key").agg(ordered_concat("chunk", "part").alias("folded"))
     return folded.select("key", F.concat(F.lit(initial), F.col("folded")).alias("value"))
 
 

@@ -15,8 +15,8 @@ from pyspark.sql import functions as F
 from keyflow.functions.text import key_chars_upper
 
 # Fixed values of the reference's branch operator: predicates in order,
-# first match wins, default branch last.
-BRANCHES = (("lt-25", 25), ("lt-50", 50))
+# first match wins, default branch last; 25 and 50 units, values are in cents.
+BRANCHES = (("lt-25", 2500), ("lt-50", 5000))
 DEFAULT_BRANCH = "unfiltered"
 # Fixed value: flatMapValues multiplies by 10^i for i = 1..3.
 SCALE_EXPONENTS = (1, 3)
@@ -89,6 +89,9 @@ def repartition_by_key(df: DataFrame, num_partitions: int) -> DataFrame:
     return df.repartition(num_partitions, "key")
 
 
+TAP_SCHEMA = "records bigint, max_value bigint, max_ms bigint"
+
+
 def observe_tap(df: DataFrame, name: str = "tap") -> tuple[DataFrame, Observation]:
     """Side-effect tap (``peek``/logging processor) as metrics, not prints.
 

@@ -13,11 +13,6 @@ from pyspark.sql import functions as F
 
 from keyflow.functions.text import joiner_text
 
-# Largest replicated table we ship to every task; beyond it the lookup
-# falls back to a shuffled join.
-BROADCAST_MAX_ROWS = 1_000_000
-
-
 def tombstone(df: DataFrame, when: Column) -> DataFrame:
     """Turn matching records into deletes (value → null)."""
     return df.withColumn("value", F.when(when, F.lit(None)).otherwise(F.col("value")))
@@ -39,42 +34,30 @@ def table_agg_add_subtract(changelog: DataFrame, group_key: Column | None = None
     """Table re-group + ``aggregate(() -> 0, adder, subtractor)``.
 
     Each key contributes its current value to its group: adder on insert,
-    subtractor of the old value on update/delete. Recomputed from state: a
-    group is the sum of the live values of its members; a group whose members
-    were all deleted stays with 0; a key that never had a non-null value never
-    reached the aggregate and yields no row.
+    subtractor of the old value on update/delete, from the group it was in.
+    ``group_key`` (over ``key`` and ``value``) may follow the value, so a key
+    can move. Recomputed from state: a group is the sum of the live values of
+    its present members; a group that had a member once and has none now stays
+    with 0; a key that never had a non-null value makes no group.
     """
-    per_key = (changelog.filter(F.col("key").isNotNull())
-               .groupBy("key")
-               .agg(F.max_by("value", "seq").alias("value"),
-                    F.count("value").alias("n_values")))
-    live = per_key.filter(F.col("n_values") > 0)
     g = F.col("key") if group_key is None else group_key
-    return (live.withColumn("group", g).groupBy("group")
-            .agg(F.coalesce(F.sum("value"), F.lit(0)).cast("bigint").alias("total"))
-            .withColumnRenamed("group", "key"))
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
-    """Broadcast hint only after proving the side has at most ``max_rows`` rows.
-
-    The check is a ``limit(max_rows + 1).count()`` (stops early on a large
-    input). Above the bound the frame is returned as is and the join shuffles
-    (AQE may still switch to broadcast from runtime statistics).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    seen = (changelog.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
+            .select(g.alias("group")).filter(F.col("group").isNotNull()).distinct())
+    live = table_latest(changelog).select(g.alias("group"), "value").groupBy("group").agg(
+        F.sum("value").cast("bigint").alias("total"))
+    return (seen.join(live, "group", "left")
+            .select(F.col("group").alias("key"), F.coalesce("total", F.lit(0)).cast("bigint").alias("total")))
 
 
-def global_table_lookup(stream: DataFrame, table: DataFrame, lookup_key: Column,
-                        how: str = "left", max_rows: int = BROADCAST_MAX_ROWS) -> DataFrame:
+def global_table_lookup(stream: DataFrame, table: DataFrame, lookup_key: Column, how: str = "left") -> DataFrame:
     """Stream-to-replicated-table lookup (GlobalKTable join).
 
-    ``table`` is the current state of a changelog (``key, value``). It is
-    replicated to every task only when its size is proven small.
+    ``table`` is the current state of a changelog (``key, value``). A plain
+    equi-join: Spark replicates the table below its byte threshold
+    (``spark.sql.autoBroadcastJoinThreshold``, or at run time from the real
+    size) and shuffles above it.
     """
-    right = bounded_broadcast(table.select(F.col("key").alias("_tkey"),
-                                           F.col("value").alias("table_value")), max_rows)
+    right = table.select(F.col("key").alias("_tkey"), F.col("value").alias("table_value"))
     joined = stream.withColumn("_lk", lookup_key).join(
         right, F.col("_lk") == F.col("_tkey"), how)
     return joined.drop("_tkey").withColumnRenamed("_lk", "lookup_key")

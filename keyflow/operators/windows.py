@@ -78,10 +78,12 @@ def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None
     Batch uses a two-level plan, because the built-in batch plan ships every
     record of a key to one task: (1) hash-partition by ``(key, time bucket)``
     and cut each bucket into partial sessions where ``ms - previous > gap``;
-    (2) merge the partial sessions of a key in start order with the same rule
-    (they are disjoint and sorted, so the previous end is the running end).
-    Only partial sessions — at most sessions + buckets per key — reach the
-    per-key step.
+    (2) merge the partial sessions that lie within ``gap`` of a bucket border,
+    in start order with the same rule (they are disjoint and sorted, so the
+    previous end is the running end); all others are whole already. Records of
+    one key and time are combined before, map-side too, so a bucket holds at
+    most one row for each of its milliseconds, and at most two partial sessions
+    of a bucket reach the per-key step.
     """
     df = _keyed(df, kind, skip_null_values=False)
     if df.isStreaming:
@@ -93,22 +95,28 @@ def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None
             F.min("ms").alias("window_start"), F.max("ms").alias("window_end"), *_aggs(kind))
         return out.drop("w")
     gap = int(gap_ms)
-    width = int(bucket_ms) if bucket_ms else max(8 * gap, 86_400_000)
-    agg_col = F.count(F.lit(1)) if kind == COUNT else F.sum("value")
-    x = df.select("key", "ms", "value").withColumn("bucket", floor_div("ms", width))
+    width = int(bucket_ms) if bucket_ms else max(4 * gap, 1)
+    value = F.lit(None).cast("bigint") if kind == COUNT else F.col("value")
+    x = (df.groupBy("key", "ms").agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("v"))
+         .withColumn("bucket", floor_div("ms", width)))
     in_bucket = Window.partitionBy("key", "bucket").orderBy("ms")
     x = x.withColumn("_brk", F.when(F.col("ms") - F.lag("ms").over(in_bucket) <= F.lit(gap), 0).otherwise(1))
     x = x.withColumn("_local", F.sum("_brk").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
     partial = x.groupBy("key", "bucket", "_local").agg(
-        F.min("ms").alias("p_start"), F.max("ms").alias("p_end"), agg_col.alias("p_agg"))
+        F.min("ms").alias("p_start"), F.max("ms").alias("p_end"), F.sum("n").alias("n"), F.sum("v").alias("v"))
+    # a partial session further than the gap from both borders is whole
+    low = F.col("bucket") * F.lit(width)
+    border = (F.col("p_start") - F.lit(gap) < low) | (F.col("p_end") + F.lit(gap) >= low + F.lit(width))
+    name = "cnt" if kind == COUNT else "total"
+    out = ["key", F.col("p_start").alias("window_start"), F.col("p_end").alias("window_end"),
+           F.col("n" if kind == COUNT else "v").cast("bigint").alias(name)]
     per_key = Window.partitionBy("key").orderBy("p_start")
-    merged = partial.withColumn(
+    merged = partial.filter(border).withColumn(
         "_brk", F.when(F.col("p_start") - F.lag("p_end").over(per_key) <= F.lit(gap), 0).otherwise(1))
     merged = merged.withColumn("_sid", F.sum("_brk").over(per_key.rowsBetween(Window.unboundedPreceding, 0)))
-    name = "cnt" if kind == COUNT else "total"
-    return merged.groupBy("key", "_sid").agg(
-        F.min("p_start").alias("window_start"), F.max("p_end").alias("window_end"),
-        F.sum("p_agg").cast("bigint").alias(name)).drop("_sid")
+    merged = merged.groupBy("key", "_sid").agg(F.min("p_start").alias("p_start"), F.max("p_end").alias("p_end"),
+                                               F.sum("n").alias("n"), F.sum("v").alias("v"))
+    return partial.filter(~border).select(*out).unionByName(merged.select(*out))
 
 
 def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | None = None) -> DataFrame:
@@ -118,62 +126,51 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
     window ``[t+1, t+1+d]`` exists iff a later record falls in it. Windows
     with the same start are the same window.
 
-    Plan: points are hash-partitioned by ``(key, time bucket)`` — a hot key is
-    spread over its buckets. Each point is copied into the neighbouring bucket
-    when it lies within ``d+1`` of the border (halo), so every frame below sees
-    all the points it needs inside its own partition. Two bounded RANGE frames
-    give the left and right windows; the right window is emitted only when no
-    point sits exactly at its end (otherwise it is that point's left window),
-    so every window has exactly one owner and no ``distinct`` shuffle is
-    needed. One shuffle in total.
+    Plan: records of one key and time are combined first (map-side too). Points
+    are hash-partitioned by ``(key, time bucket)``, so a hot key is spread over
+    its buckets, and a point near a border is copied into the neighbouring
+    bucket (halo), so every bucket sees all it needs. A point adds its value at
+    ``t`` and takes it away at ``t+d+1``: one running sum over these rows, linear
+    in their number however dense the key, is the left window at the first row
+    and the right window at the second. A right window is emitted only when no
+    point sits exactly at its end (else it is that point's left window), so
+    every window has exactly one owner.
     """
     d = int(diff_ms)
     width = int(bucket_ms) if bucket_ms else max(8 * (d + 1), 3_600_000)
     if width < d + 1:
         raise ValueError("bucket width must be at least diff + 1 ms")
-    pts = _keyed(df, kind, skip_null_values=True).select("key", "ms", "value", "seq")
+    value = F.lit(None).cast("bigint") if kind == COUNT else F.col("value")
+    pts = (_keyed(df, kind, skip_null_values=True).groupBy("key", "ms")
+           .agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("v")))
     b = floor_div("ms", width)
     lo = b * F.lit(width)
-    copy = lambda bucket, own: F.struct(bucket.alias("bucket"), F.lit(own).alias("own"))
+
+    def copy(bucket, own):
+        return F.struct(bucket.alias("bucket"), F.lit(own).alias("own"))
+    none = F.array().cast("array<struct<bucket:bigint,own:boolean>>")
     copies = F.concat(
         F.array(copy(b, True)),
-        F.when(F.col("ms") >= lo + F.lit(width - d), F.array(copy(b + 1, False)))
-         .otherwise(F.array().cast("array<struct<bucket:bigint,own:boolean>>")),
-        F.when(F.col("ms") <= lo + F.lit(d), F.array(copy(b - 1, False)))
-         .otherwise(F.array().cast("array<struct<bucket:bigint,own:boolean>>")),
-    )
-    x = pts.select("key", "ms", "value", "seq", F.explode(copies).alias("c")).select(
-        "key", "ms", "value", "seq", F.col("c.bucket").alias("bucket"), F.col("c.own").alias("own"))
-
-    part = Window.partitionBy("key", "bucket").orderBy("ms")
-    left = part.rangeBetween(-d, 0)
-    right = part.rangeBetween(1, d + 1)
-    at_end = part.rangeBetween(d + 1, d + 1)
-    peers = part.rangeBetween(0, 0)  # records of the same key and ms
-    if kind == COUNT:
-        lv, rv = F.count(F.lit(1)).over(left), F.count(F.lit(1)).over(right)
-    else:
-        lv, rv = F.sum("value").over(left), F.sum("value").over(right)
-    r_cnt = F.count(F.lit(1)).over(right)
-    y = (x.withColumn("l_agg", lv)
-         .withColumn("r_cnt", r_cnt)
-         .withColumn("r_agg", r_cnt if kind == COUNT else rv)
-         .withColumn("end_cnt", F.count(F.lit(1)).over(at_end))
-         .withColumn("first_seq", F.min("seq").over(peers))
-         # one owner per distinct ms: the same sort serves every frame
-         .filter(F.col("own") & (F.col("seq") == F.col("first_seq"))))
-    wtype = "array<struct<window_start:bigint,window_end:bigint,agg:bigint>>"
-    win = lambda s, a: F.struct(s.alias("window_start"), (s + F.lit(d)).alias("window_end"),
-                                a.cast("bigint").alias("agg"))
-    windows = F.concat(
-        F.array(win(F.col("ms") - F.lit(d), F.col("l_agg"))),
-        F.when((F.col("r_cnt") > 0) & (F.col("end_cnt") == 0),
-               F.array(win(F.col("ms") + F.lit(1), F.col("r_agg"))))
-         .otherwise(F.array().cast(wtype)),
+        F.when(F.col("ms") >= lo + F.lit(width - d), F.array(copy(b + 1, False))).otherwise(none),
+        F.when(F.col("ms") <= lo + F.lit(d), F.array(copy(b - 1, False))).otherwise(none),
     )
+    x = pts.select("key", "ms", "n", "v", F.explode(copies).alias("c")).select(
+        "key", "ms", "n", "v", "c.bucket", "c.own")
+    comes = F.struct(F.col("ms").alias("at"), F.lit(True).alias("comes"), F.col("n"), F.col("v"))
+    goes = F.struct((F.col("ms") + F.lit(d + 1)).alias("at"), F.lit(False).alias("comes"), (-F.col("n")).alias("n"),
+                    (-F.col("v")).alias("v"))
+    steps = x.select("key", "bucket", "own", F.explode(F.array(comes, goes)).alias("s")).select(
+        "key", "bucket", "own", "s.*")
+    part = Window.partitionBy("key", "bucket").orderBy("at")
+    so_far = part.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal times included
+    here = part.rangeBetween(Window.currentRow, Window.currentRow)            # two rows at most
     name = "cnt" if kind == COUNT else "total"
-    return (y.select("key", F.explode(windows).alias("w"))
-            .select("key", "w.window_start", "w.window_end", F.col("w.agg").alias(name)))
+    held = F.col("held") if kind == COUNT else F.sum("v").over(so_far)
+    y = (steps.withColumn("held", F.sum("n").over(so_far)).withColumn(name, held)
+         .withColumn("point", F.max("comes").over(here)))
+    owner = F.col("own") & (F.col("comes") | ((F.col("held") > 0) & ~F.col("point")))
+    return y.filter(owner).select("key", (F.col("at") - F.lit(d)).alias("window_start"),
+                                  F.col("at").alias("window_end"), F.col(name).cast("bigint").alias(name))
 
 
 def running_stream_time(df: DataFrame, arrival: Column, tiebreak: Column,
@@ -203,13 +200,17 @@ def running_stream_time(df: DataFrame, arrival: Column, tiebreak: Column,
 
 def late_drop_exact(df: DataFrame, size_ms: int, grace_ms: int, arrival: Column,
                     tiebreak: Column, source_partition: Column | None = None,
-                    chunk_rows: int = 1 << 20) -> DataFrame:
-    """Tumbling count with the reference's per-record late rule: a record is
-    dropped when ``window_end + grace <= stream_time`` (stream time advanced
-    per record, per source partition, in arrival order)."""
+                    chunk_rows: int = 1 << 20, advance_ms: int | None = None) -> DataFrame:
+    """Tumbling (or, with ``advance_ms``, hopping) count with the reference's
+    per-record late rule: a record is left out of a window when
+    ``window_end + grace <= stream_time`` (stream time advanced per record, per
+    source partition, in arrival order)."""
+    advance = int(advance_ms or size_ms)
     x = running_stream_time(_keyed(df, COUNT, False), arrival, tiebreak, source_partition, chunk_rows)
-    start = floor_div("ms", size_ms) * F.lit(size_ms)
-    kept = x.withColumn("window_start", start.cast("bigint")).filter(
-        F.col("window_start") + F.lit(size_ms + grace_ms) > F.col("stream_time"))
+    newest = floor_div("ms", advance) * F.lit(advance)
+    starts = F.array(*[newest - F.lit(k * advance) for k in range(-(-int(size_ms) // advance))])
+    kept = x.withColumn("window_start", F.explode(starts)).filter(
+        (F.col("window_start") + F.lit(size_ms) > F.col("ms"))
+        & (F.col("window_start") + F.lit(size_ms + grace_ms) > F.col("stream_time")))
     return (kept.groupBy("key", "window_start").agg(F.count(F.lit(1)).alias("cnt"))
             .select("key", "window_start", (F.col("window_start") + F.lit(size_ms)).alias("window_end"), "cnt"))

@@ -17,7 +17,7 @@ from keyflow.functions.time import iso_instant
 from keyflow.operators import aggregates as agg
 from keyflow.operators import joins, stateless, tables, windows
 from keyflow.plans import params as P
-from keyflow.sources.records import event_records, load_table, spread
+from keyflow.sources.records import event_records, load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -49,7 +49,7 @@ def select_key_length(spark, sf_dir):
 
 
 def filter_map_upper(spark, sf_dir):
-    docs = spread(load_table(spark, sf_dir, "documents").select("doc_id", "text"))
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
     toks = agg.tokens(docs, "doc_id")
     kept = stateless.filter_records(toks, F.length("value") > F.lit(P.MIN_VALUE_LENGTH))
     return stateless.map_values(kept, F.upper("value")).select("key", "value")
@@ -100,8 +100,11 @@ def branch_counts(spark, sf_dir):
 
 
 def observe_metrics(spark, sf_dir):
-    out, _obs = stateless.observe_tap(_events(spark, sf_dir), "events_tap")
-    return out.select("key", "value", "ms", "seq")
+    """What the tap saw, as a row; the records it passed on go to a noop sink."""
+    out, seen = stateless.observe_tap(_events(spark, sf_dir), "events_tap")
+    out.write.format("noop").mode("overwrite").save()
+    return spark.createDataFrame([tuple(seen.get[k] for k in ("records", "max_value", "max_ms"))],
+                                 stateless.TAP_SCHEMA)
 
 
 # ---------------------------------------------------------------- tables
@@ -118,6 +121,11 @@ def table_agg_add_subtract(spark, sf_dir):
     return tables.table_agg_add_subtract(_user_changelog(spark, sf_dir))
 
 
+def table_regroup_sum(spark, sf_dir):
+    """Users re-grouped by the last digit of their current value, summed."""
+    return tables.table_agg_add_subtract(_user_changelog(spark, sf_dir), F.col("value") % F.lit(10))
+
+
 def table_filter_counts(spark, sf_dir):
     counts = agg.count_by_key(_events(spark, sf_dir))
     return agg.filter_counts(counts, F.col("key") == F.lit(P.FILTER_KEY))
@@ -151,18 +159,25 @@ def fk_join_orders(spark, sf_dir):
 
 
 # ---------------------------------------------------------------- aggregations
-def cogroup_fold(spark, sf_dir):
+def _fold_inputs(spark, sf_dir):
     recs = _events(spark, sf_dir, key="user_id",
                    extra={"event_type": F.col("event_type"), "props": F.col("props")})
     clicks = recs.filter(F.col("event_type") == "click")
     views = recs.filter(F.col("event_type") == "view")
-    return agg.cogroup_fold(clicks, views,
-                            F.concat(F.lit(agg.COGROUP_FIRST), F.col("value").cast("string")),
-                            F.concat(F.lit(agg.COGROUP_SECOND), F.col("props")))
+    return (clicks, views, F.concat(F.lit(agg.COGROUP_FIRST), F.col("value").cast("string")),
+            F.concat(F.lit(agg.COGROUP_SECOND), F.col("props")))
+
+
+def cogroup_fold(spark, sf_dir):
+    return agg.cogroup_fold(*_fold_inputs(spark, sf_dir))
+
+
+def cogroup_fold_parts(spark, sf_dir):
+    return agg.cogroup_fold_parts(*_fold_inputs(spark, sf_dir), chunk_rows=P.FOLD_CHUNK)
 
 
 def word_count(spark, sf_dir):
-    return agg.word_count(spread(load_table(spark, sf_dir, "documents").select("text")))
+    return agg.word_count(load_table(spark, sf_dir, "documents").select("text"))
 
 
 # ---------------------------------------------------------------- windows
@@ -185,7 +200,7 @@ def sliding_count(spark, sf_dir):
 
 
 def sliding_sum(spark, sf_dir):
-    return windows.sliding(_events(spark, sf_dir, key="user_id"), P.SLIDING_DIFF, windows.SUM)
+    return windows.sliding(_events(spark, sf_dir, key="user_id"), P.SLIDING_SUM_DIFF, windows.SUM)
 
 
 def session_count(spark, sf_dir):
@@ -207,18 +222,26 @@ def window_key_text(spark, sf_dir):
 
 def session_key_text(spark, sf_dir):
     """Session sum re-keyed to ``key - start:<instant> end:<instant>``."""
-    w = session_sum(spark, sf_dir)
+    return _bounds_text(session_sum(spark, sf_dir))
+
+
+def sliding_key_text(spark, sf_dir):
+    """Sliding sum re-keyed to ``key - start:<instant> end:<instant>``."""
+    return _bounds_text(sliding_sum(spark, sf_dir))
+
+
+def _bounds_text(w):
     text = F.format_string(SESSION_KEY_FORMAT, F.col("key").cast("string"),
                            iso_instant("window_start"), iso_instant("window_end"))
     return w.select(text.alias("key"), F.col("total").alias("value"))
 
 
-def _late(grace_ms):
+def _late(grace_ms, size_ms=P.TUMBLING_COUNT_SIZE, advance_ms=None):
     def q(spark, sf_dir):
         recs = _events(spark, sf_dir)
         # Arrival order is a deterministic shuffle of event order (ties by id).
         arrival = F.col("seq") + (F.col("seq") * F.lit(7919)) % F.lit(151)
-        return windows.late_drop_exact(recs, P.TUMBLING_COUNT_SIZE, grace_ms, arrival, F.col("seq"))
+        return windows.late_drop_exact(recs, size_ms, grace_ms, arrival, F.col("seq"), advance_ms=advance_ms)
     return q
 
 
@@ -248,11 +271,13 @@ QUERIES: dict[str, Query] = {
     "observe_metrics": observe_metrics,
     "table_latest": table_latest,
     "table_agg_add_subtract": table_agg_add_subtract,
+    "table_regroup_sum": table_regroup_sum,
     "table_filter_counts": table_filter_counts,
     "global_table_lookup": global_table_lookup,
     "fk_join": fk_join,
     "fk_join_orders": fk_join_orders,
     "cogroup_fold": cogroup_fold,
+    "cogroup_fold_parts": cogroup_fold_parts,
     "word_count": word_count,
     "tumbling_count": tumbling_count,
     "tumbling_sum": tumbling_sum,
@@ -263,7 +288,9 @@ QUERIES: dict[str, Query] = {
     "session_sum": session_sum,
     "window_key_text": window_key_text,
     "session_key_text": session_key_text,
+    "sliding_key_text": sliding_key_text,
     **{name: _late(g) for name, g in P.LATE_GRACES.items()},
+    "late_drop_hopping": _late(P.LATE_HOPPING_GRACE, P.HOPPING_SIZE, P.HOPPING_ADVANCE),
     "ss_join_inner": _join(joins.INNER),
     "ss_join_left": _join(joins.LEFT),
     "ss_join_full": _join(joins.FULL),

@@ -84,6 +84,17 @@ FROM s WHERE (ms // {size}) * {size} + {size + grace} > st
 GROUP BY ALL"""
 
 
+def _late_hopping(grace: int) -> str:
+    size, adv = P.HOPPING_SIZE, P.HOPPING_ADVANCE
+    return R + f""", a AS (
+  SELECT event_type AS key, ms, seq, seq + (seq * 7919) % 151 AS arr FROM r),
+s AS (SELECT *, max(ms) OVER (ORDER BY arr, seq ROWS BETWEEN UNBOUNDED PRECEDING AND CURRENT ROW) AS st FROM a),
+w AS (SELECT key, ms, st, (ms // {adv}) * {adv} - k * {adv} AS window_start FROM s, range(0, {-(-size // adv)}) AS g(k))
+SELECT key, window_start, window_start + {size} AS window_end, count(*) AS cnt
+FROM w WHERE window_start + {size} > ms AND window_start + {size + grace} > st
+GROUP BY ALL"""
+
+
 def _join(kind: str) -> str:
     b = P.JOIN_BOUND
     key = "coalesce(l.key, x.key)" if kind.startswith("FULL") else "l.key"
@@ -113,9 +124,15 @@ def _session_text() -> str:
        total AS value FROM ({inner}) q"""
 
 
+def _sliding_text() -> str:
+    inner = _sliding(P.SLIDING_SUM_DIFF, "CAST(sum(e.cents) AS BIGINT)", "total")
+    return f"""SELECT CAST(key AS VARCHAR) || ' - start:' || {_iso('window_start')} || ' end:' || {_iso('window_end')} AS key,
+       total AS value FROM ({inner}) q"""
+
+
 ORACLE_SQL: dict[str, str] = {
     "stream_scan": R + "SELECT event_type AS key, cents AS value, ms, seq FROM r",
-    "observe_metrics": R + "SELECT event_type AS key, cents AS value, ms, seq FROM r",
+    "observe_metrics": R + "SELECT count(*) AS records, max(cents) AS max_value, max(ms) AS max_ms FROM r",
     "table_delete": R + "SELECT user_id AS key, CASE WHEN event_type = 'error' THEN NULL ELSE cents END AS value, seq FROM r",
     "select_key_length": R + "SELECT CAST(length(CAST(user_id AS VARCHAR)) AS BIGINT) AS key, cents AS value, seq FROM r",
     "filter_map_upper": "WITH " + _jvm_tokens("text", "doc_id")
@@ -129,12 +146,15 @@ FROM r, unnest(string_split(event_type, '')) AS u(c) WHERE c <> '' GROUP BY ALL"
     "count_by_key": R + "SELECT event_type AS key, count(cents) AS cnt FROM r GROUP BY ALL",
     "count_by_value_mod10": R + "SELECT cents % 10 AS key, count(*) AS cnt FROM r GROUP BY ALL",
     "branch_label": R + """SELECT event_type AS key, cents AS value, seq,
-       CASE WHEN cents < 25 THEN 'lt-25' WHEN cents < 50 THEN 'lt-50' ELSE 'unfiltered' END AS branch FROM r""",
-    "branch_counts": R + """SELECT CASE WHEN cents < 25 THEN 'lt-25' WHEN cents < 50 THEN 'lt-50' ELSE 'unfiltered' END AS branch,
+       CASE WHEN cents < 2500 THEN 'lt-25' WHEN cents < 5000 THEN 'lt-50' ELSE 'unfiltered' END AS branch FROM r""",
+    "branch_counts": R + """SELECT CASE WHEN cents < 2500 THEN 'lt-25' WHEN cents < 5000 THEN 'lt-50' ELSE 'unfiltered' END AS branch,
        count(*) AS cnt FROM r GROUP BY ALL""",
     "table_latest": CHANGELOG + "SELECT key, value FROM l WHERE rn = 1 AND value IS NOT NULL",
     "table_agg_add_subtract": CHANGELOG + """SELECT key, CAST(coalesce(value, 0) AS BIGINT) AS total FROM l
 WHERE rn = 1 AND key IN (SELECT key FROM t WHERE value IS NOT NULL)""",
+    "table_regroup_sum": CHANGELOG + """, g AS (SELECT DISTINCT value % 10 AS key FROM t WHERE value IS NOT NULL),
+s AS (SELECT value % 10 AS key, sum(value) AS total FROM l WHERE rn = 1 AND value IS NOT NULL GROUP BY ALL)
+SELECT g.key, CAST(coalesce(s.total, 0) AS BIGINT) AS total FROM g LEFT JOIN s USING (key)""",
     "table_filter_counts": R + f"SELECT event_type AS key, count(cents) AS cnt FROM r WHERE event_type = '{P.FILTER_KEY}' GROUP BY ALL",
     "global_table_lookup": R + f"""SELECT r.user_id AS key, r.seq, CAST(r.user_id % {P.FK_MODULUS} AS VARCHAR) AS lookup_key, n.n_name AS nation
 FROM r LEFT JOIN nation n ON CAST(r.user_id % {P.FK_MODULUS} AS VARCHAR) = CAST(n.n_nationkey AS VARCHAR)""",
@@ -150,17 +170,24 @@ FROM orders o JOIN customer c ON CAST(o.o_custkey AS VARCHAR) = CAST(c.c_custkey
   UNION ALL
   SELECT user_id AS key, seq, ' second ' || props AS piece FROM r WHERE event_type = 'view')
 SELECT key, ' ' || string_agg(piece, '' ORDER BY seq) AS value FROM pc GROUP BY key""",
+    "cogroup_fold_parts": R + f""", pc AS (
+  SELECT user_id AS key, seq, ' first ' || CAST(cents AS VARCHAR) AS piece FROM r WHERE event_type = 'click'
+  UNION ALL
+  SELECT user_id AS key, seq, ' second ' || props AS piece FROM r WHERE event_type = 'view')
+SELECT key, seq // {P.FOLD_CHUNK} AS chunk, string_agg(piece, '' ORDER BY seq) AS part FROM pc GROUP BY ALL""",
     "word_count": "WITH " + _jvm_tokens("lower(text)", None) + "SELECT tok AS word, count(*) AS cnt FROM jt GROUP BY tok",
     "tumbling_count": _tumbling("event_type", P.TUMBLING_COUNT_SIZE, "count(*)", "cnt"),
     "tumbling_sum": _tumbling("user_id", P.TUMBLING_SUM_SIZE, "CAST(sum(cents) AS BIGINT)", "total"),
     "hopping_count": _hopping("event_type", P.HOPPING_SIZE, P.HOPPING_ADVANCE),
     "sliding_count": _sliding(P.SLIDING_DIFF, "count(*)", "cnt"),
-    "sliding_sum": _sliding(P.SLIDING_DIFF, "CAST(sum(e.cents) AS BIGINT)", "total"),
+    "sliding_sum": _sliding(P.SLIDING_SUM_DIFF, "CAST(sum(e.cents) AS BIGINT)", "total"),
     "session_count": _session(P.SESSION_COUNT_GAP, "count(*)", "cnt"),
     "session_sum": _session(P.SESSION_SUM_GAP, "CAST(sum(cents) AS BIGINT)", "total"),
     "window_key_text": _window_text(),
     "session_key_text": _session_text(),
     **{name: _late(g) for name, g in P.LATE_GRACES.items()},
+    "late_drop_hopping": _late_hopping(P.LATE_HOPPING_GRACE),
+    "sliding_key_text": _sliding_text(),
     "ss_join_inner": _join("INNER"),
     "ss_join_left": _join("LEFT"),
     "ss_join_full": _join("FULL OUTER"),

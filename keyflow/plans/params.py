@@ -14,7 +14,8 @@ TUMBLING_SUM_SIZE = 100 * HOUR          # 10 s, no grace
 HOPPING_SIZE = 3 * HOUR                 # 300 ms
 HOPPING_ADVANCE = 2 * HOUR              # 200 ms
 HOPPING_GRACE = 10 * HOUR               # 1000 ms
-SLIDING_DIFF = 3 * HOUR                 # 300 ms (count); sum uses the same
+SLIDING_DIFF = 3 * HOUR                 # 300 ms (count)
+SLIDING_SUM_DIFF = 100 * HOUR           # 10 s
 SLIDING_SUM_GRACE = 50 * HOUR           # 5 min
 SESSION_COUNT_GAP = 3 * HOUR            # 300 ms
 SESSION_COUNT_GRACE = 10 * HOUR         # 1000 ms
@@ -26,6 +27,9 @@ MAX_STREAM_TICK = 100 * HOUR            # 10 s stream-time punctuation
 MAX_WALL_CLOCK_SECONDS = 60             # 60 s wall-clock punctuation
 LATE_GRACES = {"late_drop_exact": TUMBLING_COUNT_GRACE, "late_drop_exact_grace_1h": HOUR,
                "late_drop_exact_no_grace": 0}
+FOLD_CHUNK = 1 << 10                    # arrival positions per part of the ordered fold
+LATE_HOPPING_GRACE = HOUR               # small, so that records are late
+HIGH_SEED = 10 ** 12                    # above every value, so that an ignored seed shows
 REPARTITION_WIDTH = 6
 FK_MODULUS = 25                         # events → nation foreign key: user_id % 25
 FILTER_KEY = "click"                    # the reference filters its count table on "book"

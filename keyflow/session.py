@@ -60,12 +60,11 @@ def _checkpoint_root(spark: SparkSession) -> str:
     if not root and sc is not None:
         root = sc.getCheckpointDir()
     if not root:
-        # Unset: local runs and tests only. A cluster sets spark.checkpoint.dir
-        # to a shared folder and we never get here.
-        root = tempfile.mkdtemp(prefix="keyflow-ckpt-")
-        if sc is not None:
-            sc.setCheckpointDir(root)
-            root = sc.getCheckpointDir() or root
+        # local runs and tests only: one machine, so its temp folder is shared
+        if sc is None or not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
+        sc.setCheckpointDir(tempfile.mkdtemp(prefix="keyflow-ckpt-"))
+        root = sc.getCheckpointDir()
     return root
 
 
@@ -75,6 +74,11 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/keyflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def store_dir(spark: SparkSession, store: str) -> str:
+    """The folder of a named store (Materialized.as): the same for all who name it."""
+    return f"{_checkpoint_root(spark).rstrip('/')}/keyflow/stores/{store}"
+
+
 def ensure_streaming_state(spark: SparkSession) -> None:
     """transformWithState needs the RocksDB state store provider."""
     current = spark.conf.get("spark.sql.streaming.stateStore.providerClass", None)

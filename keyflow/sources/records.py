@@ -24,34 +24,18 @@ def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir.rstrip('/')}/{name}.parquet")
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Round-robin a scan that yields fewer splits than the cluster has cores.
-
-    A parquet row group is the smallest scan split, so a one-row-group file is
-    one task however large its texts are. For CPU-heavy per-row work (regex
-    tokenising of whole documents) we pay one shuffle of the raw rows to use
-    every core. A large input already has many splits and is left alone (the
-    split count is known at planning time; nothing is executed here).
-    """
-    try:
-        cores = df.sparkSession.sparkContext.defaultParallelism
-        n = df.rdd.getNumPartitions()
-    except Exception:  # noqa: BLE001 - no RDD access on a Spark Connect session
-        return df
-    return df.repartition(cores) if n < cores else df
-
-
 def to_records(df: DataFrame, key: Column | str, value: Column | str,
-               time_col: str = "ts", seq: Column | str | None = None,
+               seq: Column | str, time_col: str = "ts",
                extra: dict[str, Column] | None = None) -> DataFrame:
-    """Project any DataFrame with a time column into a record frame."""
+    """Project any DataFrame with a time column into a record frame.
+
+    ``seq`` (arrival order) has no default: no column of a file says it.
+    """
     k = F.col(key) if isinstance(key, str) else key
     v = F.col(value) if isinstance(value, str) else value
     dtype = df.schema[time_col].dataType
     ms = epoch_ms(F.col(time_col), dtype)
     s = F.col(seq) if isinstance(seq, str) else seq
-    if s is None:
-        s = F.monotonically_increasing_id()
     cols = [k.alias("key"), v.alias("value"), ms.alias("ms")]
     cols += [c.alias(n) for n, c in (extra or {}).items()]
     out = df.select(*cols, s.alias("seq"))

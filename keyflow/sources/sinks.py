@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 from keyflow.sources.codec import KAFKA_ENCODERS
 
 
-def to_wire(df: DataFrame, key_type: str = "string", value_type: str = "bigint") -> DataFrame:
+def to_wire(df: DataFrame, key_type: str = "string", value_type: str = "string") -> DataFrame:
     """Record frame → Kafka record columns (a null value stays a tombstone)."""
     cols = [KAFKA_ENCODERS[key_type]("key").alias("key"), KAFKA_ENCODERS[value_type]("value").alias("value")]
     if "ts" in df.columns:
@@ -26,7 +26,7 @@ def to_wire(df: DataFrame, key_type: str = "string", value_type: str = "bigint")
     return df.select(*cols)
 
 
-def write_topic(df: DataFrame, target: str, key_type: str = "string", value_type: str = "bigint",
+def write_topic(df: DataFrame, target: str, key_type: str = "string", value_type: str = "string",
                 fmt: str = "parquet", options: dict[str, str] | None = None, mode: str = "append") -> None:
     """Batch keyed-record writer (producer). ``fmt='kafka'`` needs the Kafka
     connector on the classpath and ``kafka.bootstrap.servers`` in options;

@@ -15,32 +15,35 @@ from keyflow.sources.codec import KAFKA_DECODERS
 
 def read_table_stream(spark: SparkSession, sf_dir: str, name: str,
                       max_files_per_trigger: int | None = None) -> DataFrame:
-    """A driver table read as a file stream (one parquet file per table).
+    """A driver table read as a file stream: one file, or a folder of part files.
 
-    A file stream needs a directory, so the table is selected with a glob
-    filter on its folder; the schema comes from the batch reader.
+    A file stream does not take a single file as its path; a glob that only
+    the table's name matches covers both layouts. The schema comes from the
+    batch reader.
     """
     ship_package(spark)  # stateful operators downstream run Python on executors
-    path = f"{sf_dir.rstrip('/')}/{name}.parquet"
-    schema = spark.read.parquet(path).schema
-    reader = (spark.readStream.schema(schema)
-              .option("pathGlobFilter", f"{name}.parquet"))
+    table = f"{sf_dir.rstrip('/')}/{name}"
+    reader = spark.readStream.schema(spark.read.parquet(f"{table}.parquet").schema)
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    return reader.parquet(sf_dir)
+    return reader.parquet(f"{table}.parque[t]")
 
 
 def read_record_stream(spark: SparkSession, fmt: str, options: dict[str, str],
                        schema=None, key_type: str = "string",
-                       value_type: str = "bigint", path: str | None = None) -> DataFrame:
+                       value_type: str = "string", path: str | None = None) -> DataFrame:
     """Generic typed stream source (topic or folder) as raw key/value/time.
 
     For ``kafka`` the binary key and value are decoded to ``key_type`` /
     ``value_type`` (8-byte big-endian long, 4-byte int, UTF-8 string) and the
     result is a record frame: the record timestamp becomes ``ms``/``ts``, the
-    offset ``seq``, and the topic partition is kept as ``partition``.
+    offset ``seq``, and the topic partition is kept as ``partition``. A topic
+    is read from its earliest offset unless ``startingOffsets`` says otherwise
+    (Spark's default, latest, would leave out the backlog).
     """
     ship_package(spark)
+    if fmt == "kafka":
+        options = {"startingOffsets": "earliest", **options}
     reader = spark.readStream.format(fmt).options(**options)
     if fmt == "kafka":
         raw = reader.load()

@@ -1,147 +1,81 @@
-"""Table–table foreign-key join as a streaming changelog (two chained
-``transformWithStateInPandas`` stages).
+"""Table–table foreign-key join as a streaming changelog.
 
 Input: one stream of table updates ``side ('L'|'R'), key, value, fk, seq``
 (``fk`` = the foreign key extracted from a left value, null for a delete;
-right rows carry their own key there). A null value deletes the row.
-
-Stage 1 — keyed by the left primary key: remembers each key's current
-foreign key; a change emits ``remove`` to the old foreign key and ``upsert`` to
-the new one. Right rows pass through.
-
-Stage 2 — keyed by ``(foreign key, salt)``: holds the subscribed left rows
-(``MapState``) and the right row (``ValueState``); a left change re-joins that
-row, a right change re-joins every subscriber, a delete on either side emits
-a null (deleted) result. Left rows go to one salt by ``hash(pk)``, right rows
-to all ``salts``: a hot foreign key is split over ``salts`` groups instead of
-sitting in one task.
-
-Output: ``pk, value, seq`` changelog; the current join is the newest row per
-``pk`` by ``seq`` (a joined row beats a null at equal ``seq``), without nulls.
-Per micro-batch only the net change of each key is propagated.
+right rows carry their own key there). A null value deletes the row. The two
+sides are topics of their own: their ``seq`` (offsets) do not compare.
+
+Each micro-batch is merged with DataFrame joins. The newest rows of both tables
+are kept as logs by batch in the shared folder; a batch touches the left keys it
+updates and those whose foreign key points at a right key it updates, and only
+their joined rows are written. A hot foreign key is a skewed join, which Spark
+splits. An update with a smaller ``seq`` than the row in the table is ignored.
+
+Output: ``pk, value, left_seq, right_seq`` changelog; the current join is the
+row with the greatest ``left_seq``, then ``right_seq``, per ``pk``, without null
+values. Per micro-batch only the net change of each key is propagated. A retried
+batch overwrites its own partitions and reads those before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from keyflow.functions.text import JOINER_FORMAT
-from keyflow.session import ship_package
-
-UPSERT, REMOVE, RIGHT = "U", "D", "R"
-STAGE1_OUT = "route string, pk string, op string, lvalue string, rvalue string, seq long"
-STAGE2_OUT = "pk string, value string, seq long"
-
-
-def _last_row(rows: Iterator[pd.DataFrame]) -> pd.Series:
-    best = None
-    for pdf in rows:
-        cand = pdf.loc[pdf["seq"].idxmax()]
-        if best is None or cand["seq"] > best["seq"]:
-            best = cand
-    return best
-
-
-def _s(v):
-    return None if v is None or (isinstance(v, float) and pd.isna(v)) or v is pd.NA else str(v)
-
-
-class ForeignKeyRouter(StatefulProcessor):
-    """Stage 1: per left key, turn value changes into remove/upsert messages."""
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.fk = handle.getValueState("fk", "fk string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        last = _last_row(rows)
-        if last is None:
-            return
-        side, seq = last["side"], int(last["seq"])
-        if side == "R":
-            yield pd.DataFrame({"route": [_s(last["key"])], "pk": [None], "op": [RIGHT], "lvalue": [None],
-                                "rvalue": [_s(last["value"])], "seq": [seq]})
-            return
-        old = self.fk.get()
-        old_fk = None if old is None else old[0]
-        value = _s(last["value"])
-        new_fk = _s(last["fk"]) if value is not None else None
-        out = []
-        if old_fk is not None and old_fk != new_fk:
-            out.append((old_fk, _s(last["key"]), REMOVE, None, None, seq))
-        if new_fk is not None:
-            out.append((new_fk, _s(last["key"]), UPSERT, value, None, seq))
-            self.fk.update((new_fk,))
-        else:
-            self.fk.clear()
-        if out:
-            yield pd.DataFrame(out, columns=["route", "pk", "op", "lvalue", "rvalue", "seq"])
-
-    def close(self) -> None:
-        pass
-
-
-class ForeignKeyJoiner(StatefulProcessor):
-    """Stage 2: per (foreign key, salt), join subscribers with the right row."""
-
-    def __init__(self, fmt: str = JOINER_FORMAT):
-        self.fmt = fmt
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.subs = handle.getMapState("subs", "pk string", "lvalue string")
-        self.right = handle.getValueState("right", "rvalue string")
-
-    def _join(self, lvalue, rvalue):
-        return self.fmt % ("null" if lvalue is None else lvalue, "null" if rvalue is None else rvalue)
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        r = self.right.get()
-        rvalue = None if r is None else r[0]
-        out = []
-        for row in batch.itertuples(index=False):
-            seq = int(row.seq)
-            if row.op == UPSERT:
-                self.subs.updateValue((row.pk,), (row.lvalue,))
-                out.append((row.pk, None if rvalue is None else self._join(row.lvalue, rvalue), seq))
-            elif row.op == REMOVE:
-                self.subs.removeKey((row.pk,))
-                out.append((row.pk, None, seq))
-            else:
-                rvalue = _s(row.rvalue)
-                if rvalue is None:
-                    self.right.clear()
-                else:
-                    self.right.update((rvalue,))
-                for (pk,), (lvalue,) in self.subs.iterator():
-                    out.append((pk, None if rvalue is None else self._join(lvalue, rvalue), seq))
-        if out:
-            yield pd.DataFrame(out, columns=["pk", "value", "seq"])
-
-    def close(self) -> None:
-        pass
-
 
-def fk_join_changelog(updates: DataFrame, salts: int = 8) -> DataFrame:
-    """``updates``: ``side, key, value, fk, seq`` (strings except seq)."""
-    ship_package(updates.sparkSession)
-    stage1 = (updates.withColumn("_k", F.concat_ws(":", "side", "key"))
-              .groupBy("_k").transformWithStateInPandas(ForeignKeyRouter(), STAGE1_OUT, "Append", "None"))
-    routed = stage1.withColumn(
-        "salt", F.when(F.col("op") == RIGHT, F.lit(-1)).otherwise(F.pmod(F.hash("pk"), F.lit(salts))))
-    right = routed.filter(F.col("op") == RIGHT).withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    left = routed.filter(F.col("op") != RIGHT)
-    return (left.unionByName(right).groupBy("route", "salt")
-            .transformWithStateInPandas(ForeignKeyJoiner(), STAGE2_OUT, "Append", "None"))
+from keyflow.functions.text import joiner_text
+from keyflow.session import shared_dir
+from keyflow.streaming.runner import NO_BATCH, run_batches
+
+NO_ROW = -(1 << 62)  # below every offset
+TABLE = "key string, value string, fk string, seq long"
+LOG = "pk string, value string, left_seq long, right_seq long"
+
+
+def _newest(rows: DataFrame) -> DataFrame:
+    return (rows.filter(F.col("key").isNotNull()).groupBy("key")
+            .agg(F.max_by(F.struct("value", "fk", "seq"), "seq").alias("r")).select("key", "r.*"))
+
+
+def run_fk_join(updates: DataFrame, name: str, joiner: Column | None = None) -> DataFrame:
+    """Run the join to the end of ``updates``; returns its changelog with ``batch_id``."""
+    spark = updates.sparkSession
+    base = shared_dir(spark, name)
+    empty = spark.createDataFrame([], TABLE)
+    for side in "LR":
+        empty.write.parquet(f"{base}/{side}/batch_id={NO_BATCH}")
+    spark.createDataFrame([], LOG).write.parquet(f"{base}/log/batch_id={NO_BATCH}")
+    text = joiner_text(F.col("value"), F.col("rvalue")) if joiner is None else joiner
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+
+        def table(side: str, until: int) -> DataFrame:
+            return _newest(s.read.schema(f"{TABLE}, batch_id int").parquet(f"{base}/{side}")
+                           .filter(F.col("batch_id") < until).select("key", "value", "fk", "seq"))
+        for side in "LR":
+            new = _newest(batch.filter(F.col("side") == side).select(
+                "key", F.col("value").cast("string"), F.col("fk").cast("string"), F.col("seq").cast("bigint")))
+            old = table(side, batch_id).select("key", F.col("seq").alias("old_seq"))
+            (new.join(old, "key", "left").filter("old_seq is null or seq > old_seq").drop("old_seq")
+             .write.mode("overwrite").parquet(f"{base}/{side}/batch_id={batch_id}"))
+        left, right = table("L", batch_id + 1), table("R", batch_id + 1)
+        at = s.read.schema(TABLE).parquet
+        changed = at(f"{base}/L/batch_id={batch_id}").select("key")
+        pointing = left.join(at(f"{base}/R/batch_id={batch_id}").select(F.col("key").alias("fk")), "fk",
+                             "left_semi").select("key")
+        touched = left.join(changed.union(pointing).distinct(), "key", "left_semi")
+        joined = touched.join(right.select(F.col("key").alias("fk"), F.col("value").alias("rvalue"),
+                                           F.col("seq").alias("rseq")), "fk", "left")
+        live = F.col("value").isNotNull() & F.col("rvalue").isNotNull()
+        (joined.select(F.col("key").alias("pk"), F.when(live, text).alias("value"), F.col("seq").alias("left_seq"),
+                       F.coalesce("rseq", F.lit(NO_ROW)).alias("right_seq"))
+         .write.mode("overwrite").parquet(f"{base}/log/batch_id={batch_id}"))
+    run_batches(updates, base.rsplit("/", 1)[-1], merge, f"{base}/checkpoint")
+    return spark.read.schema(f"{LOG}, batch_id int").parquet(f"{base}/log")
 
 
 def current_join(changelog: DataFrame) -> DataFrame:
-    """Newest row per pk (joined beats null at equal seq), deletes dropped."""
-    w = Window.partitionBy("pk").orderBy(F.col("seq").desc(), F.col("value").isNull().asc())
-    return (changelog.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .filter(F.col("value").isNotNull()).drop("_rn"))
+    """Newest row per pk, deletes dropped."""
+    newest = changelog.groupBy("pk").agg(
+        F.max_by(F.struct("value"), F.struct("left_seq", "right_seq")).alias("r"))
+    return newest.select("pk", F.col("r.value").alias("value")).filter(F.col("value").isNotNull())

@@ -6,55 +6,69 @@ flush every key of its store; here state and timers are per key, so each key
 flushes itself. Keeping every key of a partition in one group would put an
 unbounded group into one task.
 
-A key's rows of one micro-batch arrive as pandas frames and are folded with
-vectorised reductions (O(1) state, no sort): stream-time punctuation is
-evaluated at micro-batch granularity and fires at most once per key per
-batch, as the reference's punctuator fires once however many intervals
-stream time skipped.
+Stream-time punctuation follows a key's own records in arrival (``seq``) order:
+the first record fires, and then each record that takes the key's stream time
+over one or more ticks fires once, whether records come in one micro-batch or in
+many. A key without records fires nothing by that rule; with ``idle_flush`` an
+event-time timer at the key's next tick fires it when the watermark passes.
+
+A key's rows of one micro-batch are folded with vectorised running maxima and
+O(1) state calls.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 LONG_STATE = "value long"
-MAX_STATE = "max long, stream_time long, next_tick long"
-COUNT_STATE = "count long, stream_time long, next_tick long"
+MAX_STATE = "max long, stream_time long, first long"
+COUNT_STATE = "count long, stream_time long, first long"
 
 STREAM_TIME = "stream-time"
 WALL_CLOCK = "wall-clock"
+IDLE = "idle"
 
 
-def next_punctuation(next_tick, stream_time, interval):
-    """Aligned stream-time schedule -> (fire?, new next_tick).
+def crossed_ticks(ms: np.ndarray, stream_time: int | None, first: int | None, tick: int):
+    """Rows (in arrival order) that fire -> (which, stream time at each row, time of the first record).
 
-    The first record fires; afterwards a tick fires when stream time reaches
-    the next multiple of the interval counted from the first fire; a late or
-    equal timestamp fires nothing.
+    Ticks lie at multiples of ``tick`` from the first record's time; a late or
+    equal time crosses none.
     """
-    if next_tick is None:
-        return True, stream_time + interval
-    if stream_time < next_tick:
-        return False, next_tick
-    skipped = (stream_time - next_tick) // interval + 1
-    return True, next_tick + skipped * interval
+    at = np.maximum.accumulate(ms if stream_time is None else np.maximum(ms, stream_time))
+    start = int(at[0]) if first is None else first
+    steps = (at - start) // tick
+    before = np.concatenate([[-1 if stream_time is None else (stream_time - start) // tick], steps[:-1]])
+    return steps > before, at, start
+
+
+def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
+    batch = pd.concat(list(rows), ignore_index=True)
+    return batch[batch["ms"].notna()].sort_values("seq", kind="stable")
+
+
+def _numbers(row) -> tuple:
+    return (None, None, None) if row is None else tuple(None if v is None or pd.isna(v) else int(v) for v in row)
 
 
 class MaxProcessor(StatefulProcessor):
     """Running max per key; flushes ``(key, max)`` on stream-time ticks and,
     optionally, every ``wall_clock_ms`` of processing time (re-armed after
-    each firing, independent of input).
+    each firing, independent of input) or, in event-time mode with
+    ``idle_flush``, when the watermark passes the key's next tick.
 
     Update rule (reference): keep the new value when there is no old value
     or it is larger. Seeds come through ``initialState`` (column ``value``).
     """
 
-    def __init__(self, tick_ms: int, wall_clock_ms: int | None = None):
+    def __init__(self, tick_ms: int, wall_clock_ms: int | None = None, idle_flush: bool = False):
         self.tick_ms = int(tick_ms)
         self.wall_clock_ms = wall_clock_ms
+        self.idle_flush = idle_flush
 
     def init(self, handle: StatefulProcessorHandle) -> None:
         self.handle = handle
@@ -62,52 +76,64 @@ class MaxProcessor(StatefulProcessor):
         self.state = handle.getValueState("max", MAX_STATE)
         self.armed = handle.getValueState("armed", LONG_STATE)
 
-    def _load(self):
-        row = self.state.get()  # None when the key has no state yet
-        if row is None:
-            return None, None, None
-        return tuple(None if v is None or pd.isna(v) else int(v) for v in row)
-
     def _arm(self, timerValues) -> None:
         if self.wall_clock_ms and not self.armed.exists():
             at = timerValues.getCurrentProcessingTimeInMs() + int(self.wall_clock_ms)
             self.handle.registerTimer(at)
             self.armed.update((at,))
 
-    def _out(self, key, value, st, kind):
-        return pd.DataFrame({"key": [key[0]], "value": [value], "stream_time": [st], "kind": [kind]})
+    def _arm_tick(self, after: int, first: int) -> None:
+        """One pending timer, at the first tick after a time."""
+        at = first + ((after - first) // self.tick_ms + 1) * self.tick_ms
+        old = self.armed.get()
+        if old is None or old[0] != at:
+            if old is not None:
+                self.handle.deleteTimer(old[0])
+            self.handle.registerTimer(at)
+            self.armed.update((at,))
+
+    def _out(self, key, values, times, kind):
+        return pd.DataFrame({"key": [key[0]] * len(values), "value": values, "stream_time": times, "kind": kind})
 
     def handleInitialState(self, key, initialState, timerValues) -> None:
         seed = initialState["value"].max()
-        cur, st, nxt = self._load()
+        cur, st, first = _numbers(self.state.get())
         if pd.notna(seed):
             cur = int(seed) if cur is None else max(cur, int(seed))
-            self.state.update((cur, st, nxt))
+            self.state.update((cur, st, first))
         self._arm(timerValues)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        cur, st, nxt = self._load()
-        for pdf in rows:
-            vmax = pdf["value"].max()
-            if pd.notna(vmax) and (cur is None or vmax > cur):
-                cur = int(vmax)
-            tmax = pdf["ms"].max()
-            if pd.notna(tmax) and (st is None or tmax > st):
-                st = int(tmax)
+        cur, st, first = _numbers(self.state.get())
+        batch = _in_order(rows)
         self._arm(timerValues)
-        fire = False
-        if st is not None:
-            fire, nxt = next_punctuation(nxt, st, self.tick_ms)
-        self.state.update((cur, st, nxt))
-        if fire and cur is not None:
-            yield self._out(key, cur, st, STREAM_TIME)
+        if key[0] is None or batch.empty:
+            return
+        lowest = np.iinfo(np.int64).min
+        values = batch["value"]
+        known = values.notna().to_numpy()
+        given = np.where(known, values.where(known, lowest).to_numpy(np.int64), lowest)
+        top = np.maximum.accumulate(given if cur is None else np.maximum(given, cur))
+        fires, at, first = crossed_ticks(batch["ms"].to_numpy(np.int64), st, first, self.tick_ms)
+        cur = None if top[-1] == lowest else int(top[-1])
+        self.state.update((cur, int(at[-1]), first))
+        if self.idle_flush:
+            self._arm_tick(int(at[-1]), first)
+        fires &= top > lowest
+        if fires.any():
+            yield self._out(key, top[fires], at[fires], STREAM_TIME)
 
     def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
         self.armed.clear()
-        self._arm(timerValues)
-        cur, st, _ = self._load()
+        cur, st, first = _numbers(self.state.get())
+        if self.idle_flush:
+            st = expiredTimerInfo.getExpiryTimeInMs()
+            self._arm_tick(max(st, timerValues.getCurrentWatermarkInMs()), first)
+            self.state.update((cur, st, first))  # the key's own records do not fire this tick again
+        else:
+            self._arm(timerValues)
         if cur is not None:
-            yield self._out(key, cur, st, WALL_CLOCK)
+            yield self._out(key, [cur], [st], IDLE if self.idle_flush else WALL_CLOCK)
 
     def close(self) -> None:
         pass
@@ -124,23 +150,18 @@ class WordCountProcessor(StatefulProcessor):
         self.state = handle.getValueState("count", COUNT_STATE)
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        row = self.state.get()  # None when the word is new
-        if row is None:
-            n, st, nxt = 0, None, None
-        else:
-            n, st, nxt = (None if v is None or pd.isna(v) else int(v) for v in row)
-        for pdf in rows:
-            # rows are single words, or map-side partial counts in column ``n``
-            n += int(pdf["n"].sum()) if "n" in pdf.columns else len(pdf)
-            tmax = pdf["ms"].max()
-            if pd.notna(tmax) and (st is None or tmax > st):
-                st = int(tmax)
-        fire = False
-        if st is not None:
-            fire, nxt = next_punctuation(nxt, st, self.tick_ms)
-        self.state.update((n, st, nxt))
-        if fire:
-            yield pd.DataFrame({"word": [key[0]], "count": [str(n)], "stream_time": [st]})
+        n, st, first = _numbers(self.state.get())
+        batch = _in_order(rows)
+        if key[0] is None or batch.empty:
+            return
+        # rows are single words, or map-side partial counts in column ``n``
+        each = batch["n"].to_numpy(np.int64) if "n" in batch.columns else np.ones(len(batch), np.int64)
+        counts = np.cumsum(each) + (n or 0)
+        fires, at, first = crossed_ticks(batch["ms"].to_numpy(np.int64), st, first, self.tick_ms)
+        self.state.update((int(counts[-1]), int(at[-1]), first))
+        if fires.any():
+            yield pd.DataFrame({"word": [key[0]] * int(fires.sum()), "count": [str(c) for c in counts[fires]],
+                                "stream_time": at[fires]})
 
     def close(self) -> None:
         pass
@@ -154,21 +175,24 @@ WORD_COUNT_OUTPUT = "word string, count string, stream_time long"
 
 
 def pre_aggregate_max(df):
-    """Map-side combine before the per-key max processor (stateless, per
-    partition and Arrow batch): one row per key with the max value and the max
-    event time. A hot key is thereby reduced in every map task instead of
-    reaching its stateful group row by row."""
+    """Map-side thinning before the per-key max processor (stateless, per
+    partition and Arrow batch): of each key the rows, in arrival order, that
+    raise its largest value or its stream time so far. A row that raises
+    neither within its batch cannot do so in the key's whole stream, so the
+    processor's state and emissions stay the same."""
     schema = df.schema
 
-    def combine(batches):
+    def thin(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
-            g = pdf.groupby("key", sort=False, dropna=False).agg(
-                value=("value", "max"), ms=("ms", "max"), seq=("seq", "max")).reset_index()
-            yield g[[f.name for f in schema.fields]]
+            pdf = pdf.sort_values("seq", kind="stable")
+            g = pdf.groupby("key", sort=False)  # leaves out null keys
+            value, ms = g["value"].cummax(), g["ms"].cummax()
+            up = (value > value.groupby(pdf["key"]).shift()) | (ms > ms.groupby(pdf["key"]).shift())
+            yield pdf[(up | (g.cumcount() == 0)) & pdf["key"].notna()][[f.name for f in schema.fields]]
 
-    return df.mapInPandas(combine, schema)
+    return df.mapInPandas(thin, schema)
 
 
 def pre_aggregate_words(words):
@@ -177,35 +201,7 @@ def pre_aggregate_words(words):
         for pdf in batches:
             if pdf.empty:
                 continue
-            yield pdf.groupby("word", sort=False).agg(n=("ms", "size"), ms=("ms", "max")).reset_index()
-
-    return words.mapInPandas(combine, "word string, n long, ms long")
-
-
-class CogroupFoldProcessor(StatefulProcessor):
-    """Co-grouped string fold on a stream: per key, the aggregate starts at
-    ``initial`` and each record's piece is appended in arrival (``seq``)
-    order; every batch emits the key's new aggregate. The fold is
-    order-sensitive, so it cannot be combined map-side; within a batch a key's
-    pieces are ordered by ``seq``."""
-
-    def __init__(self, initial: str = " "):
-        self.initial = initial
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.agg = handle.getValueState("agg", "value string")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        batch = pd.concat(list(rows), ignore_index=True).sort_values("seq", kind="stable")
-        row = self.agg.get()
-        cur = self.initial if row is None else row[0]
-        cur = cur + "".join(batch["piece"].astype(str).tolist())
-        self.agg.update((cur,))
-        yield pd.DataFrame({"key": [key[0]], "value": [cur], "seq": [int(batch["seq"].max())]})
-
-    def close(self) -> None:
-        pass
-
+            counts = pdf.groupby("word", sort=False).agg(n=("ms", "size"), ms=("ms", "max")).reset_index()
+            yield counts.assign(seq=counts["ms"])
 
-def cogroup_output_schema(key_type: str = "string") -> str:
-    return f"key {key_type}, value string, seq long"
+    return words.mapInPandas(combine, "word string, n long, ms long, seq long")

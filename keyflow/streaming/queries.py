@@ -10,6 +10,8 @@ passed it.
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from keyflow.functions.text import jvm_tokens
@@ -30,9 +32,9 @@ from keyflow.streaming.processors import (
     pre_aggregate_max,
     pre_aggregate_words,
 )
-from keyflow.streaming.runner import complete_result, newest_per_key, read_changelog, run_stream
+from keyflow.streaming.runner import newest_per_key, read_changelog, run_batches, run_stream
 from keyflow.streaming.sources import event_record_stream
-from keyflow.streaming.state import key_partition, read_state, state_lookup
+from keyflow.streaming.state import open_store, read_state, state_lookup
 
 
 # ---------------------------------------------------------------- windows, final (append)
@@ -70,15 +72,6 @@ def session_intermediate(spark, sf_dir):
     return current_sessions(run.read(spark)).drop("total")
 
 
-def session_complete(spark, sf_dir):
-    """Session counts in complete mode (small state only: the whole result is
-    re-emitted every trigger); the newest batch is the current result."""
-    s = event_record_stream(spark, sf_dir, key="user_id")
-    run = run_stream(windows.session(s, P.SESSION_COUNT_GAP, windows.COUNT, P.SESSION_COUNT_GRACE),
-                     "session_complete", mode="complete")
-    return complete_result(read_changelog(spark, run))
-
-
 def changelog_of_counts(spark, sf_dir):
     """``count().toStream()``: update mode emits the changed counts per batch."""
     s = event_record_stream(spark, sf_dir)
@@ -114,6 +107,8 @@ def _max_run(spark, sf_dir, name, seeded: bool):
     lo, hi = b.agg(F.min("ms"), F.max("ms")).first()
     mid = lo + (hi - lo) // 2
     seed = b.filter(F.col("ms") < mid).groupBy("key").agg(F.max("value").alias("value"))
+    # one seed above every value to come
+    seed = seed.withColumn("value", F.when(F.col("key") == P.FILTER_KEY, P.HIGH_SEED).otherwise(F.col("value")))
     out = recs.filter(F.col("ms") >= mid).groupBy("key").transformWithStateInPandas(
         proc, max_output_schema(), "Append", "None", initialState=seed.groupBy("key"))
     return run_stream(out, name)
@@ -132,10 +127,18 @@ def stateful_max_seeded(spark, sf_dir):
 
 
 def stateful_max_emitted(spark, sf_dir):
-    """What the punctuator emitted (first record of each key fires)."""
+    """What the punctuator emitted: a row per tick that a key's records cross."""
     return _max_run(spark, sf_dir, "stateful_max_emitted", seeded=False).read(spark)
 
 
+def word_count_emitted(spark, sf_dir):
+    """Event types as words, counted in event time: a row per tick that a word's records cross."""
+    words = event_record_stream(spark, sf_dir).select(F.col("key").alias("word"), "ms", "seq")
+    out = words.groupBy("word").transformWithStateInPandas(
+        WordCountProcessor(P.WORD_COUNT_TICK), WORD_COUNT_OUTPUT, "Append", "None")
+    return run_stream(out, "word_count_emitted").read(spark)
+
+
 def word_count_timer(spark, sf_dir):
     """Stateful word count with stream-time punctuation; record time is the
     ingestion time (the producer assigns it in the reference). Returns the
@@ -152,8 +155,10 @@ def word_count_timer(spark, sf_dir):
 
 def _count_store(spark, sf_dir):
     s = event_record_stream(spark, sf_dir)
-    run = run_stream(s.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")), "clicks_count_store", mode="update")
-    return read_state(spark, run.checkpoint)
+    # a store's name is the caller's; here one per run, since each run starts anew
+    store = f"clicks-count-{uuid.uuid4().hex[:12]}"
+    run_stream(s.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")), "clicks_count_store", mode="update", store=store)
+    return open_store(spark, store)
 
 
 def state_scan(spark, sf_dir):
@@ -166,10 +171,6 @@ def state_lookup_query(spark, sf_dir):
     return state_lookup(st, F.col("key") == F.lit(P.FILTER_KEY)).select("key", F.col(st.columns[1]).alias("cnt"))
 
 
-def state_partition(spark, sf_dir):
-    return key_partition(_count_store(spark, sf_dir))
-
-
 # ---------------------------------------------------------------- stream-stream joins
 def _ss_join(how):
     def q(spark, sf_dir):
@@ -186,16 +187,15 @@ STREAMING_QUERIES.update({
     "hopping_count_final": hopping_count_final,
     "session_count_final": session_count_final,
     "session_intermediate": session_intermediate,
-    "session_complete": session_complete,
     "changelog_of_counts": changelog_of_counts,
     "stream_sink_roundtrip": stream_sink_roundtrip,
     "stateful_max": stateful_max,
     "stateful_max_seeded": stateful_max_seeded,
     "stateful_max_emitted": stateful_max_emitted,
     "word_count_timer": word_count_timer,
+    "word_count_emitted": word_count_emitted,
     "state_scan": state_scan,
     "state_lookup": state_lookup_query,
-    "state_partition": state_partition,
     "ss_join_inner_stream": _ss_join("inner"),
     "ss_join_left_stream": _ss_join("left"),
     "ss_join_full_stream": _ss_join("full"),
@@ -219,19 +219,30 @@ WHERE (q.left_seq IS NOT NULL AND q.right_seq IS NOT NULL)
    OR (q.left_seq IS NULL AND q.right_ms + {b} < {wm})"""
 
 
+def _ticks(tick: int, columns: str) -> str:
+    """A row where a key's stream time, in arrival order, crosses ticks from its first record's time."""
+    return R + f""", s AS (
+  SELECT event_type AS key, seq, max(ms) OVER w AS st, max(cents) OVER w AS top, count(*) OVER w AS n,
+         first_value(ms) OVER w AS t0
+  FROM r WINDOW w AS (PARTITION BY event_type ORDER BY seq ROWS UNBOUNDED PRECEDING)),
+k AS (SELECT *, (st - t0) // {tick} AS k, lag((st - t0) // {tick}) OVER (PARTITION BY key ORDER BY seq) AS before FROM s)
+SELECT {columns} FROM k WHERE before IS NULL OR k > before"""
+
+
 STREAMING_ORACLE: dict[str, str] = {
     "tumbling_count_final": _final(ORACLE_SQL["tumbling_count"], "q.window_end", P.TUMBLING_COUNT_GRACE),
     "hopping_count_final": _final(ORACLE_SQL["hopping_count"], "q.window_end", P.HOPPING_GRACE),
     "session_count_final": _final(ORACLE_SQL["session_count"], f"q.window_end + {P.SESSION_COUNT_GAP}",
                                   P.SESSION_COUNT_GRACE),
     "session_intermediate": ORACLE_SQL["session_count"],
-    "session_complete": ORACLE_SQL["session_count"],
     "changelog_of_counts": ORACLE_SQL["count_by_key"],
     "stream_sink_roundtrip": ORACLE_SQL["stream_scan"],
     "stateful_max": R + "SELECT event_type AS key, max(cents) AS max_value FROM r GROUP BY ALL",
-    "stateful_max_seeded": R + "SELECT event_type AS key, max(cents) AS max_value FROM r GROUP BY ALL",
-    "stateful_max_emitted": R + """SELECT event_type AS key, max(cents) AS value, max(ms) AS stream_time,
-       'stream-time' AS kind FROM r GROUP BY ALL""",
+    "stateful_max_seeded": R + f"""SELECT event_type AS key,
+       CASE WHEN event_type = '{P.FILTER_KEY}' THEN {P.HIGH_SEED} ELSE max(cents) END AS max_value FROM r GROUP BY event_type""",
+    "stateful_max_emitted": _ticks(P.MAX_STREAM_TICK,
+                                   "key, top AS value, st AS stream_time, 'stream-time' AS kind"),
+    "word_count_emitted": _ticks(P.WORD_COUNT_TICK, "key AS word, CAST(n AS VARCHAR) AS count, st AS stream_time"),
     "word_count_timer": ORACLE_SQL["word_count"],
     "state_scan": ORACLE_SQL["count_by_key"],
     "state_lookup": ORACLE_SQL["table_filter_counts"],
@@ -245,19 +256,18 @@ STREAMING_ORACLE: dict[str, str] = {
 def fk_join_changelog(spark, sf_dir):
     """Purchases (user → nation key ``user_id % 25``) joined to ``nation`` as a
     streaming changelog; returns the current join (newest row per user)."""
-    from keyflow.streaming.fk_changelog import current_join, fk_join_changelog as fk_stream
+    from keyflow.streaming.fk_changelog import current_join, run_fk_join
     ev = event_record_stream(spark, sf_dir, key="user_id", extra={"event_type": F.col("event_type")})
     left = ev.filter(F.col("event_type") == "purchase").select(
         F.lit("L").alias("side"), F.col("key").cast("string").alias("key"),
         (F.col("key") % F.lit(P.FK_MODULUS)).cast("string").alias("value"),
         (F.col("key") % F.lit(P.FK_MODULUS)).cast("string").alias("fk"), F.col("seq"))
     nation = read_table_stream(spark, sf_dir, "nation")
-    # The nation topic was loaded before any event arrived: offsets below 0.
+    # a topic of its own, with offsets from 0
     right = nation.select(F.lit("R").alias("side"), F.col("n_nationkey").cast("string").alias("key"),
                           F.col("n_name").alias("value"), F.col("n_nationkey").cast("string").alias("fk"),
-                          (F.lit(-1000) + F.col("n_nationkey")).cast("bigint").alias("seq"))
-    run = run_stream(fk_stream(left.unionByName(right)), "fk_join_changelog")
-    cur = current_join(run.read(spark))
+                          F.col("n_nationkey").cast("bigint").alias("seq"))
+    cur = current_join(run_fk_join(left.unionByName(right), "fk_join_changelog"))
     return cur.select(F.col("pk").cast("bigint").alias("key"), "value")
 
 
@@ -291,24 +301,29 @@ def branch_fanout_stream(spark, sf_dir):
 
 
 def observe_metrics_stream(spark, sf_dir):
-    """Pass-through tap on a stream; metrics land in the query progress."""
-    from keyflow.operators.stateless import observe_stream
+    """What a tap on a stream saw: every micro-batch writes its observation
+    beside its records, so the number of batches does not matter."""
+    from keyflow.operators.stateless import TAP_SCHEMA, observe_tap
+    from keyflow.session import shared_dir
     s = event_record_stream(spark, sf_dir).select("key", "value", "ms", "seq")
-    run = run_stream(observe_stream(s, "events_tap"), "observe_metrics_stream")
-    seen = 0
-    for p in run.progress:
-        m = (p.observedMetrics or {}).get("events_tap")
-        seen += int(m["records"]) if m is not None else 0
-    out = run.read(spark)
-    if seen and seen != out.count():
-        raise RuntimeError(f"tap counted {seen} records, sink has {out.count()}")
-    return out
+    base = shared_dir(spark, "events_tap")
+
+    def write(batch, batch_id):
+        out, seen = observe_tap(batch, f"tap-{batch_id}")
+        out.write.mode("overwrite").parquet(f"{base}/records/batch_id={batch_id}")
+        row = tuple(seen.get[k] for k in ("records", "max_value", "max_ms"))
+        (batch.sparkSession.createDataFrame([row], TAP_SCHEMA)
+         .write.mode("overwrite").parquet(f"{base}/tap/batch_id={batch_id}"))
+    run_batches(s, "events_tap", write, f"{base}/checkpoint")
+    return spark.read.schema(TAP_SCHEMA).parquet(f"{base}/tap").agg(
+        F.coalesce(F.sum("records"), F.lit(0)).alias("records"), F.max("max_value").alias("max_value"),
+        F.max("max_ms").alias("max_ms"))
 
 
 STREAMING_QUERIES["branch_fanout_stream"] = branch_fanout_stream
 STREAMING_QUERIES["observe_metrics_stream"] = observe_metrics_stream
 STREAMING_ORACLE["branch_fanout_stream"] = ORACLE_SQL["branch_label"]
-STREAMING_ORACLE["observe_metrics_stream"] = ORACLE_SQL["stream_scan"]
+STREAMING_ORACLE["observe_metrics_stream"] = ORACLE_SQL["observe_metrics"]
 
 
 # ---------------------------------------------------------------- sliding windows on a stream
@@ -316,14 +331,14 @@ def _sliding_final(kind, grace):
     def q(spark, sf_dir):
         from keyflow.streaming.sliding import sliding_stream
         s = event_record_stream(spark, sf_dir, key="user_id")
-        run = run_stream(sliding_stream(s, P.SLIDING_DIFF, grace, key_type="bigint"), f"sliding_{kind}_final")
+        diff = P.SLIDING_DIFF if kind == "count" else P.SLIDING_SUM_DIFF
+        run = run_stream(sliding_stream(s, diff, grace, key_type="bigint"), f"sliding_{kind}_final")
         col = "cnt" if kind == "count" else "total"
         return run.read(spark).select("key", "window_start", "window_end", col)
     return q
 
 
-def _sliding_final_sql(name: str, grace: int) -> str:
-    d = P.SLIDING_DIFF
+def _sliding_final_sql(name: str, grace: int, d: int) -> str:
     # A window is emitted when the watermark passes owner + d + 1; the owner is
     # the record at the window's end if there is one (left window), else the
     # record just before its start (right window).
@@ -336,8 +351,8 @@ WHERE (CASE WHEN pts.ms IS NOT NULL THEN q.window_end ELSE q.window_start - 1 EN
 
 STREAMING_QUERIES["sliding_count_final"] = _sliding_final("count", 0)
 STREAMING_QUERIES["sliding_sum_final"] = _sliding_final("sum", P.SLIDING_SUM_GRACE)
-STREAMING_ORACLE["sliding_count_final"] = _sliding_final_sql("sliding_count", 0)
-STREAMING_ORACLE["sliding_sum_final"] = _sliding_final_sql("sliding_sum", P.SLIDING_SUM_GRACE)
+STREAMING_ORACLE["sliding_count_final"] = _sliding_final_sql("sliding_count", 0, P.SLIDING_DIFF)
+STREAMING_ORACLE["sliding_sum_final"] = _sliding_final_sql("sliding_sum", P.SLIDING_SUM_GRACE, P.SLIDING_SUM_DIFF)
 
 
 # ---------------------------------------------------------------- early results of time windows
@@ -383,6 +398,43 @@ def table_agg_add_subtract_stream(spark, sf_dir):
         "key", F.coalesce(F.col("value"), F.lit(0)).cast("bigint").alias("total"))
 
 
+def table_regroup_sum_stream(spark, sf_dir):
+    """Users re-grouped by the last digit of their value, with adder and subtractor.
+
+    Per micro-batch the keys that changed meet their row of before: the old
+    value is subtracted from its group, the new one added to its own, and a
+    group's total is the sum of what the batches wrote for it.
+    """
+    from keyflow.session import shared_dir
+    from keyflow.streaming.runner import NO_BATCH
+    base = shared_dir(spark, "table_regroup")
+    rows = "key bigint, value bigint, seq bigint"
+    spark.createDataFrame([], rows).write.parquet(f"{base}/rows/batch_id={NO_BATCH}")
+    group = F.col("value") % F.lit(10)
+
+    def write(batch, batch_id):
+        old = (batch.sparkSession.read.schema(f"{rows}, batch_id int").parquet(f"{base}/rows")
+               .filter(F.col("batch_id") < batch_id).select("key", "value", "seq"))
+        old = old.groupBy("key").agg(F.max_by(F.struct("value", "seq"), "seq").alias("o"))
+        new = (batch.filter(F.col("key").isNotNull()).groupBy("key")
+               .agg(F.max_by(F.struct("value", "seq"), "seq").alias("n"))
+               .join(old, "key", "left").filter("o is null or n.seq > o.seq"))
+        # every group that a record of the batch names is there, if only with 0
+        named = batch.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select(
+            group.alias("key"), F.lit(0).cast("bigint").alias("change"))
+        adds = new.select(F.col("n.value").alias("value")).select(group.alias("key"), F.col("value").alias("change"))
+        takes = new.select(F.col("o.value").alias("value")).select(group.alias("key"), (-F.col("value")).alias("change"))
+        (named.union(adds).union(takes).filter("key is not null").groupBy("key").agg(F.sum("change").alias("change"))
+         .write.mode("overwrite").parquet(f"{base}/changes/batch_id={batch_id}"))
+        (new.select("key", "n.value", "n.seq").write.mode("overwrite").parquet(f"{base}/rows/batch_id={batch_id}"))
+    s = _user_changelog_stream(spark, sf_dir).select("key", "value", "seq")
+    run_batches(s, base.rsplit("/", 1)[-1], write, f"{base}/checkpoint")
+    changes = spark.read.schema("key bigint, change bigint").parquet(f"{base}/changes")
+    return changes.groupBy("key").agg(F.sum("change").cast("bigint").alias("total"))
+
+
+STREAMING_QUERIES["table_regroup_sum_stream"] = table_regroup_sum_stream
+STREAMING_ORACLE["table_regroup_sum_stream"] = ORACLE_SQL["table_regroup_sum"]
 STREAMING_QUERIES["table_latest_stream"] = table_latest_stream
 STREAMING_QUERIES["table_agg_add_subtract_stream"] = table_agg_add_subtract_stream
 STREAMING_ORACLE["table_latest_stream"] = ORACLE_SQL["table_latest"]
@@ -392,21 +444,23 @@ STREAMING_ORACLE["table_agg_add_subtract_stream"] = ORACLE_SQL["table_agg_add_su
 # ---------------------------------------------------------------- cogroup fold on a stream
 def cogroup_fold_stream(spark, sf_dir):
     """Clicks (" first " + cents) and views (" second " + props) folded per
-    user in arrival order; returns the newest aggregate per user."""
-    from keyflow.operators.aggregates import COGROUP_FIRST, COGROUP_INITIAL, COGROUP_SECOND
-    from keyflow.streaming.processors import CogroupFoldProcessor, cogroup_output_schema
+    user in arrival order. A micro-batch writes only its new pieces, folded per
+    user and chunk; the fold is the initial value and all parts in order."""
+    from keyflow.operators.aggregates import COGROUP_FIRST, COGROUP_INITIAL, COGROUP_SECOND, fold_parts, ordered_concat
+    from keyflow.session import shared_dir
     s = event_record_stream(spark, sf_dir, key="user_id",
                             extra={"event_type": F.col("event_type"), "props": F.col("props")})
     piece = (F.when(F.col("event_type") == "click", F.concat(F.lit(COGROUP_FIRST), F.col("value").cast("string")))
              .when(F.col("event_type") == "view", F.concat(F.lit(COGROUP_SECOND), F.col("props"))))
-    pieces = s.select("key", "seq", piece.alias("piece")).filter(F.col("piece").isNotNull())
-    out = pieces.groupBy("key").transformWithStateInPandas(
-        CogroupFoldProcessor(COGROUP_INITIAL), cogroup_output_schema("bigint"), "Append", "None")
-    run = run_stream(out, "cogroup_fold_stream")
-    from pyspark.sql import Window
-    w = Window.partitionBy("key").orderBy(F.col("seq").desc())
-    return (run.read(spark).withColumn("_rn", F.row_number().over(w)).filter("_rn = 1")
-            .select("key", "value"))
+    base = shared_dir(spark, "cogroup_fold")
+
+    def write(batch, batch_id):
+        fold_parts(batch).write.mode("overwrite").parquet(f"{base}/parts/batch_id={batch_id}")
+    run_batches(s.select("key", "seq", piece.alias("piece")), base.rsplit("/", 1)[-1], write, f"{base}/checkpoint")
+    parts = spark.read.schema("key bigint, chunk bigint, part string, batch_id int").parquet(f"{base}/parts")
+    folded = (parts.withColumn("o", F.struct("batch_id", "chunk")).groupBy("key")
+              .agg(ordered_concat("o", "part").alias("folded")))
+    return folded.select("key", F.concat(F.lit(COGROUP_INITIAL), F.col("folded")).alias("value"))
 
 
 STREAMING_QUERIES["cogroup_fold_stream"] = cogroup_fold_stream

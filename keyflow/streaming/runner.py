@@ -12,17 +12,20 @@ Output modes:
   update   — foreachBatch into ``batch_id=N`` partitions (a retried epoch
              overwrites its own partition: idempotent); the table is the
              changelog, ``newest_per_key`` is the current state
-  complete — same layout; the newest ``batch_id`` holds the full result
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import IntegerType, StructType
 
-from keyflow.session import ensure_streaming_state, ship_package, shared_dir
+from keyflow.session import ensure_streaming_state, ship_package, shared_dir, store_dir
+
+NO_BATCH = -1
 
 
 @dataclass
@@ -31,10 +34,12 @@ class StreamRun:
     output: str
     checkpoint: str
     mode: str
+    schema: StructType
     progress: list
 
     def read(self, spark: SparkSession) -> DataFrame:
-        return spark.read.parquet(self.output)
+        """What an append run emitted; an empty frame if nothing."""
+        return spark.read.schema(self.schema).parquet(self.output)
 
 
 def _epoch_writer(path: str):
@@ -43,52 +48,52 @@ def _epoch_writer(path: str):
     return write
 
 
+def run_batches(df: DataFrame, name: str, write: Callable[[DataFrame, int], None], checkpoint: str,
+                mode: str = "append") -> list:
+    """Run ``write(batch, batch_id)`` over all that is available; returns the progress reports."""
+    ensure_streaming_state(df.sparkSession)
+    ship_package(df.sparkSession)
+    q = (df.writeStream.queryName(name).option("checkpointLocation", checkpoint).trigger(availableNow=True)
+         .outputMode(mode).foreachBatch(write).start())
+    return _finish(q)
+
+
+def _finish(q) -> list:
+    # to the end, whatever it takes; a failure of the query is raised here
+    q.awaitTermination()
+    return list(q.recentProgress)
+
+
 def run_stream(df: DataFrame, name: str, mode: str = "append",
-               output: str | None = None, checkpoint: str | None = None,
-               timeout_s: float | None = None) -> StreamRun:
+               output: str | None = None, checkpoint: str | None = None, store: str | None = None) -> StreamRun:
+    """Run to the end. With ``store`` the state is kept under that name (``state.open_store``)."""
     spark = df.sparkSession
     ensure_streaming_state(spark)
     ship_package(spark)
     base = shared_dir(spark, name)
+    fresh = output is None
     output = output or f"{base}/out"
-    checkpoint = checkpoint or f"{base}/checkpoint"
-    w = df.writeStream.queryName(f"{name}_{base.rsplit('-', 1)[-1]}").option(
-        "checkpointLocation", checkpoint).trigger(availableNow=True)
+    checkpoint = checkpoint or (store_dir(spark, store) if store else f"{base}/checkpoint")
+    query = f"{name}_{base.rsplit('-', 1)[-1]}"
+    if fresh:  # so that a run that emits nothing can be read
+        empty = spark.createDataFrame([], df.schema)
+        empty.write.parquet(output if mode == "append" else f"{output}/batch_id={NO_BATCH}")
     if mode == "append":
-        q = w.outputMode("append").format("parquet").option("path", output).start()
+        progress = _finish(df.writeStream.queryName(query).option("checkpointLocation", checkpoint)
+                           .trigger(availableNow=True).outputMode("append").format("parquet")
+                           .option("path", output).start())
     else:
-        q = w.outputMode(mode).foreachBatch(_epoch_writer(output)).start()
-    q.awaitTermination(timeout_s)
-    progress = list(q.recentProgress)
-    if q.isActive:
-        q.stop()
-    if q.exception() is not None:
-        raise RuntimeError(f"streaming query {name} failed: {q.exception()}")
-    return StreamRun(name, output, checkpoint, mode, progress)
-
-
-def read_changelog(spark: SparkSession, run: StreamRun, schema=None) -> DataFrame:
-    """All rows a foreachBatch run emitted, with their ``batch_id``.
-
-    A run that emitted nothing has no output folder; ``schema`` (DDL or
-    StructType without ``batch_id``) then gives an empty frame.
-    """
-    try:
-        return spark.read.parquet(run.output)
-    except Exception:  # noqa: BLE001 - no batch produced output
-        if schema is None:
-            raise
-        return spark.createDataFrame([], schema).withColumn("batch_id", F.lit(0).cast("int"))
-
-
-def newest_per_key(changelog: DataFrame, keys: list[str]) -> DataFrame:
-    """Current state of an update-mode changelog: the newest row per key."""
-    w = Window.partitionBy(*keys).orderBy(F.col("batch_id").desc())
-    return (changelog.withColumn("_rn", F.row_number().over(w))
-            .filter(F.col("_rn") == 1).drop("_rn", "batch_id"))
-
-
-def complete_result(changelog: DataFrame) -> DataFrame:
-    """Complete-mode output: the rows of the newest batch."""
-    newest = changelog.agg(F.max("batch_id").alias("_b"))
-    return changelog.join(newest, changelog["batch_id"] == newest["_b"]).drop("_b", "batch_id")
+        progress = run_batches(df, query, _epoch_writer(output), checkpoint, mode)
+    return StreamRun(name, output, checkpoint, mode, df.schema, progress)
+
+
+def read_changelog(spark: SparkSession, run: StreamRun) -> DataFrame:
+    """All rows a foreachBatch run emitted, with their ``batch_id``."""
+    return spark.read.schema(StructType([*run.schema.fields]).add("batch_id", IntegerType())).parquet(run.output)
+
+
+def newest_per_key(changelog: DataFrame, keys: list[str], order: str = "batch_id") -> DataFrame:
+    """Current state of an update-mode changelog: the newest row per key, combined map-side."""
+    rest = [c for c in changelog.columns if c not in keys]
+    newest = changelog.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r"))
+    return newest.select(*keys, *[F.col(f"_r.{c}").alias(c) for c in rest if c != "batch_id"])

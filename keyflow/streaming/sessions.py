@@ -47,8 +47,9 @@ def merge_intervals(start, end, cnt, total, gap):
     np.minimum.at(ms, gid, s)
     me = np.full(n, np.iinfo(np.int64).min)
     np.maximum.at(me, gid, e)
-    mc = np.bincount(gid, weights=c, minlength=n).astype(np.int64)
-    mt = np.bincount(gid, weights=t, minlength=n).astype(np.int64)
+    mc, mt = np.zeros(n, np.int64), np.zeros(n, np.int64)  # integers: exact above 2^53
+    np.add.at(mc, gid, c)
+    np.add.at(mt, gid, t)
     return ms, me, mc, mt, gid, order
 
 
@@ -86,15 +87,22 @@ class SessionProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         batch = pd.concat(list(rows), ignore_index=True)
-        if wm and wm > 0:
-            batch = batch[batch["ms"] >= wm]  # late records are dropped
         meta = self.meta.get()
         version, armed = (0, None) if meta is None else (int(meta[0]), meta[1])
         os_, oe, oc, ot = self._load()
-        if batch.empty:
-            return
         nm = batch["ms"].to_numpy(np.int64)
-        nv = batch["value"].fillna(0).to_numpy(np.int64)
+        known = batch["value"].notna().to_numpy()
+        nv = batch["value"].where(known, 0).to_numpy(np.int64)
+        if wm and wm > 0 and (nm + self.gap < wm).any():
+            # a record is late if the session it would be in is closed
+            _, end, _, _, group, turn = merge_intervals(
+                np.concatenate([os_, nm]), np.concatenate([oe, nm]), np.concatenate([oc, nm]),
+                np.concatenate([ot, nm]), self.gap)
+            open_ = np.empty(len(group), bool)
+            open_[turn] = end[group] + self.gap >= wm
+            nm, nv = nm[open_[len(os_):]], nv[open_[len(os_):]]
+        if not len(nm):
+            return
         n_old = len(os_)
         s = np.concatenate([os_, nm])
         e = np.concatenate([oe, nm])
@@ -150,7 +158,6 @@ def session_updates_stream(df: DataFrame, gap_ms: int, grace_ms: int = 0,
 
 def current_sessions(changelog: DataFrame) -> DataFrame:
     """Newest row per (key, window_start) that is not a retraction."""
-    from pyspark.sql import Window
-    w = Window.partitionBy("key", "window_start").orderBy(F.col("version").desc())
-    return (changelog.withColumn("_rn", F.row_number().over(w)).filter(F.col("_rn") == 1)
-            .filter(~F.col("deleted")).drop("_rn", "deleted", "version"))
+    newest = changelog.groupBy("key", "window_start").agg(
+        F.max_by(F.struct("window_end", "cnt", "total", "deleted"), "version").alias("r"))
+    return newest.select("key", "window_start", "r.*").filter(~F.col("deleted")).drop("deleted")

@@ -75,17 +75,17 @@ class SlidingWindowProcessor(StatefulProcessor):
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         wm = timerValues.getCurrentWatermarkInMs()
         batch = pd.concat(list(rows), ignore_index=True)
-        batch = batch[batch["ms"] > wm] if wm and wm > 0 else batch  # late records are dropped
+        if wm and wm > 0:  # late: all windows of the record are closed
+            batch = batch[batch["ms"] + self.d + 1 > wm]
         if batch.empty:
             return iter([])
         new = batch.groupby("ms").agg(cnt=("value", "size"), total=("value", "sum"), own=("own", "max"))
         ms, cnt, tot, own = self._load()
         all_ms = np.concatenate([ms, new.index.to_numpy(np.int64)])
         uniq, inv = np.unique(all_ms, return_inverse=True)
-        m_cnt = np.bincount(inv, weights=np.concatenate([cnt, new["cnt"].to_numpy(np.int64)]),
-                            minlength=len(uniq)).astype(np.int64)
-        m_tot = np.bincount(inv, weights=np.concatenate([tot, new["total"].to_numpy(np.int64)]),
-                            minlength=len(uniq)).astype(np.int64)
+        m_cnt, m_tot = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
+        np.add.at(m_cnt, inv, np.concatenate([cnt, new["cnt"].to_numpy(np.int64)]))
+        np.add.at(m_tot, inv, np.concatenate([tot, new["total"].to_numpy(np.int64)]))
         m_own = np.zeros(len(uniq), bool)
         np.logical_or.at(m_own, inv, np.concatenate([own, new["own"].to_numpy(bool)]))
         self._save(uniq, m_cnt, m_tot, m_own)

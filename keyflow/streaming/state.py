@@ -3,8 +3,7 @@
 The reference serves ``store.get(key)`` / ``store.all()`` over HTTP from a
 running instance. Here a store is the checkpointed state of a streaming
 operator, read as a batch DataFrame with the ``statestore`` source (no server).
-Lookups are filters on it; ``partition_id`` says which state partition —
-i.e. which task — owns a key.
+Lookups are filters on it.
 """
 
 from __future__ import annotations
@@ -12,10 +11,12 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from keyflow.session import store_dir
+
 
 def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = None,
                operator_id: int | None = None) -> DataFrame:
-    """Flattened state rows: key fields, value fields, ``partition_id``."""
+    """Flattened state rows: key fields, then value fields."""
     r = spark.read.format("statestore")
     if state_var:
         r = r.option("stateVarName", state_var)
@@ -26,7 +27,7 @@ def read_state(spark: SparkSession, checkpoint: str, state_var: str | None = Non
     value_fields = raw.schema["value"].dataType.fieldNames()
     cols = [F.col(f"key.{f}").alias(f) for f in key_fields]
     cols += [F.col(f"value.{f}").alias(f if f not in key_fields else f"value_{f}") for f in value_fields]
-    return raw.select(*cols, "partition_id")
+    return raw.select(*cols)
 
 
 def state_lookup(state: DataFrame, key: Column) -> DataFrame:
@@ -34,6 +35,6 @@ def state_lookup(state: DataFrame, key: Column) -> DataFrame:
     return state.filter(key)
 
 
-def key_partition(state: DataFrame, key_col: str = "key") -> DataFrame:
-    """Which state partition holds each key."""
-    return state.select(key_col, "partition_id")
+def open_store(spark: SparkSession, store: str, state_var: str | None = None) -> DataFrame:
+    """The state that ``run_stream(..., store=...)`` keeps under a name."""
+    return read_state(spark, store_dir(spark, store), state_var)

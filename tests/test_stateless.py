@@ -29,7 +29,7 @@ def test_flat_map_key_chars(spark):
 
 
 def test_branch_first_match_and_null_default(spark):
-    df = records(spark, [("a", 1, 1), ("a", 2, 25), ("a", 3, 60), ("a", 4, None)])
+    df = records(spark, [("a", 1, 1), ("a", 2, 2500), ("a", 3, 6000), ("a", 4, None)])
     out = stateless.branch_label(df).orderBy("seq").collect()
     assert [r.branch for r in out] == ["lt-25", "lt-50", "unfiltered", "unfiltered"]
     parts = stateless.split_branches(df)

@@ -84,6 +84,26 @@ def test_equal_timestamps_punctuate_once(spark):
     assert [(r.key, r.value) for r in out] == [("a", 21)]
 
 
+RECORDS = [("a", 1, T, 0), ("a", 1, T + 15_000, 1), ("a", 1, T, 2), ("a", 30, T + 30_000, 3)]
+
+
+@pytest.mark.parametrize("size", [1, 2, 4])
+def test_ticks_do_not_depend_on_batches(spark, size):
+    _, out = run_max(spark, [RECORDS[i:i + size] for i in range(0, 4, size)], [("a", 21)])
+    assert [(r.value, r.stream_time) for r in out] == [(21, T), (21, T + 15_000), (30, T + 30_000)]
+
+
+def test_idle_key_is_flushed_by_event_time(spark):
+    batches = [[("a", 5, T, 0)], [("b", 1, T + 25_000, 1)], [("b", 2, T + 26_000, 2)], [("b", 2, T + 27_000, 3)]]
+    s = stream_of(spark, landing_zone(batches)).withWatermark("ts", "0 milliseconds").select("key", "value", "ms", "seq")
+    out = s.groupBy("key").transformWithStateInPandas(
+        MaxProcessor(10_000, idle_flush=True), max_output_schema(), "Append", "EventTime")
+    rows = run_stream(out, "idle").read(spark).collect()
+    assert [(r.value, r.kind) for r in rows if r.key == "a"][0] == (5, "stream-time")
+    idle = sorted((r.value, r.stream_time) for r in rows if r.key == "a" and r.kind == "idle")
+    assert idle and idle[0] == (5, T + 10_000)
+
+
 def test_wall_clock_timer_flushes_every_key(spark):
     path = landing_zone([[("z", 1, T, 0)]])
     s = stream_of(spark, path).select("key", "value", "ms", "seq")
@@ -161,37 +181,45 @@ def test_restart_from_checkpoint_resumes(spark):
     assert got == want
 
 
-def test_fk_join_changelog_fixture(spark):
-    from keyflow.streaming.fk_changelog import current_join, fk_join_changelog
-    files = [
-        [("L", "john", "1", 1), ("L", "alex", "2", 2)],
-        [("R", "1", "xx", 3)],
-        [("R", "2", "yy", 4), ("L", "john", "2", 5)],
-        [("R", "2", "zz", 6), ("L", "alex", None, 7)],
-    ]
+def _updates(spark, files):
+    """Stream of (side, key, value, seq) updates, a file per micro-batch; a left row's value is its foreign key."""
     d = tempfile.mkdtemp(prefix="kf-fk-", dir="/tmp")
     t0 = time.time() - 1000
+    schema = pa.schema([("side", pa.string()), ("key", pa.string()), ("value", pa.string()), ("seq", pa.int64()),
+                        ("fk", pa.string())])
     for i, rows in enumerate(files):
         df = pd.DataFrame(rows, columns=["side", "key", "value", "seq"])
         df["fk"] = [v if s == "L" else k for s, k, v, _ in rows]
         p = os.path.join(d, f"part-{i:04d}.parquet")
-        pq.write_table(pa.Table.from_pandas(df, schema=pa.schema(
-            [("side", pa.string()), ("key", pa.string()), ("value", pa.string()), ("seq", pa.int64()),
-             ("fk", pa.string())]), preserve_index=False), p)
+        pq.write_table(pa.Table.from_pandas(df, schema=schema, preserve_index=False), p)
         os.utime(p, (t0 + i, t0 + i))
-    s = (spark.readStream.schema("side string, key string, value string, seq bigint, fk string")
-         .option("maxFilesPerTrigger", "1").parquet(d))
-    run = run_stream(fk_join_changelog(s, salts=3), "fk_fixture")
-    log = run.read(spark)
-    assert len([p for p in run.progress if p["numInputRows"]]) == 4
+    return (spark.readStream.schema("side string, key string, value string, seq bigint, fk string")
+            .option("maxFilesPerTrigger", "1").parquet(d))
+
+
+def test_fk_join_changelog_fixture(spark):
+    from keyflow.streaming.fk_changelog import current_join, run_fk_join
+    log = run_fk_join(_updates(spark, [
+        [("L", "john", "1", 1), ("L", "alex", "2", 2)],
+        [("R", "1", "xx", 3)],
+        [("R", "2", "yy", 4), ("L", "john", "2", 5)],
+        [("R", "2", "zz", 6), ("L", "alex", None, 7)],
+    ]), "fk_fixture")
 
-    def state_after(max_seq):
-        return {r.pk: r.value for r in current_join(log.filter(F.col("seq") <= max_seq)).collect()}
+    def state_after(batch):
+        return {r.pk: r.value for r in current_join(log.filter(F.col("batch_id") <= batch)).collect()}
 
-    assert state_after(2) == {}
-    assert state_after(3) == {"john": "user: 1 details: xx"}
-    assert state_after(5) == {"john": "user: 2 details: yy", "alex": "user: 2 details: yy"}
-    assert state_after(7) == {"john": "user: 2 details: zz"}
+    assert state_after(0) == {}
+    assert state_after(1) == {"john": "user: 1 details: xx"}
+    assert state_after(2) == {"john": "user: 2 details: yy", "alex": "user: 2 details: yy"}
+    assert state_after(3) == {"john": "user: 2 details: zz"}
+
+
+def test_fk_join_offsets_of_the_two_topics_do_not_compare(spark):
+    from keyflow.streaming.fk_changelog import current_join, run_fk_join
+    log = run_fk_join(_updates(spark, [[("L", "john", "1", 100)], [("R", "1", "a", 5)], [("R", "1", "old", 4)]]),
+                      "fk_offsets")
+    assert {r.pk: r.value for r in current_join(log).collect()} == {"john": "user: 1 details: a"}
 
 
 def test_sliding_windows_on_a_stream(spark):
@@ -241,8 +269,9 @@ def test_stream_equals_batch_hopping_and_sessions(spark):
     assert got_u == want_s
     native = run_stream(windows.session(stream_of(spark, path), 3 * H, windows.SUM, 10**12),
                         "sess_native", mode="complete")
-    from keyflow.streaming.runner import complete_result
-    got_n = sorted(map(tuple, complete_result(read_changelog(spark, native))
+    log = read_changelog(spark, native)
+    last = log.agg(F.max("batch_id")).first()[0]  # complete mode: the newest batch is the result
+    got_n = sorted(map(tuple, log.filter(F.col("batch_id") == last)
                        .select("key", "window_start", "window_end", "total").collect()))
     assert got_n == want_s
 
@@ -293,57 +322,47 @@ def test_stream_equals_batch_sliding(spark, bucket):
     assert got == want
 
 
-def test_cogroup_fold_across_batches(spark):
-    from keyflow.streaming.processors import CogroupFoldProcessor, cogroup_output_schema
-    batches = [[("a", 5, 1, 0)], [("a", None, 2, 1)]]
-    s = stream_of(spark, landing_zone(batches))
-    piece = F.when(F.col("seq") == 0, F.concat(F.lit(" first "), F.col("value").cast("string"))) \
+def test_cogroup_fold_writes_new_pieces_only(spark):
+    from keyflow.operators.aggregates import fold_parts
+    from keyflow.session import shared_dir
+    from keyflow.streaming.runner import run_batches
+    s = stream_of(spark, landing_zone([[("a", 5, 1, 0)], [("a", None, 2, 1), ("a", 7, 2, 2)]]))
+    piece = F.when(F.col("value").isNotNull(), F.concat(F.lit(" first "), F.col("value").cast("string"))) \
         .otherwise(F.lit(" second x"))
-    out = s.select("key", "seq", piece.alias("piece")).groupBy("key").transformWithStateInPandas(
-        CogroupFoldProcessor(" "), cogroup_output_schema(), "Append", "None")
-    rows = sorted((r.seq, r.value) for r in run_stream(out, "cogroup").read(spark).collect())
-    assert rows == [(0, "  first 5"), (1, "  first 5 second x")]
+    base = shared_dir(spark, "fold_test")
+    run_batches(s.select("key", "seq", piece.alias("piece")), "fold_test",
+                lambda b, i: fold_parts(b).write.parquet(f"{base}/parts/batch_id={i}"), f"{base}/checkpoint")
+    rows = sorted((r.batch_id, r.part) for r in spark.read.parquet(f"{base}/parts").collect())
+    assert rows == [(0, " first 5"), (1, " second x first 7")]
 
 
 def test_fk_join_changelog_random_against_replay(spark):
     import random
-    from keyflow.streaming.fk_changelog import current_join, fk_join_changelog
+    from keyflow.streaming.fk_changelog import current_join, run_fk_join
     rnd = random.Random(5)
-    seq = 0
+    seq = {"L": 500, "R": 0}  # a counter per topic
     files = []
     for _ in range(4):
         rows = []
         for _ in range(40):
-            seq += 1
-            if rnd.random() < 0.6:
-                pk = f"u{rnd.randrange(12)}"
+            side = "L" if rnd.random() < 0.6 else "R"
+            seq[side] += 1
+            if side == "L":
                 fk = rnd.choice(["1", "1", "1", "2", "3"]) if rnd.random() > 0.15 else None  # "1" is hot
-                rows.append(("L", pk, fk, seq, fk))
+                rows.append((side, f"u{rnd.randrange(12)}", fk, seq[side]))
             else:
-                rk = rnd.choice(["1", "2", "3"])
-                val = None if rnd.random() < 0.15 else f"r{seq}"
-                rows.append(("R", rk, val, seq, rk))
+                rows.append((side, rnd.choice(["1", "2", "3"]),
+                             None if rnd.random() < 0.15 else f"r{seq[side]}", seq[side]))
         files.append(rows)
-    d = tempfile.mkdtemp(prefix="kf-fkr-", dir="/tmp")
-    t0 = time.time() - 1000
-    schema = pa.schema([("side", pa.string()), ("key", pa.string()), ("value", pa.string()),
-                        ("seq", pa.int64()), ("fk", pa.string())])
-    for i, rows in enumerate(files):
-        df = pd.DataFrame(rows, columns=["side", "key", "value", "seq", "fk"])
-        p = os.path.join(d, f"part-{i:04d}.parquet")
-        pq.write_table(pa.Table.from_pandas(df, schema=schema, preserve_index=False), p)
-        os.utime(p, (t0 + i, t0 + i))
-    s = (spark.readStream.schema("side string, key string, value string, seq bigint, fk string")
-         .option("maxFilesPerTrigger", "1").parquet(d))
-    run = run_stream(fk_join_changelog(s, salts=4), "fk_random")
-    got = {r.pk: r.value for r in current_join(run.read(spark)).collect()}
+    log = run_fk_join(_updates(spark, files), "fk_random")
     left, right = {}, {}
-    for rows in files:
-        for side, k, v, _s, _fk in rows:
+    for batch, rows in enumerate(files):
+        for side, k, v, _ in rows:
             (left if side == "L" else right)[k] = v
-    want = {pk: f"user: {fk} details: {right[fk]}" for pk, fk in left.items()
-            if fk is not None and right.get(fk) is not None}
-    assert got == want
+        want = {pk: f"user: {fk} details: {right[fk]}" for pk, fk in left.items()
+                if fk is not None and right.get(fk) is not None}
+        got = {r.pk: r.value for r in current_join(log.filter(F.col("batch_id") <= batch)).collect()}
+        assert got == want
 
 
 def _shuffled_batches(seed, n, keys, span, disorder, per_batch):
@@ -386,3 +405,58 @@ def test_sliding_stream_out_of_order_within_grace(spark):
     want = sorted(map(tuple, c.join(t, ["key", "window_start", "window_end"])
                       .select("key", "window_start", "window_end", "cnt", "total").collect()))
     assert got == want
+
+
+def test_sliding_record_that_ties_the_newest_time_is_kept(spark):
+    from keyflow.streaming.sliding import sliding_stream
+    batches = [[("a", 1, 1000, 0)], [("a", 1, 1000, 1), ("a", 1, 1200, 2)], [("a", 1, 100_000, 3)], [("a", 1, 200_000, 4)]]
+    run = run_stream(sliding_stream(stream_of(spark, landing_zone(batches)), 300, 0), "sliding_tie")
+    got = {r.window_start: r.cnt for r in run.read(spark).collect()}
+    assert got[700] == 2 and got[900] == 3
+
+
+def test_sums_above_2_to_the_53_are_exact(spark):
+    import numpy as np
+    from keyflow.functions.time import floor_div
+    from keyflow.streaming.sessions import merge_intervals
+    big = 2**53
+    z = np.zeros(2, np.int64)
+    assert merge_intervals(z, z, np.ones(2, np.int64), np.array([big, 1]), 5)[3].tolist() == [big + 1]
+    df = spark.createDataFrame([(2**60 + 5,), (-(2**60) - 5,), (-7,), (0,)], "x bigint")
+    assert [r.q for r in df.select(floor_div("x", 10).alias("q")).collect()] == [
+        (2**60 + 5) // 10, (-(2**60) - 5) // 10, -1, 0]
+
+
+def test_run_that_emits_nothing_is_read_as_empty(spark):
+    s = stream_of(spark, landing_zone([[("a", 1, 1000, 0)]])).filter(F.col("key") == "none")
+    assert run_stream(s, "nothing").read(spark).count() == 0
+    run = run_stream(agg.count_by_key(s), "nothing_update", mode="update")
+    assert newest_per_key(read_changelog(spark, run), ["key"]).count() == 0
+
+
+def test_named_store_is_found_by_its_name(spark):
+    import uuid
+    from keyflow.streaming.state import open_store
+    name = f"test-{uuid.uuid4().hex[:8]}"
+    s = stream_of(spark, landing_zone([[("a", 1, 1000, 0), ("b", 1, 1000, 1), ("a", 2, 1001, 2)]]))
+    run_stream(s.groupBy("key").agg(F.count(F.lit(1)).alias("cnt")), "named", mode="update", store=name)
+    st = open_store(spark, name)
+    assert {r[0]: r[1] for r in st.collect()} == {"a": 2, "b": 1}
+
+
+def test_tap_counts_over_a_hundred_batches(spark):
+    from keyflow.operators.stateless import TAP_SCHEMA, observe_tap
+    from keyflow.session import shared_dir
+    from keyflow.streaming.runner import run_batches
+    n = 105
+    s = stream_of(spark, landing_zone([[("a", i, 1000 + i, i)] for i in range(n)])).select("key", "value", "ms", "seq")
+    base = shared_dir(spark, "tap_test")
+
+    def write(batch, batch_id):
+        out, seen = observe_tap(batch, f"t{batch_id}")
+        out.write.format("noop").mode("overwrite").save()
+        row = tuple(seen.get[k] for k in ("records", "max_value", "max_ms"))
+        spark.createDataFrame([row], TAP_SCHEMA).write.parquet(f"{base}/tap/batch_id={batch_id}")
+    run_batches(s, "tap_test", write, f"{base}/checkpoint")
+    got = spark.read.schema(TAP_SCHEMA).parquet(f"{base}/tap").agg(F.sum("records"), F.max("max_ms")).first()
+    assert tuple(got) == (n, 1000 + n - 1)

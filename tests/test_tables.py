@@ -29,13 +29,10 @@ def test_fk_join_inner_keyed_by_left(spark):
     assert out == {"john": "user: 1 details: xx", "alex": "user: 2 details: yy"}
 
 
-def test_bounded_broadcast_respects_bound(spark):
-    small = spark.range(10)
-    assert "ResolvedHint" in small.hint("broadcast")._jdf.queryExecution().analyzed().toString()
-    hinted = tables.bounded_broadcast(small, max_rows=100)
-    plain = tables.bounded_broadcast(small, max_rows=5)
-    assert "broadcast" in hinted._jdf.queryExecution().analyzed().toString().lower()
-    assert "broadcast" not in plain._jdf.queryExecution().analyzed().toString().lower()
+def test_regroup_by_value_keeps_emptied_groups(spark):
+    cl = records(spark, [("a", 1, 5), ("a", 2, 12), ("b", 3, 7), ("b", 4, None), ("c", 5, 15), (None, 6, 40)])
+    out = {r.key: r.total for r in tables.table_agg_add_subtract(cl, F.floor(F.col("value") / 10)).collect()}
+    assert out == {0: 0, 1: 27}
 
 
 def test_global_table_lookup_left(spark):
