@@ -37,7 +37,7 @@ from keyflow.llm.common import checkpointed, load_table, shared_folder, ship_pac
 
 BLOCK, LANES = 1 << 15, 32
 SEGMENT = 1 << 22      # tokens
-MEMO = 500_000         # words that a worker keeps; a full table starts anew
+MEMO = 1_000_000       # words that a worker keeps; a full table starts anew
 LOW = 1 << 31          # states stay in [LOW, LOW << 32)
 MAGIC = b"RANSTOK1"
 SPECIAL = "<|endoftext|>"
@@ -50,51 +50,68 @@ class WordTokens:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        self.memo: dict[str, bytes] = {}
+        # words after a blank, and words that begin a line
+        self.spaced: dict[str, bytes] = {}
+        self.first: dict[str, bytes] = {}
         line = self._ids("\n")
         self.line = line[0] if len(line) == 1 else None
         self.line_bytes = np.array(line, np.uint32).tobytes()
 
     def _ids(self, text: str) -> list[int]:
-        return self.lib.encode(text, add_special_tokens=False).ids
-
-    def _learn(self, words: list[str]) -> None:
-        """Encode words that hold no white space (but a blank in front), in one call."""
-        ids = np.array(self._ids("\n".join(words)), np.uint32)
-        ends = np.flatnonzero(ids == self.line)
-        if len(ends) == len(words) - 1:
-            raw = ids.tobytes()
-            begin, end = [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)]
-            self.memo.update((w, raw[a:b]) for w, a, b in zip(words, begin, end, strict=True))
-        else:
-            for w in words:
-                self.memo[w] = np.array(self._ids(w), np.uint32).tobytes()
-
-    def _cut(self, text: str) -> list[str] | None:
-        """Words, each but a line's first with its blank, and line ends; None if white space is not plain."""
-        if text.split() != text.replace("\n", " ").split(" ") or SPECIAL in text or self.line is None:
+        return self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids
+
+    def _learn(self, memo: dict[str, bytes], words: list[str], blank: str) -> None:
+        """Encode words without white space, in one call for many; a line end parts them."""
+        for at in range(0, len(words), 5000):
+            some = words[at:at + 5000]
+            ids = np.array(self._ids(blank + f"\n{blank}".join(some)), np.uint32)
+            ends = np.flatnonzero(ids == self.line)
+            if len(ends) == len(some) - 1:
+                raw = ids.tobytes()
+                begin, end = [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)]
+                memo.update((w, raw[i:k]) for w, i, k in zip(some, begin, end, strict=True))
+            else:
+                memo.update((w, np.array(self._ids(blank + w), np.uint32).tobytes()) for w in some)
+
+    def _look_up(self, text: str, unknown: dict[int, set[str]]):
+        """Words, the ids that are known (None: not), and the places that begin a line; None for a
+        text that has to go whole."""
+        words = text.replace("\n", " ").split(" ")
+        if words != text.split() or SPECIAL in text or self.line is None:
             return None
-        out: list[str] = []
-        for k, line in enumerate(text.split("\n")):
-            first, *rest = line.split(" ")
-            if k:
-                out.append("\n")
-            out.append(first)
-            out += [" " + w for w in rest]
-        return out
+        ids = list(map(self.spaced.get, words))
+        starts, at = [], 0
+        for line in text.split("\n"):
+            starts.append(at)
+            ids[at] = self.first.get(words[at])
+            at += line.count(" ") + 1
+        if None in ids:
+            begin = set(starts)
+            for k, known in enumerate(ids):
+                if known is None:
+                    unknown[k in begin].add(words[k])
+        return words, ids, starts
 
     def packed(self, texts: list[str]) -> list[bytes]:
-        cut = [self._cut(t) for t in texts]
-        new = set().union(*[c for c in cut if c])
-        if len(self.memo) + len(new) > MEMO:
-            self.memo.clear()
-        self.memo["\n"] = self.line_bytes
-        missing = sorted(new - self.memo.keys())
-        for at in range(0, len(missing), 5000):
-            self._learn(missing[at:at + 5000])
-        get = self.memo.__getitem__
-        return [b"".join(map(get, c)) if c else np.array(self._ids(t), np.uint32).tobytes() if t else b""
-                for t, c in zip(texts, cut, strict=True)]
+        if len(self.spaced) + len(self.first) > MEMO:
+            self.spaced.clear()
+            self.first.clear()
+        unknown: dict[int, set[str]] = {False: set(), True: set()}
+        found = [self._look_up(t, unknown) if t else None for t in texts]
+        self._learn(self.spaced, sorted(unknown[False]), " ")
+        self._learn(self.first, sorted(unknown[True]), "")
+        out = []
+        for text, looked in zip(texts, found, strict=True):
+            if looked is None:
+                out.append(np.array(self._ids(text), np.uint32).tobytes() if text else b"")
+                continue
+            words, ids, starts = looked
+            for k in starts:
+                ids[k] = (self.line_bytes if k else b"") + self.first[words[k]]
+            if None in ids:
+                ids = [self.spaced[w] if i is None else i for w, i in zip(words, ids, strict=True)]
+            out.append(b"".join(ids))
+        return out
 
 
 @lru_cache(maxsize=2)
