@@ -6,6 +6,7 @@ import corpus_pipeline
 from keyflow.llm.imi import op7_imi_search
 from keyflow.llm.licenses import op1_license_scan
 from keyflow.llm.mixing import op9_mixing
+from keyflow.llm.oracle import ORACLE_SQL
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
 from keyflow.llm.rans import op6_rans_tokens
@@ -27,4 +28,5 @@ QUERIES = {
     "op10_secret_scan": op10_secret_scan,
     "pipeline": corpus_pipeline.run,
 }
-ORACLE_SQL: dict[str, str] = {}
+
+__all__ = ["ORACLE_SQL", "QUERIES"]
