@@ -94,10 +94,15 @@ def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None
         out = df.groupBy("key", F.session_window("ts", _ms_interval(gap_ms)).alias("w")).agg(
             F.min("ms").alias("window_start"), F.max("ms").alias("window_end"), *_aggs(kind))
         return out.drop("w")
+    name = "cnt" if kind == COUNT else "total"
+    return partial_sessions(df, gap_ms, bucket_ms).select("key", "window_start", "window_end", name)
+
+
+def partial_sessions(df: DataFrame, gap_ms: int, bucket_ms: int | None = None) -> DataFrame:
+    """Sessions of a batch with both aggregates: key, window_start, window_end, cnt, total (of non-null values)."""
     gap = int(gap_ms)
     width = int(bucket_ms) if bucket_ms else max(4 * gap, 1)
-    value = F.lit(None).cast("bigint") if kind == COUNT else F.col("value")
-    x = (df.groupBy("key", "ms").agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("v"))
+    x = (df.groupBy("key", "ms").agg(F.count(F.lit(1)).alias("n"), F.sum("value").cast("bigint").alias("v"))
          .withColumn("bucket", floor_div("ms", width)))
     in_bucket = Window.partitionBy("key", "bucket").orderBy("ms")
     x = x.withColumn("_brk", F.when(F.col("ms") - F.lag("ms").over(in_bucket) <= F.lit(gap), 0).otherwise(1))
@@ -107,9 +112,8 @@ def session(df: DataFrame, gap_ms: int, kind: str = COUNT, grace_ms: int | None
     # a partial session further than the gap from both borders is whole
     low = F.col("bucket") * F.lit(width)
     border = (F.col("p_start") - F.lit(gap) < low) | (F.col("p_end") + F.lit(gap) >= low + F.lit(width))
-    name = "cnt" if kind == COUNT else "total"
     out = ["key", F.col("p_start").alias("window_start"), F.col("p_end").alias("window_end"),
-           F.col("n" if kind == COUNT else "v").cast("bigint").alias(name)]
+           F.col("n").cast("bigint").alias("cnt"), F.col("v").cast("bigint").alias("total")]
     per_key = Window.partitionBy("key").orderBy("p_start")
     merged = partial.filter(border).withColumn(
         "_brk", F.when(F.col("p_start") - F.lag("p_end").over(per_key) <= F.lit(gap), 0).otherwise(1))

@@ -62,14 +62,12 @@ def session_count_final(spark, sf_dir):
 # ---------------------------------------------------------------- early results / changelogs
 def session_intermediate(spark, sf_dir):
     """Every change of every session (``toStream().foreach`` of the session
-    count): upserts and retractions from the session processor — only what
-    changed in a batch, not the whole state as complete mode would. The
-    current result is the newest non-retracted row per session."""
-    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+    count): upserts and retractions of what changed in a batch. The current
+    result is the newest non-retracted row per session."""
+    from keyflow.streaming.sessions import current_sessions, run_session_updates
     s = event_record_stream(spark, sf_dir, key="user_id")
-    run = run_stream(session_updates_stream(s, P.SESSION_COUNT_GAP, P.SESSION_COUNT_GRACE, key_type="bigint"),
-                     "session_intermediate")
-    return current_sessions(run.read(spark)).drop("total")
+    log = run_session_updates(s, P.SESSION_COUNT_GAP, P.SESSION_COUNT_GRACE, "session_intermediate", "bigint")
+    return current_sessions(log).drop("total")
 
 
 def changelog_of_counts(spark, sf_dir):

@@ -1,163 +1,92 @@
 """Session windows on a stream with early (update) results.
 
-Spark rejects update mode for ``session_window``; complete mode re-emits the
-whole state every trigger. This processor keeps each key's open sessions as
-one array state and emits only what changed in a micro-batch:
+Spark rejects update mode for ``session_window``, and complete mode re-emits the
+whole state every trigger. Here each micro-batch is reduced to partial sessions
+by the batch plan (``windows.session``: combined map-side and bucketed, so a hot
+key's records are spread) and these are merged with the open sessions of their
+keys, as a DataFrame. Only what changed is written:
 
 * an upsert ``(key, start, end, cnt, total)`` for every session that got new
   records (possibly merging older sessions), and
 * a retraction (``deleted = true``) for every older session absorbed into a
   session with an earlier start,
 
-each tagged with a per-key ``version``; the current sessions are the newest
-row per ``(key, window_start)`` that is not a retraction. Sessions whose
-``end + gap`` is behind the watermark can no longer change and are evicted by
-an event-time timer. Merge rule: records (and sessions) closer than or exactly
-``gap`` apart belong to one session.
+each tagged with the ``batch_id``; the current sessions are the newest row per
+``(key, window_start)`` that is not a retraction. Merge rule: records (and
+sessions) closer than or exactly ``gap`` apart belong to one session.
+
+A record is late if the session it would be in ended more than ``gap + grace``
+before the stream time of the batches before; closed sessions are not looked at
+again. A retried batch overwrites its own partition and reads those before it.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
-
-from keyflow.session import ship_package
-
-SESSIONS_STATE = "start array<long>, end array<long>, cnt array<long>, total array<long>"
-META_STATE = "version long, armed long"
-OUTPUT = ("key {key_type}, window_start long, window_end long, cnt long, total long, "
-          "deleted boolean, version long")
-
-
-def merge_intervals(start, end, cnt, total, gap):
-    """Merge intervals closer than or exactly ``gap`` apart -> arrays + group id."""
-    order = np.lexsort((end, start))
-    s, e, c, t = start[order], end[order], cnt[order], total[order]
-    reach = np.maximum.accumulate(e)
-    brk = np.ones(len(s), bool)
-    brk[1:] = s[1:] - reach[:-1] > gap
-    gid = np.cumsum(brk) - 1
-    n = gid[-1] + 1 if len(gid) else 0
-    ms = np.full(n, np.iinfo(np.int64).max)
-    np.minimum.at(ms, gid, s)
-    me = np.full(n, np.iinfo(np.int64).min)
-    np.maximum.at(me, gid, e)
-    mc, mt = np.zeros(n, np.int64), np.zeros(n, np.int64)  # integers: exact above 2^53
-    np.add.at(mc, gid, c)
-    np.add.at(mt, gid, t)
-    return ms, me, mc, mt, gid, order
-
-
-class SessionProcessor(StatefulProcessor):
-    def __init__(self, gap_ms: int):
-        self.gap = int(gap_ms)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.sessions = handle.getValueState("sessions", SESSIONS_STATE)
-        self.meta = handle.getValueState("meta", META_STATE)
-
-    def _load(self):
-        row = self.sessions.get()
-        if row is None:
-            z = np.empty(0, np.int64)
-            return z, z, z, z
-        return tuple(np.asarray(v, np.int64) for v in row)
-
-    def _save(self, s, e, c, t):
-        if len(s):
-            self.sessions.update((s.tolist(), e.tolist(), c.tolist(), t.tolist()))
-        else:
-            self.sessions.clear()
-
-    def _rearm(self, e, version, armed):
-        nxt = int(e.min()) + self.gap + 1 if len(e) else None
-        if nxt != armed:
-            if armed is not None:
-                self.handle.deleteTimer(armed)
-            if nxt is not None:
-                self.handle.registerTimer(nxt)
-        self.meta.update((version, nxt))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        batch = pd.concat(list(rows), ignore_index=True)
-        meta = self.meta.get()
-        version, armed = (0, None) if meta is None else (int(meta[0]), meta[1])
-        os_, oe, oc, ot = self._load()
-        nm = batch["ms"].to_numpy(np.int64)
-        known = batch["value"].notna().to_numpy()
-        nv = batch["value"].where(known, 0).to_numpy(np.int64)
-        if wm and wm > 0 and (nm + self.gap < wm).any():
-            # a record is late if the session it would be in is closed
-            _, end, _, _, group, turn = merge_intervals(
-                np.concatenate([os_, nm]), np.concatenate([oe, nm]), np.concatenate([oc, nm]),
-                np.concatenate([ot, nm]), self.gap)
-            open_ = np.empty(len(group), bool)
-            open_[turn] = end[group] + self.gap >= wm
-            nm, nv = nm[open_[len(os_):]], nv[open_[len(os_):]]
-        if not len(nm):
-            return
-        n_old = len(os_)
-        s = np.concatenate([os_, nm])
-        e = np.concatenate([oe, nm])
-        c = np.concatenate([oc, np.ones(len(nm), np.int64)])
-        t = np.concatenate([ot, nv])
-        ms, me, mc, mt, gid, order = merge_intervals(s, e, c, t, self.gap)
-        is_new = order >= n_old
-        changed = np.zeros(len(ms), bool)
-        np.logical_or.at(changed, gid, is_new)
-        version += 1
-        k = key[0]
-        up = pd.DataFrame({"window_start": ms[changed], "window_end": me[changed], "cnt": mc[changed],
-                           "total": mt[changed], "deleted": False})
-        # old sessions absorbed into a changed session that starts earlier
-        old_idx = order[~is_new]
-        old_gid = gid[~is_new]
-        gone = changed[old_gid] & (os_[old_idx] != ms[old_gid])
-        down = pd.DataFrame({"window_start": os_[old_idx][gone], "window_end": oe[old_idx][gone],
-                             "cnt": pd.array([None] * int(gone.sum()), dtype="Int64"),
-                             "total": pd.array([None] * int(gone.sum()), dtype="Int64"), "deleted": True})
-        self._save(ms, me, mc, mt)
-        self._rearm(me, version, armed)
-        out = pd.concat([up, down], ignore_index=True)
-        out.insert(0, "key", k)
-        out["version"] = version
-        yield out
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        meta = self.meta.get()
-        version = 0 if meta is None else int(meta[0])
-        s, e, c, t = self._load()
-        keep = e + self.gap >= wm  # a later record (>= watermark) can still join these
-        s, e, c, t = s[keep], e[keep], c[keep], t[keep]
-        self._save(s, e, c, t)
-        self._rearm(e, version, None)
-        return iter([])
-
-    def close(self) -> None:
-        pass
-
 
-def session_updates_stream(df: DataFrame, gap_ms: int, grace_ms: int = 0,
-                           key_type: str = "string") -> DataFrame:
-    """Changelog of session windows (upserts and retractions) of a record stream."""
-    ship_package(df.sparkSession)
-    # ``ts`` only carries the watermark; the processor works on ``ms``
-    x = (df.filter(F.col("key").isNotNull())
-         .withWatermark("ts", f"{int(grace_ms)} milliseconds").select("key", "ms", "value"))
-    return x.groupBy("key").transformWithStateInPandas(
-        SessionProcessor(gap_ms), OUTPUT.format(key_type=key_type), "Append", "EventTime")
+from keyflow.operators import windows
+from keyflow.session import shared_dir
+from keyflow.streaming.runner import NO_BATCH, run_batches
+
+LOG = "key {key_type}, window_start long, window_end long, cnt long, total long, deleted boolean"
+
+
+def merge_sessions(parts: DataFrame, gap_ms: int) -> DataFrame:
+    """``parts`` (key, window_start, window_end, …) with ``first`` and ``last``, the bounds of the
+    session that each part is in once parts at most ``gap`` apart are merged."""
+    order = Window.partitionBy("key").orderBy("window_start", "window_end")
+    reach = F.max("window_end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    new = F.when(F.col("window_start") - reach <= F.lit(int(gap_ms)), 0).otherwise(1)
+    numbered = parts.withColumn("_new", new).withColumn(
+        "_sid", F.sum("_new").over(order.rowsBetween(Window.unboundedPreceding, 0)))
+    whole = Window.partitionBy("key", "_sid")
+    return (numbered.withColumn("first", F.min("window_start").over(whole))
+            .withColumn("last", F.max("window_end").over(whole)).drop("_new", "_sid"))
+
+
+def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, key_type: str = "string") -> DataFrame:
+    """Run to the end of the record stream ``df``; returns the changelog with ``batch_id``."""
+    spark, gap = df.sparkSession, int(gap_ms)
+    base = shared_dir(spark, name)
+    log, times = LOG.format(key_type=key_type), "ms long"
+    spark.createDataFrame([], log).write.parquet(f"{base}/log/batch_id={NO_BATCH}")
+    spark.createDataFrame([], times).write.parquet(f"{base}/time/batch_id={NO_BATCH}")
+
+    def merge(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        before = F.col("batch_id") < batch_id
+        seen = s.read.schema(f"{times}, batch_id int").parquet(f"{base}/time").filter(before).agg(F.max("ms")).first()[0]
+        closed = None if seen is None else seen - int(grace_ms) - gap  # sessions that ended before are closed
+        new = windows.partial_sessions(batch, gap)
+        old = current_sessions(s.read.schema(f"{log}, batch_id int").parquet(f"{base}/log").filter(before))
+        if closed is not None:
+            old = old.filter(F.col("window_end") >= closed)
+        old = old.join(new.select("key").distinct(), "key", "left_semi")
+        columns = ["key", "window_start", "window_end", "cnt", "total"]
+        both = merge_sessions(new.select(*columns, F.lit(True).alias("fresh"))
+                              .unionByName(old.select(*columns, F.lit(False).alias("fresh"))), gap)
+        if closed is not None:
+            both = both.filter(F.col("last") >= closed)  # late records
+        session = both.groupBy("key", "first").agg(
+            F.max("last").alias("window_end"), F.sum("cnt").alias("cnt"), F.sum("total").alias("total"),
+            F.max("fresh").alias("changed"),
+            F.collect_list(F.when(~F.col("fresh") & (F.col("window_start") != F.col("first")),
+                                  F.struct("window_start", "window_end"))).alias("gone"))
+        changed = session.filter("changed")
+        nothing = F.lit(None).cast("bigint")
+        up = changed.select("key", F.col("first").alias("window_start"), "window_end", "cnt", "total",
+                            F.lit(False).alias("deleted"))
+        down = changed.select("key", F.inline("gone")).select(
+            "key", "window_start", "window_end", nothing.alias("cnt"), nothing.alias("total"), F.lit(True).alias("deleted"))
+        up.unionByName(down).write.mode("overwrite").parquet(f"{base}/log/batch_id={batch_id}")
+        batch.agg(F.max("ms").alias("ms")).write.mode("overwrite").parquet(f"{base}/time/batch_id={batch_id}")
+    run_batches(df.filter(F.col("key").isNotNull()), base.rsplit("/", 1)[-1], merge, f"{base}/checkpoint")
+    return spark.read.schema(f"{log}, batch_id int").parquet(f"{base}/log")
 
 
 def current_sessions(changelog: DataFrame) -> DataFrame:
     """Newest row per (key, window_start) that is not a retraction."""
     newest = changelog.groupBy("key", "window_start").agg(
-        F.max_by(F.struct("window_end", "cnt", "total", "deleted"), "version").alias("r"))
+        F.max_by(F.struct("window_end", "cnt", "total", "deleted"), "batch_id").alias("r"))
     return newest.select("key", "window_start", "r.*").filter(~F.col("deleted")).drop("deleted")

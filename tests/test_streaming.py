@@ -236,20 +236,18 @@ def test_sliding_windows_on_a_stream(spark):
 
 
 def test_session_updates_merge_and_retract(spark):
-    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+    from keyflow.streaming.sessions import current_sessions, run_session_updates
     batches = [[("a", 1, 1000, 0)], [("a", 2, 1500, 1)], [("a", 4, 1250, 2)]]  # 1250 bridges both
-    s = stream_of(spark, landing_zone(batches))
-    run = run_stream(session_updates_stream(s, 300, grace_ms=10_000), "session_updates")
-    log = run.read(spark)
-    rows = sorted((r.version, r.window_start, r.window_end, r.cnt, r.deleted) for r in log.collect())
-    assert rows == [(1, 1000, 1000, 1, False), (2, 1500, 1500, 1, False),
-                    (3, 1000, 1500, 3, False), (3, 1500, 1500, None, True)]
+    log = run_session_updates(stream_of(spark, landing_zone(batches)), 300, 10_000, "session_updates")
+    rows = sorted((r.batch_id, r.window_start, r.window_end, r.cnt, r.deleted) for r in log.collect())
+    assert rows == [(0, 1000, 1000, 1, False), (1, 1500, 1500, 1, False),
+                    (2, 1000, 1500, 3, False), (2, 1500, 1500, None, True)]
     cur = [(r.window_start, r.window_end, r.cnt, r.total) for r in current_sessions(log).collect()]
     assert cur == [(1000, 1500, 3, 7)]
 
 
 def test_stream_equals_batch_hopping_and_sessions(spark):
-    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+    from keyflow.streaming.sessions import current_sessions, run_session_updates
     H = 3_600_000
     batches = _event_batches(spark, 4)
     path = landing_zone(batches)
@@ -263,8 +261,8 @@ def test_stream_equals_batch_hopping_and_sessions(spark):
     # sessions: native session_window (complete) and the update processor agree with batch
     want_s = sorted(map(tuple, windows.session(batch_recs, 3 * H, windows.SUM)
                         .select("key", "window_start", "window_end", "total").collect()))
-    upd = run_stream(session_updates_stream(stream_of(spark, path), 3 * H, grace_ms=10**12), "sess_upd")
-    got_u = sorted(map(tuple, current_sessions(upd.read(spark))
+    upd = run_session_updates(stream_of(spark, path), 3 * H, 10**12, "sess_upd")
+    got_u = sorted(map(tuple, current_sessions(upd)
                        .select("key", "window_start", "window_end", "total").collect()))
     assert got_u == want_s
     native = run_stream(windows.session(stream_of(spark, path), 3 * H, windows.SUM, 10**12),
@@ -375,20 +373,45 @@ def _shuffled_batches(seed, n, keys, span, disorder, per_batch):
     return [rows[i:i + per_batch] for i in range(0, n, per_batch)], rows
 
 
-def test_session_updates_out_of_order_within_grace(spark):
-    from keyflow.streaming.sessions import current_sessions, session_updates_stream
+def _session_replay(batches, gap):
+    """Changelog of sessions by brute force: per batch the changed sessions and those they absorbed."""
+    seen, before, log = [], {}, []
+    for number, rows in enumerate(batches):
+        seen += [(k, ms, v) for k, v, ms, _ in rows]
+        now = {}
+        for key in {k for k, _, _ in seen}:
+            own = sorted((ms, v) for k, ms, v in seen if k == key)
+            start = None
+            for ms, v in own:
+                if start is None or ms - now[key, start][0] > gap:
+                    start = ms
+                    now[key, start] = (ms, 0, 0)
+                end, n, total = now[key, start]
+                now[key, start] = (ms, n + 1, total + v)
+        log += [(number, *at, *x, False) for at, x in now.items() if before.get(at) != x]
+        log += [(number, *at, before[at][0], None, None, True) for at in before.keys() - now.keys()]
+        before = now
+    return sorted(log, key=repr)
+
+
+def test_session_changelog_against_replay(spark):
+    from keyflow.streaming.sessions import current_sessions, run_session_updates
     batches, rows = _shuffled_batches(1, 300, "ab", 60_000, 2_000, 37)
-    far = [("a", 0, 4_102_444_800_000, 10**6), ("b", 0, 4_102_444_800_000, 10**6 + 1)]
-    s = stream_of(spark, landing_zone(batches + [far]))
-    run = run_stream(session_updates_stream(s, 500, grace_ms=5_000), "sess_ooo")
-    got = sorted(map(tuple, current_sessions(run.read(spark)).filter(F.col("window_start") < 10**12)
-                     .select("key", "window_start", "window_end", "cnt", "total").collect()))
+    log = run_session_updates(stream_of(spark, landing_zone(batches)), 500, 5_000, "sess_ooo")
+    got = [(r.batch_id, r.key, r.window_start, r.window_end, r.cnt, r.total, r.deleted) for r in log.collect()]
+    assert sorted(got, key=repr) == _session_replay(batches, 500)
     ref = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_millis("ms"))
-    c = windows.session(ref, 500, windows.COUNT)
-    t = windows.session(ref, 500, windows.SUM)
-    want = sorted(map(tuple, c.join(t, ["key", "window_start", "window_end"])
-                      .select("key", "window_start", "window_end", "cnt", "total").collect()))
-    assert got == want
+    want = windows.partial_sessions(ref, 500)
+    assert sorted(map(tuple, current_sessions(log).select(want.columns).collect())) == sorted(map(tuple, want.collect()))
+
+
+def test_session_late_rule_looks_at_the_session(spark):
+    from keyflow.streaming.sessions import current_sessions, run_session_updates
+    batches = [[("a", 1, 1000, 0)], [("b", 1, 1500, 1)], [("a", 2, 1200, 2), ("a", 4, 600, 3), ("b", 8, 900, 4)]]
+    log = run_session_updates(stream_of(spark, landing_zone(batches)), 300, 200, "sess_late")
+    got = sorted((r.key, r.window_start, r.window_end, r.total) for r in current_sessions(log).collect())
+    # closed: sessions that ended before 1500 - 200 - 300; 600 is too far from a's session, b's 900 is late alone
+    assert got == [("a", 1000, 1200, 3), ("b", 1500, 1500, 1)]
 
 
 def test_sliding_stream_out_of_order_within_grace(spark):
@@ -416,12 +439,15 @@ def test_sliding_record_that_ties_the_newest_time_is_kept(spark):
 
 
 def test_sums_above_2_to_the_53_are_exact(spark):
-    import numpy as np
     from keyflow.functions.time import floor_div
-    from keyflow.streaming.sessions import merge_intervals
+    from keyflow.streaming.sessions import current_sessions, run_session_updates
+    from keyflow.streaming.sliding import sliding_stream
     big = 2**53
-    z = np.zeros(2, np.int64)
-    assert merge_intervals(z, z, np.ones(2, np.int64), np.array([big, 1]), 5)[3].tolist() == [big + 1]
+    zone = landing_zone([[("a", big, 1000, 0), ("a", 1, 1000, 1)], [("a", None, 1001, 2)], [("b", 1, 10**6, 3)]])
+    log = run_session_updates(stream_of(spark, zone), 300, 1000, "sess_big")
+    assert {r.key: r.total for r in current_sessions(log).collect()} == {"a": big + 1, "b": 1}
+    run = run_stream(sliding_stream(stream_of(spark, zone), 300, 0), "slide_big")
+    assert {r.window_start: r.total for r in run.read(spark).collect()}[700] == big + 1
     df = spark.createDataFrame([(2**60 + 5,), (-(2**60) - 5,), (-7,), (0,)], "x bigint")
     assert [r.q for r in df.select(floor_div("x", 10).alias("q")).collect()] == [
         (2**60 + 5) // 10, (-(2**60) - 5) // 10, -1, 0]
