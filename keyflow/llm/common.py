@@ -7,16 +7,31 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.session import _checkpoint_root, ship_package
+from keyflow import session
+from keyflow.session import _checkpoint_root
 from keyflow.sources import load_table
 
 __all__ = ["SPACE_WORD", "checkpointed", "comma_sorted", "content_key", "load_table", "row_id",
            "shared_folder", "ship_package", "text_of"]
 
+BATCH_ROWS = 1000
 # A word is a run of anything but the six ASCII blanks.
 SPACE_WORD = r"[^\x20\x09-\x0D]+"
 
 
+def ship_package(spark: SparkSession) -> None:
+    """Make the package importable in Python workers, and their batches fit for texts.
+
+    Spark's default of 10,000 rows in an Arrow batch is meant for narrow rows; of
+    long texts it is hundreds of MB in the JVM and again in Python. A setting
+    that is not the default is left alone.
+    """
+    session.ship_package(spark)
+    rows = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    if spark.conf.get(rows) == "10000":
+        spark.conf.set(rows, str(BATCH_ROWS))
+
+
 def shared_folder(spark: SparkSession, name: str) -> str:
     """A fresh folder below ``spark.checkpoint.dir``, for files that other tasks read."""
     return f"{_checkpoint_root(spark).rstrip('/')}/llm/{name}-{uuid.uuid4().hex[:12]}"
