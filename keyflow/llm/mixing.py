@@ -194,7 +194,9 @@ def mixed_documents(docs: DataFrame, seed: int = 0, text_col: str = "text", id_c
     keyed = docs.select("*", *content_key(*[text if c == text_col else F.col(f"`{c}`") for c in names]))
     out = keyed.dropDuplicates(["__k1", "__k2"]).join(plan, ["__k1", "__k2"])
     cut = F.regexp_extract_all(text, F.lit(rf"(?s)(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{1,{BLOCK}}}+"), F.lit(0))
-    partial = F.array_join(F.transform("__blocks", lambda i: F.element_at(cut, (i + 1).cast("int"))), "")
+    # bound as a lambda's variable, the text is cut once and not for each block
+    partial = F.transform(F.array(cut), lambda c: F.array_join(
+        F.transform("__blocks", lambda i: F.element_at(c, (i + 1).cast("int"))), ""))[0]
     out = out.withColumn("__text", F.when(F.col("__blocks").isNull(), F.col(text_col)).otherwise(partial))
     changed = {text_col: F.col("__text")}
     if "n_chars" in names:
