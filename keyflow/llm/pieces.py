@@ -27,6 +27,7 @@ from hashlib import sha256
 from itertools import chain
 
 import ahocorasick
+import numpy as np
 import pandas as pd
 import sentencepiece
 from pyspark.sql import DataFrame
@@ -181,10 +182,11 @@ def codec(model_path: str) -> PieceCodec:
 
 
 def _row(c: PieceCodec, text: str) -> tuple:
-    ids = c.encode(text)
+    packed = c.packed(text)
+    ids = array("I", packed).tolist()
     digits = ",".join(map(c.digits.__getitem__, ids))
     back = c.decode(ids) if ids else ""
-    return len(ids), sha256(digits.encode()).hexdigest(), sha256(back.encode()).hexdigest(), ids
+    return len(ids), sha256(digits.encode()).hexdigest(), sha256(back.encode()).hexdigest(), np.frombuffer(packed, np.int32)
 
 
 def encoded(docs: DataFrame, model_path: str, text_col: str = "text", into: str = "pieces",
