@@ -29,6 +29,7 @@ from pyspark.sql.window import Window
 from keyflow.llm.common import checkpointed, content_key, load_table, row_id, text_of
 
 MASK = "[removed]"
+CUT = 1024             # code points in a block of a text that is masked
 # an owner-specific value is with this many owners at most
 MAX_OWNERS = 2
 MIN_DISTINCT_CHARS = 6
@@ -137,17 +138,51 @@ def _listed(spans: Column) -> Column:
         ":", F.element_at(names, s["kind"] + 1), s["start"].cast("string"), s["end"].cast("string"))), ",")
 
 
+def live_places(found: DataFrame) -> DataFrame:
+    """Per content key with a live value: ``__places``, an array by start of (start, end) of the live values
+    that ``scan`` found, overlapping ones merged."""
+    each = (found.select("__k1", "__k2", F.filter("spans", lambda s: s["live"]).alias("spans"))
+            .where(F.size("spans") > 0).dropDuplicates(["__k1", "__k2"])
+            .select("__k1", "__k2", F.explode("spans").alias("s"))
+            # a value ends its match
+            .select("__k1", "__k2", (F.col("s.end") - F.length("s.value")).alias("start"), F.col("s.end").alias("end")))
+    order = Window.partitionBy("__k1", "__k2").orderBy("start", "end")
+    reach = F.max("end").over(order.rowsBetween(Window.unboundedPreceding, -1))
+    run = order.rowsBetween(Window.unboundedPreceding, 0)
+    merged = (each.withColumn("new", F.coalesce(F.col("start") >= reach, F.lit(True)).cast("int"))
+              .withColumn("n", F.sum("new").over(run))
+              .groupBy("__k1", "__k2", "n").agg(F.min("start").alias("start"), F.max("end").alias("end")))
+    return merged.groupBy("__k1", "__k2").agg(
+        F.array_sort(F.collect_list(F.struct("start", "end"))).alias("__places"))
+
+
+def _masked(text: Column, places: Column) -> Column:
+    """``text`` with ``MASK`` for each of the places; its work is linear in the text and the places."""
+    def cut(blocks):
+        def part(p):
+            first, last = (F.floor(p[x] / CUT).cast("int") for x in ("low", "high"))
+            low, high = ((p[x] % CUT).cast("int") for x in ("low", "high"))
+            head, tail = (F.coalesce(F.get(blocks, i), F.lit("")) for i in (first, last))
+            return F.when(first == last, F.substring(head, low + 1, high - low)).otherwise(F.concat(
+                F.substring(head, low + 1, F.lit(CUT)), F.array_join(F.slice(blocks, first + 2, last - first - 1), ""),
+                F.substring(tail, F.lit(1), high)))
+        lows = F.concat(F.array(F.lit(0).cast("bigint")), F.transform(places, lambda p: p["end"]))
+        highs = F.concat(F.transform(places, lambda p: p["start"]), F.array((F.size(blocks) * CUT).cast("bigint")))
+        return F.array_join(F.transform(F.arrays_zip(lows.alias("low"), highs.alias("high")), part), MASK)
+    # bound as a lambda's variable, the text is cut into blocks once
+    return F.transform(F.array(F.regexp_extract_all(text, F.lit(f"(?s).{{1,{CUT}}}"), F.lit(0))), cut)[0]
+
+
 def remove_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
                 repo_col: str | None = None, max_owners: int = MAX_OWNERS) -> DataFrame:
     """``docs`` with every live-looking value masked in its text (and ``n_chars``, where there is one, set anew).
 
     Texts without a candidate are passed on as they are; only the others meet
-    their document's findings.
+    their document's findings. A text is cut once, at the places found in it as it
+    came, so no mask hides a live value from another kind; values that overlap
+    get one mask.
     """
-    findings = (scan(docs, id_col, text_col, owner_col, repo_col, max_owners)
-                .select("__k1", "__k2", F.array_distinct(F.transform(
-                    F.filter("spans", lambda s: s["live"]), lambda s: s["value"])).alias("__live"))
-                .where(F.size("__live") > 0).dropDuplicates(["__k1", "__k2"]))
+    findings = live_places(scan(docs, id_col, text_col, owner_col, repo_col, max_owners))
     text = text_of(text_col)
     suspect = _found(text, KINDS[0])
     for k in KINDS[1:]:
@@ -155,19 +190,11 @@ def remove_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     names = [F.col(f"`{c}`") for c in docs.columns]
     some = (docs.where(suspect).select(*names, *content_key(F.col(id_col), text))
             .join(findings, ["__k1", "__k2"], "left"))
-    def put(x):
-        cut = F.concat(F.substring(x["hit"], F.lit(1), F.length(x["hit"]) - F.length(x["value"])), F.lit(MASK))
-        return F.concat(x["gap"], F.when(F.array_contains(F.col("__live"), x["value"]), cut)
-                        .otherwise(F.coalesce(x["hit"], F.lit(""))))
-    # one column after the other: an expression that holds the last one thrice would grow as 3 to the kinds
-    some = some.withColumn("__new", F.col(text_col))
-    for k in KINDS:
-        some = some.withColumn("__new", F.when(
-            F.col("__live").isNotNull(), F.array_join(F.transform(_pieces(F.col("__new"), k), put), ""))
-            .otherwise(F.col("__new")))
+    some = some.withColumn("__new", F.when(F.col("__places").isNotNull(), _masked(text, F.col("__places")))
+                           .otherwise(F.col(text_col)))
     changed = {text_col: F.col("__new")}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__live").isNotNull(), F.length("__new").cast(docs.schema["n_chars"].dataType)
+        changed["n_chars"] = F.when(F.col("__places").isNotNull(), F.length("__new").cast(docs.schema["n_chars"].dataType)
                                     ).otherwise(F.col("n_chars"))
     some = some.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
     return docs.where(~suspect).unionByName(some)
