@@ -61,7 +61,7 @@ MORE_KINDS = (
     Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", holds="eyJ"),
     Kind("forge", r"gh[pousr]_[A-Za-z0-9]{30,}", holds="gh"),
     Kind("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", holds="xox"),
-    Kind("url", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]{1,64}:([^\s:/@]{8,64})(?=@)", group=1, holds="://"),
+    Kind("url", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]++:([^\s:/@]{8,}+)(?=@)", group=1, holds="://"),
 )
 KINDS = BASE_KINDS + MORE_KINDS
 

@@ -82,3 +82,14 @@ def test_kinds_that_overlap_are_all_masked(spark):
     clean = {r.doc_id: r.text for r in remove_live(df).collect()}
     assert clean == {0: f"secret={MASK}://user:{MASK}@host", 1: f"a secret: {MASK}", 3: f"token={MASK}", 4: f"token = {MASK} end",
                      2: re.sub("uN1q[0-9]{5}Vz", MASK, many)}
+
+
+def test_long_users_and_passwords_in_urls(spark, tmp_path):
+    secret = "ATATT3x" + "aB3xYz90Qw" * 20
+    texts = [f"git clone https://user:{secret}@host/x", f"ftp://{'u1' * 50}:{secret}@h", f"x://u:{secret} @h"]
+    df = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    rows = {r.doc_id: r.spans for r in check(spark, on_tables(spark, tmp_path, documents=df))}
+    assert rows == {0: f"url:10:{23 + len(secret)}", 1: f"url:0:{107 + len(secret)}", 2: ""}
+    owned = [(i, t, "s") for i, t in enumerate(texts)]
+    clean = {r.doc_id: r.text for r in remove_live(spark.createDataFrame(owned, df.schema)).collect()}
+    assert clean == {0: f"git clone https://user:{MASK}@host/x", 1: f"ftp://{'u1' * 50}:{MASK}@h", 2: texts[2]}
