@@ -155,7 +155,9 @@ def judged_urls(pages: DataFrame, rules: tuple = RULES, id_col: str = "page_id",
     hosts = checkpointed(rows.where("host <> ''").groupBy(F.col("host").alias("key"))
                          .agg(F.avg(F.col("tracks").cast("int")).alias("share")))
     method = Cascade(hosts.where("share > 1D / 3"), hosts, seed=50_000, max_bytes=max_bytes)
-    out = method.marked(out.withColumn("hosts", F.array("host")), "hosts", "bad").withColumn("best", longest)
+    # an empty host is no key of the method's universe
+    asked = F.filter(F.array("host"), lambda h: h != "")
+    out = method.marked(out.withColumn("hosts", asked), "hosts", "bad").withColumn("best", longest)
     listed = F.size("bad") > 0
     return out.select("rid", "page_id", "host", "path", F.col("best.rule").alias("rule"),
                       F.coalesce("best.verdict", F.when(listed, "block").otherwise("allow")).alias("verdict"),
