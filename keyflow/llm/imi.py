@@ -9,7 +9,8 @@ Centroids come from a sample of at most ``fit_rows`` rows (those with the
 smallest hash of their id); every row is indexed. How much a query gathers, a
 share of all entries, is set on that sample too: the least share at which the
 sample's own queries find ``recall`` of their true neighbours. It is small where
-the data have structure and large where they have none.
+the data have structure and large where they have none, but never less than the
+rows that a query is to return.
 
 Entries are dealt by first centroid and cut into blocks of bounded size, queries
 into groups of bounded size; a query goes to the blocks of each first centroid
@@ -194,7 +195,8 @@ def neighbours(table: DataFrame, query_where: str = "vec_id % 20 = 0", top: int
     total = int(counts.sum())
     block = max(256, min(65536, total // 64))
     salts = [max(1, -(-int(n) // block)) for n in counts.sum(axis=1)]
-    tally, enough = counts.tolist(), index.share * total
+    # with room for ``top`` others beside the query's own row
+    tally, enough = counts.tolist(), max(index.share * total, top + 1)
     queries = rows.where(query_where)
     groups = max(1, -(-queries.count() // QUERY_GROUP))
 

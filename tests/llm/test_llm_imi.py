@@ -71,3 +71,14 @@ def test_heap_visits_cells_by_descending_sum():
             if counts[i, j]:
                 want[i] = want.get(i, 0) | 1 << j
         assert index.visits(q, counts.tolist(), enough) == want
+
+
+def test_every_query_returns_all_its_rows(spark, tmp_path):
+    rng = np.random.default_rng(2)
+    x = np.repeat(rng.uniform(1, 2, (40, 8)), 45, axis=0)  # copy groups
+    x[::100] = -rng.uniform(5, 9, (18, 8))                 # a few outliers on the other side, all of them queries
+    for n in (1800, 15):
+        df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(x[:n])], "vec_id bigint, embedding array<double>")
+        out = imi.op7_imi_search(spark, on_tables(spark, tmp_path / str(n), embeddings=df))
+        found = {r.query_id: r["count"] for r in out.groupBy("query_id").count().collect()}
+        assert found == {i: min(20, n - 1) for i in range(0, n, 20)}
