@@ -179,18 +179,25 @@ def pre_aggregate_max(df):
     partition and Arrow batch): of each key the rows, in arrival order, that
     raise its largest value or its stream time so far. A row that raises
     neither within its batch cannot do so in the key's whole stream, so the
-    processor's state and emissions stay the same."""
+    processor's state and emissions stay the same. Null values are below all
+    others, and rows without a time, which the processor leaves out, count for
+    neither."""
     schema = df.schema
 
+    def raises(column, keys):
+        top = column.groupby(keys, sort=False).cummax().groupby(keys, sort=False).ffill()
+        before = top.groupby(keys, sort=False).shift()
+        return (column > before) | (column.notna() & before.isna())
+
     def thin(batches):
         for pdf in batches:
             if pdf.empty:
                 continue
             pdf = pdf.sort_values("seq", kind="stable")
-            g = pdf.groupby("key", sort=False)  # leaves out null keys
-            value, ms = g["value"].cummax(), g["ms"].cummax()
-            up = (value > value.groupby(pdf["key"]).shift()) | (ms > ms.groupby(pdf["key"]).shift())
-            yield pdf[(up | (g.cumcount() == 0)) & pdf["key"].notna()][[f.name for f in schema.fields]]
+            value = pdf["value"].where(pdf["ms"].notna())
+            up = raises(value, pdf["key"]) | raises(pdf["ms"], pdf["key"])
+            first = pdf.groupby("key", sort=False).cumcount() == 0
+            yield pdf[(up | first) & pdf["key"].notna()][[f.name for f in schema.fields]]
 
     return df.mapInPandas(thin, schema)
 

@@ -14,7 +14,7 @@ from conftest import SF_SMALL
 from keyflow.operators import aggregates as agg
 from keyflow.operators import windows
 from keyflow.sources.records import event_records
-from keyflow.streaming.processors import MaxProcessor, WALL_CLOCK, max_output_schema
+from keyflow.streaming.processors import MaxProcessor, WALL_CLOCK, max_output_schema, pre_aggregate_max
 from keyflow.streaming.runner import newest_per_key, read_changelog, run_stream
 from keyflow.streaming.state import read_state
 
@@ -486,3 +486,21 @@ def test_tap_counts_over_a_hundred_batches(spark):
     run_batches(s, "tap_test", write, f"{base}/checkpoint")
     got = spark.read.schema(TAP_SCHEMA).parquet(f"{base}/tap").agg(F.sum("records"), F.max("max_ms")).first()
     assert tuple(got) == (n, 1000 + n - 1)
+
+
+def test_thinning_keeps_maxima_next_to_nulls(spark):
+    rows = [("a", 3, T, 0), ("a", None, T + 5_000, 1), ("a", 5, T + 5_000, 2),      # equal times
+            ("b", 3, T, 3), ("b", None, T + 9_000, 4), ("b", 5, T + 4_000, 5), ("b", 4, T + 25_000, 6),  # out of order
+            ("c", None, T, 7), ("c", 5, T, 8), ("d", None, T, 9), ("d", 7, None, 10), ("d", 6, T, 11), ("d", 6, T, 12)]
+    path = tempfile.mkdtemp(prefix="kf-null-", dir="/tmp")
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.mode("overwrite").parquet(path)
+    stream = stream_of(spark, path).select("key", "value", "ms", "seq")
+    got = []
+    for recs in (pre_aggregate_max(stream), stream):
+        out = recs.groupBy("key").transformWithStateInPandas(MaxProcessor(10_000), max_output_schema(), "Append", "None")
+        run = run_stream(out, "thinned_nulls")
+        got.append((sorted(map(tuple, run.read(spark).collect()), key=repr),
+                    sorted(map(tuple, read_state(spark, run.checkpoint, state_var="max").collect()), key=repr)))
+    assert got[0] == got[1]
+    thinned = pre_aggregate_max(spark.read.parquet(path).coalesce(1)).collect()
+    assert sorted(r.seq for r in thinned) == [0, 1, 2, 3, 4, 5, 6, 7, 8, 9, 11]
