@@ -10,6 +10,7 @@ from keyflow.llm.urlfilter import RULES, TRACKING
 from keyflow.llm.warc import MIN_REVISIT
 
 _SHAPE = "(?s)^.*?://([^/?#]*)([^?#]*)"
+_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
 _RULES = ", ".join(f"('{v}', '{h}', '{p}')" for v, h, p in RULES)
 
 ORACLE_SQL = {
@@ -33,4 +34,8 @@ l AS (SELECT host, avg(CAST(tracks AS INT)) > 1.0 / 3 AS bad FROM h WHERE host <
 SELECT h.page_id, h.host, h.path, m.rule, coalesce(l.bad, false) AS listed,
        coalesce(m.verdict, CASE WHEN coalesce(l.bad, false) THEN 'block' ELSE 'allow' END) AS verdict
 FROM h LEFT JOIN m USING (page_id) LEFT JOIN l ON h.host = l.host""",
+    "op11_radix_dedup": f"""WITH t AS (SELECT doc_id, {_LOWER.format("coalesce(text, '')")} AS text FROM documents),
+g AS (SELECT text, max(doc_id) AS keep_id, count(*) AS group_size FROM t GROUP BY text)
+SELECT doc_id, keep_id, group_size, doc_id = keep_id AS kept, sha256(t.text) AS text_sha256
+FROM t JOIN g ON t.text = g.text""",
 }

@@ -9,6 +9,7 @@ from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.oracle import ORACLE_SQL
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
+from keyflow.llm.radix import op11_radix_dedup
 from keyflow.llm.rans import op6_rans_tokens
 from keyflow.llm.secrets import op10_secret_scan
 from keyflow.llm.simhash import op3_simhash_neardup
@@ -26,6 +27,7 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
+    "op11_radix_dedup": op11_radix_dedup,
     "pipeline": corpus_pipeline.run,
 }
 
