@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import corpus_pipeline
+from keyflow.llm.divergence import op13_divergence_audit
 from keyflow.llm.imi import op7_imi_search
 from keyflow.llm.licenses import op1_license_scan
 from keyflow.llm.mixing import op9_mixing
 from keyflow.llm.oracle import ORACLE_SQL
+from keyflow.llm.periods import op12_periodic_runs
 from keyflow.llm.pieces import op2_sentencepiece
 from keyflow.llm.quality import op4_quality_rules
 from keyflow.llm.radix import op11_radix_dedup
@@ -28,6 +30,8 @@ QUERIES = {
     "op9_mixing": op9_mixing,
     "op10_secret_scan": op10_secret_scan,
     "op11_radix_dedup": op11_radix_dedup,
+    "op12_periodic_runs": op12_periodic_runs,
+    "op13_divergence_audit": op13_divergence_audit,
     "pipeline": corpus_pipeline.run,
 }
 
