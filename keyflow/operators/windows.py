@@ -179,9 +179,10 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
 
 def running_stream_time(df: DataFrame, arrival: Column, tiebreak: Column,
                         source_partition: Column | None = None,
-                        chunk_rows: int = 1 << 20) -> DataFrame:
+                        chunk_rows: int = 1 << 20, before: str | None = None) -> DataFrame:
     """``stream_time`` = max event ms seen so far in arrival order, per source
-    partition, the record itself included.
+    partition, the record itself included; a column named ``before`` has the one
+    that the record met (null for a partition's first record).
 
     A parallel prefix-max: arrival positions are cut into chunks; each chunk
     computes its local running max; a small per-chunk table carries the max of
@@ -191,15 +192,20 @@ def running_stream_time(df: DataFrame, arrival: Column, tiebreak: Column,
     src = F.lit(0) if source_partition is None else source_partition
     x = (df.withColumn("_arr", arrival).withColumn("_tb", tiebreak).withColumn("_src", src)
          .withColumn("_chunk", floor_div(F.col("_arr"), chunk_rows)))
-    local = Window.partitionBy("_src", "_chunk").orderBy("_arr", "_tb").rowsBetween(
-        Window.unboundedPreceding, Window.currentRow)
-    x = x.withColumn("_local", F.max("ms").over(local))
+    local = Window.partitionBy("_src", "_chunk").orderBy("_arr", "_tb")
+    x = x.withColumn("_local", F.max("ms").over(local.rowsBetween(Window.unboundedPreceding, Window.currentRow)))
+    if before:
+        met = local.rowsBetween(Window.unboundedPreceding, -1)
+        x = x.withColumn("_lmet", F.max("ms").over(met))
     per_chunk = x.groupBy("_src", "_chunk").agg(F.max("ms").alias("_cmax"))
-    before = Window.partitionBy("_src").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
-    carry = per_chunk.select("_src", "_chunk", F.max("_cmax").over(before).alias("_prev"))
+    earlier = Window.partitionBy("_src").orderBy("_chunk").rowsBetween(Window.unboundedPreceding, -1)
+    carry = per_chunk.select("_src", "_chunk", F.max("_cmax").over(earlier).alias("_prev"))
     x = x.join(carry, ["_src", "_chunk"], "left")
     st = F.greatest(F.col("_local"), F.coalesce(F.col("_prev"), F.col("_local")))
-    return x.withColumn("stream_time", st).drop("_arr", "_tb", "_src", "_chunk", "_local", "_prev")
+    x = x.withColumn("stream_time", st)
+    if before:  # greatest() leaves nulls out
+        x = x.withColumn(before, F.greatest("_lmet", "_prev")).drop("_lmet")
+    return x.drop("_arr", "_tb", "_src", "_chunk", "_local", "_prev")
 
 
 def late_drop_exact(df: DataFrame, size_ms: int, grace_ms: int, arrival: Column,

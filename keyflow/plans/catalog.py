@@ -12,10 +12,10 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from keyflow.functions.text import window_text, SESSION_KEY_FORMAT
+from keyflow.functions.text import SESSION_KEY_FORMAT, jvm_tokens, window_text
 from keyflow.functions.time import iso_instant
 from keyflow.operators import aggregates as agg
-from keyflow.operators import joins, stateless, tables, windows
+from keyflow.operators import joins, punctuation, stateless, tables, windows
 from keyflow.plans import params as P
 from keyflow.sources.records import event_records, load_table
 
@@ -236,12 +236,34 @@ def _bounds_text(w):
     return w.select(text.alias("key"), F.col("total").alias("value"))
 
 
+def arrival():
+    """Arrival order is a deterministic shuffle of event order (ties by id)."""
+    return F.expr("seq + (seq * 7919) % 151")
+
+
+def user_partition():
+    """Topics are keyed by user."""
+    return F.expr(f"pmod(user_id, {P.PARTITIONS})")
+
+
+def max_flush_all(spark, sf_dir):
+    """Running maxima of users, all sent on whenever the partition's stream time passes a tick."""
+    recs = _events(spark, sf_dir, key="user_id", extra={"user_id": F.col("user_id")})
+    return punctuation.max_flush_all(recs, P.MAX_STREAM_TICK, arrival(), F.col("seq"), user_partition())
+
+
+def word_count_flush_all(spark, sf_dir):
+    """Words of the events' properties, counted per partition, all sent on at every tick."""
+    recs = _events(spark, sf_dir, value="props", extra={"user_id": F.col("user_id")})
+    return punctuation.word_count_flush_all(
+        recs, P.WORD_COUNT_TICK, lambda df, keep: jvm_tokens(df, F.lower("value"), keep=keep, name="key"), arrival(),
+        F.col("seq"), user_partition())
+
+
 def _late(grace_ms, size_ms=P.TUMBLING_COUNT_SIZE, advance_ms=None):
     def q(spark, sf_dir):
         recs = _events(spark, sf_dir)
-        # Arrival order is a deterministic shuffle of event order (ties by id).
-        arrival = F.col("seq") + (F.col("seq") * F.lit(7919)) % F.lit(151)
-        return windows.late_drop_exact(recs, size_ms, grace_ms, arrival, F.col("seq"), advance_ms=advance_ms)
+        return windows.late_drop_exact(recs, size_ms, grace_ms, arrival(), F.col("seq"), advance_ms=advance_ms)
     return q
 
 
@@ -289,6 +311,8 @@ QUERIES: dict[str, Query] = {
     "window_key_text": window_key_text,
     "session_key_text": session_key_text,
     "sliding_key_text": sliding_key_text,
+    "max_flush_all": max_flush_all,
+    "word_count_flush_all": word_count_flush_all,
     **{name: _late(g) for name, g in P.LATE_GRACES.items()},
     "late_drop_hopping": _late(P.LATE_HOPPING_GRACE, P.HOPPING_SIZE, P.HOPPING_ADVANCE),
     "ss_join_inner": _join(joins.INNER),

@@ -73,6 +73,28 @@ SELECT key, min(ms) AS window_start, max(ms) AS window_end, {agg} AS {name}
 FROM s GROUP BY key, sid"""
 
 
+# records of a partition in arrival order: position and stream time
+ARRIVED = R + f"""
+, a AS (SELECT *, user_id % {P.PARTITIONS} AS partition, seq + (seq * 7919) % 151 AS arr FROM r),
+s AS (SELECT *, max(ms) OVER w AS st, row_number() OVER w AS n
+      FROM a WINDOW w AS (PARTITION BY partition ORDER BY arr, seq ROWS UNBOUNDED PRECEDING))"""
+
+
+def _flushes(tick: int) -> str:
+    return ARRIVED + f""",
+t AS (SELECT partition, st // {tick} AS tick, min(n) AS n, min(st) AS stream_time FROM s GROUP BY ALL)"""
+
+
+def _word_flushes() -> str:
+    return _flushes(P.WORD_COUNT_TICK) + """,
+b AS (SELECT partition, n, regexp_split_to_array(lower(props), '\\W+') AS arr FROM s),
+u AS (SELECT partition, n, unnest(arr) AS word, unnest(generate_series(1, len(arr))) AS pos, arr FROM b),
+w AS (SELECT partition, n, word FROM u WHERE (word <> '' OR pos = 1)
+      AND NOT (len(arr) > 1 AND array_to_string(arr, '') = ''))
+SELECT t.partition, word, CAST(count(*) AS VARCHAR) AS count, stream_time
+FROM t JOIN w ON w.partition = t.partition AND w.n <= t.n GROUP BY t.partition, tick, stream_time, word"""
+
+
 def _late(grace: int) -> str:
     size = P.TUMBLING_COUNT_SIZE
     return R + f""", a AS (
@@ -188,6 +210,10 @@ SELECT key, seq // {P.FOLD_CHUNK} AS chunk, string_agg(piece, '' ORDER BY seq) A
     **{name: _late(g) for name, g in P.LATE_GRACES.items()},
     "late_drop_hopping": _late_hopping(P.LATE_HOPPING_GRACE),
     "sliding_key_text": _sliding_text(),
+    "max_flush_all": _flushes(P.MAX_STREAM_TICK) + """
+SELECT t.partition, user_id AS key, max(cents) AS value, stream_time
+FROM t JOIN s ON s.partition = t.partition AND s.n <= t.n GROUP BY t.partition, tick, stream_time, user_id""",
+    "word_count_flush_all": _word_flushes(),
     "ss_join_inner": _join("INNER"),
     "ss_join_left": _join("LEFT"),
     "ss_join_full": _join("FULL OUTER"),

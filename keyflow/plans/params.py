@@ -34,3 +34,4 @@ REPARTITION_WIDTH = 6
 FK_MODULUS = 25                         # events → nation foreign key: user_id % 25
 FILTER_KEY = "click"                    # the reference filters its count table on "book"
 MIN_VALUE_LENGTH = 3                    # filter(v.length() > 3)
+PARTITIONS = 4                          # source partitions of the per-partition queries
