@@ -374,61 +374,29 @@ def _user_changelog_stream(spark, sf_dir):
     return tombstone(s, F.col("event_type") == "error")
 
 
-def _table_state_stream(spark, sf_dir, name):
-    """Streaming aggregation keeping, per key, the newest value (a null value
-    is a delete) and how many non-null values it ever had; update mode emits
-    the keys that changed in each batch."""
-    s = _user_changelog_stream(spark, sf_dir)
-    agg_df = s.groupBy("key").agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq"),
-                                  F.count("value").alias("n_values"))
-    run = run_stream(agg_df, name, mode="update")
-    return newest_per_key(read_changelog(spark, run), ["key"])
-
-
 def table_latest_stream(spark, sf_dir):
-    cur = _table_state_stream(spark, sf_dir, "table_latest_stream")
+    """Streaming aggregation keeping, per key, the newest value (a null value is a delete); update mode
+    emits the keys that changed in each batch."""
+    s = _user_changelog_stream(spark, sf_dir)
+    run = run_stream(s.groupBy("key").agg(F.max_by("value", "seq").alias("value"), F.max("seq").alias("seq")),
+                     "table_latest_stream", mode="update")
+    cur = newest_per_key(read_changelog(spark, run), ["key"])
     return cur.filter(F.col("value").isNotNull()).select("key", "value")
 
 
 def table_agg_add_subtract_stream(spark, sf_dir):
-    cur = _table_state_stream(spark, sf_dir, "table_agg_stream")
-    return cur.filter(F.col("n_values") > 0).select(
-        "key", F.coalesce(F.col("value"), F.lit(0)).cast("bigint").alias("total"))
+    """Users' current values, with adder and subtractor, a group for each user."""
+    from keyflow.streaming.table_aggregate import current_totals, run_table_aggregate
+    log = run_table_aggregate(_user_changelog_stream(spark, sf_dir), F.col("key"), "table_agg_stream", "bigint", "bigint")
+    return current_totals(log)
 
 
 def table_regroup_sum_stream(spark, sf_dir):
-    """Users re-grouped by the last digit of their value, with adder and subtractor.
-
-    Per micro-batch the keys that changed meet their row of before: the old
-    value is subtracted from its group, the new one added to its own, and a
-    group's total is the sum of what the batches wrote for it.
-    """
-    from keyflow.session import shared_dir
-    from keyflow.streaming.runner import NO_BATCH
-    base = shared_dir(spark, "table_regroup")
-    rows = "key bigint, value bigint, seq bigint"
-    spark.createDataFrame([], rows).write.parquet(f"{base}/rows/batch_id={NO_BATCH}")
-    group = F.col("value") % F.lit(10)
-
-    def write(batch, batch_id):
-        old = (batch.sparkSession.read.schema(f"{rows}, batch_id int").parquet(f"{base}/rows")
-               .filter(F.col("batch_id") < batch_id).select("key", "value", "seq"))
-        old = old.groupBy("key").agg(F.max_by(F.struct("value", "seq"), "seq").alias("o"))
-        new = (batch.filter(F.col("key").isNotNull()).groupBy("key")
-               .agg(F.max_by(F.struct("value", "seq"), "seq").alias("n"))
-               .join(old, "key", "left").filter("o is null or n.seq > o.seq"))
-        # every group that a record of the batch names is there, if only with 0
-        named = batch.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select(
-            group.alias("key"), F.lit(0).cast("bigint").alias("change"))
-        adds = new.select(F.col("n.value").alias("value")).select(group.alias("key"), F.col("value").alias("change"))
-        takes = new.select(F.col("o.value").alias("value")).select(group.alias("key"), (-F.col("value")).alias("change"))
-        (named.union(adds).union(takes).filter("key is not null").groupBy("key").agg(F.sum("change").alias("change"))
-         .write.mode("overwrite").parquet(f"{base}/changes/batch_id={batch_id}"))
-        (new.select("key", "n.value", "n.seq").write.mode("overwrite").parquet(f"{base}/rows/batch_id={batch_id}"))
-    s = _user_changelog_stream(spark, sf_dir).select("key", "value", "seq")
-    run_batches(s, base.rsplit("/", 1)[-1], write, f"{base}/checkpoint")
-    changes = spark.read.schema("key bigint, change bigint").parquet(f"{base}/changes")
-    return changes.groupBy("key").agg(F.sum("change").cast("bigint").alias("total"))
+    """Users re-grouped by the last digit of their value, with adder and subtractor."""
+    from keyflow.streaming.table_aggregate import current_totals, run_table_aggregate
+    log = run_table_aggregate(_user_changelog_stream(spark, sf_dir), F.col("value") % F.lit(10), "table_regroup", "bigint",
+                              "bigint")
+    return current_totals(log)
 
 
 STREAMING_QUERIES["table_regroup_sum_stream"] = table_regroup_sum_stream

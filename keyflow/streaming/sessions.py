@@ -17,7 +17,10 @@ sessions) closer than or exactly ``gap`` apart belong to one session.
 
 A record is late if the session it would be in ended more than ``gap + grace``
 before the stream time of the batches before; closed sessions are not looked at
-again. A retried batch overwrites its own partition and reads those before it.
+again. The sessions lie in a table log, of which a batch reads the buckets of its
+keys and which loses closed sessions when a bucket is compacted, so a batch's work
+does not grow with the batches before. A retried batch overwrites its own
+partition and reads those before it.
 """
 
 from __future__ import annotations
@@ -28,6 +31,7 @@ from pyspark.sql import functions as F
 from keyflow.operators import windows
 from keyflow.session import shared_dir
 from keyflow.streaming.runner import NO_BATCH, run_batches
+from keyflow.streaming.table_log import TableLog, newest_by
 
 LOG = "key {key_type}, window_start long, window_end long, cnt long, total long, deleted boolean"
 
@@ -52,17 +56,17 @@ def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, ke
     log, times = LOG.format(key_type=key_type), "ms long"
     spark.createDataFrame([], log).write.parquet(f"{base}/log/batch_id={NO_BATCH}")
     spark.createDataFrame([], times).write.parquet(f"{base}/time/batch_id={NO_BATCH}")
+    open_sessions = TableLog(spark, f"{base}/open", f"{log}, batch long", ["key"], newest_by(["key", "window_start"], "batch"))
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
-        before = F.col("batch_id") < batch_id
-        seen = s.read.schema(f"{times}, batch_id int").parquet(f"{base}/time").filter(before).agg(F.max("ms")).first()[0]
+        before = s.read.schema(times).parquet(f"{base}/time/batch_id={batch_id - 1}")
+        seen = before.agg(F.max("ms")).first()[0]
         closed = None if seen is None else seen - int(grace_ms) - gap  # sessions that ended before are closed
         new = windows.partial_sessions(batch, gap)
-        old = current_sessions(s.read.schema(f"{log}, batch_id int").parquet(f"{base}/log").filter(before))
+        old = open_sessions.read(s, batch_id, batch.select("key")).filter(~F.col("deleted"))
         if closed is not None:
             old = old.filter(F.col("window_end") >= closed)
-        old = old.join(new.select("key").distinct(), "key", "left_semi")
         columns = ["key", "window_start", "window_end", "cnt", "total"]
         both = merge_sessions(new.select(*columns, F.lit(True).alias("fresh"))
                               .unionByName(old.select(*columns, F.lit(False).alias("fresh"))), gap)
@@ -79,8 +83,12 @@ def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, ke
                             F.lit(False).alias("deleted"))
         down = changed.select("key", F.inline("gone")).select(
             "key", "window_start", "window_end", nothing.alias("cnt"), nothing.alias("total"), F.lit(True).alias("deleted"))
-        up.unionByName(down).write.mode("overwrite").parquet(f"{base}/log/batch_id={batch_id}")
-        batch.agg(F.max("ms").alias("ms")).write.mode("overwrite").parquet(f"{base}/time/batch_id={batch_id}")
+        at = f"{base}/log/batch_id={batch_id}"
+        up.unionByName(down).write.mode("overwrite").parquet(at)
+        live = ~F.col("deleted") if closed is None else ~F.col("deleted") & (F.col("window_end") >= closed)
+        open_sessions.append(batch_id, s.read.schema(log).parquet(at).withColumn("batch", F.lit(batch_id).cast("long")), live)
+        (batch.select("ms").unionByName(before).agg(F.max("ms").alias("ms")).coalesce(1)
+         .write.mode("overwrite").parquet(f"{base}/time/batch_id={batch_id}"))
     run_batches(df.filter(F.col("key").isNotNull()), base.rsplit("/", 1)[-1], merge, f"{base}/checkpoint")
     return spark.read.schema(f"{log}, batch_id int").parquet(f"{base}/log")
 
