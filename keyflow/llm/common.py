@@ -12,7 +12,7 @@ from keyflow.session import _checkpoint_root
 from keyflow.sources import load_table
 
 __all__ = ["SPACE_WORD", "checkpointed", "comma_sorted", "content_key", "load_table", "row_id",
-           "shared_folder", "ship_package", "text_of"]
+           "shared_folder", "ship_package", "text_of", "written"]
 
 BATCH_ROWS = 1000
 # A word is a run of anything but the six ASCII blanks.
@@ -50,6 +50,13 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+def written(df: DataFrame, path: str) -> DataFrame:
+    """``df`` written as Parquet to a fresh folder below the shared one, and read back: compressed, and with
+    a size that the planner knows."""
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def text_of(col: str = "text") -> Column:
     """The text, empty where it is null."""
     return F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -9,7 +9,8 @@ themselves, so equality needs no digest; the SHA-256 is carried for the result.
 
 A round is an aggregate per (group, digit), combined map-side, and a join of the
 rows with it, which Spark splits where a group is hot: a group of copies with a
-third of all rows is a few aggregated rows and is spread over tasks. Only rows
+third of all rows is a few aggregated rows and is spread over tasks. Joins are
+shuffles whatever the size, since groups grow with the data. Only rows
 that share their length and first bytes with another row go on; their texts
 travel once, and after that only the bytes that the round looks at.
 
@@ -26,7 +27,7 @@ from string import ascii_lowercase, ascii_uppercase
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import load_table, row_id, shared_folder, text_of
+from keyflow.llm.common import load_table, row_id, shared_folder, text_of, written
 
 FIRST = 64             # bytes of the first digit
 GROW = 8
@@ -42,18 +43,17 @@ def _first_digit(text: Column) -> Column:
     return F.substring(lowered(F.substring(text, 1, FIRST)).cast("binary"), 1, FIRST)
 
 
-def _written(df: DataFrame, path: str) -> DataFrame:
-    df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
-
-
-def _split(rows: DataFrame) -> DataFrame:
+def _split(rows: DataFrame, path: str) -> DataFrame:
     """``rows`` (rid, gid, doc_id, sha, n_bytes, digit) with the group that the digit parts them into,
     its number of rows ``n`` and its ``top`` row by id."""
     keys = ["gid", "n_bytes", "digit"]
     groups = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("n"), F.min("rid").alias("part"),
                                      F.max(F.struct("doc_id", "rid")).alias("top"))
-    return rows.join(groups, keys).select("rid", F.col("part").alias("gid"), "doc_id", "sha", "n_bytes", "n", "top")
+    # read back, both sides of the join are plain shuffles, of which Spark splits a hot one
+    groups = written(groups, f"{path}/groups")
+    parted = rows.join(groups.hint("merge"), keys).select("rid", F.col("part").alias("gid"), "doc_id", "sha", "n_bytes",
+                                                          "n", "top")
+    return written(parted, f"{path}/rows")
 
 
 def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -63,10 +63,10 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
     first = [F.octet_length(raw).alias("size"), _first_digit(raw).alias("head")]
     shared = (docs.select(*first).groupBy("size", "head").agg(F.count(F.lit(1)).alias("n")).where("n > 1")
               .select("size", "head", row_id().alias("gid")))
-    shared = _written(shared, f"{base}/heads")
+    shared = written(shared, f"{base}/heads")
     text = lowered(raw)
     rows = docs.select(F.col(id_col).alias("doc_id"), *first, F.sha2(text, 256).alias("sha"), text.cast("binary").alias("text"))
-    rows = _written(rows.join(shared, ["size", "head"], "left").select(
+    rows = written(rows.join(shared.hint("merge"), ["size", "head"], "left").select(
         row_id().alias("rid"), "gid", "doc_id", "sha", F.octet_length("text").alias("n_bytes"),
         F.when(F.col("gid").isNotNull(), F.col("text")).alias("text")), f"{base}/rows")
     alone = F.struct("doc_id", "rid").alias("top")
@@ -77,10 +77,11 @@ def exact_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "t
         width = min(at * (GROW - 1), MOST)
         digit = F.substring("text", at + 1, width).alias("digit")
         if number:
-            still = still.join(texts.where(F.col("n_bytes") > at).select("rid", digit), "rid")
+            read = texts.where(F.col("n_bytes") > at).select("rid", digit)
+            still = written(still.hint("merge").join(read, "rid"), f"{base}/{number}/digits")
         else:
             still = still.select("rid", "gid", "doc_id", "sha", "n_bytes", digit)
-        parted = _written(_split(still), f"{base}/{number}")
+        parted = _split(still, f"{base}/{number}")
         at, number = at + width, number + 1
         more = (F.col("n") > 1) & (F.col("n_bytes") > at)
         still = parted.where(more).drop("n", "top")
