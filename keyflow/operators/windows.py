@@ -109,18 +109,35 @@ def partial_sessions(df: DataFrame, gap_ms: int, bucket_ms: int | None = None) -
     x = x.withColumn("_local", F.sum("_brk").over(in_bucket.rowsBetween(Window.unboundedPreceding, 0)))
     partial = x.groupBy("key", "bucket", "_local").agg(
         F.min("ms").alias("p_start"), F.max("ms").alias("p_end"), F.sum("n").alias("n"), F.sum("v").alias("v"))
-    # a partial session further than the gap from both borders is whole
+    # a partial session further than the gap from both borders is whole: a group of its own in the last step
     low = F.col("bucket") * F.lit(width)
     border = (F.col("p_start") - F.lit(gap) < low) | (F.col("p_end") + F.lit(gap) >= low + F.lit(width))
-    out = ["key", F.col("p_start").alias("window_start"), F.col("p_end").alias("window_end"),
-           F.col("n").cast("bigint").alias("cnt"), F.col("v").cast("bigint").alias("total")]
-    per_key = Window.partitionBy("key").orderBy("p_start")
-    merged = partial.filter(border).withColumn(
+    partial = partial.withColumn("_whole", F.when(~border, F.col("p_start")))
+    per_key = Window.partitionBy("key", "_whole").orderBy("p_start")
+    merged = partial.withColumn(
         "_brk", F.when(F.col("p_start") - F.lag("p_end").over(per_key) <= F.lit(gap), 0).otherwise(1))
     merged = merged.withColumn("_sid", F.sum("_brk").over(per_key.rowsBetween(Window.unboundedPreceding, 0)))
-    merged = merged.groupBy("key", "_sid").agg(F.min("p_start").alias("p_start"), F.max("p_end").alias("p_end"),
-                                               F.sum("n").alias("n"), F.sum("v").alias("v"))
-    return partial.filter(~border).select(*out).unionByName(merged.select(*out))
+    merged = merged.groupBy("key", "_whole", "_sid").agg(F.min("p_start").alias("p_start"), F.max("p_end").alias("p_end"),
+                                                         F.sum("n").alias("n"), F.sum("v").alias("v"))
+    return merged.select("key", F.col("p_start").alias("window_start"), F.col("p_end").alias("window_end"),
+                         F.col("n").cast("bigint").alias("cnt"), F.col("v").cast("bigint").alias("total"))
+
+
+def with_halo(points: DataFrame, diff_ms: int, width: int) -> DataFrame:
+    """``points`` (with ``ms``) in the time bucket of their own (``own``), and copied to the neighbouring one
+    where they lie within ``diff + 1`` of its border."""
+    b = floor_div("ms", width)
+    lo = b * F.lit(width)
+
+    def copy(bucket, own):
+        return F.struct(bucket.alias("bucket"), F.lit(own).alias("own"))
+    none = F.array().cast("array<struct<bucket:bigint,own:boolean>>")
+    copies = F.concat(
+        F.array(copy(b, True)),
+        F.when(F.col("ms") >= lo + F.lit(width - diff_ms), F.array(copy(b + 1, False))).otherwise(none),
+        F.when(F.col("ms") <= lo + F.lit(diff_ms), F.array(copy(b - 1, False))).otherwise(none),
+    )
+    return points.withColumn("_c", F.explode(copies)).select(*points.columns, "_c.bucket", "_c.own")
 
 
 def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | None = None) -> DataFrame:
@@ -147,19 +164,7 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
     value = F.lit(None).cast("bigint") if kind == COUNT else F.col("value")
     pts = (_keyed(df, kind, skip_null_values=True).groupBy("key", "ms")
            .agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("v")))
-    b = floor_div("ms", width)
-    lo = b * F.lit(width)
-
-    def copy(bucket, own):
-        return F.struct(bucket.alias("bucket"), F.lit(own).alias("own"))
-    none = F.array().cast("array<struct<bucket:bigint,own:boolean>>")
-    copies = F.concat(
-        F.array(copy(b, True)),
-        F.when(F.col("ms") >= lo + F.lit(width - d), F.array(copy(b + 1, False))).otherwise(none),
-        F.when(F.col("ms") <= lo + F.lit(d), F.array(copy(b - 1, False))).otherwise(none),
-    )
-    x = pts.select("key", "ms", "n", "v", F.explode(copies).alias("c")).select(
-        "key", "ms", "n", "v", "c.bucket", "c.own")
+    x = with_halo(pts, d, width)
     comes = F.struct(F.col("ms").alias("at"), F.lit(True).alias("comes"), F.col("n"), F.col("v"))
     goes = F.struct((F.col("ms") + F.lit(d + 1)).alias("at"), F.lit(False).alias("comes"), (-F.col("n")).alias("n"),
                     (-F.col("v")).alias("v"))

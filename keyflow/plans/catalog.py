@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from keyflow.functions.text import SESSION_KEY_FORMAT, jvm_tokens, window_text
 from keyflow.functions.time import iso_instant
 from keyflow.operators import aggregates as agg
-from keyflow.operators import joins, punctuation, stateless, tables, windows
+from keyflow.operators import joins, late, punctuation, stateless, tables, windows
 from keyflow.plans import params as P
 from keyflow.sources.records import event_records, load_table
 
@@ -267,6 +267,22 @@ def _late(grace_ms, size_ms=P.TUMBLING_COUNT_SIZE, advance_ms=None):
     return q
 
 
+def _late_session(kind):
+    def q(spark, sf_dir):
+        recs = _events(spark, sf_dir, key="user_id", extra={"user_id": F.col("user_id")})
+        return late.late_drop_session(recs, P.SESSION_COUNT_GAP, P.LATE_SESSION_GRACE, arrival(), F.col("seq"),
+                                      user_partition(), kind)
+    return q
+
+
+def _late_sliding(kind):
+    def q(spark, sf_dir):
+        recs = _events(spark, sf_dir, key="user_id", extra={"user_id": F.col("user_id")})
+        return late.late_drop_sliding(recs, P.SLIDING_DIFF, P.LATE_SLIDING_GRACE, arrival(), F.col("seq"),
+                                      user_partition(), kind)
+    return q
+
+
 # ---------------------------------------------------------------- joins
 def _join(how):
     def q(spark, sf_dir):
@@ -315,6 +331,10 @@ QUERIES: dict[str, Query] = {
     "word_count_flush_all": word_count_flush_all,
     **{name: _late(g) for name, g in P.LATE_GRACES.items()},
     "late_drop_hopping": _late(P.LATE_HOPPING_GRACE, P.HOPPING_SIZE, P.HOPPING_ADVANCE),
+    "late_drop_session": _late_session(windows.COUNT),
+    "late_drop_session_sum": _late_session(windows.SUM),
+    "late_drop_sliding": _late_sliding(windows.COUNT),
+    "late_drop_sliding_sum": _late_sliding(windows.SUM),
     "ss_join_inner": _join(joins.INNER),
     "ss_join_left": _join(joins.LEFT),
     "ss_join_full": _join(joins.FULL),

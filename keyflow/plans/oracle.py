@@ -95,6 +95,36 @@ SELECT t.partition, word, CAST(count(*) AS VARCHAR) AS count, stream_time
 FROM t JOIN w ON w.partition = t.partition AND w.n <= t.n GROUP BY t.partition, tick, stream_time, word"""
 
 
+def _late_session(measure: str, name: str) -> str:
+    """A key's records one by one, against the list of its sessions."""
+    gap, grace = P.SESSION_COUNT_GAP, P.LATE_SESSION_GRACE
+    near = "x.a <= ms + {0} AND x.b >= ms - {0} AND x.b >= close".format(gap)
+    return ARRIVED.replace("WITH r AS", "WITH RECURSIVE r AS") + f""",
+e AS MATERIALIZED (SELECT user_id AS key, ms, {measure} AS v, st - {grace + gap} AS close,
+      row_number() OVER (PARTITION BY user_id ORDER BY arr, seq) AS i FROM s),
+z(key, i, ss) AS (
+  SELECT DISTINCT key, CAST(0 AS BIGINT), CAST([] AS STRUCT(a BIGINT, b BIGINT, v BIGINT)[]) FROM e
+  UNION ALL
+  SELECT key, i, CASE WHEN len(near) = 0 AND ms < close THEN ss ELSE list_append(far, struct_pack(
+      a := list_min(list_append(list_transform(near, lambda x: x.a), ms)),
+      b := list_max(list_append(list_transform(near, lambda x: x.b), ms)),
+      v := CAST(list_sum(list_append(list_transform(near, lambda x: x.v), v)) AS BIGINT))) END
+  FROM (SELECT z.key, e.i, ss, ms, v, close, list_filter(ss, lambda x: {near}) AS near,
+               list_filter(ss, lambda x: NOT ({near})) AS far
+        FROM z JOIN e ON e.key = z.key AND e.i = z.i + 1) q),
+f AS (SELECT key, unnest(arg_max(ss, i)) AS x FROM z GROUP BY key)
+SELECT key, x.a AS window_start, x.b AS window_end, x.v AS {name} FROM f"""
+
+
+def _late_sliding(agg: str, name: str) -> str:
+    d, grace = P.SLIDING_DIFF, P.LATE_SLIDING_GRACE
+    return ARRIVED + f""",
+b AS (SELECT user_id AS key, ms - {d} AS a FROM s WHERE ms + {grace} > st
+      UNION SELECT user_id, ms + 1 FROM s WHERE ms + {1 + d + grace} > st)
+SELECT key, a AS window_start, a + {d} AS window_end, {agg} AS {name}
+FROM b JOIN s ON s.user_id = b.key AND ms BETWEEN a AND a + {d} AND a + {d + grace} > st GROUP BY key, a"""
+
+
 def _late(grace: int) -> str:
     size = P.TUMBLING_COUNT_SIZE
     return R + f""", a AS (
@@ -210,6 +240,10 @@ SELECT key, seq // {P.FOLD_CHUNK} AS chunk, string_agg(piece, '' ORDER BY seq) A
     **{name: _late(g) for name, g in P.LATE_GRACES.items()},
     "late_drop_hopping": _late_hopping(P.LATE_HOPPING_GRACE),
     "sliding_key_text": _sliding_text(),
+    "late_drop_session": _late_session("CAST(1 AS BIGINT)", "cnt"),
+    "late_drop_session_sum": _late_session("cents", "total"),
+    "late_drop_sliding": _late_sliding("count(*)", "cnt"),
+    "late_drop_sliding_sum": _late_sliding("CAST(sum(cents) AS BIGINT)", "total"),
     "max_flush_all": _flushes(P.MAX_STREAM_TICK) + """
 SELECT t.partition, user_id AS key, max(cents) AS value, stream_time
 FROM t JOIN s ON s.partition = t.partition AND s.n <= t.n GROUP BY t.partition, tick, stream_time, user_id""",

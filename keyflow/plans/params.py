@@ -29,6 +29,8 @@ LATE_GRACES = {"late_drop_exact": TUMBLING_COUNT_GRACE, "late_drop_exact_grace_1
                "late_drop_exact_no_grace": 0}
 FOLD_CHUNK = 1 << 10                    # arrival positions per part of the ordered fold
 LATE_HOPPING_GRACE = HOUR               # small, so that records are late
+LATE_SESSION_GRACE = HOUR
+LATE_SLIDING_GRACE = HOUR
 HIGH_SEED = 10 ** 12                    # above every value, so that an ignored seed shows
 REPARTITION_WIDTH = 6
 FK_MODULUS = 25                         # events → nation foreign key: user_id % 25
