@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import checkpointed, load_table, ship_package, text_of
+from keyflow.llm.common import load_table, shared_folder, ship_package, text_of, written
 
 # The audit's scale and smoothing, the least documents of a kept term, the terms listed.
 SCALE = 1_000_000_000
@@ -43,7 +43,7 @@ TOP_TERMS = 50
 TERMS = 256            # in a block
 SOURCES = 32           # in a block
 COLUMNS = 1024         # of one product at most, unless a single source has more
-HELD = 200_000         # counts that a task holds before it passes them on
+HELD = 400_000         # counts that a task holds before it passes them on
 
 COUNTED = "lang string, source string, term binary, n bigint, docs bigint"
 SHARES = "lang string, a string, b string, value bigint, n_terms bigint, zero_a bigint, zero_b bigint"
@@ -56,13 +56,13 @@ def terms_of(text: bytes) -> list[bytes]:
     return text.translate(_TERM_BYTES).split()
 
 
-def _counts(groups: dict) -> pa.RecordBatch:
-    rows = [(*g, t, n, docs[t]) for g, (seen, docs) in groups.items() for t, n in seen.items()]
-    rows += [(*g, None, 0, 0) for g in groups]
-    columns = list(zip(*rows, strict=True)) or [[]] * 5
-    kinds = [pa.string(), pa.string(), pa.binary(), pa.int64(), pa.int64()]
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)],
-                                      ["lang", "source", "term", "n", "docs"])
+def _counts(groups: dict) -> Iterator[pa.RecordBatch]:
+    for (lang, source), (seen, docs) in groups.items():
+        n = len(seen) + 1  # and a row without a term
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([lang] * n), pa.array([source] * n), pa.array([*seen, None], pa.binary()),
+             pa.array([*seen.values(), 0], pa.int64()), pa.array([*map(docs.__getitem__, seen), 0], pa.int64())],
+            ["lang", "source", "term", "n", "docs"])
 
 
 def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -74,9 +74,9 @@ def _count_batches(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch
             seen.update(words)
             docs.update(set(words))
         if sum(len(seen) for seen, _ in groups.values()) > HELD:
-            yield _counts(groups)
+            yield from _counts(groups)
             groups = {}
-    yield _counts(groups)
+    yield from _counts(groups)
 
 
 def term_counts(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", source_col: str = "source") -> DataFrame:
@@ -186,17 +186,18 @@ def audit(docs: DataFrame, text_col: str = "text", lang_col: str = "lang", sourc
           min_docs: int = MIN_DOCS, top: int = TOP_TERMS) -> DataFrame:
     """(lang, source, part, item, value, rank): distances to the other sources of the language (``pair``)
     and the terms that a source has more of than its language (``term``)."""
-    counts = checkpointed(term_counts(docs, text_col, lang_col, source_col))
-    kept = checkpointed(counts.where("term is not null").groupBy("lang", "term")
-                        .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
-                        .where(F.col("docs") >= min_docs).drop("docs"))
-    held = counts.drop("docs").join(kept, ["lang", "term"])
+    base = shared_folder(docs.sparkSession, "divergence")
+    counts = written(term_counts(docs, text_col, lang_col, source_col), f"{base}/counts")
+    kept = written(counts.where("term is not null").groupBy("lang", "term")
+                   .agg(F.sum("n").alias("lang_n"), F.sum("docs").alias("docs"))
+                   .where(F.col("docs") >= min_docs).drop("docs"), f"{base}/kept")
+    held = written(counts.drop("docs").join(kept, ["lang", "term"]), f"{base}/held")
     groups = counts.where("term is null").select("lang", "source")
     langs = (groups.groupBy("lang").agg(F.count(F.lit(1)).alias("n_sources"))
              .join(kept.groupBy("lang").agg(F.count(F.lit(1)).alias("kinds"), F.sum("lang_n").alias("lang_total")), "lang", "left")
              .na.fill(0, ["kinds", "lang_total"]))
-    groups = checkpointed(groups.join(held.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
-                          .na.fill(0, ["total"]).join(langs, "lang"))
+    groups = written(groups.join(held.groupBy("lang", "source").agg(F.sum("n").alias("total")), ["lang", "source"], "left")
+                     .na.fill(0, ["total"]).join(langs, "lang"), f"{base}/groups")
     more = (held.join(groups, ["lang", "source"])
             .withColumn("p", price("n", "total", "kinds")).withColumn("q", price("lang_n", "lang_total", "kinds"))
             .where("p > q").select("lang", "source", F.col("term").alias("item"), (F.col("p") - F.col("q")).alias("value")))
