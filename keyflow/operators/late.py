@@ -161,9 +161,7 @@ def late_drop_sliding(df: DataFrame, diff_ms: int, grace_ms: int, arrival: Colum
                       chunk_rows: int = 1 << 20) -> DataFrame:
     """Sliding windows (key, window_start, window_end, cnt or total), each without the records too late for it."""
     d = int(diff_ms)
-    width = int(bucket_ms) if bucket_ms else max(8 * (d + 1), 3_600_000)
-    if width < d + 1:
-        raise ValueError("bucket width must be at least diff + 1 ms")
+    width = windows.sliding_width(d, bucket_ms)
     keyed = windows._keyed(df, kind, skip_null_values=True)
     x = _timed(keyed, arrival, tiebreak, source_partition, chunk_rows)
     since = F.greatest(F.col("ms"), F.col("stream_time") - F.lit(int(grace_ms)) + 1)

@@ -69,9 +69,10 @@ def flush_all(changes: DataFrame, flushes: DataFrame, kind: str = MAX, store: Da
     known = F.col("key").isNotNull() & F.col("value").isNotNull()
     first = F.col("fires").cast("bigint")
     merged = (changes.filter(known).groupBy("partition", "key", "tick", "fires").agg(combine("value").alias("value"))
-              .join(flushes.select("partition", "tick", "flush"), ["partition", "tick"])
-              # a record that causes a flush is shown by it, all others of its tick by the next
-              .select("partition", "key", (F.col("flush") + 1 - first).alias("flush"), "value"))
+              .join(flushes.select("partition", "tick", "flush"), ["partition", "tick"], "left")
+              # a record that causes a flush is shown by it, all others of its tick by the next; a tick without a
+              # flush began before the first record
+              .select("partition", "key", F.coalesce(F.col("flush") + 1 - first, F.lit(0)).alias("flush"), "value"))
     if store is not None:
         merged = merged.unionByName(store.filter(known).select("partition", "key", F.lit(0).cast("bigint").alias("flush"), "value"))
     merged = merged.withColumn("_chunk", floor_div("flush", chunk))

@@ -140,6 +140,14 @@ def with_halo(points: DataFrame, diff_ms: int, width: int) -> DataFrame:
     return points.withColumn("_c", F.explode(copies)).select(*points.columns, "_c.bucket", "_c.own")
 
 
+def sliding_width(diff_ms: int, bucket_ms: int | None = None) -> int:
+    """Width of the time buckets; a bucket's halo is one neighbour wide."""
+    width = int(bucket_ms) if bucket_ms else max(8 * (int(diff_ms) + 1), 3_600_000)
+    if width < int(diff_ms) + 1:
+        raise ValueError("bucket width must be at least diff + 1 ms")
+    return width
+
+
 def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | None = None) -> DataFrame:
     """Record-defined sliding windows of width ``diff`` (inclusive both ends).
 
@@ -158,13 +166,19 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
     every window has exactly one owner.
     """
     d = int(diff_ms)
-    width = int(bucket_ms) if bucket_ms else max(8 * (d + 1), 3_600_000)
-    if width < d + 1:
-        raise ValueError("bucket width must be at least diff + 1 ms")
+    width = sliding_width(d, bucket_ms)
     value = F.lit(None).cast("bigint") if kind == COUNT else F.col("value")
     pts = (_keyed(df, kind, skip_null_values=True).groupBy("key", "ms")
            .agg(F.count(F.lit(1)).alias("n"), F.sum(value).cast("bigint").alias("v")))
-    x = with_halo(pts, d, width)
+    name = "cnt" if kind == COUNT else "total"
+    return sliding_points(pts, d, width).select("key", "window_start", "window_end", name)
+
+
+def sliding_points(points: DataFrame, diff_ms: int, width: int) -> DataFrame:
+    """Windows of combined points (key, ms, n, v): key, owner (the time of the point that makes it), window_start,
+    window_end, cnt, total."""
+    d = int(diff_ms)
+    x = with_halo(points, d, width)
     comes = F.struct(F.col("ms").alias("at"), F.lit(True).alias("comes"), F.col("n"), F.col("v"))
     goes = F.struct((F.col("ms") + F.lit(d + 1)).alias("at"), F.lit(False).alias("comes"), (-F.col("n")).alias("n"),
                     (-F.col("v")).alias("v"))
@@ -173,13 +187,12 @@ def sliding(df: DataFrame, diff_ms: int, kind: str = COUNT, bucket_ms: int | Non
     part = Window.partitionBy("key", "bucket").orderBy("at")
     so_far = part.rangeBetween(Window.unboundedPreceding, Window.currentRow)  # equal times included
     here = part.rangeBetween(Window.currentRow, Window.currentRow)            # two rows at most
-    name = "cnt" if kind == COUNT else "total"
-    held = F.col("held") if kind == COUNT else F.sum("v").over(so_far)
-    y = (steps.withColumn("held", F.sum("n").over(so_far)).withColumn(name, held)
+    y = (steps.withColumn("cnt", F.sum("n").over(so_far)).withColumn("total", F.sum("v").over(so_far))
          .withColumn("point", F.max("comes").over(here)))
-    owner = F.col("own") & (F.col("comes") | ((F.col("held") > 0) & ~F.col("point")))
-    return y.filter(owner).select("key", (F.col("at") - F.lit(d)).alias("window_start"),
-                                  F.col("at").alias("window_end"), F.col(name).cast("bigint").alias(name))
+    owner = F.col("own") & (F.col("comes") | ((F.col("cnt") > 0) & ~F.col("point")))
+    made = F.when(F.col("comes"), F.col("at")).otherwise(F.col("at") - F.lit(d + 1))
+    return y.filter(owner).select("key", made.alias("owner"), (F.col("at") - F.lit(d)).alias("window_start"),
+                                  F.col("at").alias("window_end"), "cnt", "total")
 
 
 def running_stream_time(df: DataFrame, arrival: Column, tiebreak: Column,
@@ -220,11 +233,16 @@ def late_drop_exact(df: DataFrame, size_ms: int, grace_ms: int, arrival: Column,
     per-record late rule: a record is left out of a window when
     ``window_end + grace <= stream_time`` (stream time advanced per record, per
     source partition, in arrival order)."""
-    advance = int(advance_ms or size_ms)
     x = running_stream_time(_keyed(df, COUNT, False), arrival, tiebreak, source_partition, chunk_rows)
+    return count_in_time(x, size_ms, grace_ms, advance_ms)
+
+
+def count_in_time(timed: DataFrame, size_ms: int, grace_ms: int, advance_ms: int | None = None) -> DataFrame:
+    """Window counts of records with a ``stream_time``, each left out of the windows it is too late for."""
+    advance = int(advance_ms or size_ms)
     newest = floor_div("ms", advance) * F.lit(advance)
     starts = F.array(*[newest - F.lit(k * advance) for k in range(-(-int(size_ms) // advance))])
-    kept = x.withColumn("window_start", F.explode(starts)).filter(
+    kept = timed.withColumn("window_start", F.explode(starts)).filter(
         (F.col("window_start") + F.lit(size_ms) > F.col("ms"))
         & (F.col("window_start") + F.lit(size_ms + grace_ms) > F.col("stream_time")))
     return (kept.groupBy("key", "window_start").agg(F.count(F.lit(1)).alias("cnt"))

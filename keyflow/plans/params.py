@@ -37,3 +37,4 @@ FK_MODULUS = 25                         # events → nation foreign key: user_id
 FILTER_KEY = "click"                    # the reference filters its count table on "book"
 MIN_VALUE_LENGTH = 3                    # filter(v.length() > 3)
 PARTITIONS = 4                          # source partitions of the per-partition queries
+FILTER_VALUE = 5000                     # cents; the filtered table's predicate over the value

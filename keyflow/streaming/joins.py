@@ -13,6 +13,9 @@ from pyspark.sql import functions as F
 
 from keyflow.functions.text import joiner_text
 from keyflow.functions.time import floor_div
+from keyflow.operators.joins import PAIR, alone_right, joined_text
+from keyflow.session import shared_dir
+from keyflow.streaming.runner import NO_BATCH, run_batches
 
 HOW = {"inner": "inner", "left": "leftOuter", "full": "fullOuter"}
 
@@ -23,55 +26,54 @@ def _prepare(df: DataFrame, p: str) -> DataFrame:
         F.col("ts").alias(f"{p}ts"), F.col("value").alias(f"{p}value"))
 
 
-def _bucketed_left_outer(own: DataFrame, near: DataFrame, o: str, n: str, bound_i: int, wm: str,
-                         how: str) -> DataFrame:
-    """``own`` rows in the bucket of their time, ``near`` rows copied to every
-    bucket they can match; equi-join on (key, bucket) plus the time range."""
-    width = max(bound_i, 1)
-    own = own.withColumn(f"{o}bucket", floor_div(f"{o}ms", width)).withWatermark(f"{o}ts", wm)
-    near = near.withColumn(f"{n}bucket", F.explode(F.sequence(
-        floor_div(F.col(f"{n}ms") - F.lit(bound_i), width), floor_div(F.col(f"{n}ms") + F.lit(bound_i), width)))
-    ).withWatermark(f"{n}ts", wm)
-    bound = F.expr(f"INTERVAL {bound_i} MILLISECONDS")
-    cond = ((F.col(f"{o}key") == F.col(f"{n}key")) & (F.col(f"{o}bucket") == F.col(f"{n}bucket"))
-            & (F.col(f"{n}ts") >= F.col(f"{o}ts") - bound) & (F.col(f"{n}ts") <= F.col(f"{o}ts") + bound))
+def _near(own: DataFrame, near: DataFrame, bound: int, wm: str, how: str) -> DataFrame:
+    """Left rows in the bucket of their time, right rows copied to every bucket
+    they can match; equi-join on (key, bucket) plus the time range."""
+    width = max(bound, 1)
+    own = own.withColumn("l_bucket", floor_div("l_ms", width)).withWatermark("l_ts", wm)
+    near = near.withColumn("r_bucket", F.explode(F.sequence(
+        floor_div(F.col("r_ms") - F.lit(bound), width), floor_div(F.col("r_ms") + F.lit(bound), width)))
+    ).withWatermark("r_ts", wm)
+    span = F.expr(f"INTERVAL {bound} MILLISECONDS")
+    cond = ((F.col("l_key") == F.col("r_key")) & (F.col("l_bucket") == F.col("r_bucket"))
+            & (F.col("r_ts") >= F.col("l_ts") - span) & (F.col("r_ts") <= F.col("l_ts") + span))
     return own.join(near, cond, how)
 
 
 def interval_join_stream(left: DataFrame, right: DataFrame, bound_ms: int, how: str = "inner",
-                         grace_ms: int = 0, joiner=joiner_text, bucketed: bool = True) -> DataFrame:
-    """Keyed by ``(key, time bucket)`` as in the batch form, so the join state
-    of a hot key is spread over its buckets:
+                         grace_ms: int = 0, joiner=joiner_text) -> DataFrame:
+    """Inner or left join keyed by ``(key, time bucket)`` as in the batch form, so the join state of a hot
+    key is spread over its buckets: left rows in their own bucket, right rows copied to the buckets they can
+    match. A left row meets all its candidates once, so the left outer join is exact in one operator."""
+    if how == "full":
+        raise ValueError("a full join on a stream ends in a sink: run_full_join")
+    j = _near(_prepare(left, "l_"), _prepare(right, "r_"), int(bound_ms), f"{int(grace_ms)} milliseconds", HOW[how])
+    return joined_text(j.select(F.col("l_key").alias("key"), *PAIR[1:]), joiner)
 
-    * inner / left: left rows in their own bucket, right rows copied to the
-      buckets they can match — a left row meets all its candidates exactly
-      once, so the left outer join is exact in one operator;
-    * full: that left outer join (pairs and left-only rows) united with the
-      mirror-image left outer join (right rows in their own bucket, left rows
-      copied), of which only the unmatched right rows are kept. Spark has no
-      streaming anti-join; this costs a second copy of the join state.
 
-    ``bucketed=False`` gives the plain join keyed by ``key``.
+def run_full_join(left: DataFrame, right: DataFrame, bound_ms: int, name: str, grace_ms: int = 0,
+                  joiner=joiner_text) -> DataFrame:
+    """Full outer join in one join operator, run to the end of both streams.
+
+    Besides pairs and left-only rows the operator gives the right copies that met no left row. All copies of
+    a right row have its time, so the watermark releases them in the same micro-batch, where the sink keeps
+    the rows of which every copy was unmatched: no second join, no second copy of the state.
     """
-    wm = f"{int(grace_ms)} milliseconds"
-    bound_i = int(bound_ms)
-    l = _prepare(left, "l_")
-    r = _prepare(right, "r_")
-    if bucketed:
-        main = _bucketed_left_outer(l, r, "l_", "r_", bound_i, wm, "inner" if how == "inner" else "leftOuter")
-        j = main.select("l_key", "l_seq", "l_ms", "l_value", "r_key", "r_seq", "r_ms", "r_value")
-        if how == "full":
-            mirror = _bucketed_left_outer(r, l, "r_", "l_", bound_i, wm, "leftOuter")
-            right_only = mirror.filter(F.col("l_seq").isNull()).select(
-                "l_key", "l_seq", "l_ms", "l_value", "r_key", "r_seq", "r_ms", "r_value")
-            j = j.unionByName(right_only)
-    else:
-        l = l.withWatermark("l_ts", wm)
-        r = r.withWatermark("r_ts", wm)
-        bound = F.expr(f"INTERVAL {bound_i} MILLISECONDS")
-        cond = ((F.col("l_key") == F.col("r_key"))
-                & (F.col("r_ts") >= F.col("l_ts") - bound) & (F.col("r_ts") <= F.col("l_ts") + bound))
-        j = l.join(r, cond, HOW[how])
-    return j.select(F.coalesce("l_key", "r_key").alias("key"), F.col("l_seq").alias("left_seq"),
-                    F.col("r_seq").alias("right_seq"), F.col("l_ms").alias("left_ms"),
-                    F.col("r_ms").alias("right_ms"), joiner(F.col("l_value"), F.col("r_value")).alias("value"))
+    spark, bound = left.sparkSession, int(bound_ms)
+    base = shared_dir(spark, name)
+    j = _near(_prepare(left, "l_"), _prepare(right, "r_"), bound, f"{int(grace_ms)} milliseconds", HOW["full"])
+    j = j.select(F.coalesce("l_key", "r_key").alias("key"), *PAIR[1:], F.col("r_bucket").alias("bucket"),
+                 F.col("l_key").isNull().alias("_copy"))
+    schema = joined_text(spark.createDataFrame([], j.schema), joiner).schema
+    spark.createDataFrame([], schema).write.parquet(f"{base}/out/batch_id={NO_BATCH}")
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # read twice below; the join's state is stepped once
+        path = f"{base}/joined/batch_id={batch_id}"
+        batch.write.mode("overwrite").parquet(path)
+        rows = batch.sparkSession.read.schema(j.schema).parquet(path)
+        out = rows.filter(~F.col("_copy")).select(*PAIR).unionByName(
+            alone_right(rows.filter("_copy"), bound, max(bound, 1)))
+        joined_text(out, joiner).write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+    run_batches(j, base.rsplit("/", 1)[-1], write, f"{base}/checkpoint")
+    return spark.read.schema(schema).parquet(f"{base}/out").drop("batch_id")

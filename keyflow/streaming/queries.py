@@ -16,14 +16,14 @@ from pyspark.sql import functions as F
 
 from keyflow.functions.text import jvm_tokens
 from keyflow.operators import aggregates as agg
-from keyflow.operators import windows
+from keyflow.operators import punctuation, windows
 from keyflow.plans import params as P
-from keyflow.plans.catalog import STREAMING_QUERIES
+from keyflow.plans.catalog import STREAMING_QUERIES, arrival, user_partition
 from keyflow.plans.oracle import ORACLE_SQL, R
 from keyflow.sources import codec
 from keyflow.sources.records import event_records
 from keyflow.sources.stream import read_table_stream
-from keyflow.streaming.joins import interval_join_stream
+from keyflow.streaming.joins import interval_join_stream, run_full_join
 from keyflow.streaming.processors import (
     WORD_COUNT_OUTPUT,
     MaxProcessor,
@@ -53,10 +53,9 @@ def hopping_count_final(spark, sf_dir):
 
 
 def session_count_final(spark, sf_dir):
+    from keyflow.streaming.sessions import run_session_final
     s = event_record_stream(spark, sf_dir, key="user_id")
-    run = run_stream(windows.session(s, P.SESSION_COUNT_GAP, windows.COUNT, P.SESSION_COUNT_GRACE),
-                     "session_count_final")
-    return run.read(spark)
+    return run_session_final(s, P.SESSION_COUNT_GAP, P.SESSION_COUNT_GRACE, "session_count_final", "bigint").drop("total")
 
 
 # ---------------------------------------------------------------- early results / changelogs
@@ -175,6 +174,8 @@ def _ss_join(how):
         def side(t):
             s = event_record_stream(spark, sf_dir, key="user_id", extra={"event_type": F.col("event_type")})
             return s.filter(F.col("event_type") == t).drop("event_type")
+        if how == "full":
+            return run_full_join(side("click"), side("purchase"), P.JOIN_BOUND, "ss_join_full_stream")
         j = interval_join_stream(side("click"), side("purchase"), P.JOIN_BOUND, how)
         return run_stream(j, f"ss_join_{how}_stream").read(spark)
     return q
@@ -327,12 +328,11 @@ STREAMING_ORACLE["observe_metrics_stream"] = ORACLE_SQL["observe_metrics"]
 # ---------------------------------------------------------------- sliding windows on a stream
 def _sliding_final(kind, grace):
     def q(spark, sf_dir):
-        from keyflow.streaming.sliding import sliding_stream
+        from keyflow.streaming.sliding import run_sliding
         s = event_record_stream(spark, sf_dir, key="user_id")
         diff = P.SLIDING_DIFF if kind == "count" else P.SLIDING_SUM_DIFF
-        run = run_stream(sliding_stream(s, diff, grace, key_type="bigint"), f"sliding_{kind}_final")
         col = "cnt" if kind == "count" else "total"
-        return run.read(spark).select("key", "window_start", "window_end", col)
+        return run_sliding(s, diff, grace, f"sliding_{kind}_final", "bigint").select("key", "window_start", "window_end", col)
     return q
 
 
@@ -431,3 +431,90 @@ def cogroup_fold_stream(spark, sf_dir):
 
 STREAMING_QUERIES["cogroup_fold_stream"] = cogroup_fold_stream
 STREAMING_ORACLE["cogroup_fold_stream"] = ORACLE_SQL["cogroup_fold"]
+
+
+# ---------------------------------------------------------------- stream time record by record
+def _arrived_stream(spark, sf_dir, **kw):
+    return event_record_stream(spark, sf_dir, extra={"user_id": F.col("user_id")}, **kw)
+
+
+def late_drop_exact_stream(spark, sf_dir):
+    """Tumbling counts of a stream under the exact late rule, whatever the micro-batches."""
+    from keyflow.streaming.stream_time import current_counts, run_late_exact
+    return current_counts(run_late_exact(_arrived_stream(spark, sf_dir), P.TUMBLING_COUNT_SIZE, P.TUMBLING_COUNT_GRACE,
+                                         arrival(), F.col("seq"), "late_drop_exact_stream"))
+
+
+def max_flush_all_stream(spark, sf_dir):
+    """Running maxima of users, all sent on at every tick of the partition's stream time."""
+    from keyflow.streaming.stream_time import run_flush_all
+    return run_flush_all(_arrived_stream(spark, sf_dir, key="user_id"), P.MAX_STREAM_TICK, punctuation.MAX, arrival(),
+                         F.col("seq"), "max_flush_all", user_partition(), "bigint")
+
+
+def word_count_flush_all_stream(spark, sf_dir):
+    """Words of the events' properties, counted per partition, all sent on at every tick."""
+    from keyflow.streaming.stream_time import run_flush_all
+
+    def words(df, keep):
+        return jvm_tokens(df, F.lower("value"), keep=keep, name="key").withColumn("value", F.lit(1).cast("bigint"))
+    out = run_flush_all(_arrived_stream(spark, sf_dir, value=F.col("props")), P.WORD_COUNT_TICK, punctuation.SUM, arrival(),
+                        F.col("seq"), "word_count_flush_all", user_partition(), changes=words)
+    return out.select("partition", F.col("key").alias("word"), F.col("value").cast("string").alias("count"), "stream_time")
+
+
+# ---------------------------------------------------------------- whole changelogs
+def changelog_of_counts_all(spark, sf_dir):
+    """``count().toStream()`` without caching: every update of every count."""
+    from keyflow.streaming.changelogs import run_count_updates
+    s = event_record_stream(spark, sf_dir)
+    return run_count_updates(s.filter("key is not null and value is not null"), {"key": "string"}, "changelog_of_counts_all")
+
+
+def tumbling_count_updates_all(spark, sf_dir):
+    """Every update of every tumbling window's count."""
+    from keyflow.functions.time import floor_div
+    from keyflow.streaming.changelogs import run_count_updates
+    size = P.TUMBLING_COUNT_SIZE
+    s = event_record_stream(spark, sf_dir).filter("key is not null")
+    log = run_count_updates(s.withColumn("window_start", floor_div("ms", size) * F.lit(size)),
+                            {"key": "string", "window_start": "long"}, "tumbling_count_updates_all")
+    return log.select("key", "window_start", (F.col("window_start") + F.lit(size)).alias("window_end"), "cnt", "seq")
+
+
+def table_filter_changelog(spark, sf_dir):
+    """Users whose current value passes a threshold: inserts, updates and deletes of the filtered table."""
+    from keyflow.streaming.changelogs import run_filter_changelog
+    return run_filter_changelog(_user_changelog_stream(spark, sf_dir), F.col("value") >= F.lit(P.FILTER_VALUE),
+                                "table_filter_changelog", "bigint")
+
+
+STREAMING_QUERIES.update({
+    "late_drop_exact_stream": late_drop_exact_stream,
+    "max_flush_all_stream": max_flush_all_stream,
+    "word_count_flush_all_stream": word_count_flush_all_stream,
+    "changelog_of_counts_all": changelog_of_counts_all,
+    "tumbling_count_updates_all": tumbling_count_updates_all,
+    "table_filter_changelog": table_filter_changelog,
+})
+STREAMING_ORACLE.update({
+    "late_drop_exact_stream": ORACLE_SQL["late_drop_exact"],
+    "max_flush_all_stream": ORACLE_SQL["max_flush_all"],
+    "word_count_flush_all_stream": ORACLE_SQL["word_count_flush_all"],
+    "changelog_of_counts_all": R + """SELECT event_type AS key, seq,
+       count(*) OVER (PARTITION BY event_type ORDER BY seq ROWS UNBOUNDED PRECEDING) AS cnt
+FROM r WHERE event_type IS NOT NULL AND cents IS NOT NULL""",
+    "tumbling_count_updates_all": R + f""", w AS (
+  SELECT event_type AS key, seq, (ms // {P.TUMBLING_COUNT_SIZE}) * {P.TUMBLING_COUNT_SIZE} AS window_start FROM r)
+SELECT key, window_start, window_start + {P.TUMBLING_COUNT_SIZE} AS window_end, seq,
+       count(*) OVER (PARTITION BY key, window_start ORDER BY seq ROWS UNBOUNDED PRECEDING) AS cnt
+FROM w WHERE key IS NOT NULL""",
+    "table_filter_changelog": R + f""", t AS (
+  SELECT user_id AS key, CASE WHEN event_type = 'error' THEN NULL ELSE cents END AS value, seq FROM r),
+i AS (SELECT key, seq, value, lag(value) OVER (PARTITION BY key ORDER BY seq) AS before FROM t),
+m AS (SELECT key, seq, CASE WHEN before >= {P.FILTER_VALUE} THEN before END AS old_value,
+             CASE WHEN value >= {P.FILTER_VALUE} THEN value END AS new_value FROM i)
+SELECT key, seq, CASE WHEN old_value IS NULL THEN 'insert' WHEN new_value IS NULL THEN 'delete' ELSE 'update' END AS change,
+       old_value, new_value
+FROM m WHERE old_value IS NOT NULL OR new_value IS NOT NULL""",
+})

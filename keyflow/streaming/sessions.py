@@ -49,14 +49,19 @@ def merge_sessions(parts: DataFrame, gap_ms: int) -> DataFrame:
             .withColumn("last", F.max("window_end").over(whole)).drop("_new", "_sid"))
 
 
-def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, key_type: str = "string") -> DataFrame:
-    """Run to the end of the record stream ``df``; returns the changelog with ``batch_id``."""
+def _run_sessions(df: DataFrame, gap_ms: int, grace_ms: int, name: str, key_type: str, final: bool) -> DataFrame:
     spark, gap = df.sparkSession, int(gap_ms)
     base = shared_dir(spark, name)
     log, times = LOG.format(key_type=key_type), "ms long"
+    columns = ["key", "window_start", "window_end", "cnt", "total"]
     spark.createDataFrame([], log).write.parquet(f"{base}/log/batch_id={NO_BATCH}")
     spark.createDataFrame([], times).write.parquet(f"{base}/time/batch_id={NO_BATCH}")
-    open_sessions = TableLog(spark, f"{base}/open", f"{log}, batch long", ["key"], newest_by(["key", "window_start"], "batch"))
+    spark.createDataFrame([], log).select(columns).write.parquet(f"{base}/final/batch_id={NO_BATCH}")
+    sessions = TableLog(spark, f"{base}/open", f"{log}, batch long", ["key"], newest_by(["key", "window_start"], "batch"))
+
+    def still(end: str, closed: int):
+        # a final result has gone out once its end is ``closed``; an early one may then still change
+        return F.col(end) > closed if final else F.col(end) >= closed
 
     def merge(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
@@ -64,14 +69,13 @@ def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, ke
         seen = before.agg(F.max("ms")).first()[0]
         closed = None if seen is None else seen - int(grace_ms) - gap  # sessions that ended before are closed
         new = windows.partial_sessions(batch, gap)
-        old = open_sessions.read(s, batch_id, batch.select("key")).filter(~F.col("deleted"))
+        old = sessions.read(s, batch_id, batch.select("key")).filter(~F.col("deleted"))
         if closed is not None:
-            old = old.filter(F.col("window_end") >= closed)
-        columns = ["key", "window_start", "window_end", "cnt", "total"]
+            old = old.filter(still("window_end", closed))
         both = merge_sessions(new.select(*columns, F.lit(True).alias("fresh"))
                               .unionByName(old.select(*columns, F.lit(False).alias("fresh"))), gap)
         if closed is not None:
-            both = both.filter(F.col("last") >= closed)  # late records
+            both = both.filter(still("last", closed))  # late records
         session = both.groupBy("key", "first").agg(
             F.max("last").alias("window_end"), F.sum("cnt").alias("cnt"), F.sum("total").alias("total"),
             F.max("fresh").alias("changed"),
@@ -85,14 +89,38 @@ def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, ke
             "key", "window_start", "window_end", nothing.alias("cnt"), nothing.alias("total"), F.lit(True).alias("deleted"))
         at = f"{base}/log/batch_id={batch_id}"
         up.unionByName(down).write.mode("overwrite").parquet(at)
-        live = ~F.col("deleted") if closed is None else ~F.col("deleted") & (F.col("window_end") >= closed)
-        open_sessions.append(batch_id, s.read.schema(log).parquet(at).withColumn("batch", F.lit(batch_id).cast("long")), live)
+        live = ~F.col("deleted") if closed is None else ~F.col("deleted") & still("window_end", closed)
+        sessions.append(batch_id, s.read.schema(log).parquet(at).withColumn("batch", F.lit(batch_id).cast("long")), live)
         (batch.select("ms").unionByName(before).agg(F.max("ms").alias("ms")).coalesce(1)
          .write.mode("overwrite").parquet(f"{base}/time/batch_id={batch_id}"))
+        if final:
+            now = s.read.schema(times).parquet(f"{base}/time/batch_id={batch_id}").first()[0]
+            whole = sessions.read(s, batch_id + 1).filter(~F.col("deleted")).select(columns)
+            whole = whole.filter(F.col("window_end") <= now - int(grace_ms) - gap) if now is not None else whole.limit(0)
+            if closed is not None:
+                whole = whole.filter(still("window_end", closed))  # not sent before
+            whole.write.mode("overwrite").parquet(f"{base}/final/batch_id={batch_id}")
     run_batches(df.filter(F.col("key").isNotNull()), base.rsplit("/", 1)[-1], merge, f"{base}/checkpoint")
+    if final:
+        return spark.read.parquet(f"{base}/final").drop("batch_id")
     return spark.read.schema(f"{log}, batch_id int").parquet(f"{base}/log")
 
 
+def run_session_updates(df: DataFrame, gap_ms: int, grace_ms: int, name: str, key_type: str = "string") -> DataFrame:
+    """Run to the end of the record stream ``df``; returns the changelog with ``batch_id``."""
+    return _run_sessions(df, gap_ms, grace_ms, name, key_type, final=False)
+
+
+def run_session_final(df: DataFrame, gap_ms: int, grace_ms: int, name: str, key_type: str = "string") -> DataFrame:
+    """Run to the end of ``df``; returns each session (key, window_start, window_end, cnt, total) once, when the
+    newest time is gap and grace past its end. Closed sessions take no more records.
+
+    A hot key's records are reduced in time buckets before its sessions meet in one task, which Spark's own
+    ``session_window`` on a stream does not do.
+    """
+    return _run_sessions(df, gap_ms, grace_ms, name, key_type, final=True)
+
+
 def current_sessions(changelog: DataFrame) -> DataFrame:
     """Newest row per (key, window_start) that is not a retraction."""
     newest = changelog.groupBy("key", "window_start").agg(

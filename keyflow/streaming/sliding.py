@@ -1,161 +1,68 @@
-"""Sliding (record-defined) windows on a stream, final results (append).
-
-Same layout as the batch form: records are hash-partitioned by
-``(key, time bucket)`` with halo copies of the points near a bucket border,
-so a hot key is spread over its buckets. Each group keeps its points
-(distinct ms → count, sum). A point the group owns is ready at ``t + d + 1``:
-once the watermark passes it, every record of the point's left window
-``[t-d, t]`` and right window ``[t+1, t+1+d]`` has arrived, and both are
-emitted (the right one only if non-empty and no point sits exactly at its
-end — then it is that point's left window). Points older than any window
-still to be emitted are evicted.
+"""Sliding (record-defined) windows on a stream, final results.
+
+Records of a micro-batch are combined to points (a key and time with its count
+and sum) and appended to a table log; what a batch writes follows its new points,
+not what is kept. The point that makes a window (``owner`` t: left window
+``[t-d, t]``, right window ``[t+1, t+1+d]``) is ready when the watermark, the
+newest time less the grace, has passed ``t + d + 1``. A batch takes the windows of
+the points that its watermark makes ready from the live points by the plan of the
+batch operator (``windows.sliding_points``: time buckets with halo, so a hot key is
+spread). Points that no window to come needs are left out when the log is
+compacted; what lives is what came within two widths and the grace.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
-
-import numpy as np
-import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from keyflow.functions.time import floor_div
-from keyflow.session import ship_package
+from keyflow.operators import windows
+from keyflow.session import shared_dir
+from keyflow.streaming.runner import NO_BATCH, run_batches
+from keyflow.streaming.table_log import TableLog
 
 OUTPUT = "key {key_type}, window_start long, window_end long, cnt long, total long"
-POINTS_STATE = "ms array<long>, cnt array<long>, total array<long>, own array<boolean>"
-PROGRESS_STATE = "emitted long, armed long"
-
-
-class SlidingWindowProcessor(StatefulProcessor):
-    """Per ``(key, bucket)`` group: the points (distinct ms with count and sum,
-    and whether this group owns them) as one sorted array state, how far
-    owners have been emitted, and a single pending event-time timer at the
-    earliest unemitted owner's ``t + d + 1``. A firing emits every owner the
-    watermark has passed, with vectorised range sums (``searchsorted`` over
-    prefix sums), so state access is O(1) calls per group per batch."""
-
-    def __init__(self, diff_ms: int):
-        self.d = int(diff_ms)
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        self.handle = handle
-        self.points = handle.getValueState("points", POINTS_STATE)
-        self.progress = handle.getValueState("progress", PROGRESS_STATE)
-
-    def _load(self):
-        row = self.points.get()
-        if row is None:
-            return (np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, np.int64), np.empty(0, bool))
-        return (np.asarray(row[0], np.int64), np.asarray(row[1], np.int64), np.asarray(row[2], np.int64),
-                np.asarray(row[3], bool))
-
-    def _save(self, ms, cnt, tot, own):
-        if len(ms) == 0:
-            self.points.clear()
-        else:
-            self.points.update((ms.tolist(), cnt.tolist(), tot.tolist(), own.tolist()))
-
-    def _progress(self):
-        row = self.progress.get()
-        return (None, None) if row is None else (row[0], row[1])
-
-    def _arm(self, ms, own, emitted, armed):
-        pending = ms[own & (ms > emitted)] if emitted is not None else ms[own]
-        nxt = int(pending.min()) + self.d + 1 if len(pending) else None
-        if nxt != armed:
-            if armed is not None:
-                self.handle.deleteTimer(armed)
-            if nxt is not None:
-                self.handle.registerTimer(nxt)
-        self.progress.update((emitted, nxt))
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        wm = timerValues.getCurrentWatermarkInMs()
-        batch = pd.concat(list(rows), ignore_index=True)
-        if wm and wm > 0:  # late: all windows of the record are closed
-            batch = batch[batch["ms"] + self.d + 1 > wm]
-        if batch.empty:
-            return iter([])
-        new = batch.groupby("ms").agg(cnt=("value", "size"), total=("value", "sum"), own=("own", "max"))
-        ms, cnt, tot, own = self._load()
-        all_ms = np.concatenate([ms, new.index.to_numpy(np.int64)])
-        uniq, inv = np.unique(all_ms, return_inverse=True)
-        m_cnt, m_tot = np.zeros(len(uniq), np.int64), np.zeros(len(uniq), np.int64)
-        np.add.at(m_cnt, inv, np.concatenate([cnt, new["cnt"].to_numpy(np.int64)]))
-        np.add.at(m_tot, inv, np.concatenate([tot, new["total"].to_numpy(np.int64)]))
-        m_own = np.zeros(len(uniq), bool)
-        np.logical_or.at(m_own, inv, np.concatenate([own, new["own"].to_numpy(bool)]))
-        self._save(uniq, m_cnt, m_tot, m_own)
-        emitted, armed = self._progress()
-        self._arm(uniq, m_own, emitted, armed)
-        return iter([])
-
-    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
-        d = self.d
-        wm = max(timerValues.getCurrentWatermarkInMs(), expiredTimerInfo.getExpiryTimeInMs())
-        ms, cnt, tot, own = self._load()
-        emitted, _armed = self._progress()
-        ready = own & (ms + d + 1 <= wm)
-        if emitted is not None:
-            ready &= ms > emitted
-        t = ms[ready]
-        out = None
-        if len(t):
-            c = np.concatenate([[0], np.cumsum(cnt)])
-            s = np.concatenate([[0], np.cumsum(tot)])
-            lo = np.searchsorted(ms, t - d, "left")
-            hi = np.searchsorted(ms, t, "right")
-            rlo = np.searchsorted(ms, t + 1, "left")
-            rhi = np.searchsorted(ms, t + 1 + d, "right")
-            end_hit = (rhi > 0) & (ms[np.maximum(rhi - 1, 0)] == t + 1 + d)
-            r_cnt = c[rhi] - c[rlo]
-            right = (r_cnt > 0) & ~end_hit
-            k = key[0]
-            left_df = pd.DataFrame({"window_start": t - d, "window_end": t,
-                                    "cnt": c[hi] - c[lo], "total": s[hi] - s[lo]})
-            right_df = pd.DataFrame({"window_start": t[right] + 1, "window_end": t[right] + 1 + d,
-                                     "cnt": r_cnt[right], "total": (s[rhi] - s[rlo])[right]})
-            out = pd.concat([left_df, right_df], ignore_index=True)
-            out.insert(0, "key", k)
-            emitted = int(t.max())
-            keep = ms >= emitted + 1 - d  # points a later owner (> emitted) can still need
-            ms, cnt, tot, own = ms[keep], cnt[keep], tot[keep], own[keep]
-            self._save(ms, cnt, tot, own)
-        self._arm(ms, own, emitted, None)
-        if out is not None:
-            yield out
-
-    def close(self) -> None:
-        pass
-
-
-def sliding_stream(df: DataFrame, diff_ms: int, grace_ms: int = 0, bucket_ms: int | None = None,
-                   key_type: str = "string") -> DataFrame:
-    """Final sliding windows of a record stream (``key, window_start,
-    window_end, cnt, total``); records later than ``grace`` are dropped."""
-    ship_package(df.sparkSession)
-    d = int(diff_ms)
-    # Wider than in batch: live state per group is bounded by eviction (d +
-    # grace + the batch's time span), so the width only sets the group count.
-    width = int(bucket_ms) if bucket_ms else max(64 * (d + 1), 7 * 86_400_000)
-    pts = df.filter(F.col("key").isNotNull() & F.col("value").isNotNull()).select("key", "ms", "ts", "value")
-    b = floor_div("ms", width)
-    lo = b * F.lit(width)
-    typ = "array<struct<bucket:bigint,own:boolean>>"
-    copy = lambda bucket, own: F.struct(bucket.alias("bucket"), F.lit(own).alias("own"))
-    copies = F.concat(
-        F.array(copy(b, True)),
-        F.when(F.col("ms") >= lo + F.lit(width - d), F.array(copy(b + 1, False))).otherwise(F.array().cast(typ)),
-        F.when(F.col("ms") <= lo + F.lit(d), F.array(copy(b - 1, False))).otherwise(F.array().cast(typ)),
-    )
-    # the processor works on ``ms``; ``ts`` only carries the watermark and is
-    # not shipped to Python
-    x = (pts.withWatermark("ts", f"{int(grace_ms)} milliseconds")
-         .select("key", "ms", "value", F.explode(copies).alias("c"))
-         .select("key", F.col("c.bucket").alias("bucket"), "ms", "value", F.col("c.own").alias("own")))
-    return (x.groupBy("key", "bucket")
-            .transformWithStateInPandas(SlidingWindowProcessor(d), OUTPUT.format(key_type=key_type),
-                                        "Append", "EventTime"))
+POINT = "key {key_type}, ms long, n long, v long"
+
+
+def _combined(points: DataFrame) -> DataFrame:
+    return points.groupBy("key", "ms").agg(F.sum("n").alias("n"), F.sum("v").alias("v"))
+
+
+def run_sliding(df: DataFrame, diff_ms: int, grace_ms: int, name: str, key_type: str = "string",
+                bucket_ms: int | None = None) -> DataFrame:
+    """Run to the end of the record stream ``df``; returns its final windows (key, window_start, window_end, cnt, total).
+
+    Records whose windows are all emitted are left out.
+    """
+    spark, d, grace = df.sparkSession, int(diff_ms), int(grace_ms)
+    width = windows.sliding_width(d, bucket_ms)
+    base = shared_dir(spark, name)
+    out, times = OUTPUT.format(key_type=key_type), "ms long"
+    spark.createDataFrame([], out).write.parquet(f"{base}/out/batch_id={NO_BATCH}")
+    spark.createDataFrame([], times).write.parquet(f"{base}/time/batch_id={NO_BATCH}")
+    live = TableLog(spark, f"{base}/points", POINT.format(key_type=key_type), ["key", "ms"], _combined)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        s = batch.sparkSession
+        before = s.read.schema(times).parquet(f"{base}/time/batch_id={batch_id - 1}")
+        seen, newest = before.agg(F.max("ms")).first()[0], batch.agg(F.max("ms")).first()[0]
+        newest = max((t for t in (seen, newest) if t is not None), default=None)
+        s.createDataFrame([(newest,)], times).coalesce(1).write.mode("overwrite").parquet(f"{base}/time/batch_id={batch_id}")
+        # owners from ``first`` on are still to come; those before ``ready`` come now
+        first = None if seen is None else seen - grace - d - 1
+        ready = 0 if newest is None else newest - grace - d - 1
+        points = batch.filter(F.col("key").isNotNull() & F.col("value").isNotNull())
+        if first is not None:
+            points = points.filter(F.col("ms") >= first)
+        points = points.select("key", "ms", F.lit(1).cast("bigint").alias("n"), F.col("value").cast("bigint").alias("v"))
+        live.append(batch_id, _combined(points), F.col("ms") >= ready - d)
+        held = live.read(s, batch_id + 1)
+        if first is not None:
+            held = held.filter(F.col("ms") >= first - d)
+        found = windows.sliding_points(held, d, width).filter(F.col("owner") < ready)
+        if first is not None:
+            found = found.filter(F.col("owner") >= first)
+        found.drop("owner").write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
+    run_batches(df.select("key", "ms", "value"), base.rsplit("/", 1)[-1], write, f"{base}/checkpoint")
+    return spark.read.schema(out).parquet(f"{base}/out").drop("batch_id")

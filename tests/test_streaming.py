@@ -223,15 +223,15 @@ def test_fk_join_offsets_of_the_two_topics_do_not_compare(spark):
 
 
 def test_sliding_windows_on_a_stream(spark):
-    from keyflow.streaming.sliding import sliding_stream
+    from keyflow.streaming.sliding import run_sliding
     want = sorted([(700, 1000, 1, 1), (800, 1100, 2, 3), (1001, 1301, 2, 6), (1101, 1401, 1, 4),
                    (1700, 2000, 1, 8)])
     for bucket in (None, 301):
         batches = [[("a", 1, 1000, 0), ("a", 2, 1100, 1)], [("a", 4, 1301, 2), ("a", 8, 2000, 3)],
                    [("a", 0, 1_000_000, 4)]]  # far-future record: advances the watermark
         s = stream_of(spark, landing_zone(batches))
-        run = run_stream(sliding_stream(s, 300, 0, bucket_ms=bucket), "sliding_stream")
-        got = sorted((r.window_start, r.window_end, r.cnt, r.total) for r in run.read(spark).collect())
+        run = run_sliding(s, 300, 0, "sliding_stream", bucket_ms=bucket)
+        got = sorted((r.window_start, r.window_end, r.cnt, r.total) for r in run.collect())
         assert got == want, bucket
 
 
@@ -284,7 +284,7 @@ def test_table_state_stream_with_delete(spark):
 
 
 def test_interval_join_stream_fixture(spark):
-    from keyflow.streaming.joins import interval_join_stream
+    from keyflow.streaming.joins import interval_join_stream, run_full_join
     left = [[("a", 1, 1000, 0)], [], [("z", 0, 100_000, 10)]]
     right = [[], [("a", 2, 2500, 1), ("a", 3, 2501, 2)], [("z", 0, 100_000, 11)]]
 
@@ -294,7 +294,7 @@ def test_interval_join_stream_fixture(spark):
     assert sorted((x.left_ms, x.right_ms) for x in inner.collect()) == [(1000, 2500), (100_000, 100_000)]
     l = stream_of(spark, landing_zone([b for b in left if b])).withColumn("value", F.col("value").cast("string"))
     r = stream_of(spark, landing_zone([b for b in right if b])).withColumn("value", F.col("value").cast("string"))
-    full = run_stream(interval_join_stream(l, r, 1500, "full"), "ij_full").read(spark)
+    full = run_full_join(l, r, 1500, "ij_full")
     got = sorted(((x.left_ms, x.right_ms, x.value) for x in full.collect()), key=repr)
     assert (None, 2501, "user: null details: 3") in got
     assert (1000, 2500, "user: 1 details: 2") in got
@@ -303,20 +303,19 @@ def test_interval_join_stream_fixture(spark):
 
 @pytest.mark.parametrize("bucket", [None, 3 * 3_600_000 + 1])
 def test_stream_equals_batch_sliding(spark, bucket):
-    from keyflow.streaming.sliding import sliding_stream
+    from keyflow.streaming.sliding import run_sliding
     d = 3 * 3_600_000
     batches = _event_batches(spark, 4)
     far = 4_102_444_800_000  # 2100-01-01: advances the watermark past every window
     flush = [(k, 0, far, 10**9 + i) for i, k in enumerate(sorted({r[0] for b in batches for r in b}))]
     s = stream_of(spark, landing_zone(batches + [flush]))
-    run = run_stream(sliding_stream(s, d, 0, bucket_ms=bucket), "sliding_multi")
-    got = sorted(map(tuple, run.read(spark).select("key", "window_start", "window_end", "cnt", "total").collect()))
+    run = run_sliding(s, d, 0, "sliding_multi", bucket_ms=bucket)
+    got = sorted(map(tuple, run.select("key", "window_start", "window_end", "cnt", "total").collect()))
     recs = event_records(spark, SF_SMALL)
     c = windows.sliding(recs, d, windows.COUNT)
     t = windows.sliding(recs, d, windows.SUM)
     want = sorted(map(tuple, c.join(t, ["key", "window_start", "window_end"])
                       .select("key", "window_start", "window_end", "cnt", "total").collect()))
-    assert len([p for p in run.progress if p.numInputRows]) == 5
     assert got == want
 
 
@@ -415,12 +414,12 @@ def test_session_late_rule_looks_at_the_session(spark):
 
 
 def test_sliding_stream_out_of_order_within_grace(spark):
-    from keyflow.streaming.sliding import sliding_stream
+    from keyflow.streaming.sliding import run_sliding
     batches, rows = _shuffled_batches(2, 300, "ab", 60_000, 2_000, 41)
     far = [("a", 0, 4_102_444_800_000, 10**6), ("b", 0, 4_102_444_800_000, 10**6 + 1)]
     s = stream_of(spark, landing_zone(batches + [far]))
-    run = run_stream(sliding_stream(s, 700, grace_ms=5_000, bucket_ms=5_000), "slide_ooo")
-    got = sorted(map(tuple, run.read(spark).select("key", "window_start", "window_end", "cnt", "total")
+    run = run_sliding(s, 700, 5_000, "slide_ooo", bucket_ms=5_000)
+    got = sorted(map(tuple, run.select("key", "window_start", "window_end", "cnt", "total")
                      .filter(F.col("window_end") < 10**12).collect()))
     ref = spark.createDataFrame(rows, SCHEMA).withColumn("ts", F.timestamp_millis("ms"))
     c = windows.sliding(ref, 700, windows.COUNT)
@@ -431,23 +430,23 @@ def test_sliding_stream_out_of_order_within_grace(spark):
 
 
 def test_sliding_record_that_ties_the_newest_time_is_kept(spark):
-    from keyflow.streaming.sliding import sliding_stream
+    from keyflow.streaming.sliding import run_sliding
     batches = [[("a", 1, 1000, 0)], [("a", 1, 1000, 1), ("a", 1, 1200, 2)], [("a", 1, 100_000, 3)], [("a", 1, 200_000, 4)]]
-    run = run_stream(sliding_stream(stream_of(spark, landing_zone(batches)), 300, 0), "sliding_tie")
-    got = {r.window_start: r.cnt for r in run.read(spark).collect()}
+    run = run_sliding(stream_of(spark, landing_zone(batches)), 300, 0, "sliding_tie")
+    got = {r.window_start: r.cnt for r in run.collect()}
     assert got[700] == 2 and got[900] == 3
 
 
 def test_sums_above_2_to_the_53_are_exact(spark):
     from keyflow.functions.time import floor_div
     from keyflow.streaming.sessions import current_sessions, run_session_updates
-    from keyflow.streaming.sliding import sliding_stream
+    from keyflow.streaming.sliding import run_sliding
     big = 2**53
     zone = landing_zone([[("a", big, 1000, 0), ("a", 1, 1000, 1)], [("a", None, 1001, 2)], [("b", 1, 10**6, 3)]])
     log = run_session_updates(stream_of(spark, zone), 300, 1000, "sess_big")
     assert {r.key: r.total for r in current_sessions(log).collect()} == {"a": big + 1, "b": 1}
-    run = run_stream(sliding_stream(stream_of(spark, zone), 300, 0), "slide_big")
-    assert {r.window_start: r.total for r in run.read(spark).collect()}[700] == big + 1
+    run = run_sliding(stream_of(spark, zone), 300, 0, "slide_big")
+    assert {r.window_start: r.total for r in run.collect()}[700] == big + 1
     df = spark.createDataFrame([(2**60 + 5,), (-(2**60) - 5,), (-7,), (0,)], "x bigint")
     assert [r.q for r in df.select(floor_div("x", 10).alias("q")).collect()] == [
         (2**60 + 5) // 10, (-(2**60) - 5) // 10, -1, 0]
