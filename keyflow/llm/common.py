@@ -11,7 +11,7 @@ from keyflow import session
 from keyflow.session import _checkpoint_root
 from keyflow.sources import load_table
 
-__all__ = ["SPACE_WORD", "checkpointed", "comma_sorted", "content_key", "load_table", "row_id",
+__all__ = ["SPACE_WORD", "boxed", "checkpointed", "comma_sorted", "content_key", "field", "load_table", "row_id",
            "shared_folder", "ship_package", "text_of", "written"]
 
 BATCH_ROWS = 1000
@@ -57,9 +57,22 @@ def written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def text_of(col: str = "text") -> Column:
+def text_of(col: str | Column = "text") -> Column:
     """The text, empty where it is null."""
-    return F.coalesce(F.col(col).cast("string"), F.lit(""))
+    return F.coalesce((F.col(col) if isinstance(col, str) else col).cast("string"), F.lit(""))
+
+
+def boxed(docs: DataFrame) -> DataFrame:
+    """``docs`` as one column ``row``, so that no name of theirs can clash with a column that an operator adds.
+
+    Fields are ``F.col("row")[name]``, all of them ``row.*``.
+    """
+    return docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+
+
+def field(name: str) -> Column:
+    """A column of boxed ``docs``."""
+    return F.col("row")[name]
 
 
 def row_id() -> Column:

@@ -31,7 +31,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keyflow.llm.common import SPACE_WORD, checkpointed, content_key, load_table, row_id, text_of
+from keyflow.llm.common import SPACE_WORD, boxed, checkpointed, content_key, field, load_table, row_id, text_of
 
 # Weights by rank of the source, and the most passes over a source.
 WEIGHTS = (5.0, 2.0, 1.0)
@@ -190,19 +190,20 @@ def mixed_documents(docs: DataFrame, seed: int = 0, text_col: str = "text", id_c
     plan = (mix.groupBy("rid", "round").agg(F.array_sort(F.collect_list("block")).alias("blocks"))
             .join(rows, "rid")
             .select("__k1", "__k2", F.when(F.size("blocks") < full, F.col("blocks")).alias("__blocks")))
-    text = text_of(text_col)
-    keyed = docs.select("*", *content_key(*[text if c == text_col else F.col(f"`{c}`") for c in names]))
+    text = text_of(field(text_col))
+    keyed = boxed(docs).select("row", *content_key(*[text if c == text_col else field(c) for c in names]))
     out = keyed.dropDuplicates(["__k1", "__k2"]).join(plan, ["__k1", "__k2"])
     cut = F.regexp_extract_all(text, F.lit(rf"(?s)(?:[\x20\x09-\x0D]*+[^\x20\x09-\x0D]++){{1,{BLOCK}}}+"), F.lit(0))
     # bound as a lambda's variable, the text is cut once and not for each block
     partial = F.transform(F.array(cut), lambda c: F.array_join(
         F.transform("__blocks", lambda i: F.element_at(c, (i + 1).cast("int"))), ""))[0]
-    out = out.withColumn("__text", F.when(F.col("__blocks").isNull(), F.col(text_col)).otherwise(partial))
-    changed = {text_col: F.col("__text")}
+    out = out.withColumn("part", F.when(F.col("__blocks").isNotNull(), partial))
+    whole = F.col("__blocks").isNull()
+    changed = {text_col: F.when(whole, field(text_col)).otherwise(F.col("part"))}
     if "n_chars" in names:
-        changed["n_chars"] = F.when(F.col("__blocks").isNull(), F.col("n_chars")).otherwise(
-            F.length("__text").cast(docs.schema["n_chars"].dataType))
-    return out.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in names])
+        changed["n_chars"] = F.when(whole, field("n_chars")).otherwise(
+            F.length("part").cast(docs.schema["n_chars"].dataType))
+    return out.select(*[changed.get(c, field(c)).alias(c) for c in names])
 
 
 def op9_mixing(spark, sf_dir: str) -> DataFrame:

@@ -24,7 +24,7 @@ import pandas as pd
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import load_table, ship_package, text_of
+from keyflow.llm.common import boxed, field, load_table, ship_package, text_of
 
 BASE = ["n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words"]
 FEATURES = ["log_words", "mean_word", "symbols_per_word", "dup_line_share", "repeat_share", "upper_share",
@@ -244,8 +244,8 @@ def quality_model(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000) -> T
 
 def keep_good(docs: DataFrame, labels: DataFrame, fit_rows: int = 4000) -> DataFrame:
     """Rows of ``docs`` that the rules keep, unchanged."""
-    return judged(docs, quality_model(docs, labels, fit_rows)).where("__kept").select(
-        *[F.col(f"`{c}`") for c in docs.columns])
+    rows = boxed(docs).select("row", field("text").alias("text"))
+    return judged(rows, quality_model(docs, labels, fit_rows)).where("__kept").select("row.*")
 
 
 def op4_quality_rules(spark, sf_dir: str) -> DataFrame:

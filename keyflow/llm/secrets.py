@@ -1,7 +1,7 @@
 """Secret scans with corpus-wide ownership frequency, in DataFrame functions only.
 
 Every text is searched for candidate credentials. Each candidate value is hashed
-and counted over the corpus by distinct repositories and owners: a value that
+and its digest counted over the corpus by distinct repositories and owners: a value that
 many owners hold is a copied example, one that stays with few owners and looks
 random is taken for live. Here a document is a repository and its source the
 owner; both are parameters.
@@ -26,7 +26,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-from keyflow.llm.common import checkpointed, content_key, load_table, row_id, text_of
+from keyflow.llm.common import boxed, checkpointed, content_key, field, load_table, row_id, text_of
 
 MASK = "[removed]"
 CUT = 1024             # code points in a block of a text that is masked
@@ -57,8 +57,9 @@ BASE_KINDS = (
     Kind("hex", r"[0-9a-f]{32,}"),
 )
 MORE_KINDS = (
-    Kind("pem", r"-----BEGIN (?:[A-Z]+ )*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}", holds="PRIVATE KEY-----"),
-    Kind("jwt", r"eyJ[A-Za-z0-9_-]{8,}\.eyJ[A-Za-z0-9_-]{8,}\.[A-Za-z0-9_-]{8,}", holds="eyJ"),
+    # no repeated group (the regex engine recurses for each round), and no start inside a run that failed before
+    Kind("pem", r"-----BEGIN [A-Z ]*PRIVATE KEY-----[A-Za-z0-9+/=\s]{16,}", holds="PRIVATE KEY-----"),
+    Kind("jwt", r"(?<![A-Za-z0-9_-])eyJ[A-Za-z0-9_-]{8,}+\.eyJ[A-Za-z0-9_-]{8,}+\.[A-Za-z0-9_-]{8,}+", holds="eyJ"),
     Kind("forge", r"gh[pousr]_[A-Za-z0-9]{30,}", holds="gh"),
     Kind("chat", r"xox[abprs]-[A-Za-z0-9-]{10,}", holds="xox"),
     Kind("url", r"[a-z][a-z0-9+.-]{1,20}://[^\s:/@]++:([^\s:/@]{8,}+)(?=@)", group=1, holds="://"),
@@ -99,14 +100,19 @@ def matches(rows: DataFrame, text_col: str) -> DataFrame:
         *[F.col(f"`{c}`") for c in rows.columns if c != text_col], "__m.*")
 
 
+def plausible(value: Column) -> Column:
+    """Whether a value looks random and not like a placeholder."""
+    return (F.size(F.array_distinct(F.split(value, ""))) >= MIN_DISTINCT_CHARS) & ~value.rlike(PLACEHOLDER)
+
+
 def ownership(candidates: DataFrame, max_owners: int = MAX_OWNERS) -> DataFrame:
-    """Per value (columns value, owner, repo): digest, n_repos, n_owners and whether it looks live."""
-    by_repo = candidates.groupBy("value", "owner", "repo").agg(F.lit(1).alias("one"))
-    by_owner = by_repo.groupBy("value", "owner").agg(F.count(F.lit(1)).alias("repos"))
+    """Per digest of a value (columns digest, owner, repo, plausible): n_repos, n_owners and whether it looks live."""
+    by_repo = candidates.groupBy("digest", "owner", "repo").agg(F.max("plausible").alias("plausible"))
+    by_owner = by_repo.groupBy("digest", "owner").agg(F.count(F.lit(1)).alias("repos"), F.max("plausible").alias("plausible"))
     # count(1) keeps null owners, which are one group
-    total = by_owner.groupBy("value").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"))
-    random = F.size(F.array_distinct(F.split("value", ""))) >= MIN_DISTINCT_CHARS
-    return total.withColumn("live", (F.col("n_owners") <= max_owners) & random & ~F.col("value").rlike(PLACEHOLDER))
+    total = by_owner.groupBy("digest").agg(F.sum("repos").alias("n_repos"), F.count(F.lit(1)).alias("n_owners"),
+                                           F.max("plausible").alias("plausible"))
+    return total.withColumn("live", (F.col("n_owners") <= max_owners) & F.col("plausible")).drop("plausible")
 
 
 def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source",
@@ -122,9 +128,10 @@ def scan(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_
     run = Window.partitionBy("rid", "kind").orderBy("pos").rowsBetween(Window.unboundedPreceding, 0)
     placed = (found.where("kind is not null")
               .withColumn("end", F.sum(F.col("gap") + F.col("size")).over(run))
-              .withColumn("start", F.col("end") - F.col("size")).where(_ok(F.col("kind"), F.col("value"))))
-    owned = ownership(placed.select("value", "owner", "repo"), max_owners)
-    spans = placed.join(owned, "value").select("rid", F.struct(
+              .withColumn("start", F.col("end") - F.col("size")).where(_ok(F.col("kind"), F.col("value")))
+              .withColumn("digest", F.sha2("value", 256)))
+    owned = ownership(placed.select("digest", "owner", "repo", plausible(F.col("value")).alias("plausible")), max_owners)
+    spans = placed.join(owned, "digest").select("rid", F.struct(
         "start", "kind", "end", "pos", "value", "n_repos", "n_owners", "live").alias("span"))
     heads = found.select("rid", "doc_id", "__k1", "__k2").distinct()
     per_row = spans.groupBy("rid").agg(F.array_sort(F.collect_list("span")).alias("spans"))
@@ -183,28 +190,27 @@ def remove_live(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
     get one mask.
     """
     findings = live_places(scan(docs, id_col, text_col, owner_col, repo_col, max_owners))
-    text = text_of(text_col)
+    text = text_of(field(text_col))
     suspect = _found(text, KINDS[0])
     for k in KINDS[1:]:
         suspect = suspect | _found(text, k)
-    names = [F.col(f"`{c}`") for c in docs.columns]
-    some = (docs.where(suspect).select(*names, *content_key(F.col(id_col), text))
-            .join(findings, ["__k1", "__k2"], "left"))
-    some = some.withColumn("__new", F.when(F.col("__places").isNotNull(), _masked(text, F.col("__places")))
-                           .otherwise(F.col(text_col)))
-    changed = {text_col: F.col("__new")}
+    rows = boxed(docs)
+    some = (rows.where(suspect).select("row", *content_key(field(id_col), text)).join(findings, ["__k1", "__k2"], "left")
+            .withColumn("masked", F.when(F.col("__places").isNotNull(), _masked(text, F.col("__places")))))
+    cut = F.col("masked").isNotNull()
+    changed = {text_col: F.when(cut, F.col("masked")).otherwise(field(text_col))}
     if "n_chars" in docs.columns:
-        changed["n_chars"] = F.when(F.col("__places").isNotNull(), F.length("__new").cast(docs.schema["n_chars"].dataType)
-                                    ).otherwise(F.col("n_chars"))
-    some = some.select(*[changed.get(c, F.col(f"`{c}`")).alias(c) for c in docs.columns])
-    return docs.where(~suspect).unionByName(some)
+        changed["n_chars"] = F.when(cut, F.length("masked").cast(docs.schema["n_chars"].dataType)).otherwise(field("n_chars"))
+    some = some.select(*[changed.get(c, field(c)).alias(c) for c in docs.columns])
+    return rows.where(~suspect).select("row.*").unionByName(some)
 
 
 def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
-    """Contract query over all documents; n_live and n_example count the document's spans of either class."""
+    """Contract query over all documents; ``spans`` lists all spans, ``live_spans`` those of live-looking values,
+    n_live and n_example count the spans of either class."""
     found = scan(load_table(spark, sf_dir, "documents").select("doc_id", "text", "source"))
     base = F.filter("spans", lambda s: s["kind"] < len(BASE_KINDS))
-    kept = F.filter("spans", lambda s: (s["kind"] < len(BASE_KINDS)) | s["live"])
+    live = F.filter("spans", lambda s: s["live"])
 
     def many(test):
         return F.size(F.filter("spans", test)).cast("bigint")
@@ -213,5 +219,6 @@ def op10_secret_scan(spark, sf_dir: str) -> DataFrame:
         return lambda s: s["kind"] == n
     return found.select(
         "doc_id", *[many(of_kind(n)).alias(f"n_{k.name}") for n, k in enumerate(BASE_KINDS)],
-        F.sha2(_listed(base), 256).alias("base_sha256"), _listed(kept).alias("spans"),
-        many(lambda s: s["live"]).alias("n_live"), many(lambda s: ~s["live"]).alias("n_example"))
+        F.sha2(_listed(base), 256).alias("base_sha256"), _listed(F.col("spans")).alias("spans"),
+        many(lambda s: s["live"]).alias("n_live"), many(lambda s: ~s["live"]).alias("n_example"),
+        _listed(live).alias("live_spans"))

@@ -25,7 +25,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from keyflow.llm.common import checkpointed, content_key, ship_package, text_of
+from keyflow.llm.common import boxed, checkpointed, content_key, field, ship_package, text_of
 from keyflow.llm.components import connected_components
 
 BITS = 64
@@ -109,9 +109,8 @@ def keep_one(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sh
     best = F.min(F.struct(F.col("doc_id").isNull(), "doc_id", "__k1", "__k2")).alias("best")
     kept = (near_duplicates(docs, id_col, text_col, shingle, max_bits, seed)
             .groupBy("component").agg(best).select("best.__k1", "best.__k2"))
-    keyed = docs.select("*", *content_key(F.col(id_col), text_of(text_col)))
-    return (keyed.join(kept, ["__k1", "__k2"], "left_semi")
-            .dropDuplicates(["__k1", "__k2"]).select(*[keyed[f"`{c}`"] for c in docs.columns]))
+    keyed = boxed(docs).select("row", *content_key(field(id_col), text_of(field(text_col))))
+    return keyed.join(kept, ["__k1", "__k2"], "left_semi").dropDuplicates(["__k1", "__k2"]).select("row.*")
 
 
 def op3_simhash_neardup(spark, sf_dir: str) -> DataFrame:

@@ -3,6 +3,7 @@ from hashlib import sha256
 
 import sentencepiece
 from llm_cases import SF, no_docs, odd_docs, on_tables
+from pyspark.sql import functions as F
 
 import corpus_pipeline as P
 from keyflow.llm.pieces import default_model
@@ -57,3 +58,22 @@ def test_odd_rows_and_empty_table(spark, tmp_path):
         out = stages(spark, folder, tmp_path / f"{name}-out")
         assert all(x.columns == df.columns for x in out[:-1])
         assert (out[0].count() > 0) == (name == "a") and out[1].count() <= out[0].count()
+
+
+# names of columns that the operators add, and some that look like it
+CLASHES = ["__k1", "__k2", "__blocks", "__new", "__text", "__stats", "__kept", "__base_failed", "__places", "__p", "__id", "__y",
+           "__m", "row", "masked", "part", "rid", "fp", "size", "spans", "kind", "value", "component", "words", "owner", "repo",
+           "digest", "stats", "best", "block", "low"]
+
+
+def test_extra_columns_keep_their_values(spark, tmp_path):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").where("doc_id < 120")
+    for c in CLASHES:
+        docs = docs.withColumn(c, F.concat(F.lit(f"{c} of "), F.col("doc_id").cast("string")))
+    labels = spark.read.parquet(f"{SF}/labels.parquet")
+    folder = on_tables(spark, tmp_path / "t", documents=docs, labels=labels)
+    for df in stages(spark, folder, tmp_path / "out")[:-1]:
+        assert df.columns == docs.columns
+        rows = df.collect()
+        assert len(rows) > 20
+        assert all(r[c] == f"{c} of {r.doc_id}" for r in rows for c in CLASHES)

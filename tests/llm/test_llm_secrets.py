@@ -1,5 +1,6 @@
 import hashlib
 import re
+import time
 
 from llm_cases import SF, no_docs, odd_docs, on_tables
 from pyspark.sql import functions as F
@@ -93,3 +94,29 @@ def test_long_users_and_passwords_in_urls(spark, tmp_path):
     owned = [(i, t, "s") for i, t in enumerate(texts)]
     clean = {r.doc_id: r.text for r in remove_live(spark.createDataFrame(owned, df.schema)).collect()}
     assert clean == {0: f"git clone https://user:{MASK}@host/x", 1: f"ftp://{'u1' * 50}:{MASK}@h", 2: texts[2]}
+
+
+def test_long_headers_and_runs_take_linear_time(spark, tmp_path):
+    """One line must neither end an executor nor hold a task."""
+    key = "-----BEGIN RSA PRIVATE KEY-----" + "aB3x" * 10
+    texts = ["-----BEGIN " + "A " * 100_000 + "PRIVATE KEY-----" + "Ab3" * 20, "-----BEGIN " + "A " * 100_000, "eyJ" * 330_000,
+             "x.eyJ" * 100_000, key, "eyJhbGciOiJI.eyJzdWIiOiIx.SflKxwRJSMeKKF"]
+    df = spark.createDataFrame([(i, t, f"s{i}") for i, t in enumerate(texts)], "doc_id bigint, text string, source string")
+    began = time.time()
+    got = {r.doc_id: r.spans for r in op10_secret_scan(spark, on_tables(spark, tmp_path, documents=df)).collect()}
+    assert time.time() - began < 60
+    assert got == {0: f"pem:0:{len(texts[0])}", 1: "", 2: "", 3: "", 4: f"pem:0:{len(key)}", 5: f"jwt:0:{len(texts[5])}"}
+
+
+def test_examples_are_listed_too(spark, tmp_path):
+    token = "ghp_" + "a1B2" * 9
+    df = spark.createDataFrame([(i, f"use {token}", f"s{i}") for i in range(4)], "doc_id bigint, text string, source string")
+    rows = op10_secret_scan(spark, on_tables(spark, tmp_path, documents=df)).collect()
+    assert {(r.spans, r.live_spans, r.n_live, r.n_example) for r in rows} == {("forge:4:44", "", 0, 1)}
+
+
+def test_very_long_values_are_owned_by_their_digest(spark):
+    value = HEX * 20_000
+    df = spark.createDataFrame([(i, f"{value} end", f"s{i % 2}") for i in range(3)], "doc_id bigint, text string, source string")
+    spans = scan(df).select(F.explode("spans").alias("s")).select("s.n_repos", "s.n_owners", "s.live").distinct().collect()
+    assert [tuple(r) for r in spans] == [(3, 2, True)]
