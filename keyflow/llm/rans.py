@@ -9,8 +9,12 @@ Blocks of a segment are coded and decoded side by side in numpy, and segments in
 parallel by Spark.
 
 Tokenising: a text whose words are parted by single blanks or line ends is cut
-there, where no pre-token reaches across, and the library encodes each distinct
-word once per worker; any other text goes to the library whole.
+there, where no pre-token reaches across. Arrow splits and numbers the words of a
+batch; the library encodes each distinct word that the worker has not met, and
+ids are placed with numpy. Any other text goes to the library whole.
+
+The catalogue, a row per segment with its documents, is written beside the files
+as Parquet: ``open_tokens`` finds it in any session.
 
 Defined results: null text counts as empty and has only the end id; a null id
 sorts first; repeated ids stay, ordered by text hash; an empty table gives no
@@ -20,48 +24,95 @@ file and no rows.
 from __future__ import annotations
 
 import os
+import re
 import struct
 import zlib
+from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from itertools import chain
+from operator import attrgetter
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 from keyflow.llm import files
-from keyflow.llm.common import checkpointed, load_table, shared_folder, ship_package, text_of
+from keyflow.llm.common import load_table, shared_folder, ship_package, text_of, written
 
 BLOCK, LANES = 1 << 15, 32
 SEGMENT = 1 << 22      # tokens
 MEMO = 1_000_000       # words that a worker keeps; a full table starts anew
+SLICE = 4 << 20        # bytes of texts that are tokenised at once, if there are several
+SEGMENT_DOCS = 1 << 18
+START = "\r"           # before the first word of a text
 LOW = 1 << 31          # states stay in [LOW, LOW << 32)
 MAGIC = b"RANSTOK1"
 SPECIAL = "<|endoftext|>"
 
 
+# The byte-level alphabet writes printable bytes as they are, all others as letters from 256 on.
+_PRINTED = {*range(33, 127), *range(161, 173), *range(174, 256)}
+_BYTE_LEVEL = {b: 256 + k for k, b in enumerate(b for b in range(256) if b not in _PRINTED)}
+del _BYTE_LEVEL[10]    # no word holds a line end: it parts them
+_ID = attrgetter("id")
+# texts with any of these go to the library whole: blanks that are not single, other white space, the special token
+_UNEVEN = (r"^[ \n]|[ \n][ \n]|[ \n]$|[\t\x0b\f\r\x1c-\x1f\x{85}\x{a0}\x{1680}\x{2000}-\x{200a}\x{2028}\x{2029}"
+           r"\x{202f}\x{205f}\x{3000}]|" + re.escape(SPECIAL))
+
+
 class WordTokens:
-    """Ids of texts by the tokenizers library, as packed unsigned 32-bit numbers."""
+    """Ids of texts by the tokenizers library.
+
+    Words are known by their form: a word as it is stands after a blank, one with a
+    line end before it begins a line, one with START before it begins a text.
+    """
 
     def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
         self.lib = Tokenizer.from_file(path)
-        # words after a blank, and words that begin a line
-        self.spaced: dict[str, bytes] = {}
-        self.first: dict[str, bytes] = {}
+        self.known: dict[str, bytes] = {}
         line = self._ids("\n")
         self.line = line[0] if len(line) == 1 else None
         self.line_bytes = np.array(line, np.uint32).tobytes()
+        # signs that are a pre-token of their own after a letter
+        self.signs = {}
+        for sign in ".,;:!?":
+            own = self._ids(sign)
+            if all(self._ids(w + sign) == self._ids(w) + own for w in (" ab", "ab", " \u00e9\u00e9", "K")):
+                self.signs[sign] = np.array(own, np.uint32).tobytes()
+        # a word of letters is one pre-token: the library's model takes it at once, if it is of the byte-level kind
+        self.model = self.lib.model
+        probes = ["the", "\u00e9t\u00e9", "K\u00e4se", "\u65e5\u672c", "unmentioned"]
+        self.direct = all(self._letters(probes, b) == [np.array(self._ids(b + w), np.uint32).tobytes() for w in probes]
+                          for b in ("", " "))
 
     def _ids(self, text: str) -> list[int]:
         return self.lib.encode_batch_fast([text], add_special_tokens=False)[0].ids
 
-    def _learn(self, memo: dict[str, bytes], words: list[str], blank: str) -> None:
-        """Encode words without white space, in one call for many; a line end parts them."""
+    def _letters(self, words: list[str], blank: str) -> list[bytes]:
+        """Words that are one pre-token each, by the model alone."""
+        begin = blank.translate(_BYTE_LEVEL)
+        wide = [w for w in words if not w.isascii()]
+        mapped = dict(zip(wide, "\n".join(wide).encode().decode("latin-1").translate(_BYTE_LEVEL).split("\n"), strict=False))
+        tokenize = self.model.tokenize
+        return [array("I", map(_ID, tokenize(begin + mapped.get(w, w)))).tobytes() for w in words]
+
+    def _many(self, words: list[str], blank: str) -> list[bytes]:
+        """Words without white space: letters one by one, others in one call for many, parted by line ends."""
+        if not self.direct:
+            return self._joined(words, blank)
+        plain, other = [w for w in words if w.isalpha()], [w for w in words if not w.isalpha()]
+        found = dict(zip(chain(plain, other), chain(self._letters(plain, blank), self._joined(other, blank)), strict=True))
+        return [found[w] for w in words]
+
+    def _joined(self, words: list[str], blank: str) -> list[bytes]:
+        out = []
         for at in range(0, len(words), 5000):
             some = words[at:at + 5000]
             ids = np.array(self._ids(blank + f"\n{blank}".join(some)), np.uint32)
@@ -69,50 +120,86 @@ class WordTokens:
             if len(ends) == len(some) - 1:
                 raw = ids.tobytes()
                 begin, end = [0, *(4 * ends + 4).tolist()], [*(4 * ends).tolist(), len(raw)]
-                memo.update((w, raw[i:k]) for w, i, k in zip(some, begin, end, strict=True))
+                out += [raw[i:k] for i, k in zip(begin, end, strict=True)]
             else:
-                memo.update((w, np.array(self._ids(blank + w), np.uint32).tobytes()) for w in some)
-
-    def _look_up(self, text: str, unknown: dict[int, set[str]]):
-        """Words, the ids that are known (None: not), and the places that begin a line; None for a
-        text that has to go whole."""
-        words = text.replace("\n", " ").split(" ")
-        if words != text.split() or SPECIAL in text or self.line is None:
-            return None
-        ids = list(map(self.spaced.get, words))
-        starts, at = [], 0
-        for line in text.split("\n"):
-            starts.append(at)
-            ids[at] = self.first.get(words[at])
-            at += line.count(" ") + 1
-        if None in ids:
-            begin = set(starts)
-            for k, known in enumerate(ids):
-                if known is None:
-                    unknown[k in begin].add(words[k])
-        return words, ids, starts
-
-    def packed(self, texts: list[str]) -> list[bytes]:
-        if len(self.spaced) + len(self.first) > MEMO:
-            self.spaced.clear()
-            self.first.clear()
-        unknown: dict[int, set[str]] = {False: set(), True: set()}
-        found = [self._look_up(t, unknown) if t else None for t in texts]
-        self._learn(self.spaced, sorted(unknown[False]), " ")
-        self._learn(self.first, sorted(unknown[True]), "")
-        out = []
-        for text, looked in zip(texts, found, strict=True):
-            if looked is None:
-                out.append(np.array(self._ids(text), np.uint32).tobytes() if text else b"")
-                continue
-            words, ids, starts = looked
-            for k in starts:
-                ids[k] = (self.line_bytes if k else b"") + self.first[words[k]]
-            if None in ids:
-                ids = [self.spaced[w] if i is None else i for w, i in zip(words, ids, strict=True)]
-            out.append(b"".join(ids))
+                out += [np.array(self._ids(blank + w), np.uint32).tobytes() for w in some]
         return out
 
+    def _learn(self, forms: list[str]) -> None:
+        """Encode new forms; a word and the sign after it are looked up apart."""
+        known, signs = self.known, self.signs
+        cut = {f: f[:-1] for f in forms if f[-1:] in signs and f[-2:-1].isalpha()}
+        new = dict.fromkeys(f for f in chain((f for f in forms if f not in cut), cut.values()) if f not in known)
+        first = [f for f in new if f[:1] in (START, "\n")]
+        spaced = [f for f in new if f[:1] not in (START, "\n")]
+        known.update(zip(spaced, self._many(spaced, " "), strict=True))
+        for f, ids in zip(first, self._many([f[1:] for f in first], ""), strict=True):
+            known[f] = self.line_bytes + ids if f[0] == "\n" else ids
+        known.update((f, known[w] + signs[f[-1]]) for f, w in cut.items())
+
+    def _placed(self, rows: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all rows (forms parted by blanks), and how many each row has."""
+        parts = pc.split_pattern(rows, " ")
+        words = parts.flatten().dictionary_encode()
+        forms = words.dictionary.to_numpy(zero_copy_only=False).tolist()
+        if len(self.known) + len(forms) > MEMO:
+            self.known.clear()
+        unknown = [f for f in forms if f not in self.known]
+        if unknown:
+            self._learn(unknown)
+        packed = list(map(self.known.__getitem__, forms))
+        size = np.fromiter(map(len, packed), np.int64, len(packed)) // 4
+        begin = np.cumsum(size) - size
+        buffer = np.frombuffer(b"".join(packed), np.uint32)
+        code = words.indices.to_numpy(zero_copy_only=False)
+        many = size[code]
+        ends = np.cumsum(many)
+        at = np.repeat(begin[code] - (ends - many), many) + np.arange(ends[-1])
+        row_ends = np.append(0, ends)[np.cumsum(pc.list_value_length(parts).to_numpy(zero_copy_only=False))]
+        return buffer[at], np.diff(row_ends, prepend=0)
+
+    def _long(self, text: str) -> np.ndarray:
+        """A very long text, cut between words."""
+        forms, at, parts = START + text.replace("\n", " \n"), 0, []
+        while at < len(forms):
+            stop = forms.find(" ", at + SLICE)
+            stop = len(forms) if stop < 0 else stop
+            parts.append(self._placed(pa.array([forms[at:stop]], pa.large_string()))[0])
+            at = stop + 1
+        return np.concatenate(parts)
+
+    def batch(self, texts: pa.Array) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all texts, one after the other, and how many each text has."""
+        n = len(texts)
+        texts = texts.cast(pa.large_string())
+        length = pc.binary_length(texts).to_numpy(zero_copy_only=False)
+        whole = pc.match_substring_regex(texts, _UNEVEN).to_numpy(zero_copy_only=False) | (self.line is None)
+        even = np.flatnonzero(~whole & (length > 0) & (length <= 4 * SLICE))
+        sizes, found = np.zeros(n, np.int64), [None] * n
+        if len(even):
+            some = texts.take(pa.array(even))
+            rows = pc.replace_substring(pc.binary_join_element_wise(
+                pa.scalar(START, pa.large_string()), some, pa.scalar("", pa.large_string())), "\n", " \n")
+            ids, many = self._placed(rows)
+            sizes[even] = many
+            for k, part in zip(even.tolist(), np.split(ids, np.cumsum(many)[:-1]), strict=True):
+                found[k] = part
+        for k in np.flatnonzero((length > 0) & (whole | (length > 4 * SLICE))).tolist():
+            text = texts[k].as_py()
+            found[k] = np.array(self._ids(text), np.uint32) if whole[k] else self._long(text)
+            sizes[k] = len(found[k])
+        parts = [f for f in found if f is not None]
+        return np.concatenate(parts) if parts else np.zeros(0, np.uint32), sizes
+
+    def slices(self, texts: pa.Array) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
+        """``batch`` of texts ``first`` to ``last``, of about SLICE bytes at a time."""
+        total = np.append(0, np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False).astype(np.int64)))
+        first = 0
+        while first < len(texts):
+            last = max(first + 1, int(np.searchsorted(total, total[first] + SLICE, "right")) - 1)
+            yield first, last, *self.batch(texts.slice(first, last - first))
+            first = last
+
 
 @lru_cache(maxsize=2)
 def word_tokens(path: str) -> WordTokens:
@@ -217,7 +304,7 @@ def decode_segment(data: bytes, first: int = 0, last: int | None = None) -> np.n
 
 CATALOGUE = ("part int, number int, file string, place bigint, size bigint, n_tokens bigint, "
              "docs array<struct<doc_id:bigint, n_tokens:bigint>>")
-_DOCS = pa.list_(pa.struct([("doc_id", pa.int64()), ("n_tokens", pa.int64())]))
+CATALOGUE_FOLDER = "catalogue"
 
 
 def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int = 2, segment: int = SEGMENT,
@@ -229,38 +316,46 @@ def write_tokens(docs: DataFrame, folder: str, tokenizer_path: str, end_id: int
     ship_package(docs.sparkSession)
     text = text_of(text_col)
     rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), text.alias("text"))
-    ordered = (rows.repartitionByRange(F.col("doc_id").asc_nulls_first())
-               .sortWithinPartitions(F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), "text"))
+    order = [F.col("doc_id").asc_nulls_first(), F.xxhash64("text"), F.col("text")]
+    # a repeated id can be parted too: by the hash of its texts
+    ordered = rows.repartitionByRange(*order[:2]).sortWithinPartitions(*order)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         tokens, part = word_tokens(tokenizer_path), TaskContext.get().partitionId()
-        end = np.array([end_id], "<u4").tobytes()
-        held, places, size, number = [], [], 0, 0
+        end = np.array([end_id], np.uint32)
+        held, ids, sizes, size, number = [], [], [], 0, 0
 
         def flush():
-            data = encode_segment(np.frombuffer(b"".join(held), "<u4"))
+            data = encode_segment(np.concatenate(held))
             name = files.attempt_name("tok", number)
             files.write_bytes(folder, name, data)
+            docs_of = pa.StructArray.from_arrays([pa.array(ids, pa.int64()), pa.array(sizes, pa.int64())],
+                                                 ["doc_id", "n_tokens"])
             return pa.RecordBatch.from_arrays(
                 [pa.array([part], pa.int32()), pa.array([number], pa.int32()), pa.array([name]),
                  pa.array([0], pa.int64()), pa.array([len(data)], pa.int64()), pa.array([size], pa.int64()),
-                 pa.array([places], _DOCS)],
+                 pa.ListArray.from_arrays(pa.array([0, len(ids)], pa.int32()), docs_of)],
                 ["part", "number", "file", "place", "size", "n_tokens", "docs"])
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                ids = piece.column(0).to_pylist()
-                for doc_id, packed in zip(ids, tokens.packed(piece.column(1).to_pylist()), strict=True):
-                    n = len(packed) // 4 + 1
-                    if size and size + n > segment:
+            names = batch.column(0).to_pylist()
+            for first, last, found, many in tokens.slices(batch.column(1)):
+                ends = np.cumsum(many)
+                for doc_id, n, stop in zip(names[first:last], many.tolist(), ends.tolist(), strict=True):
+                    if size and (size + n + 1 > segment or len(ids) >= SEGMENT_DOCS):
                         yield flush()
-                        held, places, size, number = [], [], 0, number + 1
-                    held += [packed, end]
-                    places.append({"doc_id": doc_id, "n_tokens": n})
-                    size += n
+                        held, ids, sizes, size, number = [], [], [], 0, number + 1
+                    held += [found[stop - n:stop], end]
+                    ids.append(doc_id)
+                    sizes.append(n + 1)
+                    size += n + 1
         if size:
             yield flush()
-    return checkpointed(ordered.mapInArrow(pack, CATALOGUE))
+    return written(ordered.mapInArrow(pack, CATALOGUE), f"{folder}/{CATALOGUE_FOLDER}")
+
+
+def open_tokens(spark, folder: str) -> DataFrame:
+    """The catalogue of token files that ``write_tokens`` left in a folder."""
+    return spark.read.schema(CATALOGUE).parquet(f"{folder}/{CATALOGUE_FOLDER}")
 
 
 def with_starts(catalogue: DataFrame) -> DataFrame:
@@ -285,16 +380,18 @@ def read_tokens(catalogue: DataFrame, folder: str, with_ids: bool = False) -> Da
 
     def unpack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row in batch.to_pylist():
+            slim = batch.select(["file", "place", "size", "before"]).to_pylist()
+            for k, row in enumerate(slim):
                 with files.open_file(folder, row["file"]) as f:
                     f.seek(row["place"])
                     ids = decode_segment(f.read(row["size"])).astype("<u4")
-                lengths = np.array([d["n_tokens"] for d in row["docs"]], np.int64)
+                docs = batch.column("docs")[k].values
+                lengths = docs.field("n_tokens").to_numpy(zero_copy_only=False)
                 ends = np.cumsum(lengths)
                 raw = memoryview(ids.tobytes())
                 crc = [zlib.crc32(raw[4 * (e - n):4 * e]) for e, n in zip(ends.tolist(), lengths.tolist(), strict=True)]
-                columns = [pa.array([d["doc_id"] for d in row["docs"]], pa.int64()),
-                           pa.array(row["before"] + ends - lengths), pa.array(lengths), pa.array(crc, pa.int64())]
+                columns = [docs.field("doc_id"), pa.array(row["before"] + ends - lengths), pa.array(lengths),
+                           pa.array(crc, pa.int64())]
                 if with_ids:
                     columns.append(pa.ListArray.from_arrays(pa.array(np.append(0, ends), pa.int32()),
                                                             pa.array(ids.astype(np.int64))))

@@ -2,8 +2,10 @@ import random
 import zlib
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from llm_cases import SF, no_docs, odd_docs, on_tables
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from keyflow.llm import rans as R
@@ -82,10 +84,47 @@ def test_frequencies_sum_and_keep_every_symbol():
         assert f.sum() == 1 << bits and f.min() >= 1
 
 
+def encoded(tokens, texts):
+    ids, many = tokens.batch(pa.array(texts, pa.string()))
+    return [x.tolist() for x in np.split(ids, np.cumsum(many)[:-1])]
+
+
 def test_words_at_a_time_against_whole_texts():
     tokens, rng = R.WordTokens(R.default_tokenizer()), random.Random(2)
-    some = ["the", "a", "  ", "\n\n", "\t", "é", "<|endoftext|>", "'s", "12", "!!", "\x1c", "\x85", "\u2028", "日本", "\r\n"]
-    plain = ["the", "ing", " ", "\n", "'s", "12", ".", "é", "日"]
+    some = ["the", "a", "  ", "\n\n", "\t", "é", "<|endoftext|>", "'s", "12", "!!", "\x1c", "\x85", "\u2028", "日本", "\r\n", "\xa0"]
+    plain = ["the", "ing", " ", "\n", "'s", "12", ".", "é", "日", ",", "?", ":", "K"]
     texts = ["".join(rng.choice(some if k % 2 else plain) for _ in range(rng.randrange(12))) for k in range(5000)]
-    got = tokens.packed(texts) + tokens.packed(texts[:100])
-    assert [np.frombuffer(g, np.uint32).tolist() for g in got] == [ids_of(t) for t in texts + texts[:100]]
+    assert encoded(tokens, texts) == [ids_of(t) for t in texts]
+    assert encoded(tokens, texts[:100]) == [ids_of(t) for t in texts[:100]]
+
+
+def test_long_texts_and_a_full_table(monkeypatch):
+    monkeypatch.setattr(R, "SLICE", 50)
+    monkeypatch.setattr(R, "MEMO", 40)
+    rng = random.Random(3)
+    words = [f"w{i}{'.' if i % 3 else ''}" for i in range(60)]
+    texts = [rng.choice([" ", "\n"]).join(rng.choice(words) for _ in range(n)) for n in (0, 1, 9, 30, 400, 2, 150, 0)]
+    tokens = R.WordTokens(R.default_tokenizer())
+    got = [x.tolist() for first, last, ids, many in tokens.slices(pa.array(texts)) for x in np.split(ids, np.cumsum(many)[:-1])]
+    assert got == [ids_of(t) for t in texts]
+
+
+def test_catalogue_is_found_in_another_session(spark):
+    docs = spark.createDataFrame([(5, "a b"), (None, "x"), (7, "long " * 50), (7, ""), (7, None)], "doc_id bigint, text string")
+    folder = shared_folder(spark, "tok-test")
+    R.write_tokens(docs, folder, R.default_tokenizer(), segment=40)
+    other = spark.newSession()
+    got = [tuple(r) for r in R.read_tokens(R.with_starts(R.open_tokens(other, folder)), folder, with_ids=True)
+           .select("doc_id", "start", "ids").orderBy("start").collect()]
+    lengths = [len(ids_of(t)) + 1 for t in ("x", "a b")]
+    assert got[0] == (None, 0, [*ids_of("x"), 2]) and got[1] == (5, lengths[0], [*ids_of("a b"), 2])
+    assert sorted(len(g[2]) for g in got[2:]) == [1, 1, len(ids_of("long " * 50)) + 1]
+
+
+def test_many_empty_documents_are_parted(spark):
+    folder = shared_folder(spark, "tok-test")
+    docs = spark.range(600_000, numPartitions=1).select(F.col("id").alias("doc_id"), F.lit("").alias("text")).coalesce(1)
+    catalogue = R.write_tokens(docs, folder, R.default_tokenizer())
+    assert catalogue.agg(F.max(F.size("docs"))).first()[0] <= R.SEGMENT_DOCS
+    back = R.read_tokens(R.with_starts(catalogue), folder)
+    assert back.where("start <> doc_id or n_tokens <> 1").count() == 0 and back.count() == 600_000
