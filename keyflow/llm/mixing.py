@@ -13,9 +13,10 @@ Ranks and running sums are taken in two steps, inside hash ranges of about
 ``RANGE`` blocks and over the sums of the ranges, so a source with a third of
 all rows is spread like any other.
 
-One draw of the tree comes from a normal variate with the hypergeometric's mean
-and variance, clamped to what both children can hold. Sums are exact whatever
-the draw.
+A draw of the tree is exact: it inverts the hypergeometric distribution, whose
+weights follow from each other, outwards from the mode as far as they count in a
+double (``REACH`` standard deviations). Source by source, a node's draws are
+conditional on those before, which makes the vector multivariate.
 
 Defined results: null text has size 0 and adds nothing; null sources are one
 source, last in order; repeated rows are documents of their own; an empty table
@@ -39,6 +40,7 @@ MOST_PASSES = 3
 BLOCK = 64             # words
 RANGE = 512            # blocks in a hash range, until there are 2**16 ranges
 SHARD_BLOCKS = 1 << 16
+REACH = 9.0            # standard deviations; what lies beyond is below a double's last digit
 
 
 def word_count(text: Column) -> Column:
@@ -95,41 +97,95 @@ def ranked_blocks(rows: DataFrame, seed: int) -> DataFrame:
                     (F.col("w0") + F.col("c")).alias("words_before")))
 
 
+def _let(value: Column, body) -> Column:
+    """``body`` of a value that is computed once."""
+    return F.transform(F.array(value), body)[0]
+
+
+def _steps(n: Column) -> Column:
+    return F.when(n > 0, F.sequence(F.lit(1).cast("bigint"), F.greatest(n, F.lit(1)))).otherwise(F.array().cast("array<bigint>"))
+
+
+def uniform(*parts: Column | int) -> Column:
+    """A number in (0, 1) from a hash of the parts."""
+    bits = F.shiftrightunsigned(F.xxhash64(*[F.lit(p) if isinstance(p, int) else p for p in parts]), 11)
+    return (bits + F.lit(0.5)) / F.lit(float(1 << 53))
+
+
+def hypergeometric(more: Column, good: Column, want: Column, u: Column) -> Column:
+    """How many of ``want`` draws without replacement from ``more`` items are among its ``good`` ones: the
+    outcome at ``u`` of the distribution's outcomes, taken from the mode upwards and then from the mode downwards."""
+    def drawn(p: Column) -> Column:
+        def real(x):
+            return x.cast("double")
+
+        def up(x: Column) -> Column:  # weight of x + 1 by that of x
+            return (real(p["good"] - x) * real(p["want"] - x)) / (real(x + 1) * real(p["rest"] - p["want"] + x + 1))
+
+        def down(x: Column) -> Column:  # weight of x - 1 by that of x
+            return (real(x) * real(p["rest"] - p["want"] + x)) / (real(p["good"] - x + 1) * real(p["want"] - x + 1))
+
+        def walk(n: Column, first: Column, ratio, at, t: Column) -> Column:
+            """The outcome (-1: none) at which ``t`` is used up, and what is left of it."""
+            start = F.struct(first.alias("w"), t.alias("t"), F.lit(-1).cast("bigint").alias("x"))
+
+            def step(b, j):
+                here = F.struct(b["w"].alias("w"), b["t"].alias("t"), at(j).alias("x"))
+                on = F.struct((b["w"] * ratio(at(j))).alias("w"), (b["t"] - b["w"]).alias("t"), b["x"].alias("x"))
+                return F.when(b["x"] >= 0, b).when(b["t"] < b["w"], here).otherwise(on)
+            return F.aggregate(_steps(n), start, step)
+
+        def total(n: Column, first: Column, ratio, at) -> Column:
+            start = F.struct(first.alias("w"), F.lit(0.0).alias("s"))
+            return F.aggregate(_steps(n), start, lambda b, j: F.struct(
+                (b["w"] * ratio(at(j))).alias("w"), (b["s"] + b["w"]).alias("s")))["s"]
+        one, mode = F.lit(1.0), p["mode"]
+        ups, downs = F.least(p["hi"] - mode, p["reach"]) + 1, F.least(mode - p["lo"], p["reach"])
+        above, below = (lambda j: mode + j - 1), (lambda j: mode - j)
+        first = F.when(downs > 0, down(mode)).otherwise(F.lit(0.0))
+        whole = total(ups, one, up, above) + total(downs, first, down, below)
+
+        def rest(b):
+            lower = _let(walk(downs, first, down, below, b["t"]), lambda c: F.when(c["x"] >= 0, c["x"]).otherwise(mode))
+            return F.when(b["x"] >= 0, b["x"]).otherwise(lower)
+        return _let(walk(ups, one, up, above, u * whole), rest)
+    n, k, m = (x.cast("double") for x in (more, good, want))
+    low, high = F.greatest(F.lit(0).cast("bigint"), want - (more - good)), F.least(good, want)
+    share = k / F.greatest(n, F.lit(1.0))
+    deviation = F.sqrt(F.greatest(F.lit(0.0), m * share * (1 - share) * (n - m) / F.greatest(n - 1, F.lit(1.0))))
+    mode = F.floor((m + 1) * (k + 1) / (n + 2)).cast("bigint")
+    return _let(F.struct(good.alias("good"), (more - good).alias("rest"), want.alias("want"), low.alias("lo"), high.alias("hi"),
+                         F.least(high, F.greatest(low, mode)).alias("mode"),
+                         (F.ceil(deviation * REACH) + 40).cast("bigint").alias("reach")), drawn)
+
+
 def split_quotas(quotas: DataFrame, n_shards: int, seed: int) -> DataFrame:
     """Rows (source, quota) parted among shards: (source, shard, low, high), ranges of the source's places.
 
     Each round splits every node of the tree in two, one row per node with the
-    vector of its quotas; a node of k shards gives its left child k // 2.
+    vector of its quotas that are not zero; a node of k shards gives its left child k // 2.
     """
+    zero = F.lit(0).cast("bigint")
     root = quotas.agg(F.array_sort(F.collect_list(F.struct(F.col("source").isNull().alias("last"), "source",
                                                            F.col("quota").cast("bigint").alias("q")))).alias("v"))
     nodes = root.select(F.lit(0).alias("first"), F.lit(n_shards).alias("k"), "v")
-    zero = "cast(array() as array<bigint>)"
+
+    def take(a, x):
+        """The draw of one source: of ``more`` blocks left in the node, ``want`` still go left."""
+        u = uniform(seed, F.col("first"), F.col("k"), x["source"], x["last"].cast("int"))
+        return _let(hypergeometric(a["more"], x["q"], a["want"], u), lambda d: F.struct(
+            (a["more"] - x["q"]).alias("more"), (a["want"] - d).alias("want"), F.concat(a["out"], F.array(d)).alias("out")))
     for _ in range(ceil(log2(n_shards)) if n_shards > 1 else 0):
-        nodes = nodes.withColumn("all", F.expr("aggregate(v, 0L, (a, x) -> a + x.q)"))
-        nodes = nodes.withColumn("left", F.expr("(all * (k div 2)) div k"))
-        # source by source: of ``more`` blocks left in the node, ``want`` still go left
-        draw = f"""aggregate(sequence(1, size(v)), named_struct('more', all, 'want', left, 'out', {zero}),
-            (a, i) -> named_struct(
-                'more', a.more - element_at(v, i).q,
-                'want', a.want - least(least(element_at(v, i).q, a.want), greatest(
-                            greatest(0L, a.want - (a.more - element_at(v, i).q)), __DRAW__)),
-                'out', concat(a.out, array(least(least(element_at(v, i).q, a.want), greatest(
-                            greatest(0L, a.want - (a.more - element_at(v, i).q)), __DRAW__))))),
-            a -> a.out)"""
-        z = f"""(sqrt(-2 * ln((shiftrightunsigned(xxhash64({seed}, first, k, i, 1), 11) + 1) / {float(1 << 53)!r}D))
-            * cos(2 * pi() * shiftrightunsigned(xxhash64({seed}, first, k, i, 2), 11) / {float(1 << 53)!r}D))"""
-        mean = "(cast(a.want as double) * element_at(v, i).q / greatest(a.more, 1L))"
-        sd = f"""sqrt({mean} * (1 - element_at(v, i).q / cast(greatest(a.more, 1L) as double))
-            * greatest(a.more - a.want, 0L) / greatest(a.more - 1, 1L))"""
-        one = f"cast(round({mean} + {sd} * {z}) as bigint)"
-        nodes = nodes.withColumn("l", F.when(F.col("k") > 1, F.expr(draw.replace("__DRAW__", one))))
-        part = "transform(v, (x, i) -> named_struct('last', x.last, 'source', x.source, 'q', {}))"
-        nodes = nodes.select(F.explode(F.when(F.col("k") > 1, F.array(
+        nodes = nodes.withColumn("all", F.aggregate("v", zero, lambda a, x: a + x["q"]))
+        start = F.struct(F.col("all").alias("more"), F.expr("(all * (k div 2)) div k").alias("want"),
+                         F.array().cast("array<bigint>").alias("out"))
+        nodes = nodes.withColumn("l", F.when(F.col("k") > 1, F.aggregate("v", start, take, lambda a: a["out"])))
+        part = "filter(transform(v, (x, i) -> named_struct('last', x.last, 'source', x.source, 'q', {})), x -> x.q > 0)"
+        nodes = checkpointed(nodes.select(F.explode(F.when(F.col("k") > 1, F.array(
             F.struct("first", F.expr("k div 2").alias("k"), F.expr(part.format("l[i]")).alias("v")),
             F.struct(F.expr("first + k div 2").alias("first"), F.expr("k - k div 2").alias("k"),
                      F.expr(part.format("x.q - l[i]")).alias("v"))))
-            .otherwise(F.array(F.struct("first", "k", "v")))).alias("n")).select("n.*")
+            .otherwise(F.array(F.struct("first", "k", "v")))).alias("n")).select("n.*").repartition("first"))
     leaves = checkpointed(nodes.select(F.col("first").alias("shard"), F.inline("v")).drop("last"))
     before = Window.partitionBy("source").orderBy("shard").rowsBetween(Window.unboundedPreceding, 0)
     return (leaves.withColumn("high", F.sum("q").over(before)).withColumn("low", F.col("high") - F.col("q"))

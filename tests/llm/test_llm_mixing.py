@@ -1,4 +1,5 @@
 import re
+from math import comb
 
 import pytest
 from llm_cases import SF, no_docs, odd_docs, on_tables
@@ -98,3 +99,29 @@ def test_mixed_documents(spark):
         blocks = re.findall(r"(?:[\x20\x09-\x0D]*[^\x20\x09-\x0D]+){1,64}", r.text)
         assert any(all(b in t for b in blocks[:-1]) and blocks[-1].strip() in t for t in whole)
     assert M.mixed_documents(no_docs(spark)).count() == 0
+
+
+@pytest.mark.parametrize("more,good,want", [(10, 4, 5), (40, 1, 20), (60, 30, 7), (3000, 900, 1500), (9, 9, 4), (5, 0, 3), (1, 1, 1)])
+def test_draws_follow_the_hypergeometric_distribution(spark, more, good, want):
+    n = 12_000
+    out = spark.range(n).select(M.hypergeometric(
+        *[F.lit(x).cast("bigint") for x in (more, good, want)], M.uniform(7, F.col("id"))).alias("d"))
+    got = {r.d: r["count"] for r in out.groupBy("d").count().collect()}
+    chance = {x: comb(good, x) * comb(more - good, want - x) / comb(more, want) for x in range(good + 1) if 0 <= want - x <= more - good}
+    assert set(got) <= set(chance)
+    # outcomes with few expected draws are one class
+    cells = [(got.get(x, 0), p * n) for x, p in chance.items() if p * n >= 8]
+    cells.append((n - sum(c[0] for c in cells), n - sum(c[1] for c in cells)))
+    square = sum((g - e) ** 2 / e for g, e in cells if e > 0.5)
+    free = max(1, len(cells) - 1)
+    assert square < free + 5 * (2 * free) ** 0.5 + 8
+
+
+def test_draws_of_large_numbers(spark):
+    """Far beyond what factorials in doubles could hold: mean and deviation of the draws."""
+    more, good, want = 4_000_000_000, 1_000_000_000, 1_000_000
+    out = spark.range(300).select(M.hypergeometric(*[F.lit(x).cast("bigint") for x in (more, good, want)],
+                                                   M.uniform(3, F.col("id"))).alias("d"))
+    mean, deviation = out.agg(F.avg("d"), F.stddev("d")).first()
+    sd = (want * 0.25 * 0.75) ** 0.5
+    assert abs(mean - want / 4) < 4 * sd / 300 ** 0.5 and 0.85 * sd < deviation < 1.15 * sd
