@@ -55,9 +55,7 @@ NOTICES = {
            "notice this list of conditions and the following disclaimer",
 }
 PHRASE_K, NOTICE_K = 2, 5
-SLACK = 6              # words put in or left out between neighbouring diagonals
 LEAST_SHARE = 0.5      # of a notice's k-grams
-MOST_STRETCH = 1.5     # of a notice's length
 NO_MATCH = -1          # stands for the template in the row that every document has
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
 
@@ -133,20 +131,22 @@ def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text
     votes = (hits.select("rid", "doc_id", "n_words", "pos", "at.t", (F.col("pos") - F.col("at.q")).alias("diagonal"))
              .repartition("rid").groupBy("rid", "doc_id", "n_words", "t", "diagonal")
              .agg(F.count(F.lit(1)).alias("votes"), F.min("pos").alias("low"), F.max("pos").alias("high")))
+    # words put in or left out move the diagonal: those within a notice's length are one place of it, as long
+    # as together they span less than that length (where they do not, they are parted at that width)
     along = Window.partitionBy("rid", "t").orderBy("diagonal")
     gap = F.col("diagonal") - F.lag("diagonal").over(along)
-    near = F.when(_per_template([p for _, _, p in table]), F.lit(0)).otherwise(F.lit(SLACK))
-    merged = (votes.withColumn("new", F.coalesce((gap > near).cast("int"), F.lit(0)))
+    width = F.when(_per_template([p for _, _, p in table]), F.lit(1)).otherwise(_per_template(size))
+    run = Window.partitionBy("rid", "t", "cluster")
+    merged = (votes.withColumn("new", F.coalesce((gap >= width).cast("int"), F.lit(0)))
               .withColumn("cluster", F.sum("new").over(along.rowsBetween(Window.unboundedPreceding, 0)))
-              .groupBy("rid", "doc_id", "n_words", "t", "cluster")
+              .withColumn("bin", F.floor((F.col("diagonal") - F.min("diagonal").over(run)) / width))
+              .groupBy("rid", "doc_id", "n_words", "t", "cluster", "bin")
               .agg(F.sum("votes").alias("votes"), F.min("low").alias("first"), F.max("high").alias("high"))
               .withColumn("last", F.col("high") + _per_template(ks) - 1)
               .withColumn("share", F.least(F.lit(1.0), F.col("votes") / (_per_template(size) - _per_template(ks) + 1))))
-    fits = F.when(_per_template([p for _, _, p in table]), F.col("share") >= 1).otherwise(
-        (F.col("share") >= LEAST_SHARE)
-        & (F.col("last") - F.col("first") + 1 <= MOST_STRETCH * _per_template(size)))
+    fits = F.when(_per_template([p for _, _, p in table]), F.col("share") >= 1).otherwise(F.col("share") >= LEAST_SHARE)
     notice = F.when(~_per_template([p for _, _, p in table]), F.col("share"))
-    span = F.when(fits, F.struct("first", "last", "t", "share"))
+    span = F.when(fits & (F.col("t") != NO_MATCH), F.struct("first", "last", "t", "share"))
     return (merged.groupBy("rid", "doc_id", "n_words")
             .agg(F.array_sort(F.collect_list(span)).alias("spans"), F.max(notice).alias("best")).drop("rid"))
 

@@ -58,3 +58,19 @@ def test_spans_carry_their_place(spark):
     df = spark.createDataFrame([(1, "x y " + L.NOTICES["bsd"] + " z")], "doc_id bigint, text string")
     row = L.license_spans(df).select(F.explode("spans").alias("s")).select("s.*").collect()
     assert [(r["first"], r["last"], r.share) for r in row] == [(2, 2 + len(L.NOTICES["bsd"].split()) - 1, 1.0)]
+
+
+def test_words_put_into_a_notice(spark):
+    """Anything from a line to most of a notice's length, in one place or two; copies side by side stay apart."""
+    mit = L.NOTICES["mit"].split()
+    junk = [f"w{i}" for i in range(60)]
+    texts = {n: "a b " + " ".join(mit[:50] + junk[:n] + mit[50:]) for n in (6, 7, 20, 60)}
+    texts[100] = " ".join(mit[:30] + junk[:25] + mit[30:60] + junk[25:50] + mit[60:])
+    texts[101] = " ".join(mit + mit + ["x"] * 500 + mit[:50] + junk[:30] + mit[50:])
+    df = spark.createDataFrame(list(texts.items()), "doc_id bigint, text string")
+    names = [label for label, _, phrase in L._all_templates()]
+    spans = {r.doc_id: [(s["first"], s["last"]) for s in r.spans if names[s["t"]] == "mit"] for r in L.license_spans(df).collect()}
+    n = len(mit)
+    assert all(spans[k] == [(2, 1 + n + k)] for k in (6, 7, 20, 60))
+    assert spans[100] == [(0, n + 49)]
+    assert spans[101] == [(0, n - 1), (n, 2 * n - 1), (2 * n + 500, 3 * n + 529)]
