@@ -123,9 +123,10 @@ def host_and_path(url: Column) -> tuple[Column, Column]:
     return (F.translate(F.regexp_extract(text, shape, 1), upper, upper.lower()), F.regexp_extract(text, shape, 2))
 
 
-def rule_keys(host: Column, path: Column, lengths: list[int]) -> Column:
-    """All keys under which a rule for the url could be listed: each host suffix with each path prefix."""
-    parts = F.split(host, r"\.")
+def rule_keys(host: Column, path: Column, lengths: list[int], labels: int) -> Column:
+    """All keys under which a rule for the url could be listed: each host suffix of at most ``labels`` labels
+    with each path prefix of the rules' ``lengths``."""
+    parts = F.reverse(F.slice(F.reverse(F.split(host, r"\.")), 1, labels))
     suffixes = F.transform(F.sequence(F.lit(1), F.size(parts)),
                            lambda i: F.array_join(F.slice(parts, i, F.size(parts)), "."))
     starts = F.array_compact(F.array(*[F.when(F.length(path) >= n, F.substring(path, 1, n)) for n in lengths]))
@@ -137,10 +138,11 @@ def judged_urls(pages: DataFrame, rules: tuple = RULES, id_col: str = "page_id",
     """One row per row of ``pages``: rid, id, host, path, rule, verdict, and listed (the host is on the list)."""
     host, path = host_and_path(F.col(url_col))
     lengths = sorted({len(p) for _, _, p in rules})
+    labels = max((h.count(".") + 1 for _, h, _ in rules), default=1)
     rows = checkpointed(pages.select(F.monotonically_increasing_id().alias("rid"), F.col(id_col).alias("page_id"),
                                      host.alias("host"), path.alias("path"),
                                      F.coalesce(F.col(url_col).rlike(TRACKING), F.lit(False)).alias("tracks"))
-                        .withColumn("keys", rule_keys(F.col("host"), F.col("path"), lengths)))
+                        .withColumn("keys", rule_keys(F.col("host"), F.col("path"), lengths, labels)))
     spark = pages.sparkSession
     universe = checkpointed(rows.select(F.explode("keys").alias("key")).distinct())
     out = rows

@@ -1,4 +1,5 @@
 import re
+import time
 from collections import Counter
 
 import duckdb
@@ -88,3 +89,13 @@ def test_empty_hosts_are_not_listed_beside_a_dense_filter(spark, tmp_path):
     assert all(not rows[i].listed and rows[i].verdict == "allow" for i in range(600, 605))
     a, b = (U.judged_urls(df, max_bytes=m).drop("rid") for m in (U.MAX_BYTES, 0))
     assert a.exceptAll(b).count() == 0 and a.count() == b.count()
+
+
+def test_a_host_of_many_labels_takes_linear_time(spark, tmp_path):
+    host = "a." * 100_000 + "example.com"
+    df = spark.createDataFrame([(1, f"http://{host}/en/x"), (2, f"http://{host}/x"), (3, "http://" + "." * 50_000)],
+                               "page_id bigint, url string")
+    began = time.time()
+    rows = {r.page_id: (r.rule, r.verdict) for r in U.op8_url_filter(spark, on_tables(spark, tmp_path, pages=df)).collect()}
+    assert time.time() - began < 60
+    assert rows == {1: ("example.com/en/", "block"), 2: ("com/", "allow"), 3: (None, "allow")}
