@@ -31,7 +31,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from keyflow.llm import files
-from keyflow.llm.common import checkpointed, load_table, row_id, shared_folder, ship_package
+from keyflow.llm.common import checkpointed, load_table, row_id, shared_folder, ship_package, written
 
 FRAME = 1 << 20        # uncompressed bytes
 BUNDLE = 64 << 20      # compressed bytes
@@ -116,6 +116,7 @@ class Bundle:
         return zstandard.ZstdDecompressor().decompress(self.source.read(packed), max_output_size=plain)
 
 
+CATALOGUE_FOLDER = "catalogue"
 CATALOGUE = ("bundle string, frame int, records array<struct<page_id:bigint, number:bigint, offset:int, length:int>>")
 _RECORDS = pa.list_(pa.struct([("page_id", pa.int64()), ("number", pa.int64()), ("offset", pa.int32()),
                                ("length", pa.int32())]))
@@ -147,7 +148,7 @@ def records_of(pages: DataFrame, id_col: str = "page_id", url_col: str = "url",
 
 
 def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME, bundle_bytes: int = BUNDLE) -> DataFrame:
-    """Write the records as bundles in ``folder``; returns the catalogue, a row per frame."""
+    """Write the records as bundles in ``folder``; returns the catalogue, a row per frame, which lies beside them."""
     ship_package(records.sparkSession)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -165,7 +166,12 @@ def write_bundles(records: DataFrame, folder: str, frame_bytes: int = FRAME, bun
         if frame:
             yield from bundle.add(bytes(frame), places)
         yield from bundle.close()
-    return checkpointed(records.mapInArrow(pack, CATALOGUE))
+    return written(records.mapInArrow(pack, CATALOGUE), f"{folder}/{CATALOGUE_FOLDER}")
+
+
+def open_bundles(spark, folder: str) -> DataFrame:
+    """The catalogue of bundles that ``write_bundles`` left in a folder, in any session."""
+    return spark.read.schema(CATALOGUE).parquet(f"{folder}/{CATALOGUE_FOLDER}")
 
 
 @dataclass

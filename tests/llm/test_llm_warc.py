@@ -72,3 +72,13 @@ def test_a_damaged_payload_is_noticed():
     except ValueError:
         return
     raise AssertionError("not noticed")
+
+
+def test_records_are_found_in_another_session(spark):
+    pages = spark.read.parquet(f"{SF}/pages.parquet")
+    folder = shared_folder(spark, "warc-test")
+    W.write_bundles(W.records_of(pages), folder, frame_bytes=20_000)
+    other = spark.newSession()
+    part = W.find_records(W.open_bundles(other, folder), other.createDataFrame([(17,)], "page_id bigint"))
+    got = W.read_records(part, folder, with_payload=True).collect()
+    assert [(r.page_id, bytes(r.payload).decode()) for r in got] == [(17, pages.where("page_id = 17").first().html)]
