@@ -154,9 +154,7 @@ class WordCountProcessor(StatefulProcessor):
         batch = _in_order(rows)
         if key[0] is None or batch.empty:
             return
-        # rows are single words, or map-side partial counts in column ``n``
-        each = batch["n"].to_numpy(np.int64) if "n" in batch.columns else np.ones(len(batch), np.int64)
-        counts = np.cumsum(each) + (n or 0)
+        counts = np.arange(1, len(batch) + 1, dtype=np.int64) + (n or 0)
         fires, at, first = crossed_ticks(batch["ms"].to_numpy(np.int64), st, first, self.tick_ms)
         self.state.update((int(counts[-1]), int(at[-1]), first))
         if fires.any():
@@ -200,15 +198,3 @@ def pre_aggregate_max(df):
             yield pdf[(up | first) & pdf["key"].notna()][[f.name for f in schema.fields]]
 
     return df.mapInPandas(thin, schema)
-
-
-def pre_aggregate_words(words):
-    """Map-side word counts per partition and Arrow batch: ``word, n, ms``."""
-    def combine(batches):
-        for pdf in batches:
-            if pdf.empty:
-                continue
-            counts = pdf.groupby("word", sort=False).agg(n=("ms", "size"), ms=("ms", "max")).reset_index()
-            yield counts.assign(seq=counts["ms"])
-
-    return words.mapInPandas(combine, "word string, n long, ms long, seq long")

@@ -30,9 +30,8 @@ from keyflow.streaming.processors import (
     WordCountProcessor,
     max_output_schema,
     pre_aggregate_max,
-    pre_aggregate_words,
 )
-from keyflow.streaming.runner import newest_per_key, read_changelog, run_batches, run_stream
+from keyflow.streaming.runner import NO_BATCH, newest_per_key, read_changelog, run_batches, run_stream
 from keyflow.streaming.sources import event_record_stream
 from keyflow.streaming.state import open_store, read_state, state_lookup
 
@@ -137,17 +136,12 @@ def word_count_emitted(spark, sf_dir):
 
 
 def word_count_timer(spark, sf_dir):
-    """Stateful word count with stream-time punctuation; record time is the
-    ingestion time (the producer assigns it in the reference). Returns the
-    newest emission per word."""
+    """Stateful word count of a stream of texts, a trigger being the tick: each micro-batch sends the words
+    whose count it changed. Counted by Spark's own state, combined map-side; the newest row per word is its count."""
     docs = read_table_stream(spark, sf_dir, "documents").select("text")
-    docs = docs.withColumn("ms", F.unix_millis(F.current_timestamp()))
-    words = pre_aggregate_words(jvm_tokens(docs, F.lower(F.col("text")), keep=["ms"], name="word"))
-    out = words.groupBy("word").transformWithStateInPandas(
-        WordCountProcessor(P.WORD_COUNT_TICK), WORD_COUNT_OUTPUT, "Append", "None")
-    run = run_stream(out, "word_count_timer")
-    st = read_state(spark, run.checkpoint, state_var="count")
-    return st.select("word", F.col("count").alias("cnt"))
+    words = jvm_tokens(docs, F.lower(F.col("text")), name="word")
+    run = run_stream(words.groupBy("word").agg(F.count(F.lit(1)).alias("cnt")), "word_count_timer", mode="update")
+    return newest_per_key(read_changelog(spark, run), ["word"])
 
 
 def _count_store(spark, sf_dir):
@@ -289,10 +283,13 @@ def branch_fanout_stream(spark, sf_dir):
             "key", "value", "seq", "branch")
 
     base = shared_dir(spark, "branches")
+    schema = branch(names[0])(spark.createDataFrame([], s.schema)).schema
+    for n in names:  # so that a run without a batch can be read
+        spark.createDataFrame([], schema).write.parquet(f"{base}/{n}/batch_id={NO_BATCH}")
     q = (s.writeStream.option("checkpointLocation", f"{base}/checkpoint")
          .foreachBatch(fan_out({n: branch(n) for n in names}, base)).trigger(availableNow=True).start())
     q.awaitTermination()
-    parts = [spark.read.parquet(f"{base}/{n}").drop("batch_id") for n in names]
+    parts = [spark.read.schema(schema).parquet(f"{base}/{n}").drop("batch_id") for n in names]
     out = parts[0]
     for p in parts[1:]:
         out = out.unionByName(p)

@@ -53,7 +53,7 @@ def test_a_batch_without_a_flush_sends_nothing(spark):
     assert found(out, "key", "value", "stream_time") == [("a", 1, 100), ("a", 4, 1100), ("b", 2, 1100)]
 
 
-@pytest.mark.parametrize("chunk", [1, 7, 1000])
+@pytest.mark.parametrize("chunk", [1, 7])
 def test_running_counts_and_rows_of_before(spark, chunk):
     rnd = random.Random(chunk)
     rows = [(rnd.choice("ab"), i, rnd.choice([None, rnd.randrange(100)])) for i in range(80)]
@@ -72,7 +72,7 @@ def test_running_counts_and_rows_of_before(spark, chunk):
 
 def test_filter_changelog_by_hand(spark):
     rows = [("a", 0, 10), ("a", 1, 60), ("a", 2, 70), ("a", 3, 20), ("a", 4, None), ("a", 5, 90), ("a", 6, None), ("b", 7, 50)]
-    for files in (1, 3, 8):
+    for files in (1, 4):
         out = changelogs.run_filter_changelog(stream_of(spark, in_files(rows, files)), F.col("value") >= 50, "filtered")
         assert sorted((r.key, r.seq, r.change, r.old_value, r.new_value) for r in out.collect()) == [
             ("a", 1, "insert", None, 60), ("a", 2, "update", 60, 70), ("a", 3, "delete", 70, None),
