@@ -39,7 +39,7 @@ from pyspark.sql import functions as F
 from keyflow.functions.time import floor_div
 from keyflow.operators import windows
 from keyflow.operators.windows import COUNT
-from keyflow.session import ship_package
+from keyflow.session import materialised, ship_package
 
 _NAMES = {windows.COUNT: "cnt", windows.SUM: "total"}
 
@@ -117,10 +117,12 @@ def late_drop_session(df: DataFrame, gap_ms: int, grace_ms: int, arrival: Column
     gap, grace, name = int(gap_ms), int(grace_ms), _NAMES[kind]
     width = max(4 * gap, 1)
     keyed = windows._keyed(df, kind, skip_null_values=False)
-    x = _timed(keyed, arrival, tiebreak, source_partition, chunk_rows)
+    # three branches read the records with their stream time, several what comes of them
+    x = materialised(_timed(keyed, arrival, tiebreak, source_partition, chunk_rows).select(
+        "key", "value", "ms", "stream_time", "_a", "_t"), "late-timed")
     on_time = F.col("ms") >= F.col("stream_time") - F.lit(grace)
     bounds = ["key", "window_start", "window_end"]
-    given = windows.partial_sessions(x.filter(on_time), gap).select(*bounds, F.col(name).alias("v"))
+    given = materialised(windows.partial_sessions(x.filter(on_time), gap).select(*bounds, F.col(name).alias("v")), "late-given")
     value = F.lit(1).cast("bigint") if kind == COUNT else F.col("value").cast("bigint")
     late = x.filter(~on_time).select("key", "ms", value.alias("v"), (F.col("stream_time") - F.lit(grace + gap)).alias("close"),
                                      F.col("_a").alias("arrived"), F.col("_t").alias("tie"))
@@ -128,7 +130,7 @@ def late_drop_session(df: DataFrame, gap_ms: int, grace_ms: int, arrival: Column
     stretches = windows.partial_sessions(x, gap).select("key", F.col("window_start").alias("low"),
                                                         F.col("window_end").alias("high"))
     late = _covering(late, stretches, "ms", "low", "high", width, "inner")
-    late = _covering(late, given, "ms", "window_start", "window_end", width, "left")
+    late = materialised(_covering(late, given, "ms", "window_start", "window_end", width, "left"), "late-records")
     between = late.filter("window_start is null")
     inside = late.filter("window_start is not null")
     joined = (inside.filter("window_end >= close").groupBy("key", "window_start").agg(F.sum("v").alias("_more")))

@@ -13,7 +13,7 @@ import tempfile
 import uuid
 import zipfile
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 # RocksDB keeps keyed state off-heap and spills to local disk; required by
 # transformWithState and the right choice for large windowed state anyway.
@@ -74,6 +74,14 @@ def shared_dir(spark: SparkSession, name: str) -> str:
     return f"{root}/keyflow/{name}-{uuid.uuid4().hex[:12]}"
 
 
+def materialised(df: DataFrame, name: str) -> DataFrame:
+    """``df`` computed once, written under the shared checkpoint dir and read back: for what several branches
+    of a plan use. Unlike a cache it outlives the executors that made it."""
+    path = shared_dir(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def store_dir(spark: SparkSession, store: str) -> str:
     """The folder of a named store (Materialized.as): the same for all who name it."""
     return f"{_checkpoint_root(spark).rstrip('/')}/keyflow/stores/{store}"
