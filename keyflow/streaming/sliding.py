@@ -56,7 +56,8 @@ def run_sliding(df: DataFrame, diff_ms: int, grace_ms: int, name: str, key_type:
         if first is not None:
             points = points.filter(F.col("ms") >= first)
         points = points.select("key", "ms", F.lit(1).cast("bigint").alias("n"), F.col("value").cast("bigint").alias("v"))
-        live.append(batch_id, _combined(points), F.col("ms") >= ready - d)
+        # what this batch still needs stays; the next one needs less
+        live.append(batch_id, _combined(points), None if first is None else F.col("ms") >= first - d)
         held = live.read(s, batch_id + 1)
         if first is not None:
             held = held.filter(F.col("ms") >= first - d)
