@@ -35,7 +35,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
@@ -177,6 +177,19 @@ def rerank(queries: np.ndarray, query_rows: np.ndarray, masks: np.ndarray, entri
     return tuple(np.concatenate(x) for x in zip(*out, strict=True))
 
 
+def query_groups(per_home: list[int], size: int = QUERY_GROUP) -> tuple[list[int], list[int]]:
+    """First group and number of groups of each home: small homes share a group, large ones have several."""
+    begin, many, at, held = [], [], 0, 0
+    for n in per_home:
+        parts = max(1, -(-n // size))
+        if held + n > size and held:
+            at, held = at + 1, 0
+        begin.append(at)
+        many.append(parts)
+        at, held = (at + parts, 0) if parts > 1 else (at, held + n)
+    return begin, many
+
+
 def neighbours(table: DataFrame, query_where: str = "vec_id % 20 = 0", top: int = 20, id_col: str = "vec_id",
                vec_col: str = "embedding", fit_rows: int = FIT_ROWS, recall: float = RECALL) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``top`` nearest found of every query among all other rows."""
@@ -217,17 +230,19 @@ def _searched(rows: DataFrame, query_where: str, top: int, fit_rows: int, recall
                 "seen": [[{"first": c, "mask": m - (1 << 64) if m >> 63 else m} for c, m in s.items()] for s in seen]})
     asking = checkpointed(rows.where(query_where).select("rid", "vec_id", "v").mapInPandas(
         visit, "rid bigint, query_id bigint, q array<double>, home int, seen array<struct<first:int,mask:bigint>>"))
-    groups = [1] * len(index.first)
+    per_home = [0] * len(index.first)
     for r in asking.groupBy("home").count().collect():  # a number per first centroid
-        groups[r["home"]] = -(-r["count"] // QUERY_GROUP)
+        per_home[r["home"]] = r["count"]
+    begin, many = query_groups(per_home)
     salt_of = F.element_at(F.array(*map(F.lit, salts)), F.col("first") + 1)
-    group_of = F.element_at(F.array(*map(F.lit, groups)), F.col("home") + 1)
-    asked = (asking.select("rid", "q", "home", F.pmod(F.xxhash64("rid"), group_of).cast("int").alias("part"),
-                           F.inline("seen"))
+
+    def at_home(values: list) -> Column:
+        return F.element_at(F.array(*map(F.lit, values)), F.col("home") + 1)
+    part = (at_home(begin) + F.pmod(F.xxhash64("rid"), at_home(many))).cast("int")
+    asked = (asking.select("rid", "q", part.alias("part"), F.inline("seen"))
              .withColumn("salt", F.explode(F.sequence(F.lit(0), salt_of - 1))))
-    # names of their own: both sides of the cogroup come from ``asking``
-    wanted = asking.select(F.col("home").alias("of_home"), F.pmod(F.xxhash64("rid"), group_of).cast("int").alias("of_part"),
-                           F.explode("seen.first").alias("first")).distinct()
+    # a name of its own: both sides of the cogroup come from ``asking``
+    wanted = asking.select(part.alias("of_part"), F.explode("seen.first").alias("first")).distinct()
     held = entries.withColumn("salt", F.pmod(F.xxhash64("rid"), salt_of).cast("int")).join(wanted, "first")
 
     def search(q: pd.DataFrame, e: pd.DataFrame) -> pd.DataFrame:
@@ -237,7 +252,7 @@ def _searched(rows: DataFrame, query_where: str, top: int, fit_rows: int, recall
         best = rerank(np.stack(q["q"].to_list()), q["rid"].to_numpy(), masks, np.stack(e["v"].to_list()),
                       e["vec_id"].to_numpy(), e["rid"].to_numpy(), e["second"].to_numpy(), top)
         return pd.DataFrame(dict(zip(("rid", "vec_id", "score"), best, strict=True)))
-    found = asked.groupBy("first", "salt", "home", "part").cogroup(held.groupBy("first", "salt", "of_home", "of_part")).applyInPandas(
+    found = asked.groupBy("first", "salt", "part").cogroup(held.groupBy("first", "salt", "of_part")).applyInPandas(
         search, "rid bigint, vec_id bigint, score double")
     best = Window.partitionBy("rid").orderBy(F.desc("score"), "vec_id")
     return (found.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= top)

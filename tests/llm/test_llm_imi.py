@@ -109,3 +109,8 @@ def test_every_query_returns_all_its_rows(spark, tmp_path):
         out = imi.op7_imi_search(spark, on_tables(spark, tmp_path / str(n), embeddings=df))
         found = {r.query_id: r["count"] for r in out.groupBy("query_id").count().collect()}
         assert found == {i: min(20, n - 1) for i in range(0, n, 20)}
+
+
+def test_groups_of_queries():
+    assert imi.query_groups([3, 0, 4, 5, 25, 2, 9], 10) == ([0, 0, 0, 1, 2, 5, 6], [1, 1, 1, 1, 3, 1, 1])
+    assert imi.query_groups([0, 0], 10) == ([0, 0], [1, 1])
