@@ -75,6 +75,10 @@ class TableLog:
             rows = rows.join(asked, self.keys, "left_semi")
         return self.newest(rows)
 
+    def added(self, spark: SparkSession, batch_id: int) -> DataFrame:
+        """The rows that ``append`` added in this batch."""
+        return spark.read.schema(f"{self.schema}, bucket int").parquet(f"{self.path}/{DELTA}/batch_id={batch_id}").drop("bucket")
+
     def _write(self, rows: DataFrame, kind: str, batch_id: int) -> list:
         path = f"{self.path}/{kind}/batch_id={batch_id}"
         names = self._load(rows.sparkSession, []).columns

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from conftest import records
 from keyflow.operators import changelog, joins, punctuation, windows
 from keyflow.streaming import changelogs, sessions, stream_time
+from keyflow.streaming import joins as stream_joins
 from keyflow.streaming.joins import run_full_join
 from test_late import disorder, flush_replay
 from test_streaming import landing_zone, stream_of
@@ -128,3 +129,43 @@ def test_full_join_on_a_stream_random(spark):
         want += [(k, m, m2) for m2 in near] or [(k, m, None)]
     want += [(k, None, m) for k, m, _ in rows["r"] if not any(k2 == k and abs(m - m2) <= 75 for k2, m2, _ in rows["l"])]
     assert got == sorted(want, key=repr)
+
+
+def full_join_replay(left, right, bound, grace):
+    """Files of (key, ms, value) by side, one of each a batch, under Spark's watermark: (key, left_ms, right_ms)."""
+    before, now, held = 0, 0, ([], [])
+    newest = [None, None]
+    for batch in zip(left, right):
+        for side, rows in enumerate(batch):
+            held[side].extend(r for r in rows if r[1] > before)
+            newest[side] = max([r[1] for r in rows] + [m for m in newest[side:side + 1] if m is not None])
+        before, now = now, max(now, min(newest) - grace)
+    pairs = [(l, r) for l in held[0] for r in held[1] if l[0] == r[0] and abs(l[1] - r[1]) <= bound]
+    out = [(l[0], l[1], r[1]) for l, r in pairs]
+    for side, rows in enumerate(held):
+        met = [p[side] for p in pairs]
+        out += [(r[0], r[1], None) if side == 0 else (r[0], None, r[1]) for r in rows if r not in met and r[1] + bound < now]
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("grace", [0, 60])
+def test_full_join_of_late_and_equal_records_without_state_by_record(spark, monkeypatch, grace):
+    rnd = random.Random(grace)
+    sides = []
+    for _ in "lr":
+        rows = [(rnd.choice("ab"), 1000 + 30 * i - rnd.choice([0, 0, 0, 400]), None) for i in range(48)]
+        sides.append([r for r in rows for _ in range(2 if r[1] % 4 == 0 else 1)])
+    progress = []
+
+    def watched(*args, **kw):
+        progress.extend(found := runner(*args, **kw))
+        return found
+    runner = stream_joins.run_batches
+    monkeypatch.setattr(stream_joins, "run_batches", watched)
+    files = 4
+    l, r = (stream_of(spark, in_files(rows, files)) for rows in sides)
+    got = found(run_full_join(l, r, 45, "full_late", grace), "key", "left_ms", "right_ms")
+    cut = [[rows[i:i + -(-len(rows) // files)] for i in range(0, len(rows), -(-len(rows) // files))] for rows in sides]
+    assert got == full_join_replay(*cut, 45, grace)
+    # every record in a state store of its own was the time of a large batch
+    assert progress and not any(p["stateOperators"] for p in progress)
