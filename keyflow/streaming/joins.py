@@ -3,9 +3,9 @@
 Both sides carry a watermark (``grace`` = allowed lateness, 0 = no grace);
 the time-range condition lets Spark evict join state once the watermark has
 passed ``ts + bound``, and is what makes the outer forms possible: an
-unmatched row is emitted when it can no longer match. Inner and left joins
-are Spark's operator; the full join keeps its records in a table log and follows
-the same watermark.
+unmatched row is emitted when it can no longer match. ``interval_join_stream`` is
+Spark's operator, for plans that go on with its rows; ``run_join`` runs a join of
+any kind to its end with the records in a table log, under the same watermark.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 
 from keyflow.functions.text import joiner_text
 from keyflow.functions.time import floor_div
-from keyflow.operators.joins import INNER, PAIR, interval_join, joined_text
+from keyflow.operators.joins import FULL, INNER, LEFT, PAIR, interval_join, joined_text
 from keyflow.session import shared_dir
 from keyflow.streaming.runner import NO_BATCH, run_batches
 from keyflow.streaming.table_log import TableLog
@@ -50,7 +50,7 @@ def interval_join_stream(left: DataFrame, right: DataFrame, bound_ms: int, how:
     key is spread over its buckets: left rows in their own bucket, right rows copied to the buckets they can
     match. A left row meets all its candidates once, so the left outer join is exact in one operator."""
     if how == "full":
-        raise ValueError("a full join on a stream keeps a table log: run_full_join")
+        raise ValueError("a full join on a stream keeps a table log: run_join")
     j = _near(_prepare(left, "l_"), _prepare(right, "r_"), int(bound_ms), f"{int(grace_ms)} milliseconds", HOW[how])
     return joined_text(j.select(F.col("l_key").alias("key"), *PAIR[1:]), joiner)
 
@@ -85,13 +85,19 @@ def _alone(rows: DataFrame, others: DataFrame, bound: int, width: int, joiner) -
 
 def run_full_join(left: DataFrame, right: DataFrame, bound_ms: int, name: str, grace_ms: int = 0,
                   joiner=joiner_text) -> DataFrame:
-    """Full outer join, run to the end of both streams.
+    """:func:`run_join`, full outer."""
+    return run_join(left, right, bound_ms, name, FULL, grace_ms, joiner)
+
+
+def run_join(left: DataFrame, right: DataFrame, bound_ms: int, name: str, how: str = INNER, grace_ms: int = 0,
+             joiner=joiner_text) -> DataFrame:
+    """Inner, left or full outer join, run to the end of both streams.
 
     A micro-batch appends its records to a table log by (key, tile of time), joins them with each other and with
     the records that the log holds in their own and the neighbouring tiles, by the plan of the batch operator, and
-    gives the records without a partner that the watermark lets go: an anti-join of those with what is live. So
-    nothing is kept or looked up record by record, and what a batch does follows its new records and those that
-    leave. The log loses records that no record to come and none still waiting can be near to.
+    gives, in an outer join, the records without a partner that the watermark lets go: an anti-join of those with
+    what is live. So nothing is kept or looked up record by record, as in a state store. The log loses records that
+    no record to come and none still waiting can be near to.
 
     The watermark is Spark's: the smaller of both sides' newest times less the grace, as the batch before left it;
     a batch leaves out records that are not past the one before that. After the last batch, what the last
@@ -112,7 +118,10 @@ def run_full_join(left: DataFrame, right: DataFrame, bound_ms: int, name: str, g
     def let_go(held: DataFrame, before: int, now: int) -> DataFrame:
         """Records without a partner whose last possible one lies in [before, now)."""
         near = held.filter((F.col("ms") >= before - 2 * bound) & (F.col("ms") < now))
-        return _alone(near.filter((F.col("ms") >= before - bound) & (F.col("ms") < now - bound)), near, bound, width, joiner)
+        rows = near.filter((F.col("ms") >= before - bound) & (F.col("ms") < now - bound))
+        if how == LEFT:
+            rows, near = rows.filter("is_left"), near.filter(~F.col("is_left"))
+        return _alone(rows, near, bound, width, joiner)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         s = batch.sparkSession
@@ -126,7 +135,7 @@ def run_full_join(left: DataFrame, right: DataFrame, bound_ms: int, name: str, g
             out = _pairs(new, new.unionByName(old), bound, joiner).unionByName(_pairs(old, new, bound, joiner))
         else:
             out = _pairs(new, new, bound, joiner)
-        if t.now > t.before:
+        if how != INNER and t.now > t.before:
             out = out.unionByName(let_go(live.read(s, batch_id + 1), t.before, t.now))
         out.write.mode("overwrite").parquet(f"{base}/out/batch_id={batch_id}")
         newest = {r[0]: r[1] for r in new.groupBy("is_left").agg(F.max("ms")).collect()}
@@ -137,7 +146,7 @@ def run_full_join(left: DataFrame, right: DataFrame, bound_ms: int, name: str, g
             f"{base}/time/batch_id={batch_id}")
     run_batches(both, base.rsplit("/", 1)[-1], write, f"{base}/checkpoint")
     last = spark.read.schema(f"{TIMES}, batch_id int").parquet(f"{base}/time").orderBy(F.desc("batch_id")).first()
-    if last.now > last.before:
+    if how != INNER and last.now > last.before:
         let_go(live.read(spark, last.batch_id + 1), last.before, last.now).write.parquet(
             f"{base}/out/batch_id={last.batch_id + 1}")
     return spark.read.schema(schema).parquet(f"{base}/out").drop("batch_id")

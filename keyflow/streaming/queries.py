@@ -23,7 +23,7 @@ from keyflow.plans.oracle import ORACLE_SQL, R
 from keyflow.sources import codec
 from keyflow.sources.records import event_records
 from keyflow.sources.stream import read_table_stream
-from keyflow.streaming.joins import interval_join_stream, run_full_join
+from keyflow.streaming.joins import run_join
 from keyflow.streaming.processors import (
     WORD_COUNT_OUTPUT,
     MaxProcessor,
@@ -168,10 +168,7 @@ def _ss_join(how):
         def side(t):
             s = event_record_stream(spark, sf_dir, key="user_id", extra={"event_type": F.col("event_type")})
             return s.filter(F.col("event_type") == t).drop("event_type")
-        if how == "full":
-            return run_full_join(side("click"), side("purchase"), P.JOIN_BOUND, "ss_join_full_stream")
-        j = interval_join_stream(side("click"), side("purchase"), P.JOIN_BOUND, how)
-        return run_stream(j, f"ss_join_{how}_stream").read(spark)
+        return run_join(side("click"), side("purchase"), P.JOIN_BOUND, f"ss_join_{how}_stream", how)
     return q
 
 

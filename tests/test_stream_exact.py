@@ -131,7 +131,7 @@ def test_full_join_on_a_stream_random(spark):
     assert got == sorted(want, key=repr)
 
 
-def full_join_replay(left, right, bound, grace):
+def join_replay(left, right, bound, grace, how):
     """Files of (key, ms, value) by side, one of each a batch, under Spark's watermark: (key, left_ms, right_ms)."""
     before, now, held = 0, 0, ([], [])
     newest = [None, None]
@@ -142,14 +142,14 @@ def full_join_replay(left, right, bound, grace):
         before, now = now, max(now, min(newest) - grace)
     pairs = [(l, r) for l in held[0] for r in held[1] if l[0] == r[0] and abs(l[1] - r[1]) <= bound]
     out = [(l[0], l[1], r[1]) for l, r in pairs]
-    for side, rows in enumerate(held):
+    for side, rows in enumerate(held[:["inner", "left", "full"].index(how)]):
         met = [p[side] for p in pairs]
         out += [(r[0], r[1], None) if side == 0 else (r[0], None, r[1]) for r in rows if r not in met and r[1] + bound < now]
     return sorted(out, key=repr)
 
 
-@pytest.mark.parametrize("grace", [0, 60])
-def test_full_join_of_late_and_equal_records_without_state_by_record(spark, monkeypatch, grace):
+@pytest.mark.parametrize("how, grace", [("inner", 0), ("left", 0), ("full", 0), ("full", 60)])
+def test_join_of_late_and_equal_records_without_state_by_record(spark, monkeypatch, how, grace):
     rnd = random.Random(grace)
     sides = []
     for _ in "lr":
@@ -164,8 +164,8 @@ def test_full_join_of_late_and_equal_records_without_state_by_record(spark, monk
     monkeypatch.setattr(stream_joins, "run_batches", watched)
     files = 4
     l, r = (stream_of(spark, in_files(rows, files)) for rows in sides)
-    got = found(run_full_join(l, r, 45, "full_late", grace), "key", "left_ms", "right_ms")
+    got = found(stream_joins.run_join(l, r, 45, f"{how}_late", how, grace), "key", "left_ms", "right_ms")
     cut = [[rows[i:i + -(-len(rows) // files)] for i in range(0, len(rows), -(-len(rows) // files))] for rows in sides]
-    assert got == full_join_replay(*cut, 45, grace)
+    assert got == join_replay(*cut, 45, grace, how)
     # every record in a state store of its own was the time of a large batch
     assert progress and not any(p["stateOperators"] for p in progress)
